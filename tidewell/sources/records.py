@@ -38,10 +38,6 @@ PROVIDER_STATUSES = ["ACTIVE", "INACTIVE"]
 RAW_COLUMNS = ["payload", "source_filename", "source_row_number", "ingested_at"]
 
 
-def text_struct(fields: list[str]) -> str:
-    return ", ".join(f"{name} string" for name in fields)
-
-
 def is_malformed(payload: Column) -> Column:
     return F.try_parse_json(payload).isNull()
 
@@ -49,7 +45,10 @@ def is_malformed(payload: Column) -> Column:
 def open_payload(raw: DataFrame, fields: list[str]) -> DataFrame:
     """Parse each payload once into text columns, beside the envelope columns.
 
-    A missing field and a JSON null both come out as SQL null.
+    A missing field and a JSON null both come out as SQL null. The generator form
+    is one parse per record; a struct parse would be repeated wherever Spark
+    inlines one of its fields into a later filter or projection.
     """
-    parsed = raw.withColumn("_r", F.from_json("payload", text_struct(fields)))
-    return parsed.select("_r.*", "source_filename", "source_row_number", "ingested_at")
+    return raw.select(
+        F.json_tuple("payload", *fields).alias(*fields), "source_filename", "source_row_number", "ingested_at"
+    )
