@@ -24,13 +24,22 @@ PROVIDER_REQUIRED = ["provider_id", "provider_name", "primary_city", "operating_
                      "experience_level", "active_status", "primary_service_category", "effective_at"]
 
 
+def _calendar(bounds: DataFrame) -> DataFrame:
+    days = bounds.select(F.explode(F.sequence("first_day", "last_day")).alias("full_date"))
+    return days.select(*calendar_columns(F.col("full_date")))
+
+
+def calendar_spanning(df: DataFrame, at: str) -> DataFrame:
+    """Calendar rows from the earliest to the latest day of a column."""
+    return _calendar(df.agg(F.min(F.to_date(at)).alias("first_day"), F.max(F.to_date(at)).alias("last_day")))
+
+
 def build_dim_date(
     spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END, existing: DataFrame | None = None
 ) -> DataFrame:
     """Calendar rows of the range; with `existing`, that table plus the missing days."""
-    bounds = spark.range(1).select(F.lit(start).cast("date").alias("a"), F.lit(end).cast("date").alias("b"))
-    days = bounds.select(F.explode(F.sequence("a", "b")).alias("full_date"))
-    calendar = days.select(*calendar_columns(F.col("full_date")))
+    bounds = spark.range(1).select(F.lit(start).cast("date").alias("first_day"), F.lit(end).cast("date").alias("last_day"))
+    calendar = _calendar(bounds)
     if existing is None:
         return calendar
     return existing.unionByName(calendar.join(existing, "date_key", "left_anti"))
