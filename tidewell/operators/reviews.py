@@ -25,10 +25,10 @@ def backfill_candidates(bookings: DataFrame, limit: int | None = BACKFILL_LIMIT)
     return newest.select("booking_id", "review_text", sha256(F.col("review_text")).alias("review_hash"))
 
 
-def arriving_candidates(snapshots: DataFrame) -> DataFrame:
+def arriving_candidates(snapshots: DataFrame, keep: list[str] = ()) -> DataFrame:
     """Latest reviewed snapshot per booking of a batch, whatever its status."""
     reviewed = snapshots.filter(F.col("booking_id").isNotNull() & F.col("review_text").isNotNull())
-    hashed = reviewed.select("booking_id", "review_text", "record_updated_at",
+    hashed = reviewed.select("booking_id", "review_text", "record_updated_at", *keep,
                              sha256(F.col("review_text")).alias("review_hash"))
     order = [F.col("record_updated_at").desc_nulls_last(), F.col("review_hash")]
     return first_by(hashed, ["booking_id"], order).drop("record_updated_at")
@@ -54,12 +54,12 @@ def score_reviews(changed: DataFrame, scorer: Scorer, model_source: str, now: Co
     )
 
 
-def upsert_reviews(target: DataFrame | None, scored: DataFrame) -> DataFrame:
+def upsert_reviews(target: DataFrame | None, scored: DataFrame, columns: list[str] = INSIGHT_COLUMNS) -> DataFrame:
     """Scored rows replace or join the target; each is computed once."""
     if target is None:
-        return scored.select(*INSIGHT_COLUMNS)
-    old = target.select(F.col("booking_id").alias("_old_id"), F.struct(*INSIGHT_COLUMNS).alias("old"))
-    new = scored.select(F.col("booking_id").alias("_new_id"), F.struct(*INSIGHT_COLUMNS).alias("new"))
+        return scored.select(*columns)
+    old = target.select(F.col("booking_id").alias("_old_id"), F.struct(*columns).alias("old"))
+    new = scored.select(F.col("booking_id").alias("_new_id"), F.struct(*columns).alias("new"))
     merged = old.join(new, F.col("_old_id") == F.col("_new_id"), "full_outer")
     return merged.select(F.coalesce("new", "old").alias("r")).select("r.*")
 

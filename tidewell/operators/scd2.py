@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,6 +87,39 @@ def scd2_apply(dim: DataFrame, changes: DataFrame, now: Column | None = None) ->
     return dim.filter(~F.col("is_current")).select(*VERSION_COLUMNS).unionByName(touched)
 
 
+def scd2_apply_all(dim: DataFrame, changes: DataFrame, now: Column | None = None, unit: str = "month") -> DataFrame:
+    """Like `scd2_apply`, for any number of changes per provider in one batch.
+
+    The current version takes part as the event that opened it; events at or
+    before its start are late and stay out, as in the one-change form.
+    """
+    moment = F.current_timestamp() if now is None else now
+    columns = [NATURAL, *PROVIDER_ATTRIBUTES, "effective_at", "attribute_hash"]
+    current = dim.filter("is_current")
+    starts = current.select(NATURAL, F.col("effective_start_at").alias("_start"))
+    order = [F.col("record_updated_at").desc_nulls_last(), F.col("attribute_hash").desc_nulls_last()]
+    later = first_by(changes, [NATURAL, "effective_at"], order).join(starts, NATURAL, "left").filter(
+        F.col("_start").isNull() | (F.col("effective_at") > F.col("_start"))).select(*columns)
+    affected = current.join(later.select(NATURAL).distinct(), NATURAL, "left_semi")
+    opened = affected.withColumnRenamed("effective_start_at", "effective_at")
+    events = later.unionByName(opened.select(*columns, "provider_key", "created_at", "updated_at"), allowMissingColumns=True)
+
+    walked = with_previous(events, NATURAL, "effective_at", "attribute_hash", "_previous", unit)
+    kept = walked.filter(F.col("_previous").isNull() | (F.col("_previous") != F.col("attribute_hash"))).drop("_previous")
+    ended = with_next(kept, NATURAL, "effective_at", "effective_at", "_next", unit)
+    fresh = assign_keys(ended.filter(F.col("provider_key").isNull()).drop("provider_key"),
+                        [NATURAL, "effective_at"], "provider_key", existing=dim)
+    end, is_open = F.coalesce("_next", open_end()), F.col("_next").isNull()
+    added = _as_version(fresh, moment, end, is_open).select(*VERSION_COLUMNS)
+    known = ended.filter(F.col("provider_key").isNotNull()).select(
+        "provider_key", NATURAL, *PROVIDER_ATTRIBUTES, F.col("effective_at").alias("effective_start_at"),
+        end.alias("effective_end_at"), is_open.alias("is_current"), "attribute_hash", "created_at",
+        F.when(is_open, F.col("updated_at")).otherwise(moment).alias("updated_at"))
+    untouched = dim.filter("is_current").join(later.select(NATURAL).distinct(), NATURAL, "left_anti")
+    parts = [dim.filter(~F.col("is_current")), untouched, known, added]
+    return reduce(DataFrame.unionByName, [p.select(*VERSION_COLUMNS) for p in parts])
+
+
 def scd2_history(changes: DataFrame, now: Column | None = None, unit: str = "month") -> DataFrame:
     """Full version history from all events of a provider, any number per batch.
 

@@ -7,9 +7,9 @@ bigint, money as double, times as text) so that any SQL engine can state the sam
 from __future__ import annotations
 
 import datetime
+import re
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,7 +89,7 @@ def new_file_rows(spark, sf_dir):
 @query
 def raw_table_counts(spark, sf_dir):
     return reports.row_counts({
-        "RAW_BOOKING_EVENTS": star.raw_bookings(spark, sf_dir),
+        "RAW_BOOKING_EVENTS": stored_star(spark, sf_dir)["raw"],
         "RAW_PROVIDER_EVENTS": star.raw_providers(spark, sf_dir),
         "RAW_CUSTOMERS": star.raw_customers(spark, sf_dir),
         "RAW_SERVICES": star.raw_services(spark, sf_dir),
@@ -111,7 +111,7 @@ def _booking_view(df: DataFrame) -> DataFrame:
 
 @query
 def parsed_bookings(spark, sf_dir):
-    return _booking_view(clean.parse_bookings(star.raw_bookings(spark, sf_dir)))
+    return _booking_view(clean.parse_bookings(stored_star(spark, sf_dir)["raw"]))
 
 
 @query
@@ -184,7 +184,7 @@ def distinct_json_values(spark, sf_dir):
 
 @query
 def distinct_raw_bookings(spark, sf_dir):
-    return reports.distinct_payload_field(star.raw_bookings(spark, sf_dir), "booking_id")
+    return reports.distinct_payload_field(stored_star(spark, sf_dir)["raw"], "booking_id")
 
 
 @query
@@ -417,8 +417,8 @@ def scored_with_gaps(spark, sf_dir):
 
 
 def _is_insult(text: str) -> tuple[str | None, str | None]:
-    words = set(pd.Series([text]).str.lower().str.split("[^a-z]+", regex=True)[0])
-    if "" in words and len(words) == 1:
+    words = {w for w in re.split("[^a-z]+", text.lower()) if w}
+    if not words:
         raise ValueError("no words")
     return ("negative" if words & set(DOCUMENT_LEXICON.negative) else "neutral"), "Other"
 
@@ -508,7 +508,7 @@ def dimension_counts(spark, sf_dir):
 @query
 def layer_reconciliation(spark, sf_dir):
     s = stored_star(spark, sf_dir)
-    return reports.layer_reconciliation(star.raw_bookings(spark, sf_dir), s["latest"], s["bookings"], s["reviews"])
+    return reports.layer_reconciliation(s["raw"], s["latest"], s["bookings"], s["reviews"])
 
 
 @query

@@ -29,7 +29,7 @@ DOCUMENT_LEXICON = Lexicon(
     themes={"Punctuality": ["the", "an"], "Pricing": ["of", "to"], "Communication": ["in", "is", "it"]},
 )
 
-TABLES = ("latest", "customers", "services", "providers", "dates", "bookings", "reviews", "kpi")
+TABLES = ("raw", "latest", "customers", "services", "providers", "dates", "bookings", "reviews", "kpi")
 
 _written: dict[tuple[str, str], str] = {}
 
@@ -43,6 +43,7 @@ def build_star(spark: SparkSession, sf_dir: str, root: str) -> None:
         df.write.mode("overwrite").parquet(f"{root}/{name}")
         return spark.read.parquet(f"{root}/{name}")
 
+    keep("raw", star.raw_bookings(spark, sf_dir))
     latest = keep("latest", silver_bookings(spark, sf_dir))
     customers = keep("customers", merge_customers(None, clean_customers(star.raw_customers(spark, sf_dir))))
     services = keep("services", merge_services(None, clean_services(star.raw_services(spark, sf_dir))))

@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewell.sources.records import is_malformed
+from tidewell.sources.records import RAW_COLUMNS, is_malformed
+from tidewell.streaming.publish import path_exists, write_once
 
 # Fixed value: the files an automatic load takes.
 FILE_PATTERN = ".*[.]json[.]gz"
 
+LOADED, REJECTED = "loaded", "rejected"
+_REFUSED = "malformed row "
+
 
 class RejectedLoad(ValueError):
     """A load that accepts all rows or none met a malformed one."""
@@ -72,25 +76,45 @@ def unseen_files(offered: DataFrame, loaded: DataFrame) -> DataFrame:
     return offered.join(names, "source_filename", "left_anti")
 
 
+def mark_malformed(raw: DataFrame) -> DataFrame:
+    """Add `load_status`, loaded or rejected; both go to one table in one write."""
+    bad = is_malformed(F.col("payload"))
+    return raw.withColumn("load_status", F.when(bad, REJECTED).otherwise(LOADED))
+
+
+def raw_table(spark: SparkSession, table: str) -> DataFrame:
+    """Loaded rows of a raw table."""
+    return spark.read.parquet(table).filter(F.col("load_status") == LOADED).select(*RAW_COLUMNS)
+
+
+def rejected_rows(spark: SparkSession, table: str) -> DataFrame:
+    """Malformed rows of a raw table, kept as they came."""
+    return (spark.read.parquet(table).filter(F.col("load_status") == REJECTED).select(*RAW_COLUMNS)
+            .withColumn("reason", F.lit("malformed JSON")))
+
+
 def ingest_batch(
-    spark: SparkSession, prefix: str, table: str, glob: str = "*.json.gz", on_error: str = "abort",
-    rejected: str | None = None,
+    spark: SparkSession, prefix: str, table: str, load: str, glob: str = "*.json.gz", on_error: str = "abort"
 ) -> None:
-    """Append the prefix's files that are not in the raw table yet.
+    """Load the prefix's files that are not in the raw table yet, as the load `load`.
 
-    `abort` writes nothing when any row is malformed. `continue` skips malformed
-    rows and keeps them in the `rejected` table when one is named.
+    `abort` fails the write, and so loads nothing, when any row is malformed.
+    `continue` keeps malformed rows aside as rejected.
     """
-    from tidewell.streaming.publish import path_exists
-
+    if on_error not in ("abort", "continue"):
+        raise ValueError(f"on_error is abort or continue, not {on_error}")
     raw = read_json_lines(spark, prefix, glob)
     if path_exists(spark, table):
         raw = unseen_files(raw, spark.read.parquet(table))
-    good, bad = split_malformed(raw)
+    marked = mark_malformed(raw)
     if on_error == "abort":
-        first = bad.select("source_filename", "source_row_number").head(1)
-        if first:
-            raise RejectedLoad(f"malformed row {first[0].source_row_number} in {first[0].source_filename}; nothing loaded")
-    elif rejected is not None:
-        bad.write.mode("append").parquet(rejected)
-    good.write.mode("append").parquet(table)
+        refusal = F.raise_error(F.concat(F.lit(_REFUSED), F.col("source_row_number").cast("string"),
+                                         F.lit(" of "), F.col("source_filename")))
+        marked = marked.withColumn(
+            "load_status", F.when(F.col("load_status") == REJECTED, refusal.cast("string")).otherwise(F.col("load_status")))
+    try:
+        write_once(marked, table, load, ("load_status",))
+    except Exception as e:
+        if _REFUSED in str(e):
+            raise RejectedLoad(f"{prefix} holds a malformed row; nothing was loaded") from e
+        raise

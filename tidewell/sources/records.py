@@ -39,7 +39,16 @@ RAW_COLUMNS = ["payload", "source_filename", "source_row_number", "ingested_at"]
 
 
 def is_malformed(payload: Column) -> Column:
-    return F.try_parse_json(payload).isNull()
+    """Whether a line is anything but exactly one JSON value.
+
+    Spark's parser stops after the first value and would let `{"a": 1} rubbish`
+    pass, so the line is parsed inside a wrapper whose end must be reached.
+    """
+    wrapped = F.try_parse_json(F.concat(F.lit('{"line": ['), payload, F.lit('], "end": 1}')))
+    complete = F.try_variant_get(wrapped, "$.end", "int") == 1
+    second = F.try_variant_get(wrapped, "$.line[1]", "variant")
+    first = F.try_variant_get(wrapped, "$.line[0]", "variant")
+    return ~F.coalesce(complete & first.isNotNull() & second.isNull(), F.lit(False))
 
 
 def open_payload(raw: DataFrame, fields: list[str]) -> DataFrame:

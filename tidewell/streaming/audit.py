@@ -2,8 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime
+import json
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
+
+RUN_SCHEMA = ("name string, state string, started_at timestamp, completed_at timestamp, "
+              "input_rows bigint, error_message string, detail string")
+
+
+def _now() -> datetime.datetime:
+    return datetime.datetime.now(datetime.timezone.utc)
+
+
+def record(spark: SparkSession, audit: str, name: str, state: str, started: datetime.datetime,
+           completed: datetime.datetime | None = None, rows: int | None = None, error: str | None = None,
+           detail: str | None = None) -> None:
+    row = [(name, state, started, completed, rows, error, detail)]
+    spark.createDataFrame(row, RUN_SCHEMA).coalesce(1).write.mode("append").parquet(audit)
+
+
+def audited(spark: SparkSession, audit: str, name: str, run: Callable[[], object]) -> object:
+    """Run a step and note its outcome; a failure is noted and raised."""
+    started = _now()
+    try:
+        result = run()
+    except Exception as e:
+        record(spark, audit, name, "FAILED", started, _now(), error=str(e)[:2000])
+        raise
+    record(spark, audit, name, "SUCCEEDED", started, _now())
+    return result
 
 
 def recent_runs(audit: DataFrame, hours: int = 24, as_of: Column | None = None) -> DataFrame:
@@ -11,3 +42,38 @@ def recent_runs(audit: DataFrame, hours: int = 24, as_of: Column | None = None)
     now = F.current_timestamp() if as_of is None else as_of
     recent = audit.filter(F.col("started_at") >= now - F.make_dt_interval(hours=F.lit(hours)))
     return recent.orderBy(F.desc("started_at"), "name")
+
+
+def last_outcomes(audit: DataFrame) -> DataFrame:
+    """Newest audit row of each name: the status of every load and refresh."""
+    newest = F.max_by(F.struct("state", "started_at", "completed_at", "input_rows", "error_message"), "started_at")
+    return audit.groupBy("name").agg(newest.alias("last")).select("name", "last.*")
+
+
+class StreamAudit(StreamingQueryListener):
+    """Writes the progress and the end of each streaming query to the audit table."""
+
+    def __init__(self, spark: SparkSession, audit: str) -> None:
+        self._spark, self._audit = spark, audit
+        self._names: dict[str, str] = {}
+
+    def _note(self, name, state, started, rows=None, error=None, detail=None) -> None:
+        record(self._spark, self._audit, name, state, started, _now(), rows, error, detail)
+
+    def onQueryStarted(self, event) -> None:
+        self._names[str(event.id)] = event.name or str(event.id)
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        if p.numInputRows:
+            detail = json.dumps({"batch": p.batchId, "rows_per_second": p.processedRowsPerSecond})
+            self._note(p.name or str(p.id), "RUNNING", datetime.datetime.fromisoformat(p.timestamp), p.numInputRows,
+                       detail=detail)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        name = self._names.get(str(event.id), str(event.id))
+        state = "FAILED" if event.exception else "FINISHED"
+        self._note(name, state, _now(), error=event.exception[:2000] if event.exception else None)
