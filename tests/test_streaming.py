@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -175,9 +177,9 @@ def test_tables_follow_the_files(spark, tmp_path):
     gates = run_gates(publish.current(spark, layout.table("bookings_clean")), publish.current(spark, layout.table("fact_booking")),
                       publish.current(spark, layout.table("dim_date")), publish.current(spark, layout.table("dim_provider")))
     assert {r.check_name: r.violations for r in gates.collect() if r.violations} == {}
-    runs = audit.recent_runs(spark.read.parquet(layout.audit))
+    runs = audit.recent_runs(audit.read_runs(spark, layout.audit))
     assert {(r.name, r.state) for r in runs.collect()} >= {("fact_booking", "SUCCEEDED"), ("provider_changes", "SUCCEEDED")}
-    assert audit.last_outcomes(spark.read.parquet(layout.audit)).filter("state = 'SUCCEEDED'").count() == 6
+    assert audit.last_outcomes(audit.read_runs(spark, layout.audit)).filter("state = 'SUCCEEDED'").count() == 6
 
     states = {n: publish.read_state(spark, layout.table(n)).number for n in ("bookings_clean", "dim_provider", "fact_review_insight")}
     for name in ("providers", "bookings"):
@@ -217,12 +219,10 @@ def test_stream_progress_reaches_the_audit_table(spark, tmp_path):
         load(spark, layout, landing, "bookings")
         for _ in range(60):
             if publish.path_exists(spark, layout.audit):
-                rows = spark.read.parquet(layout.audit).filter("state = 'FINISHED'").count()
-                if rows:
+                if audit.read_runs(spark, layout.audit).filter("state = 'FINISHED'").count():
                     break
-            import time
             time.sleep(0.5)
     finally:
         spark.streams.removeListener(listener)
-    names = {(r.name, r.state) for r in spark.read.parquet(layout.audit).collect()}
+    names = {(r.name, r.state) for r in audit.read_runs(spark, layout.audit).collect()}
     assert {("ingest_bookings", "RUNNING"), ("ingest_bookings", "FINISHED")} <= names

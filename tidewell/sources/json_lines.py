@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewell.sources.records import RAW_COLUMNS, is_malformed
+from tidewell.sources.records import RAW_COLUMNS, RAW_SCHEMA, is_malformed
 from tidewell.streaming.publish import path_exists, write_once
 
 # Fixed value: the files an automatic load takes.
@@ -82,14 +82,19 @@ def mark_malformed(raw: DataFrame) -> DataFrame:
     return raw.withColumn("load_status", F.when(bad, REJECTED).otherwise(LOADED))
 
 
+def raw_files(spark: SparkSession, table: str) -> DataFrame:
+    """All rows of a raw table; a load that was refused leaves none."""
+    return spark.read.schema(f"{RAW_SCHEMA}, load_status string").parquet(table)
+
+
 def raw_table(spark: SparkSession, table: str) -> DataFrame:
     """Loaded rows of a raw table."""
-    return spark.read.parquet(table).filter(F.col("load_status") == LOADED).select(*RAW_COLUMNS)
+    return raw_files(spark, table).filter(F.col("load_status") == LOADED).select(*RAW_COLUMNS)
 
 
 def rejected_rows(spark: SparkSession, table: str) -> DataFrame:
     """Malformed rows of a raw table, kept as they came."""
-    return (spark.read.parquet(table).filter(F.col("load_status") == REJECTED).select(*RAW_COLUMNS)
+    return (raw_files(spark, table).filter(F.col("load_status") == REJECTED).select(*RAW_COLUMNS)
             .withColumn("reason", F.lit("malformed JSON")))
 
 
@@ -105,7 +110,7 @@ def ingest_batch(
         raise ValueError(f"on_error is abort or continue, not {on_error}")
     raw = read_json_lines(spark, prefix, glob)
     if path_exists(spark, table):
-        raw = unseen_files(raw, spark.read.parquet(table))
+        raw = unseen_files(raw, raw_files(spark, table))
     marked = mark_malformed(raw)
     if on_error == "abort":
         refusal = F.raise_error(F.concat(F.lit(_REFUSED), F.col("source_row_number").cast("string"),

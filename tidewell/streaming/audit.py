@@ -25,6 +25,10 @@ def record(spark: SparkSession, audit: str, name: str, state: str, started: date
     spark.createDataFrame(row, RUN_SCHEMA).coalesce(1).write.mode("append").parquet(audit)
 
 
+def read_runs(spark: SparkSession, audit: str) -> DataFrame:
+    return spark.read.schema(RUN_SCHEMA).parquet(audit)
+
+
 def audited(spark: SparkSession, audit: str, name: str, run: Callable[[], object]) -> object:
     """Run a step and note its outcome; a failure is noted and raised."""
     started = _now()

@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidewell.sources.json_lines import LOADED, mark_malformed, positioned, with_position
+from tidewell.sources.records import RAW_SCHEMA
 from tidewell.streaming.publish import write_once
 
-RAW_SCHEMA = "payload string, source_filename string, source_row_number bigint, ingested_at timestamp"
-
 Handler = Callable[[DataFrame, int], None]
 
 
