@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters after which a title-cased word starts anew.
-WORD_BREAKS = "[\\s!?@\"^#$&~_,.:;+\\-*%/|\\\\\\[\\](){}<>]"
+# The characters, besides blanks, after which a title-cased word starts.
+WORD_BREAKS = "[\\t\\n\\r!?@\"^#$&~_,.:;+\\-*%/|\\\\\\[\\](){}<>]"
 
 # Fixed value: end of an interval that is still open.
 OPEN_END = "9999-12-31 00:00:00"
@@ -23,15 +23,11 @@ def upper_trim(c: Column) -> Column:
 def title_case(c: Column) -> Column:
     """First letter of each word upper, the rest lower.
 
-    Spark's `initcap` breaks words at spaces only; the longer form runs just for
-    the values that hold another word break.
+    Spark's `initcap` knows only blanks as word breaks, so every other break gets
+    a blank behind it first and loses it again afterwards.
     """
-    words = F.split(F.lower(c), f"(?<={WORD_BREAKS})")
-    joined = F.array_join(
-        F.transform(words, lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.substr(w, F.lit(2)))),
-        "",
-    )
-    return F.when(c.rlike("[^\\p{L}\\p{N} ']"), joined).otherwise(F.initcap(c))
+    spaced = F.initcap(F.regexp_replace(c, f"({WORD_BREAKS})", "$1 "))
+    return F.when(c.rlike(WORD_BREAKS), F.regexp_replace(spaced, f"({WORD_BREAKS}) ", "$1")).otherwise(F.initcap(c))
 
 
 def title_trim(c: Column) -> Column:

@@ -20,6 +20,7 @@ from tidewell.plans import questions, reports
 from tidewell.plans.semantic import semantic_query
 from tidewell.plans.model import MARKETPLACE
 from tidewell.plans.stored import DOCUMENT_LEXICON, silver_bookings, stored_star
+from tidewell.session import spread
 from tidewell.sources import star
 from tidewell.sources.json_lines import split_malformed, unseen_files
 
@@ -397,7 +398,7 @@ def overlapping_interval_pairs(spark, sf_dir):
 
 
 def _documents(spark, sf_dir) -> DataFrame:
-    return star.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("review_text"))
+    return spread(star.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("review_text")))
 
 
 @query

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -32,3 +32,13 @@ def shared_dir(spark: SparkSession) -> str:
     made = tempfile.mkdtemp(prefix="tidewell-")
     spark.sparkContext.setCheckpointDir(made)
     return made
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Share out the rows of a scan that has fewer tasks than the cluster has cores.
+
+    A file of one row group, or a gzip file, is read by one task, and all work up
+    to the first shuffle would stay in it. A table of many blocks is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import values as V
 from tidewell.operators.clean import hashed_provider
-from tidewell.session import configure
+from tidewell.session import configure, spread
 
 # Names the adapter gives to numbered groups.
 ZONES = ["North", "South", "East", "West", "Central"]
@@ -35,14 +35,23 @@ def _id(name: str) -> Column:
     return F.col(name).cast("string")
 
 
+def _month(at: Column) -> Column:
+    return F.substring(F.to_date(at).cast("string"), 1, 7)
+
+
+def _cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations by their title-cased name, worked out before they are joined."""
+    return table(spark, sf_dir, "nation").select("n_nationkey", V.title_trim(F.col("n_name")).alias("city"))
+
+
 def booking_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed snapshots, several per booking, with the envelope columns."""
     c = F.col
-    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    nations = _cities(spark, sf_dir)
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"))
 
     completed = c("l_returnflag") == "A"
     ordered = c("o_orderdate").cast("timestamp")
@@ -70,7 +79,7 @@ def booking_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         _id("o_custkey").alias("customer_id"),
         _id("l_suppkey").alias("provider_id"),
         _id("l_partkey").alias("service_id"),
-        V.title_trim(c("n_name")).alias("booking_city"),
+        c("city").alias("booking_city"),
         ordered.alias("booking_created_at"),
         (ordered + F.expr("interval 2 days")).alias("scheduled_at"),
         started.alias("service_started_at"),
@@ -84,7 +93,7 @@ def booking_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(completed, F.lit(1) + c("l_quantity").cast("int") % 5).alias("rating"),
         V.blank_to_null(c("text")).alias("review_text"),
         shipped.alias("record_updated_at"),
-        F.concat(F.lit("bookings/"), F.date_format(shipped, "yyyy-MM"), F.lit(".json.gz")).alias("source_filename"),
+        F.concat(F.lit("bookings/"), _month(shipped), F.lit(".json.gz")).alias("source_filename"),
         (gross * 100).cast("bigint").alias("source_row_number"),
         F.lit(INGESTED_AT).cast("timestamp").alias("ingested_at"),
         c("l_quantity").cast("int").alias("_quantity"),
@@ -155,14 +164,14 @@ def provider_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    nations = _cities(spark, sf_dir)
     events = (
         quarters.join(suppliers, c("l_suppkey") == c("s_suppkey"))
         .join(nations, c("s_nationkey") == c("n_nationkey"))
         .select(
             _id("l_suppkey").alias("provider_id"),
             c("s_name").alias("provider_name"),
-            V.title_trim(c("n_name")).alias("primary_city"),
+            c("city").alias("primary_city"),
             _pick(ZONES, c("returned") % 5).alias("operating_zone"),
             F.when(c("lines") >= 22, "PREMIUM").otherwise("STANDARD").alias("provider_tier"),
             _pick(EXPERIENCE_LEVELS, c("l_suppkey") % 3).alias("experience_level"),
@@ -170,7 +179,7 @@ def provider_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             _pick(CATEGORIES, c("l_suppkey") % 5).alias("primary_service_category"),
             "effective_at",
             c("effective_at").alias("record_updated_at"),
-            F.concat(F.lit("providers/"), F.date_format("effective_at", "yyyy-MM"), F.lit(".json.gz")).alias("source_filename"),
+            F.concat(F.lit("providers/"), _month(c("effective_at")), F.lit(".json.gz")).alias("source_filename"),
             c("l_suppkey").alias("source_row_number"),
             F.lit(INGESTED_AT).cast("timestamp").alias("ingested_at"),
         )
@@ -210,12 +219,12 @@ def faulty_raw_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col
-    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    nations = _cities(spark, sf_dir)
     return table(spark, sf_dir, "customer").join(nations, c("c_nationkey") == c("n_nationkey")).select(
         _id("c_custkey").alias("customer_id"),
         c("c_name").alias("customer_name"),
         F.upper("c_mktsegment").alias("customer_segment"),
-        V.title_case(c("n_name")).alias("home_city"),
+        c("city").alias("home_city"),
         F.date_add(F.lit("1994-01-01").cast("date"), (c("c_custkey") % 365).cast("int")).alias("signup_date"),
         (c("c_acctbal") >= 0).alias("is_active"),
     )
