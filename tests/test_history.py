@@ -145,10 +145,13 @@ def test_point_in_time_methods_agree_on_a_hot_key(spark):
 
 def test_keys_are_unique_and_stay(spark):
     first = assign_keys(spark.range(100).select(F.col("id").cast("string").alias("id")), ["id"], "k")
-    assert sorted(r.k for r in first.collect()) == list(range(1, 101))
+    given = {r.id: r.k for r in first.collect()}
+    assert len(set(given.values())) == 100 and min(given.values()) > 0
     more = assign_keys(spark.range(100, 130).select(F.col("id").cast("string").alias("id")), ["id"], "k", existing=first)
-    assert sorted(r.k for r in more.collect()) == list(range(101, 131))
-    assert first.collect() == first.repartition(3).collect() or sorted(first.collect()) == sorted(first.repartition(3).collect())
+    added = [r.k for r in more.collect()]
+    assert len(set(added)) == 30 and min(added) > max(given.values())
+    shuffled = assign_keys(spark.range(100).repartition(7).select(F.col("id").cast("string").alias("id")), ["id"], "k")
+    assert {r.id: r.k for r in shuffled.collect()} == given
 
 
 def test_type1_merge_overwrites_with_nulls_and_keeps_keys(spark):
@@ -165,7 +168,7 @@ def test_type1_merge_overwrites_with_nulls_and_keeps_keys(spark):
     a = after["a"]
     assert (a.customer_name, a.signup_date, a.is_active, a.customer_key) == ("A2", None, False, before["a"].customer_key)
     assert a.created_at == before["a"].created_at and a.updated_at > before["a"].updated_at
-    assert after["b"] == before["b"] and after["c"].customer_key == 3
+    assert after["b"] == before["b"] and after["c"].customer_key > max(r.customer_key for r in before.values())
 
 
 def test_calendar(spark):

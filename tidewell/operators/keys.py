@@ -19,16 +19,13 @@ def assign_keys(
 ) -> DataFrame:
     """Number rows (unique in `ids`) onwards from the highest existing key.
 
-    Rows are numbered inside hash buckets and each bucket is shifted by the rows
-    before it. No task sorts the whole table, and the numbers depend only on the
-    data, so a task that is run again gives the same keys. The shift table has one
-    row per bucket, which bounds what is broadcast.
+    Rows are numbered inside hash buckets, and the keys of a bucket are those that
+    leave its number as remainder, so no two buckets can meet. One shuffle, no task
+    sorts the whole table, and the keys depend only on the data, so a task that is
+    run again gives the same ones. Keys have gaps.
     """
     tagged = new_rows.withColumn("_bucket", F.pmod(F.xxhash64(*ids), F.lit(buckets)))
     within = F.row_number().over(Window.partitionBy("_bucket").orderBy(*ids))
-    sizes = tagged.groupBy("_bucket").agg(F.count("*").alias("_size"))
-    before = F.sum("_size").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
-    shifts = sizes.select("_bucket", F.coalesce(before, F.lit(0)).alias("_before"))
-    numbered = tagged.withColumn("_n", within).join(F.broadcast(shifts), "_bucket")
-    key = (highest_key(existing, key_col) + F.col("_before") + F.col("_n")).cast("bigint")
-    return numbered.select(key.alias(key_col), *new_rows.columns)
+    offset = (within - 1).cast("bigint") * buckets + F.col("_bucket") + 1
+    return tagged.withColumn(key_col, (highest_key(existing, key_col) + offset).cast("bigint")).select(
+        key_col, *[c for c in new_rows.columns])

@@ -1,9 +1,9 @@
 """Neighbours and running totals per key, without one task per key.
 
 A window over a whole key would give a hot key to a single task. Rows are cut at
-calendar borders instead: windows run per (key, period), and one small row per
-(key, period) carries the state across the borders. A key has at most as many of
-those rows as the calendar has periods.
+calendar borders instead: windows run per (key, period), and only the first and
+last row of each period take part in a second window that carries state across the
+borders. A key has at most two such rows per period of the calendar.
 """
 
 from __future__ import annotations
@@ -17,18 +17,21 @@ def _period(at: str, unit: str) -> Column:
 
 
 def _neighbour(df: DataFrame, key: str, at: str, value: str, out: str, unit: str, forward: bool) -> DataFrame:
-    cut = df.withColumn("_period", _period(at, unit))
     order = F.col(at).asc() if forward else F.col(at).desc()
     inner = Window.partitionBy(key, "_period").orderBy(order)
-    walked = cut.withColumn("_near", F.lag(value).over(inner)).withColumn("_edge", F.row_number().over(inner) == 1)
-
-    far_end = F.max_by(value, at) if forward else F.min_by(value, at)
-    borders = cut.groupBy(key, "_period").agg(far_end.alias("_border"))
-    outer = Window.partitionBy(key).orderBy(F.col("_period").asc() if forward else F.col("_period").desc())
-    carried = borders.select(key, "_period", F.lag("_border").over(outer).alias("_carried"))
-
-    found = F.when(F.col("_edge"), F.col("_carried")).otherwise(F.col("_near"))
-    return walked.join(carried, [key, "_period"], "left").select(*df.columns, found.alias(out))
+    walked = (
+        df.withColumn("_period", _period(at, unit))
+        .withColumn("_near", F.lag(value).over(inner))
+        .withColumn("_first", F.row_number().over(inner) == 1)
+        .withColumn("_last", F.lead(F.lit(True)).over(inner).isNull())
+    )
+    border = F.col("_first") | F.col("_last")
+    # Among border rows, the one before a period's first row ends an earlier period.
+    across = F.lag(value).over(Window.partitionBy(key).orderBy(order))
+    borders = walked.filter(border).withColumn("_far", across)
+    found = F.when(F.col("_first"), F.col("_far")).otherwise(F.col("_near"))
+    inside = walked.filter(~border).select(*df.columns, F.col("_near").alias(out))
+    return inside.unionByName(borders.select(*df.columns, found.alias(out)))
 
 
 def with_previous(df: DataFrame, key: str, at: str, value: str, out: str, unit: str = "month") -> DataFrame:

@@ -306,7 +306,7 @@ counts AS (
   UNION ALL SELECT 'moved_customers', 0
   UNION ALL SELECT 'services', count(*) FROM part
   UNION ALL SELECT 'provider_versions', count(*) FROM versions)
-SELECT object_name, n AS rows, n AS distinct_keys, least(n, 1) AS lowest, n AS highest FROM counts"""
+SELECT object_name, n AS rows, n AS distinct_keys, cast(0 AS bigint) AS invalid_keys FROM counts"""
 
 # ---- provider history
 

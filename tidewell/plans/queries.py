@@ -22,7 +22,7 @@ from tidewell.plans.model import MARKETPLACE
 from tidewell.plans.stored import DOCUMENT_LEXICON, silver_bookings, stored_star
 from tidewell.session import spread
 from tidewell.sources import star
-from tidewell.sources.json_lines import split_malformed, unseen_files
+from tidewell.sources.json_lines import mark_malformed, unseen_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -74,8 +74,7 @@ def mixed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def load_history(spark, sf_dir):
-    good, bad = split_malformed(mixed_raw(spark, sf_dir))
-    return plain(reports.load_history(good, bad))
+    return plain(reports.load_history(mark_malformed(mixed_raw(spark, sf_dir))))
 
 
 @query
@@ -234,8 +233,8 @@ def surrogate_keys(spark, sf_dir):
         "first_key <> customer_key")
     return quality.stack([
         df.agg(F.count("*").alias("rows"), F.count_distinct(key).alias("distinct_keys"),
-               F.coalesce(F.min(key), F.lit(0)).alias("lowest"), F.coalesce(F.max(key), F.lit(0)).alias("highest"))
-        .select(F.lit(name).alias("object_name"), "rows", "distinct_keys", "lowest", "highest")
+               F.count_if(F.col(key) <= 0).alias("invalid_keys"))
+        .select(F.lit(name).alias("object_name"), "rows", "distinct_keys", "invalid_keys")
         for name, df, key in [
             ("customers", both, "customer_key"),
             ("moved_customers", moved, "customer_key"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewell.functions import values as V
 from tidewell.operators.ordered import with_previous
 from tidewell.operators.quality import stack
+from tidewell.sources.json_lines import REJECTED
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -36,17 +37,14 @@ def layer_reconciliation(raw_bookings: DataFrame, bookings: DataFrame, fact: Dat
     ])
 
 
-def load_history(raw: DataFrame, rejected: DataFrame, hours: int | None = None) -> DataFrame:
-    """Rows loaded and rejected per source file, newest load first."""
-    loads = stack([
-        raw.select("source_filename", "ingested_at", F.lit(0).alias("bad")),
-        rejected.select("source_filename", "ingested_at", F.lit(1).alias("bad")),
-    ])
+def load_history(marked: DataFrame, hours: int | None = None) -> DataFrame:
+    """Rows loaded and rejected per source file of a raw table, newest load first."""
+    loads = marked.select("source_filename", "ingested_at", (F.col("load_status") == REJECTED).alias("bad"))
     if hours is not None:
         loads = loads.filter(F.col("ingested_at") >= F.current_timestamp() - F.make_dt_interval(hours=F.lit(hours)))
     report = loads.groupBy("source_filename").agg(
-        F.count_if(F.col("bad") == 0).alias("row_count"),
-        F.count_if(F.col("bad") == 1).alias("error_count"),
+        F.count_if(~F.col("bad")).alias("row_count"),
+        F.count_if("bad").alias("error_count"),
         F.max("ingested_at").alias("last_load_time"),
     )
     status = F.when(F.col("error_count") == 0, "LOADED").when(F.col("row_count") == 0, "LOAD_FAILED")

@@ -62,14 +62,6 @@ def as_variant(raw: DataFrame) -> DataFrame:
     return raw.withColumn("payload", F.try_parse_json("payload"))
 
 
-def split_malformed(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows with readable JSON, and the others with the reason."""
-    marked = raw.withColumn("_bad", is_malformed(F.col("payload")))
-    good = marked.filter(~F.col("_bad")).drop("_bad")
-    bad = marked.filter("_bad").drop("_bad").withColumn("reason", F.lit("malformed JSON"))
-    return good, bad
-
-
 def unseen_files(offered: DataFrame, loaded: DataFrame) -> DataFrame:
     """Rows of files that were never loaded; a copy under a new name is unseen."""
     names = loaded.select("source_filename").distinct()

@@ -46,10 +46,16 @@ def is_malformed(payload: Column) -> Column:
     pass, so the line is parsed inside a wrapper whose end must be reached.
     """
     wrapped = F.try_parse_json(F.concat(F.lit('{"line": ['), payload, F.lit('], "end": 1}')))
-    complete = F.try_variant_get(wrapped, "$.end", "int") == 1
-    second = F.try_variant_get(wrapped, "$.line[1]", "variant")
-    first = F.try_variant_get(wrapped, "$.line[0]", "variant")
-    return ~F.coalesce(complete & first.isNotNull() & second.isNull(), F.lit(False))
+
+    def is_one_value(v: Column) -> Column:
+        complete = F.try_variant_get(v, "$.end", "int") == 1
+        first = F.try_variant_get(v, "$.line[0]", "variant").isNotNull()
+        second = F.try_variant_get(v, "$.line[1]", "variant").isNotNull()
+        return complete & first & ~second
+
+    # Bound to a lambda variable, the parse runs once for all three look-ups.
+    one_value = F.get(F.transform(F.array(wrapped), is_one_value), F.lit(0))
+    return ~F.coalesce(one_value, F.lit(False))
 
 
 def open_payload(raw: DataFrame, fields: list[str]) -> DataFrame:
