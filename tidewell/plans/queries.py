@@ -397,7 +397,7 @@ def overlapping_interval_pairs(spark, sf_dir):
 
 
 def _documents(spark, sf_dir) -> DataFrame:
-    return spread(star.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("review_text")))
+    return spread(star.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("review_text")), "doc_id")
 
 
 @query
@@ -410,7 +410,7 @@ def scored_documents(spark, sf_dir):
 @query
 def scored_with_gaps(spark, sf_dir):
     """Rows without text keep null labels and stay visible."""
-    documents = star.table(spark, sf_dir, "documents").select(
+    documents = spread(star.table(spark, sf_dir, "documents"), "doc_id").select(
         "lang", F.when(F.col("n_chars") >= 500, F.col("text")).alias("review_text"))
     scored = scoring.lexicon_scorer(DOCUMENT_LEXICON)(documents)
     return scored.groupBy("lang", scoring.sentiment_label().alias("sentiment_label")).agg(F.count("*").alias("rows"))

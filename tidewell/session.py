@@ -34,11 +34,13 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *by: str) -> DataFrame:
     """Share out the rows of a scan that has fewer tasks than the cluster has cores.
 
     A file of one row group, or a gzip file, is read by one task, and all work up
     to the first shuffle would stay in it. A table of many blocks is left alone.
+    `by` names columns that tell rows apart; without them Spark would sort the rows
+    to share them out the same way each time.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *by)

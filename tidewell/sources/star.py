@@ -51,7 +51,7 @@ def booking_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    lines = spread(table(spark, sf_dir, "lineitem"))
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
 
     completed = c("l_returnflag") == "A"
     ordered = c("o_orderdate").cast("timestamp")
