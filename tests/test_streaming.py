@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import booking, customer, provider, service, write_lines
+from tidewell.operators import clean
 from tidewell.operators.quality import run_gates
 from tidewell.operators.scoring import lexicon_scorer
-from tidewell.sources import json_lines
+from tidewell.sources import json_lines, star
 from tidewell.streaming import audit, ingest, publish, upkeep
 from tidewell.streaming.upkeep import Layout
 
@@ -104,6 +105,39 @@ def test_only_touched_partitions_are_replaced(spark, tmp_path):
         publish.publish_parts(rows, root, "day", [1])
 
 
+def test_old_states_are_forgotten_but_not_data_in_use(spark, tmp_path):
+    root = str(tmp_path / "t")
+    rows = spark.range(4).select("id", (F.col("id") % 2).cast("int").alias("day"))
+    publish.publish_parts(rows, root, "day")
+    for n in range(3):
+        publish.publish_parts(spark.range(n, n + 1).select("id", F.lit(1).alias("day")), root, "day", [1])
+    assert publish.forget_old_states(spark, root, keep=1) == 2
+    assert sorted((r.id, r.day) for r in publish.current(spark, root).collect()) == [(0, 0), (2, 0), (2, 1)]
+    assert publish.forget_old_states(spark, root, keep=1) == 0
+
+
+def test_records_written_as_files_come_back_the_same(spark, small, tmp_path):
+    layout, landing = Layout(str(tmp_path / "lake")), tmp_path / "landing"
+    star.write_json_lines(star.raw_bookings(spark, small), str(landing / "bookings"))
+    writer = ingest.ingest_stream(spark, f"{landing}/bookings", layout.raw("bookings"), layout.checkpoint("in"), "in",
+                                  glob="*.txt.gz", files_per_batch=3)
+    ingest.run_available(writer)
+    raw = json_lines.raw_table(spark, layout.raw("bookings"))
+    assert raw.select("source_filename", "source_row_number").distinct().count() == raw.count() == 6000
+    variant = json_lines.as_variant(raw).selectExpr("count(distinct try_variant_get(payload, '$.booking_id', 'string')) n")
+    assert variant.first().n == 4599
+    typed = clean.valid_bookings(star.typed_bookings(spark, small)).drop("source_filename", "source_row_number", "ingested_at")
+    back = clean.valid_bookings(clean.parse_bookings(raw)).select(*typed.columns)
+    assert typed.exceptAll(back).isEmpty() and back.exceptAll(typed).isEmpty()
+
+
+def test_defaults_fill_only_what_is_missing(spark):
+    moment = F.lit("2026-01-01").cast("timestamp")
+    rows = spark.sql("select 1 n, timestamp'2025-01-01' created_at union all select 2, null")
+    got = clean.with_defaults(rows, ["created_at", "updated_at"], moment).orderBy("n").collect()
+    assert [(r.created_at.year, r.updated_at.year) for r in got] == [(2025, 2026), (2026, 2026)]
+
+
 def first_load(spark, tmp_path):
     layout, landing = Layout(str(tmp_path / "lake")), tmp_path / "landing"
     write_lines(landing / "customers/customers.json.gz", [customer(), customer(customer_id="C2")])

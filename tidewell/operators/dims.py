@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tidewell.functions.calendar import calendar_columns
 from tidewell.operators.keys import assign_keys
 
+# The default calendar, 1,096 days.
 CALENDAR_START = "2025-01-01"
-# 1,096 days from the start, one more than the three years named in its documents.
 CALENDAR_END = "2028-01-01"
 
 CUSTOMER_ATTRIBUTES = ["customer_name", "customer_segment", "home_city", "signup_date", "is_active"]

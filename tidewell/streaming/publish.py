@@ -160,6 +160,28 @@ def changed_parts(old: State | None, new: State) -> list[str]:
     return sorted(v for v in {*before, *new.parts} if before.get(v) != new.parts.get(v))
 
 
+def forget_old_states(spark: SparkSession, root: str, keep: int = 100) -> int:
+    """Drop all but the newest states and the data folders only the dropped ones name.
+
+    Tables built from this one must have been refreshed within the kept states.
+    Returns how many data folders went.
+    """
+    numbers = _state_numbers(spark, root)
+    kept, dropped = numbers[-keep:], numbers[:-keep]
+    if not dropped:
+        return 0
+
+    def folders(state: State) -> set[str]:
+        return {state.whole} if state.whole else set(state.parts.values())
+
+    in_use = set().union(*[folders(read_state(spark, root, n)) for n in kept])
+    unused = set().union(*[folders(read_state(spark, root, n)) for n in dropped]) - in_use
+    for path in [*[f"{root}/_states/{n:012d}.json" for n in dropped], *[f"{root}/data/{f}" for f in sorted(unused)]]:
+        fs, jpath = _fs(spark, path)
+        fs.delete(jpath, True)
+    return len(unused)
+
+
 def _with(writers: dict[str, int], writer: str | None, batch: int | None) -> dict[str, int]:
     return {**writers, writer: batch} if writer is not None else dict(writers)
 
