@@ -144,6 +144,24 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], id: str = "do
     return rows.mapInArrow(run, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id)
 
 
+def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text") -> DataFrame:
+    """The rows, all their columns, whose text resembles a learned language; `und` ones and those
+    whose best cosine is not above 0 go."""
+    codes, profiles = model
+    place = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        profiler = Profiler()
+        for batch in batches:
+            texts, kept = batch.column(place).to_pylist(), []
+            for begin, end in text_slices(texts):
+                kept.append((profiler.bundles(texts[begin:end]) @ profiles.T).max(axis=1, initial=0) > 0)
+            if kept:
+                yield batch.filter(pa.array(np.concatenate(kept)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(id: str = "doc_id") -> Column:
     """Rows that learning never sees: crc32 of the id modulo 4 is 2."""
     return F.coalesce(remainder(col(id), 4) == 2, F.lit(False))
