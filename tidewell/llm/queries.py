@@ -6,9 +6,8 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tidewell.llm import bpe, language_id, toxicity, url_filter
+from tidewell.llm import bpe, language_id, secrets, toxicity, url_filter
 from tidewell.llm.common import col, remainder, table
 from tidewell.session import configure
 
@@ -39,6 +38,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+@query
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.scan(documents(spark, sf_dir)))
+
+
 @query
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
