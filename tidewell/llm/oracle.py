@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tidewell.llm import license_scan
+
 SQL: dict[str, str] = {}
 
 # The rules of the query, longest first, and its fallback globs as patterns.
@@ -27,3 +29,37 @@ SQL["op3_url_filters"] = r"""
         WHEN regexp_matches(path, '/wp-login[.]php|/cgi-bin/|/calendar/[^/]*/[^/]*/[^/]*/', 's') THEN 'block'
         ELSE 'allow' END AS verdict
     FROM ruled"""
+
+
+def _license_sql() -> str:
+    """Blocks and places by definition: every start, every block, no index."""
+    quoted = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+    places = [f"list_transform(list_filter(range(0, greatest(n_words - {len(t.words) - 1}, 0)), lambda s: "
+              f"w[s + 1 : s + {len(t.words)}] = {quoted(t.words)}), lambda s: {{'label': '{t.label}', 'at': s}})" for t in license_scan.PHRASES]
+    shares = []
+    for t in license_scan.TEMPLATES:
+        size, m = len(t.words), len(t.distinct)
+        shares.append(f"{{'label': '{t.label}', 'need': {t.need}, 'm': {m}, 'n': coalesce(list_max(list_transform("
+                      f"range(0, n_words, {size}), lambda s: len(list_intersect({quoted(t.distinct)}, w[s + 1 : s + {2 * size}])))), 0)}}")
+    return f"""
+    WITH split AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+        FROM documents),
+    counted AS (SELECT *, len(w)::BIGINT AS n_words FROM split),
+    found AS (
+        SELECT doc_id, n_words, {" || ".join(places)} AS places,
+               list_filter([{", ".join(shares)}], lambda f: f.n >= f.need) AS met
+        FROM counted),
+    labelled AS (
+        SELECT *, list_transform(places, lambda p: p.label) AS base, list_transform(met, lambda f: f.label) AS more FROM found)
+    SELECT doc_id, n_words, len(places)::BIGINT AS n_base,
+           list_min(list_transform(places, lambda p: p.at)) AS first_word, list_max(list_transform(places, lambda p: p.at)) AS last_word,
+           coalesce(array_to_string(list_sort(list_distinct(base)), ','), '') AS base_labels,
+           coalesce(array_to_string(list_sort(list_distinct(base || more)), ','), '') AS labels,
+           CASE WHEN len(places) > 0 THEN 1.0::DOUBLE
+                ELSE coalesce(list_max(list_transform(met, lambda f: f.n / f.m::DOUBLE)), 0.0::DOUBLE) END AS score
+    FROM labelled"""
+
+
+SQL["op5_license_scan"] = _license_sql()
