@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import bpe, language_id, license_scan, secrets, toxicity, url_filter
+from tidewell.llm import bpe, language_id, license_scan, mixing, secrets, toxicity, url_filter
 from tidewell.llm.common import col, remainder, table
 from tidewell.session import configure
 
@@ -31,6 +31,12 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(configure(spark), sf_dir, "pages"))
 
 
+@query
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(documents(spark, sf_dir))
+    return mixing.taken(mixed).select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.digests(license_scan.scan(documents(spark, sf_dir)))
