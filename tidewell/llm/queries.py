@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import bpe, language_id, license_scan, mixing, secrets, toxicity, url_filter
+from tidewell.llm import bpe, embedding_dedup, language_id, license_scan, mixing, secrets, toxicity, url_filter
 from tidewell.llm.common import col, remainder, table
 from tidewell.session import configure
 
@@ -26,6 +26,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(configure(spark), sf_dir, "documents")
 
 
+@query
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_copies(table(configure(spark), sf_dir, "embeddings"))
+
+
 @query
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(configure(spark), sf_dir, "pages"))
