@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import bpe, embedding_dedup, language_id, license_scan, mixing, secrets, toxicity, url_filter
+from tidewell.llm import bpe, embedding_dedup, language_id, license_scan, mixing, nn_descent, secrets, toxicity, url_filter
 from tidewell.llm.common import col, remainder, table
 from tidewell.session import configure
 
@@ -54,6 +54,15 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+@query
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(configure(spark), sf_dir, "embeddings")
+    index = nn_descent.build(embeddings)
+    if index is None:
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    return nn_descent.search(index, embeddings.where("vec_id % 50 = 0"))
+
+
 @query
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(documents(spark, sf_dir)))
