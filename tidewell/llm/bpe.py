@@ -95,7 +95,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id: str = "do
     """One row per input row: id, ids (binary, 4 bytes per token)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, np.ndarray] = {}
+        known: dict[str, bytes] = {}
         for batch in batches:
             for begin, end in piece_slices(batch.column(1)):
                 part = batch.slice(begin, end - begin)
@@ -108,10 +108,10 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id: str = "do
                 ids = []
                 for w in words.dictionary.to_pylist():
                     if (found := known.get(w)) is None:
-                        found = known[w] = np.array(merge(w.encode(), ranks), dtype="<u4")
+                        found = known[w] = np.array(merge(w.encode(), ranks), dtype="<u4").tobytes()
                     ids.append(found)
-                lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-                flat = np.concatenate(ids) if ids else np.zeros(0, dtype="<u4")
+                lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+                flat = np.frombuffer(b"".join(ids), dtype="<u4")
                 each = lengths[codes]
                 out = flat[ragged((np.cumsum(lengths) - lengths)[codes], each)]
                 cuts = np.concatenate([[0], np.cumsum(each)])[offsets - offsets[0]]

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.session import shared_dir
+from tidewell.session import configure, shared_dir
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -27,8 +27,14 @@ def lower_ascii(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """Session settings of the text operators: small Arrow batches, as texts may be long."""
+    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def staged(df: DataFrame) -> DataFrame:

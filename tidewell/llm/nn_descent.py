@@ -188,8 +188,8 @@ def _joined(vectors: DataFrame, graph: DataFrame, nodes: int, degree: int) -> Da
     return with_vectors.groupBy("bucket").applyInArrow(learn, LISTS)
 
 
-def build(embeddings: DataFrame, id: str = "vec_id", vector: str = "embedding", degree: int = 32, rounds: int = 4,
-          overlap: int = 4, cell: int = 1000, block: int = 2000, settled: float = 0.02) -> Index | None:
+def build(embeddings: DataFrame, id: str = "vec_id", vector: str = "embedding", degree: int = 40, rounds: int = 4,
+          overlap: int = 8, cell: int = 1000, block: int = 2000, settled: float = 0.05) -> Index | None:
     """None if no vector takes part."""
     raw = embeddings.select(col(id).cast("long").alias("id"), col(vector).alias("vector")).where("id is not null")
     dim = dimension(embeddings, vector)
@@ -235,7 +235,7 @@ def _scored(pairs: DataFrame, left: DataFrame, right: DataFrame, column: str) ->
     return joined.select("q", "w", "x", "y").mapInArrow(score, "q bigint, w bigint, sim double")
 
 
-def search(index: Index, queries: DataFrame, k: int = 5, beam: int = 64, opened: int = 16, steps: int = 4, id: str = "vec_id") -> DataFrame:
+def search(index: Index, queries: DataFrame, k: int = 5, beam: int = 96, opened: int = 24, steps: int = 6, id: str = "vec_id") -> DataFrame:
     """`queries` holds ids of indexed rows. (query_id, rank, vec_id, score): the k nearest found of each."""
     asked = queries.select(col(id).cast("long").alias("q")).distinct()
     own = index.vectors.join(asked.withColumnRenamed("q", "id"), "id", "left_semi")

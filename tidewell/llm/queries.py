@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.llm import bpe, embedding_dedup, language_id, license_scan, mixing, nn_descent, secrets, toxicity, url_filter
 from tidewell.llm.common import col, remainder, table
-from tidewell.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,17 +22,17 @@ def query(fn: Query) -> Query:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(configure(spark), sf_dir, "documents")
+    return table(spark, sf_dir, "documents")
 
 
 @query
 def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embedding_dedup.near_copies(table(configure(spark), sf_dir, "embeddings"))
+    return embedding_dedup.near_copies(table(spark, sf_dir, "embeddings"))
 
 
 @query
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.judge_urls(table(configure(spark), sf_dir, "pages"))
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
 @query
@@ -56,7 +55,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    embeddings = table(configure(spark), sf_dir, "embeddings")
+    embeddings = table(spark, sf_dir, "embeddings")
     index = nn_descent.build(embeddings)
     if index is None:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
