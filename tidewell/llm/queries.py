@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import bpe, embedding_dedup, language_id, license_scan, mixing, nn_descent, secrets, toxicity, url_filter
+from tidewell.llm import bpe, embedding_dedup, language_id, license_scan, mixing, ngram_join, nn_descent, secrets, toxicity, url_filter
 from tidewell.llm.common import col, remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,11 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_copies(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_copies(documents(spark, sf_dir))
+
+
 @query
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))

@@ -271,8 +271,10 @@ def digests(scanned: DataFrame, base: Sequence[Rule] = BASE, id: str = "doc_id")
                           F.sha2(listed(own).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
-def redact(docs: DataFrame, rules: Sequence[Rule] = BASE + MORE, id: str = "doc_id", text: str = "text") -> DataFrame:
+def redact(docs: DataFrame, rules: Sequence[Rule] = BASE + MORE, id: str = "doc_id", text: str = "text",
+           length: str | None = None) -> DataFrame:
     """The same rows and columns; each secret in the text is replaced by its kind in brackets.
+    `length` names a column that holds the number of characters, to follow.
 
     Rules apply in their order, each to the text that the earlier ones left, so
     overlapping secrets end in one mark.
@@ -285,5 +287,9 @@ def redact(docs: DataFrame, rules: Sequence[Rule] = BASE + MORE, id: str = "doc_
         new = F.array_join(F.zip_with("between0", marked, lambda b, m: F.concat(b, F.coalesce(m, F.lit("")))), "")
         rows = rows.withColumn("text", F.when(F.size("whole0") > 0, new).otherwise(F.col("text")))
     new = F.when(F.col("row").getField(text).isNotNull(), F.col("text"))
-    return (rows.select("row", new.alias("new"))
-            .select(*[(F.col("new") if name == text else F.col("row").getField(name)).alias(name) for name in docs.columns]))
+    rows = rows.select("row", new.alias("new"))
+    changed = {text: F.col("new")}
+    if length:
+        kind = docs.schema[length].dataType
+        changed[length] = F.when(F.col("new") == F.col("row").getField(text), F.col("row").getField(length)).otherwise(F.length("new").cast(kind))
+    return rows.select(*[changed.get(name, F.col("row").getField(name)).alias(name) for name in docs.columns])
