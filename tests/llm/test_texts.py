@@ -1,0 +1,296 @@
+"""Operators on `documents`: against brute force, other libraries, held-out rows and messy tables."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+from tests.llm import brute
+from tests.llm.conftest import MESSY
+from tidewell.llm import bpe, language_id, license_scan, mixing, ngram_join, secrets, toxicity
+from tidewell.llm.common import col, remainder, table
+from tidewell.llm.queries import QUERIES, RANKS
+
+ALL_RULES = secrets.BASE + secrets.MORE
+
+
+@pytest.fixture(scope="module")
+def texts(spark, small):
+    return {r.doc_id: r.text for r in table(spark, small, "documents").select("doc_id", "text").collect()}
+
+
+@pytest.fixture(scope="module")
+def ranks():
+    return bpe.read_ranks(public_tokenizers.path(RANKS))
+
+
+def same_rows(df, column="doc_id"):
+    return sorted(str(r[0]) for r in df.select(column).collect())
+
+
+# ---- near copies ------------------------------------------------------------------------
+
+
+def test_near_copies_of_documents(spark, small, texts):
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in QUERIES["op2_ngram_jaccard_join"](spark, small).collect()}
+    want = brute.near_copies(texts.items())
+    assert got == {i: (len(brute.shingles(t)), want[i]) for i, t in texts.items()}
+
+
+def test_near_copies_with_hot_groups(spark):
+    """A group of near copies not all similar to one another, and a passage that many texts share."""
+    rng = random.Random(5)
+    word = lambda: "w" + str(rng.randrange(3000))
+    base, passage, rows = [word() for _ in range(80)], [word() for _ in range(50)], []
+    for i in range(150):
+        own = list(base)
+        for _ in range(rng.randrange(4)):
+            own[rng.randrange(len(own))] = word()
+        rows.append((i, " ".join(own)))
+    rows += [(1000 + i, " ".join([word() for _ in range(rng.randrange(5, 120))] + passage)) for i in range(100)]
+    rows += [(2000 + i, " ".join(passage)) for i in range(30)] + [(3000, "one two"), (3001, "one two"), (3002, "one two three")]
+    rng.shuffle(rows)
+    got = {r.doc_id: r.component_id for r in ngram_join.near_copies(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == brute.near_copies(rows)
+    assert 100 > len({got[i] for i in range(150)}) > 0
+
+
+def test_near_copies_of_messy_rows(messy, empty):
+    rows = ngram_join.near_copies(messy).collect()
+    want = brute.near_copies([(i, t) for i, t, *_ in MESSY])
+    assert sorted((r.doc_id or -1, r.component_id or -1) for r in rows) == sorted((i or -1, want.get(i) or -1) for i, *_ in MESSY)
+    assert {r.doc_id: r.n_shingles for r in rows if r.doc_id in (4, 5, 6, 10)} == {4: 0, 5: 0, 6: 0, 10: 1}
+    assert ngram_join.near_copies(empty).count() == 0
+    kept = ngram_join.keep_one(messy)
+    assert kept.columns == messy.columns
+    assert same_rows(kept) == sorted(map(str, [1, 4, 5, 6, 7, None, 8, 9, 10, 12, 14, 15, None] + ([3] if want[3] == 3 else [])))
+
+
+def test_frequency_order_does_not_change_links(spark, texts, small):
+    docs = table(spark, small, "documents").select("doc_id", "text")
+    classes = np.zeros(1 << 16, dtype=np.uint8)
+    plain = ngram_join.token_sets(docs, classes, "bigint").where("prefix is not null").count()
+    ordered = ngram_join.token_sets(docs, ngram_join.frequency_classes(docs.select("text"), 16), "bigint")
+    assert ordered.where("prefix is not null").count() == plain
+
+
+# ---- mixing -----------------------------------------------------------------------------
+
+
+def shares(words):
+    """Targets by definition: share by weight, stop at three times, share the excess again."""
+    names = sorted(words, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    full, total = set(), sum(words.values())
+    while True:
+        rest, left = total - sum(3 * words[s] for s in full), sum(weight[s] for s in names if s not in full)
+        new = {s for s in names if s not in full and weight[s] * rest / left > 3 * words[s]} if left else set()
+        if not new:
+            return {s: 3 * words[s] if s in full else weight[s] * rest / left for s in names}
+        full |= new
+
+
+def check_mix(docs, slack):
+    mixed = mixing.mix(docs)
+    rows = mixing.taken(mixed).join(docs.select("doc_id", "source").distinct(), "doc_id").collect()
+    words, taken, largest = {}, {}, {}
+    for r in rows:
+        words[r.source] = words.get(r.source, 0) + r.size
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+        largest[r.source] = max(largest.get(r.source, 0), r.size)
+        assert 0 <= r.taken <= 3 * r.size and r.taken == r.copies * r.size
+    want = shares(words)
+    for r in rows:
+        assert r.source_size == words[r.source] and r.target == pytest.approx(want[r.source])
+    for s in words:
+        assert abs(taken[s] - want[s]) <= max(slack * want[s], largest[s] / 5)
+    by_source = {}
+    for r in rows:
+        if r.size and r.rate is not None and r.rate < 3 - 1e-9:
+            by_source.setdefault(r.source, []).append((r.size, r.rate))
+    for pairs in by_source.values():  # exponential in the size: log(rate) / size is one number for a source
+        slopes = [np.log(rate) / size for size, rate in pairs]
+        assert max(slopes) - min(slopes) <= 1e-6 * max(1e-3, abs(slopes[0]))
+    again = mixing.taken(mixing.mix(docs))
+    assert sorted((r.doc_id, r.taken) for r in again.select("doc_id", "taken").collect()) == sorted((r.doc_id, r.taken) for r in rows)
+    return mixed, rows
+
+
+def test_mixing_documents(spark, small):
+    docs = table(spark, small, "documents")
+    mixed, rows = check_mix(docs, 0.02)
+    repeated = mixing.repeated(docs, mixed)
+    assert repeated.columns == docs.columns
+    got = {r.doc_id: r["count"] for r in repeated.groupBy("doc_id").count().collect()}
+    assert got == {r.doc_id: r.copies for r in rows if r.copies}
+
+
+def test_mixing_one_large_source_and_full_ones(spark):
+    rng = random.Random(2)
+    rows = [(i, " ".join(["w"] * rng.choice([3, 7, 7, 7, 50])), rng.choice(["big"] * 20 + ["a", "b", None])) for i in range(2500)]
+    check_mix(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), 0.02)
+
+
+def test_mixing_messy_rows(messy, empty):
+    rows = mixing.taken(mixing.mix(messy)).collect()
+    assert len(rows) == len(MESSY) and all(r.taken <= 3 * r.size for r in rows)
+    assert {r.taken for r in rows if r.size == 0} == {0}
+    assert mixing.taken(mixing.mix(empty)).count() == 0 and mixing.repeated(empty, mixing.mix(empty)).count() == 0
+    assert mixing.repeated(messy, mixing.mix(messy)).columns == messy.columns
+
+
+# ---- licenses ---------------------------------------------------------------------------
+
+
+def test_license_blocks_and_phrases(spark):
+    t = license_scan.TEMPLATES[2]
+    near = " ".join(w for i, w in enumerate(t.words) if i not in (3, 7))
+    far = " ".join(w for i, w in enumerate(t.words) if i % 2)
+    rows = [(1, f"{'a b c ' * 20}{near} tail"), (2, far), (3, "CC-BY, cc\tby. MIT  License; gnu general\npublic license"), (4, "mit licensed")]
+    got = {r.doc_id: r for r in license_scan.digests(license_scan.scan(spark.createDataFrame(rows, "doc_id bigint, text string"))).collect()}
+    assert got[1].labels == "mit" and got[1].base_labels == "" and t.threshold <= got[1].score < 1
+    assert got[2].labels == "" and got[2].score == 0
+    assert (got[3].n_base, got[3].first_word, got[3].last_word, got[3].base_labels, got[3].score) == (4, 0, 6, "cc-by,gpl,mit", 1.0)
+    assert got[4].n_base == 0 and got[4].first_word is None
+
+
+def test_licenses_of_messy_rows(messy, empty):
+    got = [r for r in license_scan.digests(license_scan.scan(messy)).collect()]
+    assert len(got) == len(MESSY)
+    assert {(r.n_words, r.labels) for r in got if r.doc_id in (4, 5, 6)} == {(0, "")}
+    assert {r.base_labels for r in got if r.doc_id == 8} == {"apache,cc-by,mit"}
+    assert license_scan.digests(license_scan.scan(empty)).count() == 0
+
+
+# ---- toxicity ---------------------------------------------------------------------------
+
+
+def test_segments_are_the_maximal_ones():
+    rng = random.Random(3)
+    for _ in range(300):
+        scores = [rng.choice([-1, 3, -2, 5, -0.25, None, None, None]) for _ in range(rng.randrange(1, 25))]
+        marked = [(i, s) for i, s in enumerate(scores) if s is not None]
+        want = brute.best_segments([toxicity.DRIFT if s is None else s for s in scores])
+        assert [(a, b, pytest.approx(s)) for a, b, s in toxicity.segments(marked)] == want
+
+
+def test_toxicity_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.1"
+    rows = (QUERIES["op6_toxicity"](spark, sf).where("held_out").join(table(spark, sf, "labels"), "doc_id")
+            .groupBy("toxic", "predicted").count().collect())
+    n = {(r.toxic, r.predicted): r["count"] for r in rows}
+    assert n[1, 1] / (n[1, 1] + n.get((1, 0), 0)) > 0.85
+    assert n[0, 0] / (n[0, 0] + n.get((0, 1), 0)) > 0.98
+
+
+def test_toxicity_of_messy_rows(spark, messy, empty):
+    model = toxicity.Model({"farm": 4.0, "einzel*": 3.0}, 1.0, 1e-4, 2.0)
+    got = toxicity.score_toxicity(messy, model).collect()
+    assert len(got) == len(MESSY) and {r.score for r in got if r.doc_id in (4, 5, 6, 7)} == {0.0}
+    assert all(r.predicted == (r.score >= 0.5) for r in got) and {r.predicted for r in got if r.doc_id in (1, 10)} == {1}
+    assert toxicity.score_toxicity(empty, model).count() == 0
+    labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (3, None)], "doc_id bigint, toxic int")
+    assert toxicity.learn(messy, labels, F.lit(True)).weights == {}
+    assert toxicity.learn(empty, labels.where("false"), F.lit(True)).weights == {}
+
+
+# ---- secrets ----------------------------------------------------------------------------
+
+
+def check_secrets(rows, docs):
+    got = sorted((r.doc_id or -1, r.n_assign, r.n_access, r.n_hex, r.base_sha256, r.spans) for r in secrets.digests(secrets.scan(docs)).collect())
+    want = []
+    for i, text in rows:
+        spans = brute.secret_spans(text, ALL_RULES)
+        show = lambda some: ",".join(f"{k}:{a}:{b}" for a, _, b, k in some)
+        count = lambda kind: sum(s[3] == kind for s in spans)  # noqa: B023,E731
+        want.append((i or -1, count("assign"), count("access"), count("hex"),
+                     hashlib.sha256(show([s for s in spans if s[1] < len(secrets.BASE)]).encode()).hexdigest(), show(spans)))
+    assert got == sorted(want)
+
+
+def test_secrets_of_documents(spark, small, texts):
+    check_secrets(texts.items(), table(spark, small, "documents"))
+
+
+def test_secrets_of_messy_rows(messy, empty):
+    check_secrets([(i, t) for i, t, *_ in MESSY], messy)
+    assert secrets.scan(empty).count() == 0
+
+
+def test_secret_positions_and_short_matches(spark):
+    rows = [(1, "token=secret=abcdefgh12 " * 3), (2, "é日本🙂 API_KEY : 'abcdefghij' deadbeef" + "deadbeef" * 4 + " passwd:short token:secret: abcdefghij"),
+            (3, "token=abcdefghi " * 700), (4, "xoxb-1234567890ab https://me:hunter22@host -----BEGIN RSA PRIVATE KEY-----"), (5, "AKIA" * 9)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    check_secrets(rows, docs)
+    assert {r.doc_id: r.text for r in secrets.redact(docs).collect()} == {i: brute.redacted(t, ALL_RULES) for i, t in rows}
+
+
+def test_redaction_keeps_rows_and_columns(messy):
+    got = secrets.redact(messy, length="n_chars")
+    assert got.columns == messy.columns
+    assert sorted((str(r.doc_id), str(r.text), str(r.n_chars)) for r in got.collect()) == sorted(
+        (str(i), str(x), str(None if x is None else len(x))) for i, x in ((i, brute.redacted(t, ALL_RULES)) for i, t, *_ in MESSY))
+
+
+@pytest.mark.parametrize("pattern, needs", [
+    ("abcd", [{"abc", "bcd"}]), ("ab|cd", [set()]), ("(?:abc|bcd)e", [{"abc", "bce"}, {"bcd", "cde"}]), ("abc?d", [{"abc", "bcd"}, {"abd"}]),
+    ("[xy]ab", [{"xab"}, {"yab"}]), ("a+bc", [set()]), ("abc[0-9]+def", [{"abc", "def"}]), ("(?i:ABC).*", [{"abc"}]), ("(abcd)?", [set()]),
+])
+def test_trigram_queries(pattern, needs):
+    assert secrets.trigram_query(pattern) == frozenset(map(frozenset, needs))
+
+
+# ---- byte pairs -------------------------------------------------------------------------
+
+
+def check_tokens(rows, docs, ranks):
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = []
+    for i, text in rows:
+        ids = library.encode_ordinary(text or "")
+        want.append((str(i), len(ids), hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()))
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    assert sorted((str(r[0]), *r[1:]) for r in bpe.digests(bpe.decode(encoded, ranks)).collect()) == sorted(want)
+
+
+def test_tokens_of_documents(spark, small, texts, ranks):
+    check_tokens(texts.items(), table(spark, small, "documents"), ranks)
+
+
+def test_tokens_of_messy_rows(messy, empty, ranks):
+    check_tokens([(i, t) for i, t, *_ in MESSY], messy, ranks)
+    assert bpe.decode(bpe.encode(empty, ranks, public_tokenizers.PATTERN), ranks).count() == 0
+
+
+def test_tokens_of_odd_white_space(spark, ranks):
+    rows = [(i, f"a{c}{c} b{c}'s <|endoftext|>{c}") for i, c in enumerate("\t\r\n\x0b\x0c\x1c\x1f\x85\xa0\u1680\u180e\u2003\u2028\u202f\u205f\u3000\u200b\ufeff\0")]
+    check_tokens(rows, spark.createDataFrame(rows, "doc_id bigint, text string"), ranks)
+
+
+# ---- languages --------------------------------------------------------------------------
+
+
+def test_languages_of_held_out_rows(spark, small):
+    rows = QUERIES["op10_language_id"](spark, small).join(table(spark, small, "documents").select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in rows if r.held_out]
+    assert len(held) > 20 and sum(r.lang == r.lang_pred for r in held) / len(held) > 0.97
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_languages_of_messy_rows(messy, empty):
+    model = language_id.learn(messy, remainder(col("doc_id"), 4) != 2)
+    got = language_id.identify(messy, model).collect()
+    assert len(got) == len(MESSY)
+    assert {(r.lang_pred, r.score) for r in got if r.doc_id in (4, 5, 6, 7)} == {("und", 0.0)}
+    kept = language_id.keep_identified(messy, model)
+    assert kept.columns == messy.columns and not {4, 5, 6, 7} & {r.doc_id for r in kept.collect()}
+    nothing = language_id.learn(empty, F.lit(True))
+    assert {r.lang_pred for r in language_id.identify(messy, nothing).collect()} == {"und"}
+    assert language_id.identify(empty, model).count() == 0 and language_id.keep_identified(messy, nothing).count() == 0

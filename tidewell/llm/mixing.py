@@ -13,7 +13,7 @@ kept inside a bracket that shrinks each time. They run on counts of documents pe
 
 Rates become whole copies: running sums of rates over a source's sizes, largest first,
 are rounded, so a source misses its target by less than its largest document; then one
-document size of each power of two makes up for most of that. Within a (source, size)
+size of each of 16 classes per doubling, largest first, makes up for what it can of that. Within a (source, size)
 the copies are spread evenly, the odd ones to the documents of smallest hash, found by
 counting hash buckets first, so no group of equal documents is ever ranked as a whole.
 
@@ -35,6 +35,8 @@ from tidewell.llm.common import checkpointed, col, staged
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MOST = 3
+#: Size classes per doubling of the size, in which one size makes up for a source's rounding.
+CLASSES = 16
 #: Documents of one (source, size) and hash bucket that are ranked together.
 BUCKET = 500
 
@@ -129,7 +131,7 @@ def copies(cells: DataFrame, sources: DataFrame, most: int = MOST) -> DataFrame:
     rounded = checkpointed(summed.select("key", "size", "n", "target", "rate", F.least(whole, F.col("n") * most).alias("copies")))
 
     largest = F.max_by(F.struct("size", "n", "copies"), F.struct("n", "size"))
-    spare = rounded.groupBy("key", F.floor(F.log2("size")).alias("power")).agg(
+    spare = rounded.groupBy("key", F.floor(F.log2("size") * CLASSES).alias("class")).agg(
         largest.alias("cell"), F.sum(F.col("copies") * F.col("size")).alias("taken"), F.first("target").alias("target"))
     by_source = spare.groupBy("key").agg(F.sort_array(F.collect_list("cell"), asc=False).alias("cells"),
                                          (F.first("target") - F.sum("taken")).alias("missing"))

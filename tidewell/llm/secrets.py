@@ -291,5 +291,5 @@ def redact(docs: DataFrame, rules: Sequence[Rule] = BASE + MORE, id: str = "doc_
     changed = {text: F.col("new")}
     if length:
         kind = docs.schema[length].dataType
-        changed[length] = F.when(F.col("new") == F.col("row").getField(text), F.col("row").getField(length)).otherwise(F.length("new").cast(kind))
+        changed[length] = F.when(F.col("new").eqNullSafe(F.col("row").getField(text)), F.col("row").getField(length)).otherwise(F.length("new").cast(kind))
     return rows.select(*[changed.get(name, F.col("row").getField(name)).alias(name) for name in docs.columns])
