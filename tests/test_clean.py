@@ -120,7 +120,8 @@ def test_scalars(spark):
 
 
 def test_malformed_lines(spark):
-    lines = ['{"a":1}', "{bad", '{"a":1} rubbish', '{"a":1},{"b":2}', "", " ", "12", "[1,2]", "null", '{"a":"]"}', '1] x']
+    lines = ['{"a":1}', "{bad", '{"a":1} rubbish', '{"a":1},{"b":2}', "", " ", "12", "[1,2]", "null", '{"a":"]"}', '1] x', '{"a":1}], "x": [2',
+             '1], "end": 1} {"z": [2', '1], "line": [2']
     rows = spark.createDataFrame([(x,) for x in lines], "p string").select("p", is_malformed(F.col("p")).alias("bad")).collect()
     assert [r.p for r in rows if not r.bad] == ['{"a":1}', "12", "[1,2]", "null", '{"a":"]"}']
 

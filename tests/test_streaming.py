@@ -39,6 +39,38 @@ def test_files_load_once_and_malformed_lines_are_set_aside(spark, tmp_path):
     assert json_lines.raw_table(spark, table).count() == 4
 
 
+def test_a_rebuilt_checkpoint_loads_just_the_unseen_files(spark, tmp_path):
+    layout, landing = Layout(str(tmp_path / "lake")), tmp_path / "landing"
+    write_lines(landing / "bookings/a.json.gz", [booking(booking_id="B1"), booking(booking_id="B2")])
+    load(spark, layout, landing, "bookings")
+    write_lines(landing / "bookings/b.json.gz", [booking(booking_id="B3")])
+    (tmp_path / "lake/checkpoints").rename(tmp_path / "lost") if (tmp_path / "lake/checkpoints").exists() else None
+    fresh = ingest.ingest_stream(spark, f"{landing}/bookings", layout.raw("bookings"), str(tmp_path / "new"), "again")
+    ingest.run_available(fresh)
+    assert json_lines.raw_table(spark, layout.raw("bookings")).count() == 3
+
+
+def test_a_load_name_may_come_again(spark, tmp_path):
+    landing, table = tmp_path / "customers", str(tmp_path / "raw")
+    write_lines(landing / "a.json.gz", [customer()])
+    json_lines.ingest_batch(spark, str(landing), table, "one")
+    json_lines.ingest_batch(spark, str(landing), table, "one")
+    write_lines(landing / "b.json.gz", [customer(customer_id="C2")])
+    json_lines.ingest_batch(spark, str(landing), table, "one")
+    json_lines.ingest_batch(spark, str(landing), table, "one")
+    assert json_lines.raw_table(spark, table).count() == 2
+    assert publish.batch_folders(spark, table) == ["one", "one.2"]
+
+
+def test_a_table_that_moved_on_is_not_overwritten(spark, tmp_path):
+    root = str(tmp_path / "t")
+    publish.publish(spark.range(1).withColumn("v", F.lit("kept")), root, base=0)
+    with pytest.raises(RuntimeError, match="read it again"):
+        publish.publish(spark.range(2).withColumn("v", F.lit("late")), root, base=0)
+    publish.publish_parts(spark.range(1).select(F.lit("kept").alias("v"), F.lit(1).alias("day")), f"{root}2", "day")
+    assert publish.current(spark, f"{root}2").first().v == "kept"
+
+
 def test_batch_load_is_all_or_nothing(spark, tmp_path):
     landing, table = tmp_path / "customers", str(tmp_path / "raw")
     write_lines(landing / "customers.json.gz", [customer(), "{bad"])
@@ -215,11 +247,15 @@ def test_tables_follow_the_files(spark, tmp_path):
     assert {(r.name, r.state) for r in runs.collect()} >= {("fact_booking", "SUCCEEDED"), ("provider_changes", "SUCCEEDED")}
     assert audit.last_outcomes(audit.read_runs(spark, layout.audit)).filter("state = 'SUCCEEDED'").count() == 6
 
-    states = {n: publish.read_state(spark, layout.table(n)).number for n in ("bookings_clean", "dim_provider", "fact_review_insight")}
+    states = {n: publish.read_state(spark, layout.table(n)).number for n in (
+        "bookings_clean", "dim_provider", "fact_review_insight", "dim_customer", "dim_service", "dim_date", "fact_booking", "daily_service_kpi")}
+    files = sorted(str(f) for f in (tmp_path / "lake/tables").rglob("*"))
     for name in ("providers", "bookings"):
         load(spark, layout, landing, name)
     upkeep.refresh_all(spark, layout, scorer, "LEXICON")
     assert states == {n: publish.read_state(spark, layout.table(n)).number for n in states}
+    upkeep.refresh_calendar(spark, layout)
+    assert files == sorted(str(f) for f in (tmp_path / "lake/tables").rglob("*"))
 
 
 def test_batch_that_fails_is_applied_once_when_run_again(spark, tmp_path, monkeypatch):

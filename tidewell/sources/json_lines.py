@@ -96,7 +96,8 @@ def ingest_batch(
     """Load the prefix's files that are not in the raw table yet, as the load `load`.
 
     `abort` fails the write, and so loads nothing, when any row is malformed.
-    `continue` keeps malformed rows aside as rejected.
+    `continue` keeps malformed rows aside as rejected. Files count as loaded by their
+    names, not by the load's: a load name used before takes what is new as `load.2`.
     """
     if on_error not in ("abort", "continue"):
         raise ValueError(f"on_error is abort or continue, not {on_error}")
@@ -109,8 +110,14 @@ def ingest_batch(
                                          F.lit(" of "), F.col("source_filename")))
         marked = marked.withColumn(
             "load_status", F.when(F.col("load_status") == REJECTED, refusal.cast("string")).otherwise(F.col("load_status")))
+    name, times = load, 1
+    while path_exists(spark, f"{table}/batch={name}/_SUCCESS"):
+        times += 1
+        name = f"{load}.{times}"
+    if times > 1 and raw.isEmpty():
+        return
     try:
-        write_once(marked, table, load, ("load_status",))
+        write_once(marked, table, name, ("load_status",))
     except Exception as e:
         if _REFUSED in str(e):
             raise RejectedLoad(f"{prefix} holds a malformed row; nothing was loaded") from e

@@ -43,15 +43,17 @@ def is_malformed(payload: Column) -> Column:
     """Whether a line is anything but exactly one JSON value.
 
     Spark's parser stops after the first value and would let `{"a": 1} rubbish`
-    pass, so the line is parsed inside a wrapper whose end must be reached.
+    pass, so the line is parsed inside a wrapper whose end must be reached. The end
+    is named by the line's own hash, which no line can hold, and the wrapper must
+    have just its two keys and one element, so a line cannot close it by itself.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit('{"line": ['), payload, F.lit('], "end": 1}')))
+    end = F.sha2(payload.cast("binary"), 256)
+    wrapped = F.try_parse_json(F.concat(F.lit('{"line": ['), payload, F.lit('], "'), end, F.lit('": 1}')))
 
     def is_one_value(v: Column) -> Column:
-        complete = F.try_variant_get(v, "$.end", "int") == 1
-        first = F.try_variant_get(v, "$.line[0]", "variant").isNotNull()
-        second = F.try_variant_get(v, "$.line[1]", "variant").isNotNull()
-        return complete & first & ~second
+        keys = F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
+        return ((F.size(keys) == 2) & F.array_contains(keys, end)
+                & (F.size(F.try_variant_get(v, "$.line", "array<variant>")) == 1))
 
     # Bound to a lambda variable, the parse runs once for all three look-ups.
     one_value = F.get(F.transform(F.array(wrapped), is_one_value), F.lit(0))

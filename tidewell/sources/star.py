@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions import values as V
+from tidewell.operators import dims
 from tidewell.operators.clean import hashed_provider
 from tidewell.session import configure, spread
 
@@ -19,7 +20,6 @@ ZONES = ["North", "South", "East", "West", "Central"]
 EXPERIENCE_LEVELS = ["JUNIOR", "EXPERIENCED", "EXPERT"]
 CATEGORIES = ["Home Cleaning", "Plumbing", "Electrical", "Appliance Repair", "Beauty at Home"]
 
-CALENDAR = ("1995-01-01", "2001-12-31")
 INGESTED_AT = "2002-01-01 00:00:00"
 
 
@@ -278,3 +278,8 @@ def raw_services(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_json_lines(raw: DataFrame, path: str) -> None:
     """Payloads as gzip JSON Lines files."""
     raw.select(F.col("payload").alias("value")).write.option("compression", "gzip").text(path)
+
+
+def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The years that orders reach into, day by day."""
+    return dims.calendar_of_years(table(spark, sf_dir, "orders").filter("o_orderdate is not null"), "o_orderdate")

@@ -35,7 +35,7 @@ def audited(spark: SparkSession, audit: str, name: str, run: Callable[[], object
     try:
         result = run()
     except Exception as e:
-        record(spark, audit, name, "FAILED", started, _now(), error=str(e)[:2000])
+        record(spark, audit, name, "FAILED", started, _now(), error=str(e))
         raise
     record(spark, audit, name, "SUCCEEDED", started, _now())
     return result
@@ -80,4 +80,4 @@ class StreamAudit(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:
         name = self._names.get(str(event.id), str(event.id))
         state = "FAILED" if event.exception else "FINISHED"
-        self._note(name, state, _now(), error=event.exception[:2000] if event.exception else None)
+        self._note(name, state, _now(), error=event.exception)

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tidewell.sources.json_lines import LOADED, mark_malformed, positioned, with_position
+from tidewell.sources.json_lines import LOADED, mark_malformed, positioned, raw_files, unseen_files, with_position
 from tidewell.sources.records import RAW_SCHEMA
-from tidewell.streaming.publish import write_once
+from tidewell.streaming.publish import batch_folders, write_once
 
 Handler = Callable[[DataFrame, int], None]
 
@@ -37,7 +38,9 @@ def ingest_stream(
     """Append new files under a prefix to a raw table, malformed lines set aside.
 
     The checkpoint remembers file paths. Running it again picks up files that
-    came before the stream was set up, and skips all that were loaded.
+    came before the stream was set up, and skips all that were loaded. Batches are
+    named by the checkpoint's own id, so a rebuilt checkpoint starts anew beside the
+    batches of the lost one; files that those hold are left out by name.
     """
     reader = (spark.readStream.format("text").option("recursiveFileLookup", "true")
               .option("pathGlobFilter", glob))
@@ -45,12 +48,27 @@ def ingest_stream(
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
     def handle(lines: DataFrame, batch_id: int) -> None:
+        run = stream_id(spark, checkpoint)
         raw = positioned(lines).withColumn("ingested_at", F.current_timestamp())
-        write_once(mark_malformed(raw), table, batch_id, ("load_status",))
+        if batch_folders(spark, table, but=run):
+            others = raw_files(spark, table).filter(~F.col("batch").cast("string").startswith(run))
+            raw = unseen_files(raw, others)
+        write_once(mark_malformed(raw), table, f"{run}-{batch_id:012d}", ("load_status",))
 
     return batches(with_position(reader.load(prefix)), name, checkpoint, handle)
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave the stream when its checkpoint was made; it lasts as long as the checkpoint."""
+    lines = spark.read.text(f"{checkpoint}/metadata").collect()
+    return next(json.loads(r.value)["id"] for r in lines if r.value.startswith("{"))
+
+
+def writer_id(spark: SparkSession, checkpoint: str, name: str) -> str:
+    """Names the stream and its checkpoint, as batch numbers only mean something within one checkpoint."""
+    return f"{name}:{stream_id(spark, checkpoint)}"
+
+
 def raw_changes(spark: SparkSession, table: str, files_per_batch: int | None = None) -> DataFrame:
     """Loaded rows of a raw table as a stream of appends."""
     reader = spark.readStream.schema(RAW_SCHEMA)

@@ -28,6 +28,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def batch_folders(spark: SparkSession, root: str, but: str = "\0") -> list[str]:
+    """Finished batches of an append-only table, without those whose name begins with `but`."""
+    fs, folder = _fs(spark, root)
+    if not fs.exists(folder):
+        return []
+    names = sorted(s.getPath().getName().removeprefix("batch=") for s in fs.listStatus(folder) if s.getPath().getName().startswith("batch="))
+    return [n for n in names if not n.startswith(but) and path_exists(spark, f"{root}/batch={n}/_SUCCESS")]
+
+
 def write_once(df: DataFrame, root: str, batch: int | str, partition_by: tuple[str, ...] = ()) -> bool:
     """Write a batch into its folder of an append-only table; False if it is there."""
     name = f"{batch:012d}" if isinstance(batch, int) else batch
@@ -106,14 +115,19 @@ def read_parts(spark: SparkSession, root: str, state: State, values: list[str])
 
 def publish(
     df: DataFrame, root: str, writer: str | None = None, batch: int | None = None,
-    built_from: dict[str, int] | None = None,
+    built_from: dict[str, int] | None = None, base: int | None = None,
 ) -> bool:
-    """Replace a whole table; False when this writer's batch is already in it."""
+    """Replace a whole table; False when this writer's batch is already in it.
+
+    `base` is the number of the state that `df` was made from (0: no table yet); if
+    another writer has published since, nothing is written and an error tells so.
+    """
     spark = df.sparkSession
     old = read_state(spark, root) or State()
     if old.absorbed(writer, batch):
         return False
-    folder = f"v={old.number + 1}-{uuid.uuid4().hex[:8]}"
+    _unchanged(old, base, root)
+    folder = f"_version={old.number + 1}-{uuid.uuid4().hex[:8]}"
     df.write.parquet(f"{root}/data/{folder}")
     _write_state(spark, root, State(
         old.number + 1, _ddl(df), whole=folder, writers=_with(old.writers, writer, batch),
@@ -124,6 +138,7 @@ def publish(
 def publish_parts(
     df: DataFrame, root: str, part_column: str, touched: list | None = None,
     writer: str | None = None, batch: int | None = None, built_from: dict[str, int] | None = None,
+    base: int | None = None,
 ) -> bool:
     """Replace the touched partitions by `df`'s rows; without `touched`, all of them.
 
@@ -134,7 +149,8 @@ def publish_parts(
     old = read_state(spark, root) or State()
     if old.absorbed(writer, batch):
         return False
-    folder = f"v={old.number + 1}-{uuid.uuid4().hex[:8]}"
+    _unchanged(old, base, root)
+    folder = f"_version={old.number + 1}-{uuid.uuid4().hex[:8]}"
     # The rebalance splits a large partition over several tasks where a plain
     # repartition would send it to one.
     df.hint("rebalance", part_column).write.partitionBy(part_column).parquet(f"{root}/data/{folder}")
@@ -154,6 +170,16 @@ def publish_parts(
     return True
 
 
+def _unchanged(old: State, base: int | None, root: str) -> None:
+    if base is not None and old.number != base:
+        raise RuntimeError(f"{root} is at state {old.number}, not at {base}, which was read; read it again")
+
+
+def state_kept(spark: SparkSession, root: str, number: int) -> bool:
+    """Whether a state can still be read, or has been forgotten."""
+    return path_exists(spark, f"{root}/_states/{number:012d}.json")
+
+
 def changed_parts(old: State | None, new: State) -> list[str]:
     """Partitions that differ between two states, told by their folders alone."""
     before = old.parts if old else {}
@@ -163,7 +189,7 @@ def changed_parts(old: State | None, new: State) -> list[str]:
 def forget_old_states(spark: SparkSession, root: str, keep: int = 100) -> int:
     """Drop all but the newest states and the data folders only the dropped ones name.
 
-    Tables built from this one must have been refreshed within the kept states.
+    A table built from a state that is gone is rebuilt whole at its next refresh.
     Returns how many data folders went.
     """
     numbers = _state_numbers(spark, root)

@@ -20,7 +20,8 @@ from tidewell.sources.json_lines import raw_table
 from tidewell.streaming import ingest
 from tidewell.streaming.audit import audited
 from tidewell.streaming.publish import (
-    changed_parts, current, int_values, path_exists, publish, publish_parts, read_parts, read_state, write_once,
+    batch_folders, changed_parts, current, int_values, path_exists, publish, publish_parts, read_parts, read_state,
+    state_kept, write_once,
 )
 
 DATE = "booking_date_key"
@@ -64,23 +65,24 @@ def _touched(table: DataFrame, arrived: DataFrame) -> list[int]:
 
 def bookings_step(spark: SparkSession, layout: Layout) -> ingest.DataStreamWriter:
     """Raw booking changes into the latest-state table."""
-    root, writer = layout.table("bookings_clean"), "bookings_clean"
+    root, name = layout.table("bookings_clean"), "bookings_clean"
 
     def handle(raw: DataFrame, batch_id: int) -> None:
+        writer = ingest.writer_id(spark, layout.checkpoint(name), name)
         arrived = _dated(clean.clean_bookings(raw)).persist()
         try:
             state = read_state(spark, root)
             if state is None:
-                publish_parts(arrived, root, DATE, None, writer, batch_id)
+                publish_parts(arrived, root, DATE, None, writer, batch_id, base=0)
             else:
                 touched = _touched(current(spark, root), arrived)
                 stored = read_parts(spark, root, state, [str(t) for t in touched])
-                publish_parts(refresh.refresh_latest(stored, arrived), root, DATE, touched, writer, batch_id)
+                publish_parts(refresh.refresh_latest(stored, arrived), root, DATE, touched, writer, batch_id, base=state.number)
         finally:
             arrived.unpersist()
 
     source = ingest.raw_changes(spark, layout.raw("bookings"))
-    return ingest.batches(source, writer, layout.checkpoint(writer), handle)
+    return ingest.batches(source, name, layout.checkpoint(name), handle)
 
 
 # ---- provider dimension --------------------------------------------------
@@ -101,8 +103,9 @@ def provider_seed_step(spark: SparkSession, layout: Layout) -> ingest.DataStream
 
     def handle(raw: DataFrame, batch_id: int) -> None:
         good, bad = clean.split_not_null(clean.clean_providers(raw), dims.PROVIDER_REQUIRED)
-        write_once(bad, layout.quarantine("provider_changes"), batch_id)
-        publish(scd2.scd2_seed(good, current(spark, root)), root, "provider_changes", batch_id)
+        writer = ingest.writer_id(spark, layout.checkpoint("provider_changes"), "provider_changes")
+        write_once(bad, layout.quarantine("provider_changes"), f"{writer.partition(':')[2]}-{batch_id:012d}")
+        publish(scd2.scd2_seed(good, current(spark, root)), root, writer, batch_id)
 
     return _provider_batches(spark, layout, handle)
 
@@ -116,8 +119,9 @@ def provider_changes_step(spark: SparkSession, layout: Layout, every_change: boo
     def handle(raw: DataFrame, batch_id: int) -> None:
         typed = clean.applicable_changes(clean.parse_providers(raw))
         good, bad = clean.split_not_null(typed, dims.PROVIDER_REQUIRED)
-        write_once(bad, layout.quarantine("provider_changes"), batch_id)
-        publish(apply(current(spark, root), good), root, "provider_changes", batch_id)
+        writer = ingest.writer_id(spark, layout.checkpoint("provider_changes"), "provider_changes")
+        write_once(bad, layout.quarantine("provider_changes"), f"{writer.partition(':')[2]}-{batch_id:012d}")
+        publish(apply(current(spark, root), good), root, writer, batch_id)
 
     return _provider_batches(spark, layout, handle)
 
@@ -156,7 +160,7 @@ def review_baseline_step(spark: SparkSession, layout: Layout) -> ingest.DataStre
 
 
 def backfill_step(spark: SparkSession, layout: Layout, scorer: Scorer, model_source: str,
-                  limit: int | None = reviews.BACKFILL_LIMIT) -> None:
+                  limit: int | None = None) -> None:
     latest = current(spark, layout.table("bookings_clean"))
     candidates = reviews.backfill_candidates(latest, limit).join(latest.select("booking_id", DATE), "booking_id")
     _store_insights(spark, layout, candidates, scorer, model_source)
@@ -169,7 +173,7 @@ def new_reviews_step(spark: SparkSession, layout: Layout, scorer: Scorer, model_
         snapshots = clean.parse_bookings(raw)
         candidates = reviews.arriving_candidates(snapshots, keep=["booking_created_at"])
         _store_insights(spark, layout, _dated(candidates).drop("booking_created_at"), scorer, model_source,
-                        "new_reviews", batch_id)
+                        ingest.writer_id(spark, layout.checkpoint("new_reviews"), "new_reviews"), batch_id)
 
     return _review_batches(spark, layout, handle)
 
@@ -178,20 +182,27 @@ def new_reviews_step(spark: SparkSession, layout: Layout, scorer: Scorer, model_
 
 
 def refresh_type1(spark: SparkSession, layout: Layout) -> None:
+    """Merge the raw records into the Type 1 dimensions; without a new load nothing is written."""
     for raw, table, parse, merge, required in (
         ("customers", "dim_customer", clean.clean_customers, dims.merge_customers, dims.CUSTOMER_REQUIRED),
         ("services", "dim_service", clean.clean_services, dims.merge_services, dims.SERVICE_REQUIRED),
     ):
         if path_exists(spark, layout.raw(raw)):
+            loads, old = {"loads": len(batch_folders(spark, layout.raw(raw)))}, read_state(spark, layout.table(table))
+            if old is not None and old.built_from == loads:
+                continue
             good, bad = clean.split_not_null(parse(raw_table(spark, layout.raw(raw))), required)
             bad.write.mode("overwrite").parquet(layout.quarantine(raw))
-            publish(merge(current(spark, layout.table(table)), good), layout.table(table))
+            publish(merge(current(spark, layout.table(table)), good), layout.table(table), built_from=loads,
+                    base=old.number if old else 0)
 
 
 def refresh_calendar(spark: SparkSession, layout: Layout, start: str = dims.CALENDAR_START,
                      end: str = dims.CALENDAR_END) -> None:
     root = layout.table("dim_date")
-    publish(dims.build_dim_date(spark, start, end, current(spark, root)).coalesce(1), root)
+    known = current(spark, root)
+    if known is None or not dims.build_dim_date(spark, start, end).join(known, "date_key", "left_anti").isEmpty():
+        publish(dims.build_dim_date(spark, start, end, known).coalesce(1), root)
 
 
 def refresh_fact(spark: SparkSession, layout: Layout) -> bool:
@@ -207,7 +218,8 @@ def refresh_fact(spark: SparkSession, layout: Layout) -> bool:
     now = {n: current(spark, layout.table(n)) for n in sources}
     latest = now["bookings_clean"]
     touched = None
-    if old is not None:
+    # Without the states it was built from, the fact is rebuilt whole.
+    if old is not None and all(state_kept(spark, layout.table(n), old.built_from[n]) for n in sources):
         was = old.built_from
         before = read_state(spark, layout.table("bookings_clean"), was["bookings_clean"])
         dates = {int(v) for v in changed_parts(before, states["bookings_clean"])}
@@ -222,7 +234,7 @@ def refresh_fact(spark: SparkSession, layout: Layout) -> bool:
         touched = sorted(dates)
         latest = read_parts(spark, layout.table("bookings_clean"), states["bookings_clean"], [str(t) for t in touched])
     fact = marts.build_fact_booking(latest, now["dim_customer"], now["dim_service"], now["dim_provider"])
-    return publish_parts(fact, root, DATE, touched, built_from=numbers)
+    return publish_parts(fact, root, DATE, touched, built_from=numbers, base=old.number if old else 0)
 
 
 def refresh_daily_kpi(spark: SparkSession, layout: Layout) -> bool:
@@ -237,7 +249,8 @@ def refresh_daily_kpi(spark: SparkSession, layout: Layout) -> bool:
 
     now = {n: current(spark, layout.table(n)) for n in sources}
     fact, touched = now["fact_booking"], None
-    same_dimensions = old is not None and all(old.built_from[n] == numbers[n] for n in ("dim_service", "dim_date"))
+    same_dimensions = old is not None and all(old.built_from[n] == numbers[n] for n in ("dim_service", "dim_date")) and all(
+        state_kept(spark, layout.table(n), old.built_from[n]) for n in sources)
     if same_dimensions:
         before = {n: read_state(spark, layout.table(n), old.built_from[n]) for n in sources[:2]}
         dates = {int(v) for v in changed_parts(before["fact_booking"], states["fact_booking"])}
@@ -249,7 +262,7 @@ def refresh_daily_kpi(spark: SparkSession, layout: Layout) -> bool:
         touched = sorted(dates)
         fact = read_parts(spark, layout.table("fact_booking"), states["fact_booking"], [str(t) for t in touched])
     kpi = marts.daily_service_kpi(fact, now["dim_date"], now["dim_service"], now["fact_review_insight"])
-    return publish_parts(kpi, root, DATE, touched, built_from=numbers)
+    return publish_parts(kpi, root, DATE, touched, built_from=numbers, base=old.number if old else 0)
 
 
 def refresh_all(spark: SparkSession, layout: Layout, scorer: Scorer, model_source: str) -> None:
