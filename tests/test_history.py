@@ -71,7 +71,7 @@ def test_batches_in_time_order_equal_the_full_history(spark, small):
     for year in years:
         dim = scd2.scd2_apply_all(dim, all_events.filter(F.year("effective_at") == year)).checkpoint()
         assert {r.check_name: r.violations for r in quality.stack([
-            quality.current_versions(dim), quality.invalid_intervals(dim), quality.overlapping_intervals(dim)]).collect()
+            quality.version_checks(dim), quality.overlapping_intervals(dim)]).collect()
         } == dict.fromkeys(["current_version_count", "invalid_intervals", "overlapping_intervals"], 0)
     assert versions(dim) == want
     quarters = [r[0] for r in all_events.select("effective_at").distinct().orderBy("effective_at").limit(6).collect()]
@@ -107,18 +107,28 @@ def test_neighbours_across_period_borders(spark, unit):
 
 def test_overlap_pairs_against_all_pairs(spark):
     rng = random.Random(5)
-    rows = [(rng.choice(["hot", "hot", "hot", "a"]), s, s + rng.choice([1, 2, 5, 40])) for s in
+    rows = [(rng.choice(["hot", "hot", "hot", "a"]), s, s + rng.choice([1, 2, 5, 40, 0, 0, -3])) for s in
             (rng.randrange(300) for _ in range(250))]
     df = spark.createDataFrame(rows, "key string, s int, e int").select(
         "key", F.timestamp_seconds(F.col("s") * 86400).alias("s"), F.timestamp_seconds(F.col("e") * 86400).alias("e"))
     got = {r.key: r.overlapping_pairs for r in ordered.overlap_pairs(df, "key", "s", "e").collect()}
+    assert set(got) == {"hot", "a"}
     for key in got:
         mine = [r for r in rows if r[0] == key]
         assert got[key] == sum(a[1] < b[2] and b[1] < a[2] for i, a in enumerate(mine) for b in mine[:i])
 
 
-@pytest.mark.parametrize("method", ["broadcast", "sorted"])
-def test_point_in_time_boundaries(spark, method):
+def test_every_valid_version_is_found_whatever_the_size(spark):
+    rows = spark.createDataFrame([(1, "P1", at("2026-01-25T00:00:00")), (2, "P1", at("2026-02-10T00:00:00"))], "_k int, id string, at timestamp")
+    dim = spark.createDataFrame(
+        [("P1", 10, at("2026-01-01T00:00:00"), at("2026-02-01T00:00:00")),
+         ("P1", 11, at("2026-01-20T00:00:00"), at("2026-03-01T00:00:00"))], "id string, k int, s timestamp, e timestamp")
+    got = asof.point_in_time_join(rows, dim, "id", "at", "s", "e", ["k"])
+    assert sorted((r._k, r.k) for r in got.collect()) == [(1, 10), (1, 11), (2, 11)]
+
+
+@pytest.mark.parametrize("disjoint", [False, True])
+def test_point_in_time_boundaries(spark, disjoint):
     rows = spark.createDataFrame(
         [(1, "P1", at("2026-01-01T00:00:00")), (2, "P1", at("2026-09-01T00:00:00")), (3, "P1", at("2025-12-31T23:59:59")),
          (4, "P9", at("2026-05-01T00:00:00")), (5, None, at("2026-05-01T00:00:00")), (6, "P1", None),
@@ -127,7 +137,7 @@ def test_point_in_time_boundaries(spark, method):
         [("P1", 10, at("2026-01-01T00:00:00"), at("2026-09-01T00:00:00")),
          ("P1", 11, at("2026-09-01T00:00:00"), at("2026-10-01T00:00:00")),
          ("P1", 12, at("2027-01-01T00:00:00"), at("9999-12-31T00:00:00"))], "id string, k int, s timestamp, e timestamp")
-    got = asof.point_in_time_join(rows, dim, "id", "at", "s", "e", ["k"], method)
+    got = asof.point_in_time_join(rows, dim, "id", "at", "s", "e", ["k"], disjoint)
     assert {r.n: r.k for r in got.collect()} == {1: 10, 2: 11, 3: None, 4: None, 5: None, 6: None, 7: None, 8: 12}
 
 
@@ -138,9 +148,8 @@ def test_point_in_time_methods_agree_on_a_hot_key(spark):
                         F.coalesce("end", F.lit("9999-12-31").cast("timestamp")).alias("e"))
     _, rows = timeline(spark, 3, 500)
     rows = rows.withColumnRenamed("key", "id").drop("v")
-    one, two = (asof.point_in_time_join(rows, dim, "id", "at", "s", "e", ["version"], m, "month") for m in ("broadcast", "sorted"))
+    one, two = (asof.point_in_time_join(rows, dim, "id", "at", "s", "e", ["version"], d, "month") for d in (False, True))
     assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty() and one.count() == rows.count()
-    assert not asof.fits_broadcast(dim, "id")
 
 
 def test_keys_are_unique_and_stay(spark):

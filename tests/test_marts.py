@@ -37,8 +37,11 @@ def test_lexicon_reads_whole_texts(spark):
 def test_lexicon_is_checked():
     with pytest.raises(ValueError):
         Lexicon(themes={"Nothing": ["x"]})
-    with pytest.raises(ValueError):
-        Lexicon(negative={f"w{i}": 1 for i in range(30000)})
+
+
+def test_the_heavier_side_prevails(spark):
+    assert [s for s, _ in label(spark, "excellent amazing wonderful but another", "great, late", "late and good, terrible, rude")] == [
+        "positive", "mixed", "negative"]
 
 
 def test_function_scorer_keeps_failing_rows(spark):
@@ -172,7 +175,8 @@ def test_questions_on_a_small_star(spark, star_tables):
 
 
 def test_null_rating_is_no_violation(spark, star_tables):
-    assert quality.invalid_measures(star_tables["bookings"]).first().violations == 0
+    checks = quality.fact_checks(star_tables["bookings"], star_tables["dates"], ["customer_key"])
+    assert checks.filter("check_name = 'invalid_measures'").first().violations == 0
 
 
 def test_expected_counts_and_manifest(spark):

@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 THEMES = ["Punctuality", "Service Quality", "Professionalism", "Pricing", "Communication", "No Complaint", "Other"]
 NO_COMPLAINT, OTHER = "No Complaint", "Other"
 
-# Word lists are literals of the plan, so their size is bounded.
-MAX_WORDS = 20_000
-
 
 @dataclass(frozen=True)
 class Lexicon:
-    """Word weights per polarity, and keywords per theme (all lower case, a-z)."""
+    """Word weights per polarity, and keywords per theme (all lower case, a-z).
+
+    The words are literals of the plan, looked up in a set for each token.
+    """
 
     positive: dict[str, int] = field(default_factory=dict)
     negative: dict[str, int] = field(default_factory=dict)
@@ -27,9 +27,6 @@ class Lexicon:
         unknown = set(self.themes) - set(THEMES)
         if unknown:
             raise ValueError(f"unknown themes: {sorted(unknown)}")
-        size = len(self.positive) + len(self.negative) + sum(len(w) for w in self.themes.values())
-        if size > MAX_WORDS:
-            raise ValueError(f"{size} words are too many for a lexicon; train a model instead")
 
 
 def _weights(value: int, words: str) -> dict[str, int]:
@@ -76,12 +73,17 @@ def weight(words: Column, weights: dict[str, int]) -> Column:
     return total
 
 
+#: A text is mixed unless one side's weight is more than this many times the other's.
+PREVAILS = 3
+
+
 def polarity(positive: Column, negative: Column) -> Column:
+    """Label from the two weighted sums."""
     return (
-        F.when((positive > 0) & (negative > 0), "mixed")
-        .when(negative > 0, "negative")
-        .when(positive > 0, "positive")
-        .otherwise("neutral")
+        F.when((positive == 0) & (negative == 0), "neutral")
+        .when(negative > positive * PREVAILS, "negative")
+        .when(positive > negative * PREVAILS, "positive")
+        .otherwise("mixed")
     )
 
 

@@ -5,18 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# A version table goes to every executor only below both bounds: its rows, and
-# the versions of one key, which each matching row is compared with.
-BROADCAST_ROWS = 200_000
-BROADCAST_VERSIONS_PER_KEY = 100
-
-
-def fits_broadcast(versions: DataFrame, key: str) -> bool:
-    per_key = versions.groupBy(key).agg(F.count("*").alias("n"))
-    sizes = per_key.agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
-    return (sizes["rows"] or 0) <= BROADCAST_ROWS and (sizes["most"] or 0) <= BROADCAST_VERSIONS_PER_KEY
-
-
 def point_in_time_join(
     rows: DataFrame,
     versions: DataFrame,
@@ -25,30 +13,28 @@ def point_in_time_join(
     start: str,
     end: str,
     columns: list[str],
-    method: str = "auto",
+    disjoint: bool = False,
     unit: str = "day",
 ) -> DataFrame:
-    """Left join on `key` and `start <= at < end`; intervals of a key do not overlap.
+    """Left join on `key` and `start <= at < end`: a row for every version that is valid.
 
-    `broadcast` compares a row with the versions of its key and shuffles nothing.
-    `sorted` walks rows and versions in time order, linear in both, for version
-    tables that are large or hold very many versions of one key. `auto` measures
-    the version table and takes `broadcast` only when it is provably small.
+    Without a hint, so Spark broadcasts the versions only if it measures them to be
+    small, and splits a hot key otherwise. A row meets all versions of its key. Where
+    a key has very many, and the caller knows that its intervals never overlap,
+    `disjoint` walks rows and versions in time order instead, linear in both. On
+    disjoint intervals both give the same rows.
     """
-    if method == "auto":
-        method = "broadcast" if fits_broadcast(versions, key) else "sorted"
-    if method == "broadcast":
-        return _broadcast(rows, versions, key, at, start, end, columns)
-    return _sorted(rows, versions, key, at, start, end, columns, unit)
-
-
-def _broadcast(rows, versions, key, at, start, end, columns):
-    side = versions.select(F.col(key).alias("_k"), F.col(start).alias("_s"), F.col(end).alias("_e"), *columns)
+    if disjoint:
+        return _walked(rows, versions, key, at, start, end, columns, unit)
+    side = versions.select(F.col(key).alias("_k"), F.col(start).alias("_s"), F.col(end).alias("_e"),
+                           F.struct(*columns).alias("_version"))
     valid = (F.col(key) == F.col("_k")) & (F.col(at) >= F.col("_s")) & (F.col(at) < F.col("_e"))
-    return rows.join(F.broadcast(side), valid, "left").drop("_k", "_s", "_e")
+    joined = rows.select(F.struct("*").alias("_row"), F.col(key), F.col(at)).join(side, valid, "left")
+    return joined.select(*[F.col("_row").getField(c).alias(c) for c in rows.columns],
+                         *[F.col("_version").getField(c).alias(c) for c in columns])
 
 
-def _sorted(rows, versions, key, at, start, end, columns, unit):
+def _walked(rows, versions, key, at, start, end, columns, unit):
     """Rows and versions share one time-ordered walk per (key, period).
 
     The version still open at a period's begin comes from a table with one row per

@@ -34,6 +34,13 @@ def calendar_spanning(df: DataFrame, at: str) -> DataFrame:
     return _calendar(df.agg(F.min(F.to_date(at)).alias("first_day"), F.max(F.to_date(at)).alias("last_day")))
 
 
+def calendar_of_years(df: DataFrame, at: str) -> DataFrame:
+    """Calendar rows of all years that a column of days reaches into."""
+    first, last = F.min(F.to_date(at)), F.max(F.to_date(at))
+    return _calendar(df.agg(F.trunc(first, "year").alias("first_day"),
+                            F.last_day(F.add_months(F.trunc(last, "year"), 11)).alias("last_day")))
+
+
 def build_dim_date(
     spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END, existing: DataFrame | None = None
 ) -> DataFrame:

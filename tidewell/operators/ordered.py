@@ -45,13 +45,19 @@ def with_next(df: DataFrame, key: str, at: str, value: str, out: str, unit: str
 
 
 def overlap_pairs(df: DataFrame, key: str, start: str, end: str, unit: str = "month") -> DataFrame:
-    """Per key, the number of pairs of half-open intervals that overlap.
+    """Per key, the number of pairs with `a.start < b.end` and `b.start < a.end`.
 
     Starts and ends are swept in time order. A start adds one pair for each
-    interval open at that moment, so no pair is ever formed. Empty intervals
-    take no part; they have a check of their own.
+    interval open at that moment, so no pair is ever formed. An empty or negative
+    interval overlaps just the proper ones that begin before its end and end after
+    its start; two such intervals never overlap. They are faults and so few: equal
+    ones are counted together and looked up by key.
     """
     proper = df.filter(F.col(start) < F.col(end))
+    faulty = (df.filter(F.col(start) >= F.col(end)).groupBy(key, F.col(start).alias("_s"), F.col(end).alias("_e"))
+              .agg(F.count("*").alias("_n")).withColumnRenamed(key, "_k"))
+    around = proper.join(faulty, (F.col(key) == F.col("_k")) & (F.col(start) < F.col("_e")) & (F.col(end) > F.col("_s")))
+    of_faulty = around.groupBy(key).agg(F.sum("_n").alias("pairs"))
     sides = F.explode(F.array(
         F.struct(F.col(start).alias("at"), F.lit(1).alias("opens"), F.lit(0).alias("closes")),
         F.struct(F.col(end).alias("at"), F.lit(0).alias("opens"), F.lit(1).alias("closes")),
@@ -73,7 +79,9 @@ def overlap_pairs(df: DataFrame, key: str, start: str, end: str, unit: str = "mo
     )
     before = Window.partitionBy(key).orderBy("_period").rowsBetween(Window.unboundedPreceding, -1)
     carried = F.coalesce(F.sum("net").over(before), F.lit(0))
+    counted = periods.select(key, (F.col("pairs") + F.col("opens") * carried).alias("pairs"))
+    every = df.select(key, F.lit(0).cast("bigint").alias("pairs")).distinct()
     return (
-        periods.withColumn("pairs", F.col("pairs") + F.col("opens") * carried)
+        counted.unionByName(of_faulty).unionByName(every)
         .groupBy(key).agg(F.sum("pairs").cast("bigint").alias("overlapping_pairs"))
     )

@@ -28,14 +28,22 @@ def duplicates(name: str, df: DataFrame, key: str) -> DataFrame:
     return _check(name, duplicate_rows(df, key), F.count("*"))
 
 
-def missing_keys(fact: DataFrame, keys: list[str]) -> DataFrame:
-    missing = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-    return _check("missing_dimension_keys", fact.filter(missing), F.count("*"))
+def _listed(df: DataFrame, names: list[str]) -> DataFrame:
+    """One row of counts as a row per check."""
+    pairs = [F.struct(F.lit(n).alias("check_name"), F.coalesce(F.col(n), F.lit(0)).cast("bigint").alias("violations")) for n in names]
+    return df.select(F.explode(F.array(*pairs)).alias("c")).select("c.*")
 
 
-def invalid_date_keys(fact: DataFrame, dates: DataFrame) -> DataFrame:
-    orphans = fact.join(dates, fact["booking_date_key"] == dates["date_key"], "left_anti")
-    return _check("invalid_date_keys", orphans, F.count("*"))
+def fact_checks(fact: DataFrame, dates: DataFrame, keys: list[str]) -> DataFrame:
+    """Missing keys, unknown dates and impossible measures, in one pass over the fact."""
+    missing = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    broken = ((F.col("final_amount") < 0) | (F.col("discount_amount") < 0)
+              | ~F.col("rating").between(1, 5) | (F.col("service_duration_minutes") < 0))
+    known = dates.select(F.col("date_key").alias("_date_key")).distinct()
+    counted = fact.join(known, F.col("booking_date_key") == F.col("_date_key"), "left").agg(
+        F.count_if(missing).alias("missing_dimension_keys"), F.count_if(F.col("_date_key").isNull()).alias("invalid_date_keys"),
+        F.count_if(broken).alias("invalid_measures"))
+    return _listed(counted, ["missing_dimension_keys", "invalid_date_keys", "invalid_measures"])
 
 
 def current_version_counts(dim: DataFrame) -> DataFrame:
@@ -44,12 +52,12 @@ def current_version_counts(dim: DataFrame) -> DataFrame:
             .filter("current_version_count <> 1"))
 
 
-def current_versions(dim: DataFrame) -> DataFrame:
-    return _check("current_version_count", current_version_counts(dim), F.count("*"))
-
-
-def invalid_intervals(dim: DataFrame) -> DataFrame:
-    return _check("invalid_intervals", dim.filter("effective_start_at >= effective_end_at"), F.count("*"))
+def version_checks(dim: DataFrame) -> DataFrame:
+    """Providers without exactly one current version, and intervals without length, in one pass."""
+    empty = F.col("effective_start_at") >= F.col("effective_end_at")
+    per_provider = dim.groupBy("provider_id").agg(F.count_if("is_current").alias("current"), F.count_if(empty).alias("empty"))
+    counted = per_provider.agg(F.count_if(F.col("current") != 1).alias("current_version_count"), F.sum("empty").alias("invalid_intervals"))
+    return _listed(counted, ["current_version_count", "invalid_intervals"])
 
 
 def overlapping_intervals(dim: DataFrame) -> DataFrame:
@@ -57,14 +65,6 @@ def overlapping_intervals(dim: DataFrame) -> DataFrame:
     return _check("overlapping_intervals", pairs, F.sum("overlapping_pairs"))
 
 
-def invalid_measures(fact: DataFrame) -> DataFrame:
-    broken = fact.filter(
-        (F.col("final_amount") < 0) | (F.col("discount_amount") < 0)
-        | ~F.col("rating").between(1, 5) | (F.col("service_duration_minutes") < 0)
-    )
-    return _check("invalid_measures", broken, F.count("*"))
-
-
 def expected_counts(counts: DataFrame, expected: dict[str, int]) -> DataFrame:
     """Stable-state check: objects whose `row_count` is not the expected one."""
     rows = [(name, n) for name, n in expected.items()]
@@ -94,10 +94,7 @@ def run_gates(bookings: DataFrame, fact: DataFrame, dates: DataFrame, providers:
     return stack([
         duplicates("duplicate_latest_bookings", bookings, "booking_id"),
         duplicates("duplicate_fact_bookings", fact, "booking_id"),
-        missing_keys(fact, ["booking_date_key", "customer_key", "provider_key", "service_key"]),
-        invalid_date_keys(fact, dates),
-        current_versions(providers),
-        invalid_intervals(providers),
+        fact_checks(fact, dates, ["booking_date_key", "customer_key", "provider_key", "service_key"]),
+        version_checks(providers),
         overlapping_intervals(providers),
-        invalid_measures(fact),
     ])

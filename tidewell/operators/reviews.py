@@ -2,23 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions.values import sha256
 from tidewell.operators.latest import first_by, top
 from tidewell.operators.scoring import Scorer, sentiment_label, theme_label
 
-BACKFILL_LIMIT = 1000
-
 INSIGHT_COLUMNS = [
     "booking_id", "review_hash", "sentiment_label", "complaint_category", "review_summary",
     "sentiment_result", "classification_result", "model_source", "processed_at",
 ]
 
 
-def backfill_candidates(bookings: DataFrame, limit: int | None = BACKFILL_LIMIT) -> DataFrame:
-    """Newest completed reviews of the latest bookings; `limit=None` takes all."""
+def backfill_candidates(bookings: DataFrame, limit: int | None = None) -> DataFrame:
+    """Completed reviews of the latest bookings; with a `limit` only the newest."""
     reviewed = bookings.filter(F.col("review_text").isNotNull() & (F.col("booking_status") == "COMPLETED"))
     newest = top(reviewed.select("booking_id", "review_text", "booking_created_at"),
                  [F.col("booking_created_at").desc_nulls_last(), F.col("booking_id")], limit)
@@ -66,7 +64,7 @@ def upsert_reviews(target: DataFrame | None, scored: DataFrame, columns: list[st
 
 def backfill_reviews(
     target: DataFrame | None, bookings: DataFrame, scorer: Scorer, model_source: str,
-    limit: int | None = BACKFILL_LIMIT, now: Column | None = None,
+    limit: int | None = None, now: Column | None = None,
 ) -> DataFrame:
     changed = changed_reviews(backfill_candidates(bookings, limit), target)
     return upsert_reviews(target, score_reviews(changed, scorer, model_source, now))
@@ -84,5 +82,5 @@ def score_agreement(scored: DataFrame, expected: str, predicted: str) -> DataFra
     counts = scored.groupBy(F.col(expected).alias("expected"), F.col(predicted).alias("predicted")).agg(
         F.count("*").alias("rows"))
     hits = F.sum(F.when(F.col("expected").eqNullSafe(F.col("predicted")), F.col("rows")).otherwise(0))
-    accuracy = counts.agg(F.round(hits / F.sum("rows"), 4)).scalar()
-    return counts.withColumn("accuracy", accuracy)
+    every = Window.partitionBy()  # over one row per pair of labels
+    return counts.withColumn("accuracy", F.round(hits.over(every) / F.sum("rows").over(every), 4))

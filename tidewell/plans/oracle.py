@@ -201,6 +201,9 @@ mixed AS (
     cast(date_trunc('day', ts) AS timestamp) AS ingested_at FROM events
   UNION ALL
   SELECT text, 'documents/' || source || '.json.gz', TIMESTAMP '2024-02-01 00:00:00' FROM documents
+  UNION ALL
+  SELECT unnest(['{"a": "' || r_name || '"}', '{"a": "' || r_name || '"}], "x": [2', '["' || r_name || '"]], "end": 1} {"z": [2',
+    '"' || r_name || '"], "line": [2', '"' || r_name || '", 2']), 'forged/regions.json.gz', TIMESTAMP '2024-03-01 00:00:00' FROM region
 )"""
 
 FIRST, SECOND = "2002-01-03 00:00:00", "2002-01-04 00:00:00"
@@ -376,6 +379,13 @@ SELECT booking_id, source_row_number, s.provider_id, cast(booking_created_at AS
 FROM snap s LEFT JOIN versions v ON v.provider_id = s.provider_id AND v.provider_tier = 'STANDARD'
   AND booking_created_at >= effective_start_at AND booking_created_at < effective_end_at"""
 
+SQL["point_in_time_overlapping"] = f"""WITH {SNAP}, {EVENTS}, {versions('events_in')},
+longer AS (SELECT *, CASE WHEN is_current THEN effective_end_at ELSE effective_end_at + to_days(30) END AS until FROM versions)
+SELECT booking_id, source_row_number, s.provider_id, cast(booking_created_at AS varchar) AS booking_created_at,
+  v.provider_tier, cast(v.effective_start_at AS varchar) AS effective_start_at
+FROM snap s LEFT JOIN longer v ON v.provider_id = s.provider_id
+  AND booking_created_at >= effective_start_at AND booking_created_at < until"""
+
 SQL["fact_booking"] = f"""WITH {FACT}
 SELECT booking_id, cast(booking_date_key AS bigint) AS booking_date_key, booking_city, booking_status, payment_method,
   cast(booking_created_at AS varchar) AS booking_created_at, cast(scheduled_at AS varchar) AS scheduled_at,
@@ -474,7 +484,8 @@ SELECT {INSIGHT_VIEW} FROM marked"""
 # ---- reports and gates
 
 SQL["dimension_counts"] = f"""WITH {EVENTS}, {versions('events_in')}
-SELECT 'DIM_DATE' AS object_name, cast(date_diff('day', DATE '1995-01-01', DATE '2001-12-31') + 1 AS bigint) AS row_count
+SELECT 'DIM_DATE' AS object_name, (SELECT cast(date_diff('day', date_trunc('year', min(o_orderdate)), date_trunc('year', max(o_orderdate)) + INTERVAL 1 YEAR) AS bigint)
+  FROM orders) AS row_count
 UNION ALL SELECT 'DIM_CUSTOMER', count(*) FROM customer
 UNION ALL SELECT 'DIM_SERVICE', count(*) FROM part
 UNION ALL SELECT 'DIM_PROVIDER', count(*) FROM versions"""
@@ -509,10 +520,25 @@ SELECT event_type || '-' || event_id AS name, CASE WHEN event_type = 'error' THE
   strftime(ts + to_minutes(cast(floor(value) AS integer)), '%Y-%m-%d %H:%M:%S') AS completed_at
 FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 24 HOUR"""
 
-SQL["quality_gates"] = """
-SELECT unnest(['duplicate_latest_bookings', 'duplicate_fact_bookings', 'missing_dimension_keys', 'invalid_date_keys',
-  'current_version_count', 'invalid_intervals', 'overlapping_intervals', 'invalid_measures']) AS check_name,
-  cast(0 AS bigint) AS violations"""
+def gates(snapshots: str, fact: str, dims: str, missing: str, no_date: str, broken: str) -> str:
+    """Every gate by definition, over CTEs of these names; `n` tells versions apart."""
+    return f"""SELECT 'duplicate_latest_bookings' AS check_name, count(*) AS violations FROM
+  (SELECT booking_id FROM {snapshots} GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'duplicate_fact_bookings', count(*) FROM (SELECT booking_id FROM {fact} GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'missing_dimension_keys', count(*) FROM {fact} WHERE version_start_at IS NULL OR {missing}
+UNION ALL SELECT 'invalid_date_keys', count(*) FROM {fact} WHERE booking_date IS NULL OR {no_date}
+UNION ALL SELECT 'current_version_count', count(*) FROM
+  (SELECT provider_id FROM {dims} GROUP BY 1 HAVING count(CASE WHEN is_current THEN 1 END) <> 1)
+UNION ALL SELECT 'invalid_intervals', count(*) FROM {dims} WHERE effective_start_at >= effective_end_at
+UNION ALL SELECT 'overlapping_intervals', count(*) FROM {dims} a JOIN {dims} b ON a.provider_id = b.provider_id AND a.n < b.n
+  AND a.effective_start_at < b.effective_end_at AND b.effective_start_at < a.effective_end_at
+UNION ALL SELECT 'invalid_measures', count(*) FROM {fact} WHERE {broken}"""
+
+
+SQL["quality_gates"] = f"""WITH {FACT}, numbered AS (SELECT *, row_number() OVER () AS n FROM versions)
+{gates("latest", "fact", "numbered", "customer_segment IS NULL OR service_name IS NULL",
+       "booking_date < (SELECT date_trunc('year', min(o_orderdate)) FROM orders)",
+       "final_amount < 0 OR discount_amount < 0 OR rating NOT BETWEEN 1 AND 5 OR mins < 0")}"""
 
 SQL["gates_on_broken_tables"] = f"""WITH {FACT},
 moved AS (
@@ -520,19 +546,11 @@ moved AS (
     WHEN operating_zone = 'East' THEN effective_end_at + INTERVAL 1 YEAR ELSE effective_end_at END AS effective_end_at),
     row_number() OVER () AS n
   FROM versions WHERE NOT (is_current AND operating_zone = 'North')),
-kept AS (SELECT * FROM moved WHERE effective_start_at < effective_end_at)
-SELECT 'duplicate_latest_bookings' AS check_name, count(*) AS violations FROM
-  (SELECT booking_id FROM snap GROUP BY 1 HAVING count(*) > 1)
-UNION ALL SELECT 'duplicate_fact_bookings', 0
-UNION ALL SELECT 'missing_dimension_keys', count(*) FROM fact WHERE booking_city = 'Nation_1'
-UNION ALL SELECT 'invalid_date_keys', count(*) FROM fact WHERE year(booking_date) >= 1998
-UNION ALL SELECT 'current_version_count', count(*) FROM
-  (SELECT provider_id FROM moved GROUP BY 1 HAVING count(CASE WHEN is_current THEN 1 END) <> 1)
-UNION ALL SELECT 'invalid_intervals', count(*) FROM moved WHERE effective_start_at >= effective_end_at
-UNION ALL SELECT 'overlapping_intervals', count(*) FROM kept a JOIN kept b ON a.provider_id = b.provider_id AND a.n < b.n
-  AND a.effective_start_at < b.effective_end_at AND b.effective_start_at < a.effective_end_at
-UNION ALL SELECT 'invalid_measures', count(*) FROM fact
-  WHERE rating + 1 > 5 OR (payment_method = '5-LOW' AND discount_amount > 0)"""
+broken AS (SELECT * FROM fact UNION ALL SELECT * FROM fact WHERE booking_city = 'Nation_2')
+{gates("snap", "broken", "moved", "booking_city IN ('Nation_1', 'Nation_3', 'Nation_4', 'Nation_5')",
+       "year(booking_date) >= 1998 OR booking_city = 'Nation_5'",
+       "rating + 1 > 5 OR (payment_method = '5-LOW' AND discount_amount > 0) OR (booking_status = 'CANCELLED' AND final_amount > 0) "
+       "OR (payment_method = '2-HIGH' AND mins > 0)")}"""
 
 SQL["duplicate_bookings"] = f"""WITH {SNAP}
 SELECT booking_id, count(*) AS duplicate_count FROM snap GROUP BY 1 HAVING count(*) > 1"""
@@ -560,7 +578,7 @@ SQL["tier_advantage"] = f"""WITH {FACT}
 SELECT provider_tier, count(*) AS total_bookings, {rate('sum(done)', 'count(*)')} AS completion_rate,
   {mean('sum(rating)', 'count(rating)')} AS average_rating FROM fact WHERE provider_tier IS NOT NULL GROUP BY 1"""
 SQL["weekend_demand"] = f"""WITH {FACT},
-days AS (SELECT cast(unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY)) AS date) AS d),
+days AS (SELECT cast(unnest(generate_series((SELECT date_trunc('year', min(o_orderdate)) FROM orders), (SELECT date_trunc('year', max(o_orderdate)) + INTERVAL 1 YEAR - INTERVAL 1 DAY FROM orders), INTERVAL 1 DAY)) AS date) AS d),
 booked AS (SELECT booking_date, count(*) AS n FROM fact GROUP BY 1)
 SELECT isodow(d) >= 6 AS is_weekend, count(*) AS calendar_days, {big('coalesce(sum(n), 0)')} AS total_bookings,
   {mean('coalesce(sum(n), 0)', 'count(*)')} AS bookings_per_day
@@ -641,7 +659,8 @@ JOIN part ON service_id = cast(p_partkey AS varchar) GROUP BY 1"""
 SQL["cancellation_trend"] = f"""WITH {FACT}, monthly AS (
   SELECT booking_city, strftime(booking_date, '%Y-%m') AS booking_month, {rate('sum(lost)', 'count(*)')} AS cancellation_rate
   FROM fact GROUP BY 1, 2),
-walked AS (SELECT *, lag(cancellation_rate) OVER (PARTITION BY booking_city ORDER BY booking_month) AS previous_rate FROM monthly)
+walked AS (SELECT m.*, b.cancellation_rate AS previous_rate FROM monthly m LEFT JOIN monthly b ON b.booking_city = m.booking_city
+  AND b.booking_month = strftime(strptime(m.booking_month || '-01', '%Y-%m-%d') - INTERVAL 1 MONTH, '%Y-%m'))
 SELECT *, cancellation_rate > previous_rate AS increased FROM walked"""
 SQL["tier_and_experience"] = metrics(["completion_rate", "average_rating"], ["provider_tier", "experience_level"])
 SQL["segments_by_category"] = metrics(["total_bookings"], ["customer_segment", "service_category"])

@@ -57,8 +57,12 @@ def stamp(text: str):
 # ---- sources -------------------------------------------------------------
 
 
+# Around a name: a JSON value, and lines that would close a wrapper pasted around them.
+FORGED = [('{"a": "', '"}'), ('{"a": "', '"}], "x": [2'), ('["', '"]], "end": 1} {"z": [2'), ('"', '"], "line": [2'), ('"', '", 2')]
+
+
 def mixed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event payloads, which are JSON, beside document texts, which are not."""
+    """Event payloads, which are JSON, beside document texts, which are not, and forged lines."""
     events = star.table(spark, sf_dir, "events").select(
         F.col("props").alias("payload"),
         F.concat(F.lit("events/"), F.date_format("ts", "yyyy-MM-dd"), F.lit(".json.gz")).alias("source_filename"),
@@ -69,7 +73,13 @@ def mixed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("documents/"), "source", F.lit(".json.gz")).alias("source_filename"),
         F.col("doc_id").alias("source_row_number"),
         stamp("2024-02-01 00:00:00").alias("ingested_at"))
-    return events.unionByName(documents)
+    forms = F.array(*[F.concat(F.lit(a), F.col("r_name"), F.lit(b)) for a, b in FORGED])
+    forged = star.table(spark, sf_dir, "region").select(
+        F.posexplode(forms).alias("n", "payload"), "r_regionkey").select(
+        "payload", F.lit("forged/regions.json.gz").alias("source_filename"),
+        (F.col("r_regionkey") * len(FORGED) + F.col("n") + 1).cast("bigint").alias("source_row_number"),
+        stamp("2024-03-01 00:00:00").alias("ingested_at"))
+    return events.unionByName(documents).unionByName(forged)
 
 
 @query
@@ -303,7 +313,7 @@ def point_in_time_versions(spark, sf_dir):
     versions = scd2.scd2_history(star.provider_events(spark, sf_dir))
     matched = asof.point_in_time_join(
         snapshots, versions, "provider_id", "booking_created_at", "effective_start_at", "effective_end_at",
-        ["provider_tier", "operating_zone", "effective_start_at"], method="sorted")
+        ["provider_tier", "operating_zone", "effective_start_at"], disjoint=True)
     return plain(matched)
 
 
@@ -320,6 +330,18 @@ def point_in_time_misses(spark, sf_dir):
     return plain(matched)
 
 
+@query
+def point_in_time_overlapping(spark, sf_dir):
+    """Versions that reach a month into the next one: a row may be valid under several."""
+    snapshots = star.typed_bookings(spark, sf_dir).select(
+        "booking_id", "source_row_number", "provider_id", "booking_created_at")
+    versions = scd2.scd2_history(star.provider_events(spark, sf_dir)).select(
+        "provider_id", "provider_tier", "effective_start_at",
+        F.when(F.col("is_current"), F.col("effective_end_at")).otherwise(F.col("effective_end_at") + F.expr("interval 30 days")).alias("until"))
+    return plain(asof.point_in_time_join(snapshots, versions, "provider_id", "booking_created_at", "effective_start_at", "until",
+                                         ["provider_tier", "effective_start_at"]))
+
+
 @query
 def fact_booking(spark, sf_dir):
     """The fact from source tables, its keys shown as what they refer to."""
@@ -352,7 +374,7 @@ def daily_service_kpi(spark, sf_dir):
         .withColumn("cancelled_booking_count", V.flag(F.col("booking_status") == "CANCELLED"))
     )
     insight = reviews.backfill_reviews(None, latest, scoring.lexicon_scorer(DOCUMENT_LEXICON), "LEXICON", limit=None)
-    dates = dims.build_dim_date(spark, *star.CALENDAR)
+    dates = star.calendar(spark, sf_dir)
     return plain(marts.daily_service_kpi(fact, dates, services, insight).select(*_KPI_VIEW))
 
 
@@ -561,9 +583,16 @@ def gates_on_broken_tables(spark, sf_dir):
     """Every gate on tables broken on purpose, so that each has violations to count."""
     s = stored_star(spark, sf_dir)
     snapshots = star.typed_bookings(spark, sf_dir)
-    fact = s["bookings"].withColumn("rating", F.col("rating") + 1).withColumn(
-        "service_key", F.when(F.col("booking_city") != "Nation_1", F.col("service_key"))).withColumn(
-        "discount_amount", F.when(F.col("payment_method") == "5-LOW", -F.col("discount_amount")).otherwise(F.col("discount_amount")))
+    minus = lambda c, where: F.when(where, -F.col(c)).otherwise(F.col(c))
+    without = lambda c, city: F.when(F.col("booking_city") != city, F.col(c))
+    fact = s["bookings"].withColumns({
+        "rating": F.col("rating") + 1,
+        "service_key": without("service_key", "Nation_1"), "customer_key": without("customer_key", "Nation_3"),
+        "provider_key": without("provider_key", "Nation_4"), "booking_date_key": without("booking_date_key", "Nation_5"),
+        "discount_amount": minus("discount_amount", F.col("payment_method") == "5-LOW"),
+        "final_amount": minus("final_amount", F.col("booking_status") == "CANCELLED"),
+        "service_duration_minutes": minus("service_duration_minutes", F.col("payment_method") == "2-HIGH")})
+    fact = fact.unionByName(fact.filter("booking_city = 'Nation_2'"))
     dates = s["dates"].filter("year < 1998")
     moved = F.when(F.col("operating_zone") == "East", F.col("effective_end_at") + F.expr("interval 1 year"))
     emptied = F.when(F.col("operating_zone") == "West", F.col("effective_start_at"))

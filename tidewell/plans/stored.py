@@ -9,10 +9,11 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewell.functions.lexicon import Lexicon
 from tidewell.operators.clean import clean_customers, clean_services, latest_bookings, valid_bookings
-from tidewell.operators.dims import build_dim_date, merge_customers, merge_services
+from tidewell.operators.dims import merge_customers, merge_services
 from tidewell.operators.marts import build_fact_booking, daily_service_kpi
 from tidewell.operators.reviews import backfill_reviews
 from tidewell.operators.scoring import lexicon_scorer
@@ -31,7 +32,16 @@ DOCUMENT_LEXICON = Lexicon(
 
 TABLES = ("raw", "latest", "customers", "services", "providers", "dates", "bookings", "reviews", "kpi")
 
-_written: dict[tuple[str, str], str] = {}
+SOURCES = ("orders", "lineitem", "customer", "nation", "region", "supplier", "part", "events", "documents")
+
+_written: dict[tuple[str, str, str], str] = {}
+
+
+def source_mark(spark: SparkSession, sf_dir: str) -> str:
+    """Tells apart the states of the source tables, by their files' names, sizes and times."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load([f"{sf_dir}/{t}.parquet" for t in SOURCES])
+    mark = F.sum(F.xxhash64("path", "length", F.col("modificationTime").cast("string")).cast("decimal(38,0)"))
+    return str(files.agg(mark).first()[0])
 
 
 def silver_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,20 +58,21 @@ def build_star(spark: SparkSession, sf_dir: str, root: str) -> None:
     customers = keep("customers", merge_customers(None, clean_customers(star.raw_customers(spark, sf_dir))))
     services = keep("services", merge_services(None, clean_services(star.raw_services(spark, sf_dir))))
     providers = keep("providers", scd2_history(star.provider_events(spark, sf_dir)))
-    dates = keep("dates", build_dim_date(spark, *star.CALENDAR))
+    dates = keep("dates", star.calendar(spark, sf_dir))
     bookings = keep("bookings", build_fact_booking(latest, customers, services, providers))
     reviews = keep("reviews", backfill_reviews(None, latest, lexicon_scorer(DOCUMENT_LEXICON), "LEXICON", limit=None))
     keep("kpi", daily_service_kpi(bookings, dates, services, reviews))
 
 
 def stored_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Read the stored tables, building them on this application's first use."""
+    """Read the stored tables, building them on this application's first use, and again when a source has changed."""
     configure(spark)
     app = spark.sparkContext.applicationId
-    if (app, sf_dir) not in _written:
-        mark = hashlib.sha256(sf_dir.encode()).hexdigest()[:12]
+    state = (app, sf_dir, source_mark(spark, sf_dir))
+    if state not in _written:
+        mark = hashlib.sha256("|".join(state).encode()).hexdigest()[:12]
         root = f"{shared_dir(spark)}/tidewell-{app}/{mark}"
         build_star(spark, sf_dir, root)
-        _written[(app, sf_dir)] = root
-    root = _written[(app, sf_dir)]
+        _written[state] = root
+    root = _written[state]
     return {name: spark.read.parquet(f"{root}/{name}") for name in TABLES}
