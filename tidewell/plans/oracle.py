@@ -289,6 +289,9 @@ SELECT cast(strftime(d, '%Y%m%d') AS bigint) AS date_key, cast(d AS varchar) AS
   isodow(d) AS day_of_week, weekofyear(d) AS week_number, month(d) AS month_number, strftime(d, '%b') AS month_name,
   quarter(d) AS quarter, year(d) AS year, isodow(d) >= 6 AS is_weekend FROM days"""
 
+SQL["calendar_extended"] = SQL["calendar"].replace(
+    "SELECT min(cast(o_orderdate AS date)) AS a, max(cast(o_orderdate AS date)) AS b FROM orders", "SELECT DATE '1996-01-01' AS a, DATE '1998-12-31' AS b")
+
 SQL["customer_dimension"] = f"""
 SELECT cast(c_custkey AS varchar) AS customer_id, c_name AS customer_name, upper(c_mktsegment) AS customer_segment,
   {_city('n_name')} AS home_city, cast(cast(DATE '1994-01-01' + cast(c_custkey % 365 AS integer) AS date) AS varchar) AS signup_date,
@@ -358,6 +361,8 @@ SELECT {VERSION_VIEW} FROM result"""
 
 SQL["provider_history"] = f"WITH {EVENTS}, {versions('events_in')} SELECT {VERSION_VIEW} FROM versions"
 
+SQL["provider_history_applied"] = SQL["provider_history"]
+
 _SAMPLE = ", ".join(f"'{p}'" for p in SAMPLE_PROVIDERS)
 SQL["provider_sample_history"] = f"""WITH {EVENTS}, {versions('events_in')}
 SELECT provider_id, provider_tier, primary_city, operating_zone, active_status,
@@ -434,7 +439,26 @@ DOCS = scored("documents", "text", "docs")
 
 SQL["scored_documents"] = f"WITH {DOCS} SELECT doc_id, sentiment_label, complaint_category FROM docs"
 SQL["scored_with_gaps"] = f"""WITH {DOCS}
-SELECT lang, CASE WHEN n_chars >= 500 THEN sentiment_label END AS sentiment_label, count(*) AS rows FROM docs GROUP BY 1, 2"""
+SELECT lang, sentiment_label, count(*) AS rows FROM docs GROUP BY 1, 2
+UNION ALL SELECT n_name, NULL, count(*) FROM nation GROUP BY 1"""
+
+_WEIGHTS = {"the": 2, "la": 2, "der": 3, "and": 1, "un": 1, "of": -1, "de": -2, "in": -2, "le": -3, "that": -1}
+
+
+def _side(sign: int) -> str:
+    return " + ".join(f"{abs(w)} * len(list_filter(toks, lambda t: t = '{word}'))" for word, w in _WEIGHTS.items() if w * sign > 0)
+
+
+SQL["weighed_documents"] = f"""
+WITH words AS (SELECT doc_id, string_split_regex(lower(text), '[^a-z]+') AS toks FROM documents),
+sums AS (SELECT doc_id, {_side(1)} AS p, {_side(-1)} AS n, {hits("'to','die'")} AS punctuality,
+  {hits("'is','el','und'")} AS pricing, {hits("'it','en'")} AS communication FROM words),
+labelled AS (SELECT *, CASE WHEN p + n = 0 THEN 'neutral' WHEN n > 3 * p THEN 'negative' WHEN p > 3 * n THEN 'positive' ELSE 'mixed' END
+  AS sentiment_label FROM sums)
+SELECT doc_id, sentiment_label, CASE WHEN greatest(punctuality, pricing, communication) = 0
+    THEN CASE WHEN sentiment_label IN ('negative', 'mixed') THEN 'Other' ELSE 'No Complaint' END
+  WHEN punctuality >= pricing AND punctuality >= communication THEN 'Punctuality'
+  WHEN pricing >= communication THEN 'Pricing' ELSE 'Communication' END AS complaint_category FROM labelled"""
 SQL["function_scored_documents"] = f"""WITH {DOCS}, named AS (
   SELECT CASE WHEN regexp_matches(lower(text), '[a-z]') THEN sentiment_label END AS sentiment_label,
     CASE WHEN regexp_matches(lower(text), '[a-z]') THEN 'Other' END AS complaint_category FROM docs)
@@ -520,6 +544,16 @@ SELECT event_type || '-' || event_id AS name, CASE WHEN event_type = 'error' THE
   strftime(ts + to_minutes(cast(floor(value) AS integer)), '%Y-%m-%d %H:%M:%S') AS completed_at
 FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 24 HOUR"""
 
+SQL["last_outcomes"] = """
+WITH ranked AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+SELECT event_type AS name, CASE WHEN value > 50 THEN 'FAILED' ELSE 'SUCCEEDED' END AS state, event_id AS input_rows,
+  props AS error_message FROM ranked WHERE rn = 1"""
+
+SQL["unexpected_counts"] = """
+SELECT 'DIM_SERVICE' AS object_name, cast(0 AS bigint) AS expected_count, count(*) AS row_count FROM part
+UNION ALL SELECT 'DIM_NOWHERE', 5, NULL"""
+
+
 def gates(snapshots: str, fact: str, dims: str, missing: str, no_date: str, broken: str) -> str:
     """Every gate by definition, over CTEs of these names; `n` tells versions apart."""
     return f"""SELECT 'duplicate_latest_bookings' AS check_name, count(*) AS violations FROM

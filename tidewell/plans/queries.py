@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.functions import values as V
+from tidewell.functions.lexicon import Lexicon
 from tidewell.operators import asof, clean, dims, marts, ordered, quality, refresh, reviews, scd2, scoring
 from tidewell.plans import questions, reports
 from tidewell.plans.semantic import semantic_query
@@ -211,6 +212,13 @@ def calendar(spark, sf_dir):
     return plain(dims.calendar_spanning(star.table(spark, sf_dir, "orders"), "o_orderdate"))
 
 
+@query
+def calendar_extended(spark, sf_dir):
+    """The days of 1996 that orders reach into are there already; the missing ones of a longer range join them."""
+    known = star.calendar(spark, sf_dir).filter("year = 1996")
+    return plain(dims.build_dim_date(spark, "1996-06-01", "1998-12-31", known))
+
+
 _FIRST, _SECOND = "2002-01-03 00:00:00", "2002-01-04 00:00:00"
 
 
@@ -297,6 +305,13 @@ def provider_history(spark, sf_dir):
     return plain(scd2.scd2_history(star.provider_events(spark, sf_dir)).select(*_VERSION_VIEW))
 
 
+@query
+def provider_history_applied(spark, sf_dir):
+    """The same history, from a seed and one batch with every later event."""
+    events = star.provider_events(spark, sf_dir)
+    return plain(scd2.scd2_apply_all(scd2.scd2_seed(events), events).select(*_VERSION_VIEW))
+
+
 @query
 def provider_sample_history(spark, sf_dir):
     return plain(reports.version_history(stored_star(spark, sf_dir)["providers"], SAMPLE_PROVIDERS))
@@ -429,12 +444,26 @@ def scored_documents(spark, sf_dir):
                          scoring.theme_label().alias("complaint_category"))
 
 
+# Everyday words with weights, so that every label and ties between themes occur.
+_WEIGHED = Lexicon(
+    positive={"the": 2, "la": 2, "der": 3, "and": 1, "un": 1}, negative={"of": 1, "de": 2, "in": 2, "le": 3, "that": 1},
+    themes={"Punctuality": ["to", "die"], "Pricing": ["is", "el", "und"], "Communication": ["it", "en"]})
+
+
+@query
+def weighed_documents(spark, sf_dir):
+    """Weighted sums decide: positive and negative sides, mixed where neither prevails."""
+    scored = scoring.lexicon_scorer(_WEIGHED)(_documents(spark, sf_dir))
+    return scored.select("doc_id", scoring.sentiment_label().alias("sentiment_label"),
+                         scoring.theme_label().alias("complaint_category"))
+
+
 @query
 def scored_with_gaps(spark, sf_dir):
-    """Rows without text keep null labels and stay visible."""
-    documents = spread(star.table(spark, sf_dir, "documents"), "doc_id").select(
-        "lang", F.when(F.col("n_chars") >= 500, F.col("text")).alias("review_text"))
-    scored = scoring.lexicon_scorer(DOCUMENT_LEXICON)(documents)
+    """All documents beside rows without text, which keep null labels and stay visible."""
+    documents = spread(star.table(spark, sf_dir, "documents"), "doc_id").select("lang", F.col("text").alias("review_text"))
+    gaps = star.table(spark, sf_dir, "nation").select(F.col("n_name").alias("lang"), F.lit(None).cast("string").alias("review_text"))
+    scored = scoring.lexicon_scorer(DOCUMENT_LEXICON)(documents.unionByName(gaps))
     return scored.groupBy("lang", scoring.sentiment_label().alias("sentiment_label")).agg(F.count("*").alias("rows"))
 
 
@@ -468,9 +497,10 @@ def score_agreement(spark, sf_dir):
 
 @query
 def model_score_agreement(spark, sf_dir):
-    """A classifier trained on the labelled documents, scored on the same."""
-    labelled = _labelled(spark, sf_dir)
-    scored = scoring.train_scorer(labelled, "expected")(labelled).withColumn("predicted", scoring.sentiment_label())
+    """A classifier trained on half of the labelled documents, scored on the other half."""
+    labelled = _labelled(spark, sf_dir).withColumn("held_out", F.crc32(F.col("review_text").cast("binary")) % 2 == 1)
+    scorer = scoring.train_scorer(labelled.filter("not held_out"), "expected")
+    scored = scorer(labelled.filter("held_out")).withColumn("predicted", scoring.sentiment_label())
     return reviews.score_agreement(scored, "expected", "predicted")
 
 
@@ -572,6 +602,28 @@ def run_history(spark, sf_dir):
                                               F.date_format("completed_at", "yyyy-MM-dd HH:mm:ss").alias("completed_at"))
 
 
+@query
+def last_outcomes(spark, sf_dir):
+    """The newest run of each kind, over the same stand-ins."""
+    from tidewell.streaming.audit import last_outcomes as newest
+
+    events = star.table(spark, sf_dir, "events")
+    runs = events.select(
+        F.col("event_type").alias("name"), F.col("props").alias("error_message"), F.col("event_id").alias("input_rows"),
+        F.when(F.col("value") > 50, "FAILED").otherwise("SUCCEEDED").alias("state"),
+        (F.col("ts").cast("timestamp") + F.expr("make_dt_interval(0, 0, 0, event_id / 1000000.0)")).alias("started_at"),
+        F.col("ts").cast("timestamp").alias("completed_at"))
+    return newest(runs).select("name", "state", "input_rows", "error_message")
+
+
+@query
+def unexpected_counts(spark, sf_dir):
+    """Dimensions whose row count is not that of their source; the calendar is expected to be empty."""
+    counts = dimension_counts(spark, sf_dir)
+    expected = {"DIM_CUSTOMER": star.table(spark, sf_dir, "customer").count(), "DIM_SERVICE": 0, "DIM_NOWHERE": 5}
+    return quality.expected_counts(counts, expected)
+
+
 @query
 def quality_gates(spark, sf_dir):
     s = stored_star(spark, sf_dir)
