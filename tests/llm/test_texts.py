@@ -294,3 +294,17 @@ def test_languages_of_messy_rows(messy, empty):
     nothing = language_id.learn(empty, F.lit(True))
     assert {r.lang_pred for r in language_id.identify(messy, nothing).collect()} == {"und"}
     assert language_id.identify(empty, model).count() == 0 and language_id.keep_identified(messy, nothing).count() == 0
+
+
+def test_fold_and_heap_merge_alike(spark, texts, ranks):
+    rng = random.Random(9)
+    words = {"".join(rng.choice("abcdeé日 'st🙂\n") for _ in range(rng.randrange(1, 14))) for _ in range(300)} | {"aaaaaaaa", "a", "Ġ"}
+    rows = bpe.folded(spark.createDataFrame([(w,) for w in sorted(words)], "piece string"), ranks).collect()
+    assert {r.piece: r.ids for r in rows} == {w: bpe.merge(w.encode(), ranks) for w in words}
+
+
+def test_common_pieces_are_a_bounded_number(spark, ranks):
+    pieces = spark.createDataFrame([(["a", "b", " the"],), (["a", " the"],), (["a", "b"],), (["c"],), (None,)], "pieces array<string>")
+    assert set(bpe.common_pieces(pieces, ranks, 1)) == {"a"} and set(bpe.common_pieces(pieces, ranks, 2)) == {"a"}
+    assert set(bpe.common_pieces(pieces, ranks, 3)) == {"a", "b", " the"}
+    assert bpe.common_pieces(pieces.where("false"), ranks) == {}

@@ -1,34 +1,47 @@
 r"""Byte-level BPE: encoding texts by a rank table, and decoding ids.
 
-The pattern cuts a text into pieces inside the JVM; a piece's bytes are merged
-pairwise, always the adjacent pair of lowest rank, leftmost first, until no pair has a
-rank. Each Arrow batch is reduced to its distinct pieces before any merging, and a task
-remembers the pieces it has merged (at most `CACHE` of them, then it starts anew), so a
-word that is common costs one merge per task. Ids are carried as little-endian unsigned
-32-bit integers in one binary value per text.
-
-Why the merges are not a fold of Spark's higher-order functions over a literal rank
-map: see the README for the measured figures.
-
-Defined cases: a null text is the empty text and has no ids; whole texts are encoded,
-a single piece of any length in n log n steps; special tokens do not exist, their
-strings are ordinary text; repeated rows are encoded alike.
+The pattern cuts texts into pieces inside the JVM.
+
+Common pieces. Distinct pieces of the corpus are counted, and the `COMMON` most frequent
+ones (a bounded number; pieces of equal count are taken or left together) are merged by
+higher-order functions: a fold over the piece's bytes that merges, at each step, the
+adjacent pair of lowest rank, leftmost first, until no pair has a rank. Ranks come from
+a literal map, an array of buckets by crc32, so a look-up costs the same for any
+vocabulary. The result, a few megabytes, goes to all tasks.
+
+Other pieces. A corpus has no bound on its distinct pieces, so they cannot go to all
+tasks, and joining every occurrence to them would shuffle more than the texts. A task
+merges those it meets itself, once for each distinct piece of a batch, remembers them (at
+most `CACHE`, then it starts anew), with the same rule on a heap, so that a piece of any
+length takes n log n steps. The README has the figures that led to this division.
+
+Ids are carried as little-endian unsigned 32-bit integers in one binary value per text;
+decoding concatenates the tokens' bytes.
+
+Defined cases: a null text is the empty text and has no ids; whole texts are encoded;
+special tokens do not exist, their strings are ordinary text; repeated rows are encoded
+alike.
 """
 
 from __future__ import annotations
 
 import base64
 import heapq
+import json
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import col, ragged
+from tidewell.llm.common import col, ragged, staged
 
 CACHE = 200_000
+#: Pieces merged beforehand, and the longest of them in bytes.
+COMMON, LONGEST = 20_000, 48
+_BUCKETS = 1 << 16
 
 #: White space as the Unicode property has it; Java's `\s` alone is ASCII only.
 WHITE = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
@@ -91,11 +104,72 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+def rank_map(ranks: dict[bytes, int]) -> Column:
+    """The rank table as a literal: an array of buckets, each a short array of (token, rank)."""
+    buckets: list[list[dict]] = [[] for _ in range(_BUCKETS)]
+    for token, rank in ranks.items():
+        buckets[zlib.crc32(token) % _BUCKETS].append({"token": base64.b64encode(token).decode(), "rank": rank})
+    # A function of a literal: Spark folds it to the array itself while it plans.
+    return F.from_json(F.lit(json.dumps(buckets)), "array<array<struct<token:binary,rank:int>>>")
+
+
+def folded(pieces: DataFrame, ranks: dict[bytes, int], piece: str = "piece") -> DataFrame:
+    """Adds `ids`, an array: the ranked merges of each piece as a fold over its bytes."""
+    none = F.lit(1 << 30)
+
+    def encoded(buckets: Column) -> Column:
+        def rank(token: Column) -> Column:
+            bucket = F.get(buckets, (F.crc32(token) % _BUCKETS).cast("int"))
+            return F.coalesce(F.get(F.filter(bucket, lambda e: e["token"] == token), F.lit(0))["rank"], none)
+
+        def merged(state: Column) -> Column:
+            """The leftmost pair of lowest rank becomes one part; the ranks beside it are looked up anew."""
+            parts, held = state["parts"], state["held"]
+            at = (F.array_position(held, F.array_min(held)) - 1).cast("int")
+            pair = F.concat(F.get(parts, at), F.get(parts, at + 1))
+            joined = F.concat(F.slice(parts, F.lit(1), at), F.array(pair), F.slice(parts, at + 3, F.size(parts)))
+            nothing = F.array().cast("array<int>")
+            before = F.when(at > 0, F.array(rank(F.concat(F.get(parts, at - 1), pair)))).otherwise(nothing)
+            after = F.when(at + 2 < F.size(parts), F.array(rank(F.concat(pair, F.get(parts, at + 2))))).otherwise(nothing)
+            ranked = F.concat(F.slice(held, F.lit(1), F.greatest(at - 1, F.lit(0))), before, after, F.slice(held, at + 3, F.size(held)))
+            return F.struct(joined.alias("parts"), ranked.alias("held"))
+
+        def step(state: Column, _: Column) -> Column:
+            return F.when(F.coalesce(F.array_min(state["held"]), none) < none, merged(state)).otherwise(state)
+
+        last = F.size("parts") - 2
+        pairs = F.transform(F.sequence(F.lit(0), last), lambda i: rank(F.concat(F.get("parts", i), F.get("parts", i + 1))))
+        begun = F.struct(F.col("parts"), F.when(last >= 0, pairs).otherwise(F.array().cast("array<int>")).alias("held"))
+        return F.transform(F.aggregate(F.col("parts"), begun, step)["parts"], rank)
+
+    data = F.col(piece).cast("binary")
+    with_bytes = pieces.withColumn("parts", F.transform(F.sequence(F.lit(1), F.length(data)), lambda i: F.substring(data, i, F.lit(1))))
+    # Bound to a lambda variable, the map stands in the plan once.
+    return with_bytes.select(*pieces.columns, F.get(F.transform(F.array(rank_map(ranks)), encoded), F.lit(0)).alias("ids"))
+
+
+def common_pieces(pieces: DataFrame, ranks: dict[bytes, int], most: int = COMMON) -> dict[str, bytes]:
+    """The most frequent pieces and their ids; `pieces` has one array of pieces per row."""
+    counts = staged(pieces.select(F.explode("pieces").alias("piece")).groupBy("piece").agg(F.count("*").alias("n"))
+                    .where((F.col("n") > 1) & (F.octet_length("piece") <= LONGEST)))
+    held, cut = 0, 1
+    for r in counts.groupBy("n").agg(F.count("*").alias("pieces")).orderBy(F.desc("n")).toLocalIterator():
+        held += r.pieces
+        if held > most:
+            cut = r.n
+            break
+    chosen = folded(counts.where(F.col("n") > cut).select("piece"), ranks)
+    return {r.piece: np.array(r.ids, dtype="<u4").tobytes() for r in chosen.collect()}  # at most `most` rows
+
+
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: id, ids (binary, 4 bytes per token)."""
+    whole = F.coalesce(col(text), F.lit(""))
+    rows = docs.select(col(id).alias("id"), F.regexp_extract_all(whole, F.lit(java_pattern(pattern)), F.lit(0)).alias("pieces"))
+    common = common_pieces(rows.select("pieces"), ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, bytes] = {}
+        known = dict(common)
         for batch in batches:
             for begin, end in piece_slices(batch.column(1)):
                 part = batch.slice(begin, end - begin)
@@ -103,8 +177,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id: str = "do
                 offsets = np.asarray(lists.offsets, dtype=np.int64)
                 words = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
                 codes = np.asarray(words.indices, dtype=np.int64)
-                if len(known) > CACHE:
-                    known.clear()
+                if len(known) > len(common) + CACHE:
+                    known = dict(common)
                 ids = []
                 for w in words.dictionary.to_pylist():
                     if (found := known.get(w)) is None:
@@ -119,8 +193,6 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id: str = "do
                     [part.column(0), pa.array([out[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())],
                     names=["id", "ids"])
 
-    whole = F.coalesce(col(text), F.lit(""))
-    rows = docs.select(col(id).alias("id"), F.regexp_extract_all(whole, F.lit(java_pattern(pattern)), F.lit(0)).alias("pieces"))
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(run, f"id {kind}, ids binary").withColumnRenamed("id", id)
 
