@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewell.llm import license_scan
+from tidewell.llm import license_scan, secrets
 
 SQL: dict[str, str] = {}
 
@@ -63,3 +63,59 @@ def _license_sql() -> str:
 
 
 SQL["op5_license_scan"] = _license_sql()
+
+#: Every pair of vectors, and every pair of texts with a shared shingle, by definition; then all that links reach.
+SQL["op1_embedding_near_dedup"] = """
+    WITH RECURSIVE usable AS (
+        SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+        WHERE len(embedding) = (SELECT len(embedding) FROM embeddings WHERE len(embedding) > 0 GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links AS (
+        SELECT a.vec_id AS x, b.vec_id AS y FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
+        WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+    reach AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+    counted AS (SELECT x, count(*) AS n FROM links GROUP BY 1),
+    least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY 1)
+    SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+    FROM embeddings JOIN least ON least.x = vec_id LEFT JOIN counted ON counted.x = vec_id"""
+
+SQL["op2_ngram_jaccard_join"] = r"""
+    WITH RECURSIVE split AS (
+        SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+    sets AS (
+        SELECT doc_id, list_distinct(CASE
+            WHEN len(w) >= 5 THEN list_transform(range(0, len(w) - 4), lambda i: array_to_string(w[i + 1 : i + 5], ' '))
+            WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM split),
+    tokens AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sets),
+    links AS (
+        SELECT a.doc_id AS x, b.doc_id AS y FROM tokens a JOIN tokens b ON a.t = b.t AND a.doc_id <> b.doc_id
+        GROUP BY 1, 2, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+    reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+    least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY 1)
+    SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id FROM sets JOIN least ON least.x = doc_id"""
+
+
+def _secrets_sql() -> str:
+    """Matches of each rule over whole texts; a start is the summed length of what lies before it."""
+    rules, base = secrets.BASE + secrets.MORE, secrets.BASE
+    matched, spans = [], []
+    for n, r in enumerate(rules):
+        pattern = r.pattern.replace("'", "''")
+        matched.append(f"regexp_extract_all(t, '{pattern}', 0) AS w{n}, regexp_extract_all(t, '{pattern}', {r.group}) AS g{n}, "
+                       f"string_split_regex(t, '{pattern}') AS b{n}")
+        spans.append(f"list_transform(list_filter(range(1, len(w{n}) + 1), lambda i: length(g{n}[i]) >= {r.least}), lambda i: {{"
+                     f"'start': length(array_to_string(b{n}[1 : i], '')) + length(array_to_string(w{n}[1 : i - 1], '')), 'place': {n}, "
+                     f"'end': length(array_to_string(b{n}[1 : i], '')) + length(array_to_string(w{n}[1 : i], '')), 'kind': '{r.kind}'}})")
+    listed = "array_to_string(list_transform({}, lambda s: concat(s.kind, ':', s.start, ':', s.\"end\")), ',')"
+    count = lambda kind: f"len(list_filter(spans, lambda s: s.kind = '{kind}'))::BIGINT AS n_{kind}"
+    own = f"list_filter(spans, lambda s: s.place < {len(base)})"
+    return f"""
+    WITH matched AS (SELECT doc_id, {", ".join(matched)} FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)),
+    found AS (SELECT doc_id, list_sort({" || ".join(spans)}) AS spans FROM matched)
+    SELECT doc_id, {", ".join(count(r.kind) for r in base)}, sha256(coalesce({listed.format(own)}, '')) AS base_sha256,
+           coalesce({listed.format("spans")}, '') AS spans
+    FROM found"""
+
+
+SQL["op8_secret_scan"] = _secrets_sql()
