@@ -44,15 +44,18 @@ def _walked(rows, versions, key, at, start, end, columns, unit):
     marks = versions.filter(F.col(key).isNotNull()).select(
         F.col(key).alias("_k"), F.col(start).alias("_at"), F.lit(0).alias("_kind"), version
     )
-    points = rows.withColumn("_k", F.col(key)).withColumn("_at", F.col(at)).withColumn("_kind", F.lit(1))
-    matchable = F.col("_k").isNotNull() & F.col("_at").isNotNull()
-    loose, points = points.filter(~matchable), points.filter(matchable)
+    # Rows that can match nothing stay in the same walk, spread by a hash of the row.
+    lost = F.col(key).isNull() | F.col(at).isNull()
+    spread = F.when(lost, F.pmod(F.xxhash64(F.struct(*rows.columns)), F.lit(64))).otherwise(F.lit(-1))
+    points = rows.select(F.struct("*").alias("_row"), F.when(~lost, F.col(key)).alias("_k"), F.when(~lost, F.col(at)).alias("_at"),
+                         F.lit(1).alias("_kind"), spread.cast("bigint").alias("_spread"))
 
-    walk = points.unionByName(marks, allowMissingColumns=True).withColumn("_period", F.date_trunc(unit, "_at"))
-    inner = Window.partitionBy("_k", "_period").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    walk = points.unionByName(marks.withColumn("_spread", F.lit(-1).cast("bigint")), allowMissingColumns=True)
+    walk = walk.withColumn("_period", F.date_trunc(unit, "_at"))
+    inner = Window.partitionBy("_k", "_period", "_spread").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
     walked = walk.withColumn("_seen", F.last("_version", ignorenulls=True).over(inner)).filter("_kind = 1")
 
-    begins = points.select("_k", F.date_trunc(unit, "_at").alias("_period")).distinct()
+    begins = points.select("_k", F.date_trunc(unit, "_at").alias("_period")).where("_k is not null").distinct()
     lasts = marks.groupBy("_k", F.date_trunc(unit, "_at").alias("_period")).agg(
         F.max_by("_version", "_at").alias("_border")
     )
@@ -60,9 +63,7 @@ def _walked(rows, versions, key, at, start, end, columns, unit):
     outer = Window.partitionBy("_k").orderBy("_period").rowsBetween(Window.unboundedPreceding, -1)
     carried = periods.select("_k", "_period", F.last("_border", ignorenulls=True).over(outer).alias("_carried"))
 
-    matched = walked.join(carried, ["_k", "_period"], "left")
     found = F.coalesce("_seen", "_carried")
-    live = F.when(F.col("_at") < found["e"], found)
-    joined = matched.select(*rows.columns, live.alias("_hit"))
-    joined = joined.select(*rows.columns, *[F.col("_hit")[c].alias(c) for c in columns])
-    return joined.unionByName(loose.select(*rows.columns), allowMissingColumns=True)
+    matched = walked.join(carried, ["_k", "_period"], "left").select("_row", F.when(F.col("_at") < found["e"], found).alias("_hit"))
+    return matched.select(*[F.col("_row").getField(c).alias(c) for c in rows.columns],
+                          *[F.col("_hit").getField(c).alias(c) for c in columns])

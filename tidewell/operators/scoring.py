@@ -11,7 +11,6 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewell.functions.lexicon import SERVICE_LEXICON, Lexicon, leading_theme, occurrences, polarity, tokens, weight
 
@@ -61,32 +60,33 @@ def lexicon_scorer(lexicon: Lexicon = SERVICE_LEXICON) -> Scorer:
     return score
 
 
-def function_scorer(label_text: Callable[[str], tuple[str | None, str | None]]) -> Scorer:
+def function_scorer(label_text: Callable[[str], tuple[str | None, str | None]], error: str | None = None) -> Scorer:
     """Score with a user's function from text to (sentiment, theme).
 
-    A text the function fails on gets nulls and the run goes on.
+    A text the function fails on gets nulls and the run goes on; `error` names a
+    column to add that says what failed. Only the text goes through Python.
     """
 
-    def one(text) -> tuple[str | None, str | None]:
+    def one(text) -> tuple[str | None, str | None, str | None]:
         if text is None:
-            return None, None
+            return None, None, None
         try:
-            return label_text(text)
-        except Exception:
-            return None, None
+            return (*label_text(text), None)
+        except Exception as e:
+            return None, None, f"{type(e).__name__}: {e}"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            labels = [one(t) for t in batch[TEXT]]
-            yield batch.assign(_label=[a for a, _ in labels], _theme=[b for _, b in labels])
+    @F.pandas_udf("label string, theme string, error string")
+    def judged(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in texts:
+            yield pd.DataFrame([one(t) for t in batch], columns=["label", "theme", "error"], dtype=object)
 
     def score(rows: DataFrame) -> DataFrame:
-        schema = T.StructType([*rows.schema.fields, T.StructField("_label", T.StringType()),
-                               T.StructField("_theme", T.StringType())])
-        return rows.mapInPandas(run, schema).select(
+        scored = rows.select("*", judged(F.col(TEXT)).alias("_judged"))
+        return scored.select(
             *rows.columns,
-            sentiment_result(F.col("_label")).alias("sentiment_result"),
-            classification_result(F.col("_theme")).alias("classification_result"),
+            sentiment_result(F.col("_judged.label")).alias("sentiment_result"),
+            classification_result(F.col("_judged.theme")).alias("classification_result"),
+            *([F.col("_judged.error").alias(error)] if error else []),
         )
 
     return score

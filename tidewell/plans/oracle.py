@@ -377,11 +377,11 @@ SELECT booking_id, source_row_number, s.provider_id, cast(booking_created_at AS
 FROM snap s LEFT JOIN versions v ON v.provider_id = s.provider_id
   AND booking_created_at >= effective_start_at AND booking_created_at < effective_end_at"""
 
-SQL["point_in_time_misses"] = f"""WITH {SNAP}, {EVENTS},
-partial AS (SELECT * FROM events_in WHERE year(effective_at) IN (1997, 1999)), {versions('partial')}
+SQL["point_in_time_misses"] = f"""WITH {SNAP}, {EVENTS}, {versions('events_in')},
+late AS (SELECT * REPLACE (effective_start_at + to_days(180) AS effective_start_at) FROM versions)
 SELECT booking_id, source_row_number, s.provider_id, cast(booking_created_at AS varchar) AS booking_created_at,
   cast(v.effective_start_at AS varchar) AS effective_start_at
-FROM snap s LEFT JOIN versions v ON v.provider_id = s.provider_id AND v.provider_tier = 'STANDARD'
+FROM snap s LEFT JOIN late v ON v.provider_id = s.provider_id
   AND booking_created_at >= effective_start_at AND booking_created_at < effective_end_at"""
 
 SQL["point_in_time_overlapping"] = f"""WITH {SNAP}, {EVENTS}, {versions('events_in')},

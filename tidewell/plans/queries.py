@@ -323,7 +323,7 @@ def provider_sample_history(spark, sf_dir):
 @query
 def point_in_time_versions(spark, sf_dir):
     """Every snapshot with the version valid when its booking was created."""
-    snapshots = star.typed_bookings(spark, sf_dir).select(
+    snapshots = star.typed_bookings(spark, sf_dir, reviews=False).select(
         "booking_id", "source_row_number", "provider_id", "booking_created_at")
     versions = scd2.scd2_history(star.provider_events(spark, sf_dir))
     matched = asof.point_in_time_join(
@@ -334,11 +334,11 @@ def point_in_time_versions(spark, sf_dir):
 
 @query
 def point_in_time_misses(spark, sf_dir):
-    """The same join against a history that starts late, so some rows find nothing."""
-    snapshots = star.typed_bookings(spark, sf_dir).select(
+    """The same join against versions that each begin half a year late, so many rows find nothing."""
+    snapshots = star.typed_bookings(spark, sf_dir, reviews=False).select(
         "booking_id", "source_row_number", "provider_id", "booking_created_at")
-    events = star.provider_events(spark, sf_dir).filter(F.year("effective_at").isin(1997, 1999))
-    versions = scd2.scd2_history(events).filter("provider_tier = 'STANDARD'")
+    versions = scd2.scd2_history(star.provider_events(spark, sf_dir)).withColumn(
+        "effective_start_at", F.col("effective_start_at") + F.expr("interval 180 days"))
     matched = asof.point_in_time_join(
         snapshots, versions, "provider_id", "booking_created_at", "effective_start_at", "effective_end_at",
         ["effective_start_at"])
@@ -348,7 +348,7 @@ def point_in_time_misses(spark, sf_dir):
 @query
 def point_in_time_overlapping(spark, sf_dir):
     """Versions that reach a month into the next one: a row may be valid under several."""
-    snapshots = star.typed_bookings(spark, sf_dir).select(
+    snapshots = star.typed_bookings(spark, sf_dir, reviews=False).select(
         "booking_id", "source_row_number", "provider_id", "booking_created_at")
     versions = scd2.scd2_history(star.provider_events(spark, sf_dir)).select(
         "provider_id", "provider_tier", "effective_start_at",
@@ -634,7 +634,7 @@ def quality_gates(spark, sf_dir):
 def gates_on_broken_tables(spark, sf_dir):
     """Every gate on tables broken on purpose, so that each has violations to count."""
     s = stored_star(spark, sf_dir)
-    snapshots = star.typed_bookings(spark, sf_dir)
+    snapshots = star.typed_bookings(spark, sf_dir, reviews=False)
     minus = lambda c, where: F.when(where, -F.col(c)).otherwise(F.col(c))
     without = lambda c, city: F.when(F.col("booking_city") != city, F.col(c))
     fact = s["bookings"].withColumns({
@@ -656,7 +656,7 @@ def gates_on_broken_tables(spark, sf_dir):
 
 @query
 def duplicate_bookings(spark, sf_dir):
-    return quality.duplicate_rows(star.typed_bookings(spark, sf_dir), "booking_id")
+    return quality.duplicate_rows(star.typed_bookings(spark, sf_dir, reviews=False), "booking_id")
 
 
 @query
@@ -811,7 +811,7 @@ def revenue_by_city(spark, sf_dir):
 def revenue_by_category(spark, sf_dir):
     """From source tables: latest bookings and services only."""
     services = star.service_records(spark, sf_dir).select("service_id", "service_category")
-    latest = silver_bookings(spark, sf_dir).join(services, "service_id")
+    latest = silver_bookings(spark, sf_dir, reviews=False).join(services, "service_id")
     return plain(latest.groupBy("service_category").agg(F.sum("final_amount").alias("net_revenue"))
                  .orderBy(F.desc("net_revenue")))
 

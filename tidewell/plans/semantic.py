@@ -120,7 +120,7 @@ Filter = tuple[str, str, object]
 
 
 def _fact_rows(
-    tables: dict[str, DataFrame], model: Model, base: str, formulas: list[str], wanted: list[Dimension]
+    tables: dict[str, DataFrame], model: Model, base: str, wanted: list[Dimension]
 ) -> DataFrame:
     """The fact's own columns and, as `dim_<name>`, the dimensions asked for."""
     paths = _steps(model, base)
@@ -176,7 +176,7 @@ def semantic_query(
     parts = []
     for base in dict.fromkeys(m.entity for m in picked):
         own = [m for m in picked if m.entity == base]
-        rows = _fact_rows(tables, model, base, [m.formula for m in own], wanted)
+        rows = _fact_rows(tables, model, base, wanted)
         for d, op, value in checks:
             rows = rows.filter(_COMPARE[op](F.col(f"dim_{d.name}"), value))
         grouped = rows.groupBy(*[F.col(f"dim_{d.name}").alias(d.name) for d in dims])

@@ -44,8 +44,8 @@ def source_mark(spark: SparkSession, sf_dir: str) -> str:
     return str(files.agg(mark).first()[0])
 
 
-def silver_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_bookings(valid_bookings(star.typed_bookings(spark, sf_dir)))
+def silver_bookings(spark: SparkSession, sf_dir: str, reviews: bool = True) -> DataFrame:
+    return latest_bookings(valid_bookings(star.typed_bookings(spark, sf_dir, reviews)))
 
 
 def build_star(spark: SparkSession, sf_dir: str, root: str) -> None:

@@ -44,8 +44,11 @@ def _cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").select("n_nationkey", V.title_trim(F.col("n_name")).alias("city"))
 
 
-def booking_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed snapshots, several per booking, with the envelope columns."""
+def booking_snapshots(spark: SparkSession, sf_dir: str, reviews: bool = True) -> DataFrame:
+    """Typed snapshots, several per booking, with the envelope columns.
+
+    Without `reviews` the review text is null and the documents are not read.
+    """
     c = F.col
     nations = _cities(spark, sf_dir)
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -68,9 +71,12 @@ def booking_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     tax = F.round((gross - discount) * F.lit("0.18").cast("decimal(4,2)"), 2).cast("decimal(12,2)")
     final = (gross - discount + tax).cast("decimal(12,2)")
 
+    if reviews:
+        lines = lines.join(documents, (c("l_orderkey") == c("doc_id")) & (c("l_linenumber") == 1) & completed, "left")
+    else:
+        lines = lines.withColumn("text", F.lit(None).cast("string"))
     joined = (
         lines.join(orders, c("l_orderkey") == c("o_orderkey"))
-        .join(documents, (c("l_orderkey") == c("doc_id")) & (c("l_linenumber") == 1) & completed, "left")
         .join(customers, c("o_custkey") == c("c_custkey"))
         .join(nations, c("c_nationkey") == c("n_nationkey"))
     )
@@ -100,8 +106,8 @@ def booking_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def typed_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return booking_snapshots(spark, sf_dir).drop("_quantity")
+def typed_bookings(spark: SparkSession, sf_dir: str, reviews: bool = True) -> DataFrame:
+    return booking_snapshots(spark, sf_dir, reviews).drop("_quantity")
 
 
 def _iso(name: str) -> Column:
