@@ -47,7 +47,9 @@ def staged(df: DataFrame) -> DataFrame:
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """For small iteration state: a checkpoint in the shared folder, removed by Spark when unused."""
-    shared_dir(df.sparkSession)
+    folder, context = shared_dir(df.sparkSession), df.sparkSession.sparkContext
+    if not context.getCheckpointDir():  # the setting may have come after the context
+        context.setCheckpointDir(folder)
     return df.checkpoint()
 
 
