@@ -63,7 +63,7 @@ FORGED = [('{"a": "', '"}'), ('{"a": "', '"}], "x": [2'), ('["', '"]], "end": 1}
 
 
 def mixed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event payloads, which are JSON, beside document texts, which are not, and forged lines."""
+    """Event payloads, which are JSON, beside document texts, which are not."""
     events = star.table(spark, sf_dir, "events").select(
         F.col("props").alias("payload"),
         F.concat(F.lit("events/"), F.date_format("ts", "yyyy-MM-dd"), F.lit(".json.gz")).alias("source_filename"),
@@ -74,18 +74,22 @@ def mixed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("documents/"), "source", F.lit(".json.gz")).alias("source_filename"),
         F.col("doc_id").alias("source_row_number"),
         stamp("2024-02-01 00:00:00").alias("ingested_at"))
+    return events.unionByName(documents)
+
+
+def forged_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines around region names, of which the first form alone is one JSON value."""
     forms = F.array(*[F.concat(F.lit(a), F.col("r_name"), F.lit(b)) for a, b in FORGED])
-    forged = star.table(spark, sf_dir, "region").select(
+    return star.table(spark, sf_dir, "region").select(
         F.posexplode(forms).alias("n", "payload"), "r_regionkey").select(
         "payload", F.lit("forged/regions.json.gz").alias("source_filename"),
         (F.col("r_regionkey") * len(FORGED) + F.col("n") + 1).cast("bigint").alias("source_row_number"),
         stamp("2024-03-01 00:00:00").alias("ingested_at"))
-    return events.unionByName(documents).unionByName(forged)
 
 
 @query
 def load_history(spark, sf_dir):
-    return plain(reports.load_history(mark_malformed(mixed_raw(spark, sf_dir))))
+    return plain(reports.load_history(mark_malformed(mixed_raw(spark, sf_dir).unionByName(forged_raw(spark, sf_dir)))))
 
 
 @query
