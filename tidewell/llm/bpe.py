@@ -12,8 +12,8 @@ vocabulary. The result, a few megabytes, goes to all tasks.
 Other pieces. A corpus has no bound on its distinct pieces, so they cannot go to all
 tasks, and joining every occurrence to them would shuffle more than the texts. A task
 merges those it meets itself, once for each distinct piece of a batch, remembers them (at
-most `CACHE`, then it starts anew), with the same rule on a heap, so that a piece of any
-length takes n log n steps. The README has the figures that led to this division.
+most `CACHE`, then it starts anew), with the same rule: short pieces all at once as arrays,
+long ones on a heap, so that a piece of any length takes n log n steps. The README has the figures that led to this division.
 
 Ids are carried as little-endian unsigned 32-bit integers in one binary value per text;
 decoding concatenates the tokens' bytes.
@@ -41,7 +41,9 @@ from tidewell.llm.common import col, ragged, staged
 CACHE = 200_000
 #: Pieces merged beforehand, and the longest of them in bytes.
 COMMON, LONGEST = 20_000, 48
-_BUCKETS = 1 << 16
+#: Pieces of so many bytes at most are merged together, without a heap.
+SHORT = 64
+_BUCKETS, _NONE = 1 << 16, 1 << 40
 
 #: White space as the Unicode property has it; Java's `\s` alone is ASCII only.
 WHITE = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
@@ -75,6 +77,73 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, filter(bytes.strip, f))}
 
 
+class Merger:
+    """The merges of many short pieces at once, as numpy arrays; the rest on a heap.
+
+    A pair of adjacent tokens is looked up by their ids in a sorted table of all pairs
+    that some token can be cut into; a token's id is its rank.
+    """
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks, self.size = ranks, max(ranks.values(), default=0) + 1
+        pairs = {}
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if left is not None and right is not None:
+                    pairs[left * self.size + right] = rank
+        self.keys = np.array(sorted(pairs), dtype=np.int64)
+        self.values = np.array([pairs[k] for k in self.keys.tolist()], dtype=np.int64)
+        self.single = np.array([ranks.get(bytes([i]), 0) for i in range(256)], dtype=np.int64)
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left * self.size + right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.values[at], _NONE)
+
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each piece, 4 bytes each."""
+        out: list[bytes] = [b""] * len(pieces)
+        short = [i for i, p in enumerate(pieces) if len(p) <= SHORT and len(self.keys)]
+        for i in set(range(len(pieces))) - set(short):
+            out[i] = np.array(merge(pieces[i], self.ranks), dtype="<u4").tobytes()
+        names = np.array([i for i in short if pieces[i]], dtype=np.int64)
+        ids = self.single[np.frombuffer(b"".join(pieces[i] for i in names.tolist()), dtype=np.uint8)]
+        owner = np.repeat(names, np.fromiter((len(pieces[i]) for i in names.tolist()), dtype=np.int64, count=len(names)))
+        held = np.full(len(ids), _NONE, dtype=np.int64)  # rank of each token with the next of its piece
+        inside = np.flatnonzero(owner[1:] == owner[:-1])
+        held[inside] = self._ranks(ids[inside], ids[inside + 1])
+        while len(ids):
+            begins = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            lengths = np.diff(np.concatenate([begins, [len(ids)]]))
+            least = np.minimum.reduceat(held, begins)
+            done = least == _NONE
+            if done.any():
+                flat, ends = ids.astype("<u4").tobytes(), begins + lengths
+                for b, e in zip(begins[done].tolist(), ends[done].tolist()):
+                    out[owner[b]] = flat[4 * b: 4 * e]
+                stay = np.repeat(~done, lengths)
+                ids, owner, held = ids[stay], owner[stay], held[stay]
+                least, lengths = least[~done], lengths[~done]
+                if not len(ids):
+                    break
+            at = np.flatnonzero(held == np.repeat(least, lengths))
+            at = at[np.concatenate([[True], owner[at][1:] != owner[at][:-1]])]  # the leftmost of each piece
+            ids[at] = least
+            keep = np.ones(len(ids), dtype=bool)
+            keep[at + 1] = False
+            held[at] = _NONE
+            ids, owner, held = ids[keep], owner[keep], held[keep]
+            at = at - np.arange(len(at))
+            after = at[(at + 1 < len(ids))]
+            after = after[owner[after + 1] == owner[after]]
+            held[after] = self._ranks(ids[after], ids[after + 1])
+            before = at[at > 0] - 1
+            before = before[owner[before] == owner[before + 1]]
+            held[before] = self._ranks(ids[before], ids[before + 1])
+        return out
+
+
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one piece."""
     whole = ranks.get(piece)
@@ -166,7 +235,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id: str = "do
     """One row per input row: id, ids (binary, 4 bytes per token)."""
     whole = F.coalesce(col(text), F.lit(""))
     rows = docs.select(col(id).alias("id"), F.regexp_extract_all(whole, F.lit(java_pattern(pattern)), F.lit(0)).alias("pieces"))
-    common = common_pieces(rows.select("pieces"), ranks)
+    common, merger = common_pieces(rows.select("pieces"), ranks), Merger(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = dict(common)
@@ -179,11 +248,10 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id: str = "do
                 codes = np.asarray(words.indices, dtype=np.int64)
                 if len(known) > len(common) + CACHE:
                     known = dict(common)
-                ids = []
-                for w in words.dictionary.to_pylist():
-                    if (found := known.get(w)) is None:
-                        found = known[w] = np.array(merge(w.encode(), ranks), dtype="<u4").tobytes()
-                    ids.append(found)
+                distinct = words.dictionary.to_pylist()
+                new = [w for w in distinct if w not in known]
+                known.update(zip(new, merger.merge([w.encode() for w in new])))
+                ids = [known[w] for w in distinct]
                 lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
                 flat = np.frombuffer(b"".join(ids), dtype="<u4")
                 each = lengths[codes]
