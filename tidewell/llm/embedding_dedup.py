@@ -10,8 +10,8 @@ r"""Near copies among embeddings: spherical k-means cells, blocked cosines withi
    1 / sqrt(dim - 1). Guests go to all cells within `z` such deviations; there is no
    fixed number of them. `z = inf` gives every link for certain, at the cost of about all
    pairs. Recall is measured against brute force in the tests.
-3. Members and guests of a cell are cut into blocks of at most about `BLOCK` rows by a
-   hash of the id; each pair of blocks (member-member, member-guest) is one task, so a
+3. Members and guests of a cell are cut into blocks of about `BLOCK` and `GUESTS` rows by
+   a hash of the id; each pair of blocks (member-member, member-guest) is one task, so a
    cell that holds a third of all rows is spread over many. A task adds up links per
    vector and reduces them to one edge per vector; pairs are never emitted. As `n_links`
    is exact, a cell's comparisons grow with the square of its members, in blocks.
@@ -37,7 +37,7 @@ from tidewell.llm.common import col, staged
 from tidewell.llm.graph import components
 from tidewell.llm.vectors import dimension, packed, parse, unit, unpacked
 
-MOST_CELLS, BLOCK = 2048, 1000
+MOST_CELLS, BLOCK, GUESTS = 2048, 1000, 4000
 _SCALE = float(1 << 24)
 
 
@@ -112,29 +112,31 @@ def near_copies(embeddings: DataFrame, threshold: float = 0.9, id: str = "vec_id
         return vectors.select(F.col("id").alias(id), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"),
                               F.lit(True).alias("kept"))
     near, kind = reach(threshold, dim, z), vectors.schema["id"].dataType.simpleString()
+    # Vectors travel as they are stored and become doubles of unit length where they are compared.
+    width = "<f4" if vectors.schema["vector"].dataType.elementType.simpleString() == "float" else "<f8"
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin in range(0, batch.num_rows, 4096):
                 part = batch.slice(begin, 4096)
                 rows, ok = parse(part.column(1), dim)
-                rows = unit(rows[ok])
+                rows = rows[ok]
                 if not len(rows):
                     continue
-                home, belongs = cells_of(rows, c, near)
+                home, belongs = cells_of(unit(rows), c, near)
                 lists = pa.array([np.flatnonzero(b).tolist() for b in belongs], pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([part.column(0).filter(pa.array(ok)), packed(rows), pa.array(home, pa.int32()), lists],
-                                                 names=["id", "unit", "home", "cells"])
+                yield pa.RecordBatch.from_arrays([part.column(0).filter(pa.array(ok)), packed(rows, width), pa.array(home, pa.int32()), lists],
+                                                 names=["id", "x", "home", "cells"])
 
-    placed = known.mapInArrow(place, f"id {kind}, unit binary, home int, cells array<int>")
+    placed = known.mapInArrow(place, f"id {kind}, x binary, home int, cells array<int>")
     # How many members and guests each cell has: as many rows as there are cells.
     counts = placed.select("home", F.explode("cells").alias("cell")).groupBy("cell").agg(
         F.count_if(F.col("home") == F.col("cell")).alias("members"), F.count_if(F.col("home") != F.col("cell")).alias("guests")).collect()
-    blocks = {r.cell: (max(1, -(-r.members // BLOCK)), -(-r.guests // BLOCK)) for r in counts}
+    blocks = {r.cell: (max(1, -(-r.members // BLOCK)), -(-r.guests // GUESTS)) for r in counts}
     per_cell = F.array(*[F.struct(F.lit(m).alias("members"), F.lit(g).alias("guests"))
                          for m, g in (blocks.get(i, (1, 0)) for i in range(len(c)))])
 
-    rows = placed.select("id", "unit", "home", "cells", F.xxhash64("id").alias("h"), F.explode("cells").alias("cell"))
+    rows = placed.select("id", "x", "home", "cells", F.xxhash64("id").alias("h"), F.explode("cells").alias("cell"))
     rows = rows.withColumn("cut", F.element_at(per_cell, F.col("cell") + 1)).withColumn("member", F.col("home") == F.col("cell"))
     own = F.pmod("h", F.when(F.col("member"), F.col("cut.members")).otherwise(F.greatest(F.lit(1), F.col("cut.guests")))).cast("int")
     members, guests = F.sequence(F.lit(0), F.col("cut.members") - 1), F.col("cut.guests")
@@ -143,15 +145,15 @@ def near_copies(embeddings: DataFrame, threshold: float = 0.9, id: str = "vec_id
     with_guests = F.when(guests > 0, F.transform(F.sequence(F.lit(0), guests - 1), lambda j: F.struct(F.col("own").alias("i"), (-1 - j).alias("j"))))
     as_guest = F.transform(members, lambda i: F.struct(i.alias("i"), (-1 - F.col("own")).alias("j")))
     pairs = F.when(F.col("member"), F.concat(with_members, F.coalesce(with_guests, F.array().cast("array<struct<i:int,j:int>>")))).otherwise(as_guest)
-    dealt = rows.withColumn("own", own).select("id", "unit", "home", "cells", "cell", "member", "own", F.explode(pairs).alias("p"))
-    dealt = dealt.select("id", "unit", "home", "cells", "cell", "member", "own", "p.i", "p.j")
+    dealt = rows.withColumn("own", own).select("id", "x", "home", "cells", "cell", "member", "own", F.explode(pairs).alias("p"))
+    dealt = dealt.select("id", "x", "home", "cells", "cell", "member", "own", "p.i", "p.j")
 
     def compare(group: pa.Table) -> pa.Table:
         i, j, cell = group.column("i")[0].as_py(), group.column("j")[0].as_py(), group.column("cell")[0].as_py()
         member, own = np.asarray(group.column("member")), np.asarray(group.column("own"))
         left = np.flatnonzero(member & (own == i))
         right = left if i == j else np.flatnonzero((member & (own == j)) if j >= 0 else ~member)
-        rows, ids = unpacked(group.column("unit")), group.column("id").to_pylist()
+        rows, ids = unit(unpacked(group.column("x"), width).astype(np.float64)), group.column("id").to_pylist()
         linked = rows[left] @ rows[right].T >= threshold
         if i == j:
             np.fill_diagonal(linked, False)
