@@ -14,9 +14,9 @@ compared in full, their prefixes under each of these must meet as well.
 
 Hot tokens. A token's sets are never paired off at once. First each set is compared
 with one set of each of its tokens, the least; links give components. Of tokens whose
-sets lie in several components each set is then compared, `ROUNDS` times, with sets
-chosen by `PIVOTS` hashes, as long as one in twenty links. Only what is then left in
-several components is joined with itself, across components: a pair within one is known
+sets lie in several components and are more than `FEW`, each set is then compared,
+`ROUNDS` times, with sets chosen by `PIVOTS` hashes, as long as one in twenty links. Only
+what is then left in several components is joined with itself, across components: a pair within one is known
 to be connected. So a large group of near copies costs some comparisons for each row, and
 no link between different components is lost. Components, not all links, are the result.
 
@@ -45,7 +45,7 @@ WIDTH = 5
 #: The threshold as a fraction of whole numbers: 100 * common >= 75 * union.
 SHARE = (75, 100)
 #: Rounds in which sets of a hot token are compared with a few of its sets, and how many in each.
-ROUNDS, PIVOTS = 3, 6
+ROUNDS, PIVOTS, FEW = 3, 6, 4
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _MASK = (1 << 64) - 1
 _CHUNK = 1 << 16
@@ -252,12 +252,12 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _in_several(tokens: DataFrame, links: DataFrame) -> DataFrame:
-    """The rows, with their component `c`, of tokens whose sets lie in more than one."""
+    """The rows, with their component `c` and how many sets the token has, of tokens whose sets lie in several."""
     by_token = Window.partitionBy("token")
     reached = components(links).withColumnsRenamed({"node": "set", "component": "c"})
     marked = (tokens.join(reached, "set", "left").withColumn("c", F.coalesce("c", "set"))
-              .withColumns({"least": F.min("c").over(by_token), "most": F.max("c").over(by_token)}))
-    return staged(marked.where("least < most").select("token", "set", "n", "at", "c"))
+              .withColumns({"least": F.min("c").over(by_token), "most": F.max("c").over(by_token), "held": F.count("*").over(by_token)}))
+    return staged(marked.where("least < most").select("token", "set", "n", "at", "c", "held"))
 
 
 def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -277,18 +277,23 @@ def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     links = staged(verified(stars, rows, sets))
     # Tokens whose sets are still in several components, across these.
     left_over = _in_several(shared.drop("low"), links)
+    few, hot = left_over.where(F.col("held") <= FEW), left_over.where(F.col("held") > FEW)
     for turn in range(ROUNDS):
         seed = F.pmod("token", F.lit(PIVOTS)) + turn * PIVOTS
         chosen = F.min(F.struct(F.xxhash64(seed, "set").alias("h"), "set", "n", "c")).over(by_token)
-        stars = staged(left_over.withColumn("p", chosen).where((F.col("c") != F.col("p.c")) & _near_in_size(F.col("n"), F.col("p.n")))
+        stars = staged(hot.withColumn("p", chosen).where((F.col("c") != F.col("p.c")) & _near_in_size(F.col("n"), F.col("p.n")))
                  .select(F.least("set", "p.set").alias("a"), F.greatest("set", "p.set").alias("b")).distinct())
+        asked = stars.count()
+        if not asked:
+            break
         new = staged(verified(stars, rows, sets))
         found = new.count()
         if found:
             links = links.union(new)
-            left_over = _in_several(left_over.drop("c"), links)
-        if found * 20 < stars.count():  # most of what is left doesn't link
+            hot = _in_several(hot.drop("c", "held"), links)
+        if found * 20 < asked:  # most of what is left doesn't link
             break
+    left_over = few.unionByName(hot).drop("held")
     x, y = left_over.alias("x"), left_over.alias("y")
     need = F.ceil((F.col("x.n") + F.col("y.n")) * SHARE[0] / (SHARE[0] + SHARE[1]))
     bound = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
