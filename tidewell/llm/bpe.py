@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from tidewell.llm.common import col, ragged, staged
 
-CACHE = 200_000
+CACHE = 100_000
 #: Pieces merged beforehand, and the longest of them in bytes.
 COMMON, LONGEST = 20_000, 48
 #: Pieces of so many bytes at most are merged together, without a heap.
@@ -250,7 +250,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id: str = "do
                     known = dict(common)
                 distinct = words.dictionary.to_pylist()
                 new = [w for w in distinct if w not in known]
-                known.update(zip(new, merger.merge([w.encode() for w in new])))
+                for at in range(0, len(new), 20_000):  # the arrays stay small
+                    known.update(zip(new[at:at + 20_000], merger.merge([w.encode() for w in new[at:at + 20_000]])))
                 ids = [known[w] for w in distinct]
                 lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
                 flat = np.frombuffer(b"".join(ids), dtype="<u4")
@@ -265,7 +266,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id: str = "do
     return rows.mapInArrow(run, f"id {kind}, ids binary").withColumnRenamed("id", id)
 
 
-def piece_slices(lists: pa.ListArray, most: int = 400_000) -> Iterator[tuple[int, int]]:
+def piece_slices(lists: pa.ListArray, most: int = 200_000) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about `most` pieces, one row at least."""
     offsets, begin, n = np.asarray(lists.offsets, dtype=np.int64), 0, len(lists)
     while begin < n:
