@@ -114,6 +114,23 @@ def test_recall_with_several_cells_and_rounds(spark):
     assert len(got) == 300 and hits >= 0.9 * 300
 
 
+@pytest.mark.parametrize("spread", [0.01, 0.001])
+def test_recall_inside_a_group_of_near_copies(spark, spread):
+    """Cosines of about 1 - spread ** 2, closer together than components rounded to bytes can tell."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(2500, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[:2000] = x[0] + spread * x[:2000]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<float>")
+    sims = brute.cosines(x.astype(np.float32))
+    np.fill_diagonal(sims, -9)
+    got = nn_descent.search(nn_descent.build(df, cell=250, overlap=4, block=400), df.where("vec_id % 50 = 0")).collect()
+    for queries in (range(0, 2000, 50), range(2000, 2500, 50)):
+        own = [r for r in got if r.query_id in queries]
+        hits = sum(r.score >= np.sort(sims[r.query_id])[-5] - 1e-14 for r in own)
+        assert len(own) == 5 * len(queries) and hits >= 0.9 * len(own)
+
+
 def test_few_and_bad_vectors_as_neighbours(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.1]), (50, [0.0, 2.0]), (50, [0.0, 2.0]), (100, None), (150, [0.0, 0.0]), (None, [1.0, 1.0])]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
