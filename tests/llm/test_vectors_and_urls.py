@@ -60,6 +60,19 @@ def test_default_reach_finds_links_at_the_threshold(spark):
     assert got.where("n_links > 0").count() >= 0.98 * len(x)
 
 
+def test_default_reach_finds_all_links_of_vectors_of_low_rank(spark):
+    """Six effective dimensions of 256: partners lie much farther along the centres' differences than in random directions."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(800, 6)) @ rng.normal(size=(6, 256))
+    linked = brute.cosines(x) >= 0.9
+    np.fill_diagonal(linked, False)
+    want = brute.least_reachable(range(len(x)), zip(*np.nonzero(linked)))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: r for r in embedding_dedup.near_copies(df, cell=40).collect()}
+    assert [got[i].n_links for i in range(len(x))] == linked.sum(axis=1).tolist()
+    assert [got[i].component_id for i in range(len(x))] == [want[i] for i in range(len(x))]
+
+
 def test_blocks_of_a_hot_cell(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "BLOCK", 30)
     x = planted(240, seed=3)

@@ -5,11 +5,12 @@ r"""Near copies among embeddings: spherical k-means cells, blocked cosines withi
    per cell and task is summed, and the unit sums are the next centres. There are about
    `cell` vectors per centre, at most `MOST_CELLS` centres (a bounded broadcast).
 2. A vector belongs to its nearest centre's cell and is a guest of others near whose
-   border it lies: a partner at the threshold angle t, seen in a random direction, is
-   beyond a border at distance h with u > h / tan(t), u normal with deviation
-   1 / sqrt(dim - 1). Guests go to all cells within `z` such deviations; there is no
-   fixed number of them. `z = inf` gives every link for certain, at the cost of about all
-   pairs. Recall is measured against brute force in the tests.
+   border it lies. Two vectors at an angle of at most t on two sides of a border: one of
+   them is within t / 2 of it, so it is a guest of all cells whose border with its own
+   is that near. There is no fixed number of them, and no link is missed, whatever the
+   dimension. A finite `z` makes guests fewer where that is not asked for: only those
+   within z deviations of where a partner in a random direction lies (u > h / tan(t) at
+   distance h of the border, u normal with deviation 1 / sqrt(dim - 1)).
 3. Members and guests of a cell are cut into blocks of about `BLOCK` and `GUESTS` rows by
    a hash of the id; each pair of blocks (member-member, member-guest) is one task, so a
    cell that holds a third of all rows is spread over many. A task adds up links per
@@ -77,15 +78,17 @@ def centres(vectors: DataFrame, dim: int, k: int, rounds: int) -> np.ndarray:
 
 
 def reach(threshold: float, dim: int, z: float) -> float:
-    """How far from a cell's border a vector may be to have a partner beyond it."""
-    return math.tan(math.acos(min(1.0, threshold))) * min(1.0, z / math.sqrt(max(1, dim - 1))) + 1e-9
+    """How far from a cell's border a vector may be for its partners beyond it to be compared: the sine of half the angle."""
+    angle = math.acos(max(-1.0, min(1.0, threshold)))
+    likely = math.tan(angle) * z / math.sqrt(max(1, dim - 1)) if angle < math.pi / 2 and z < math.inf else math.inf
+    return min(math.sin(angle / 2), likely) + 1e-9
 
 
 def cells_of(rows: np.ndarray, c: np.ndarray, near: float) -> tuple[np.ndarray, np.ndarray]:
     """Home cell, and a matrix of the cells each row belongs to, home included."""
     sims = rows @ c.T
     home = sims.argmax(axis=1)
-    gap = np.sqrt(np.maximum(0.0, 2 - 2 * (c @ c.T)))[home]
+    gap = np.sqrt(np.maximum(0.0, 2 - 2 * (c @ c.T)) + 1e-13)[home]  # not below the true one
     return home, sims[np.arange(len(rows)), home][:, None] - sims <= near * gap + 1e-12
 
 
@@ -102,7 +105,7 @@ def _local_components(linked: np.ndarray) -> np.ndarray:
 
 
 def near_copies(embeddings: DataFrame, threshold: float = 0.9, id: str = "vec_id", vector: str = "embedding",
-                cell: int = 1000, rounds: int = 4, z: float = 3.0) -> DataFrame:
+                cell: int = 1000, rounds: int = 4, z: float = math.inf) -> DataFrame:
     """One row per input row: id, n_links, component_id, kept."""
     vectors = embeddings.select(col(id).alias("id"), col(vector).alias("vector"))
     dim, n = dimension(embeddings, vector), embeddings.count()
