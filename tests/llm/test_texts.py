@@ -72,6 +72,13 @@ def test_near_copies_of_messy_rows(messy, empty):
     assert same_rows(kept) == sorted(map(str, [1, 4, 5, 6, 7, None, 8, 9, 10, 12, 14, 15, None] + ([3] if want[3] == 3 else [])))
 
 
+def test_a_text_without_id_ahead_of_the_same_text_with_one(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, text), (5, text), (4, text + " more")]
+    got = ngram_join.near_copies(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {None: None, 5: 4, 4: 4}
+
+
 def test_frequency_order_does_not_change_links(spark, texts, small):
     docs = table(spark, small, "documents").select("doc_id", "text")
     classes = np.zeros(1 << 16, dtype=np.uint8)

@@ -175,10 +175,11 @@ def token_sets(docs: DataFrame, classes: np.ndarray, kind: str) -> DataFrame:
         shingler, met = Shingler(), set()
         for batch in batches:
             sizes, prints, prefixes = [], [], []
-            for tokens in shingler.sets(batch.column(1).to_pylist()):
+            named = batch.column(0).is_valid().to_pylist()
+            for known, tokens in zip(named, shingler.sets(batch.column(1).to_pylist())):
                 sizes.append(len(tokens))
                 prints.append(set_print(tokens))
-                new = len(tokens) and prints[-1] not in met
+                new = known and len(tokens) and prints[-1] not in met
                 if new:
                     if len(met) > 200_000:
                         met.clear()
