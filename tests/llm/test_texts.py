@@ -79,6 +79,25 @@ def test_a_text_without_id_ahead_of_the_same_text_with_one(spark):
     assert {r.doc_id: r.component_id for r in got} == {None: None, 5: 4, 4: 4}
 
 
+@pytest.mark.parametrize("turn", [1, -1])
+def test_one_id_with_two_texts_links_by_either(spark, turn):
+    """Each of the two has several near copies, so its set is asked for again and again."""
+    texts = [[f"{c}{i}" for i in range(60)] for c in "ab"]
+    rows = [(1000, " ".join(t)) for t in texts]
+    rows += [(at * 100 + i, " ".join([*t, f"end{at}{i}"])) for at, t in enumerate(texts, 1) for i in range(20)]
+    got = ngram_join.near_copies(spark.createDataFrame(rows[::turn], "doc_id bigint, text string").coalesce(1)).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute.near_copies(rows) == {r[0]: 100 for r in rows}
+
+
+def test_only_the_text_of_a_set_is_compared_and_remembered(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(60)) for c in "ab"]
+    rows = spark.createDataFrame([(1, texts[1]), (1, texts[0]), (2, texts[0] + " more"), (3, texts[1] + " more")], "id bigint, text string").coalesce(1)
+    a, b, c, d = (ngram_join.set_print(s) for s in ngram_join.Shingler().sets([*texts, texts[0] + " more", texts[1] + " more"]))
+    pairs = spark.createDataFrame([(a, c), (b, d)], "a bigint, b bigint")
+    sets = ngram_join.token_sets(rows, np.zeros(1 << 16, dtype=np.uint8), "bigint")
+    assert sorted(tuple(r) for r in ngram_join.verified(pairs, rows, sets).collect()) == sorted([(a, c), (b, d)])
+
+
 def test_frequency_order_does_not_change_links(spark, texts, small):
     docs = table(spark, small, "documents").select("doc_id", "text")
     classes = np.zeros(1 << 16, dtype=np.uint8)

@@ -168,7 +168,7 @@ def frequency_classes(texts: DataFrame, bits: int) -> np.ndarray:
 
 
 def token_sets(docs: DataFrame, classes: np.ndarray, kind: str) -> DataFrame:
-    """(id, n, set, prefix) of every row; the prefix only where the task meets the set first."""
+    """(id, n, set, print, prefix) of every row, `print` a hash of the text; the prefix only where the task meets the set first in a row with an id."""
     shift = np.uint64(65 - int(len(classes)).bit_length())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,10 +187,11 @@ def token_sets(docs: DataFrame, classes: np.ndarray, kind: str) -> DataFrame:
                     rank = (classes[(tokens >> shift).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (mixed(tokens, 9) >> np.uint64(8))
                     first = np.argsort(rank)[: prefix_length(len(tokens))]
                 prefixes.append(tokens[first].tobytes() if new else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()), pa.array(prefixes, pa.binary())],
-                                             names=["id", "n", "set", "prefix"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()), batch.column(2),
+                                              pa.array(prefixes, pa.binary())], names=["id", "n", "set", "print", "prefix"])
 
-    return docs.mapInArrow(run, f"id {kind}, n bigint, set bigint, prefix binary")
+    hashed = docs.select("*", F.xxhash64(col(docs.columns[1])).alias("_print"))
+    return hashed.mapInArrow(run, f"id {kind}, n bigint, set bigint, print bigint, prefix binary")
 
 
 def prefix_tokens(sets: DataFrame) -> DataFrame:
@@ -220,31 +221,35 @@ def _near_in_size(a: Column, b: Column) -> Column:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of sets that are similar. `docs`: id, text; `sets`: id, set."""
+    """The pairs (a, b) of sets that are similar. `docs`: id, text; `sets`: id, set, print."""
     pairs = staged(pairs)
     wanted = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
-    holders = sets.where("id is not null").groupBy("set").agg(F.min("id").alias("id")).join(wanted, "set")
-    texts = docs.join(holders, "id").select("set", "text")
+    holders = sets.where("id is not null").groupBy("set").agg(F.min(F.struct("id", "print")).alias("of")).join(wanted, "set").select("set", "of.*")
+    # Of the texts that share an id, the one meant.
+    texts = docs.withColumn("print", F.xxhash64("text")).join(holders, ["id", "print"]).select("set", "text")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, known = Shingler(), OrderedDict()
 
-        def tokens_of(name: int, text: str) -> np.ndarray:
+        def tokens_of(name: int, text: str) -> np.ndarray | None:
+            """None for a text that is not of the set `name`."""
             if name in known:
                 known.move_to_end(name)
-            else:
-                known[name] = next(shingler.sets([text]))
-                if len(known) > 64:
-                    known.popitem(last=False)
-            return known[name]
+                return known[name]
+            tokens = next(shingler.sets([text]))
+            if set_print(tokens) != name:
+                return None
+            known[name] = tokens
+            if len(known) > 64:
+                known.popitem(last=False)
+            return tokens
 
         for batch in batches:
             a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             keep = []
             for x, y, text_x, text_y in zip(a, b, batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 left, right = tokens_of(x, text_x), tokens_of(y, text_y)
-                # a text that only shares the id with the one meant does not count
-                keep.append(set_print(left) == x and set_print(right) == y and similar(left, right))
+                keep.append(left is not None and right is not None and similar(left, right))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     both = (pairs.join(texts.select(F.col("set").alias("b"), F.col("text").alias("right")), "b")
