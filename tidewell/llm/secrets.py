@@ -47,6 +47,8 @@ class Rule:
     pattern: str
     group: int = 0
     least: int = 1
+    #: A block of lines in which other rules may match: `redact` replaces it before these cut it.
+    block: bool = False
 
 
 #: Fixed rules of the registered query.
@@ -56,9 +58,19 @@ BASE = (
     Rule("hex", r"[0-9a-f]{32,}", 0, 32),
 )
 
+#: From the header of a key to its END line, if no other run of five dashes comes first; else through
+#: lines of headers and the base64 lines (line breaks may be written as backslash and n) that follow.
+_BREAK = r"(?:\x20|\x09)*+(?:\r?\n|\r|(?:\\r)?\\n)(?:\x20|\x09)*+"
+_PRIVATE_KEY = (
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:"
+    r"[^-]*+(?:-{1,4}+[^-]++)*+-----END [A-Z ]*PRIVATE KEY-----|"
+    rf"(?:{_BREAK}[A-Za-z-]++:\x20[^\r\n\\]*+)*+(?:{_BREAK})?+"
+    rf"(?:(?:{_BREAK}|\x20++)?+(?:[A-Za-z0-9+/]{{40,}}+={{0,2}}+|[A-Za-z0-9+/]++={{0,2}}+(?!\x20*+[^\x20\r\n\\\"'`])))*+)"
+)
+
 #: Further kinds of credentials with a recognisable form.
 MORE = (
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", _PRIVATE_KEY, block=True),
     Rule("bearer", r"(?i:bearer)\x20+[A-Za-z0-9._~+/=-]{20,}"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
     Rule("code_host", r"gh[pousr]_[A-Za-z0-9]{36,}"),
@@ -276,11 +288,11 @@ def redact(docs: DataFrame, rules: Sequence[Rule] = BASE + MORE, id: str = "doc_
     """The same rows and columns; each secret in the text is replaced by its kind in brackets.
     `length` names a column that holds the number of characters, to follow.
 
-    Rules apply in their order, each to the text that the earlier ones left, so
-    overlapping secrets end in one mark.
+    Rules of blocks apply first, then the others in their order, each to the text that the
+    earlier ones left, so overlapping secrets end in one mark.
     """
     rows, wanted = _gated(docs, rules, id, text, carry=True)
-    for n, r in enumerate(rules):
+    for r in sorted(rules, key=lambda r: not r.block):
         rows = _matched(rows, [r], wanted)
         marked = F.zip_with("whole0", "group0" if r.group else "whole0",
                             lambda w, g: F.when(F.length(g) >= r.least, F.lit(f"[{r.kind}]")).otherwise(w))
