@@ -360,3 +360,17 @@ def test_whole_private_keys_are_replaced(spark):
     spans = {r.doc_id: [tuple(s) for s in r.spans] for r in secrets.scan(df).collect()}
     assert spans == {i: brute.secret_spans(t, ALL_RULES) for i, (t, _) in enumerate(cases)}
     assert secrets.trigram_query(secrets.MORE[0].pattern) == secrets.trigram_query("-----BEGIN [A-Z ]*PRIVATE KEY-----")
+
+
+# ---- texts in scripts that no label covers ----------------------------------------------
+
+
+def test_texts_unlike_all_learned_languages_stay(spark):
+    """Against a random profile about half of the cosines are below 0."""
+    rng = random.Random(9)
+    rows = [(i, "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(80))) for i in range(60)] + [(100, "123 !"), (101, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    profile = np.random.default_rng(2).choice([-1.0, 1.0], size=(1, language_id.DIM)) / np.sqrt(language_id.DIM)
+    model = (["xx"], profile)
+    kept = {r.doc_id for r in language_id.keep_identified(df, model).collect()}
+    assert kept == {r.doc_id for r in language_id.identify(df, model).collect() if r.lang_pred != language_id.UNKNOWN} == set(range(60))

@@ -145,8 +145,8 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], id: str = "do
 
 
 def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text") -> DataFrame:
-    """The rows, all their columns, whose text resembles a learned language; `und` ones and those
-    whose best cosine is not above 0 go."""
+    """The rows, all their columns, whose text `identify` gives a language, however little it
+    resembles that; only `und` ones go."""
     codes, profiles = model
     place = docs.columns.index(text)
 
@@ -155,7 +155,7 @@ def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray], text:
         for batch in batches:
             texts, kept = batch.column(place).to_pylist(), []
             for begin, end in text_slices(texts):
-                kept.append((profiler.bundles(texts[begin:end]) @ profiles.T).max(axis=1, initial=0) > 0)
+                kept.append(profiler.bundles(texts[begin:end]).any(axis=1) & bool(codes))
             if kept:
                 yield batch.filter(pa.array(np.concatenate(kept)))
 
