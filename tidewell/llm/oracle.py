@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewell.llm import license_scan, secrets
+from tidewell.llm import license_scan, mean_order_clusters, secrets, vector_codes, whole_vectors
 
 SQL: dict[str, str] = {}
 
@@ -119,3 +119,68 @@ def _secrets_sql() -> str:
 
 
 SQL["op8_secret_scan"] = _secrets_sql()
+
+
+def _usable(dim: str, most: str) -> str:
+    return (f"len(embedding) = {dim} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x) OR abs(x) > {most})) = 0")
+
+
+#: Squared distance of whole numbers held as doubles; exact below 2^53.
+_APART = "(list_dot_product(x.v, x.v) - 2 * list_dot_product(x.v, c.v) + list_dot_product(c.v, c.v))::BIGINT"
+
+
+def _rounds(keys: str, size: int, rounds: int) -> str:
+    """From `points` (r, keys, v) and `centres0` (keys, c, v): `near{n}` and the next `centres`, `rounds` times, and a last `near`."""
+    on = " AND ".join(f"x.{k} = c.{k}" for k in keys.split()) or "true"
+    named = "".join(f"{k}, " for k in keys.split())
+    full = "".join(f"x.{k}, " for k in keys.split())
+    using = "(" + named + "c)"
+    steps = []
+    for n in range(rounds + 1):
+        steps.append(f"near{n} AS MATERIALIZED (SELECT r, {full}any_value(x.v) AS v, min({_APART} * {size} + c.c) AS m "
+                     f"FROM points x JOIN centres{n} c ON {on} GROUP BY {full}r)")
+        if n < rounds:
+            steps.append(f"""
+    means{n} AS (SELECT {named}c, list(floor(total / n) ORDER BY place) AS v
+        FROM (SELECT {named}c, place, sum(x) AS total, count(*) AS n
+              FROM (SELECT {named}m % {size} AS c, unnest(v) AS x, generate_subscripts(v, 1) AS place FROM near{n}) GROUP BY {named}c, place)
+        GROUP BY {named}c),
+    centres{n + 1} AS MATERIALIZED (SELECT {named}c, coalesce(b.v, a.v) AS v FROM centres{n} a LEFT JOIN means{n} b USING {using})""")
+    return ",\n    ".join(steps)
+
+
+def _clusters_sql(n: int = mean_order_clusters.CLUSTERS, rounds: int = mean_order_clusters.ROUNDS, dim: int = mean_order_clusters.DIM) -> str:
+    return f"""
+    WITH points AS MATERIALIZED (
+        SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+        FROM embeddings WHERE {_usable(dim, whole_vectors.largest(dim) // 256)}),
+    centres0 AS MATERIALIZED (
+        SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS c, v FROM points WHERE vec_id IS NOT NULL
+        ORDER BY c LIMIT {n}),
+    {_rounds("", n, rounds)}
+    SELECT p.vec_id, (m % {n})::INTEGER AS cluster, m // {n} AS distance, (sum(m // {n}) OVER (PARTITION BY m % {n}))::BIGINT AS cluster_inertia,
+           (sum(m // {n}) OVER ())::BIGINT AS inertia, sha256(array_to_string(list_transform(c.v, lambda x: x::BIGINT), ',')) AS centroid_sha256
+    FROM near{rounds} JOIN points p USING (r) JOIN centres{rounds} c ON c.c = m % {n}"""
+
+
+def _codes_sql(parts: int = vector_codes.PARTS, n: int = vector_codes.ENTRIES, rounds: int = vector_codes.ROUNDS) -> str:
+    return f"""
+    WITH size AS (
+        SELECT len(embedding) AS dim, sqrt(4611686018427387904 // len(embedding)) / 512 AS most FROM embeddings
+        WHERE len(embedding) > 0 AND len(embedding) % {parts} = 0 GROUP BY 1, 2 ORDER BY count(*) DESC, 1 LIMIT 1),
+    kept AS MATERIALIZED (
+        SELECT row_number() OVER () AS r, vec_id, label, dim // {parts} AS w, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+        FROM embeddings, size WHERE {_usable("dim", "most")}),
+    points AS MATERIALIZED (SELECT r, p, v[p * w + 1 : p * w + w] AS v FROM kept, range({parts}) t(p)),
+    first AS (SELECT r, row_number() OVER (ORDER BY vec_id, v) - 1 AS c FROM kept WHERE vec_id IS NOT NULL ORDER BY c LIMIT {n}),
+    centres0 AS MATERIALIZED (SELECT p, c, v FROM points JOIN first USING (r)),
+    {_rounds("p", n, rounds)},
+    coded AS (
+        SELECT r, string_agg(printf('%02x', (m % {n})::INTEGER), '' ORDER BY p) AS code, sum(m // {n})::BIGINT AS error FROM near{rounds} GROUP BY r)
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+           (SELECT sha256(string_agg(array_to_string(list_transform(v, lambda x: x::BIGINT), ','), ',' ORDER BY p, c)) FROM centres{rounds}) AS codebooks_sha256
+    FROM coded JOIN kept USING (r)"""
+
+
+SQL["op12_centroid_clustering"] = _clusters_sql()
+SQL["op13_vector_codes"] = _codes_sql()

@@ -7,13 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import bpe, embedding_dedup, language_id, license_scan, mixing, ngram_join, nn_descent, secrets, toxicity, url_filter
+from tidewell.llm import (bpe, embedding_dedup, language_id, license_scan, mean_order_clusters, mixing, ngram_join, nn_descent, piece_bpe, secrets,
+                          toxicity, url_filter, vector_codes)
 from tidewell.llm.common import col, remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 
 
 def query(fn: Query) -> Query:
@@ -84,3 +86,24 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = language_id.learn(docs, remainder(col("doc_id"), 4) != 2)
     return language_id.identify(docs, model).select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = piece_bpe.read_vocabulary(public_tokenizers.path(PIECES))
+    encoded = piece_bpe.encode(documents(spark, sf_dir), vocabulary)
+    return piece_bpe.digests(piece_bpe.decode(encoded, vocabulary))
+
+
+@query
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings")
+    model = mean_order_clusters.fit(embeddings)
+    return mean_order_clusters.digests(mean_order_clusters.assign(embeddings, model), model)
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    forest = vector_codes.plant(table(spark, sf_dir, "embeddings"))
+    books = vector_codes.fit(forest)
+    return vector_codes.digests(vector_codes.encode(forest, books), books)
