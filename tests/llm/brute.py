@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter, defaultdict
 
@@ -74,3 +75,48 @@ def best_segments(scores):
     _, i, j = best
     left, right = best_segments(scores[:i]), best_segments(scores[j:])
     return left + [(i, j, best[0])] + [(a + j, b + j, s) for a, b, s in right]
+
+
+def whole_vector(v):
+    return np.floor(256 * np.array(v, dtype=np.float64)).astype(np.int64)
+
+
+def refined(points, centres, rounds):
+    """Nearest centres and floors of means, `rounds` times; then nearest centres: (centres, numbers, squared distances)."""
+    points, centres = np.array(points), np.array(centres)
+    for last in [False] * rounds + [True]:
+        apart = ((points[:, None] - centres[None]) ** 2).sum(axis=2)
+        number = apart.argmin(axis=1)
+        if last:
+            return centres, number, apart.min(axis=1)
+        for c in range(len(centres)):
+            own = points[number == c]
+            if len(own):
+                centres[c] = own.sum(axis=0) // len(own)
+
+
+def clusters(rows, n, rounds):
+    """Rows of (id, cluster, distance, cluster_inertia, inertia, centroid_sha256), sorted."""
+    kept = [(i, whole_vector(v)) for i, v in rows]
+    first = sorted((hashlib.sha256(f"2:{i}".encode()).hexdigest(), v.tolist()) for i, v in kept)[:n]
+    centres, number, far = refined([v for _, v in kept], [v for _, v in first], rounds)
+    named = [hashlib.sha256(",".join(map(str, c.tolist())).encode()).hexdigest() for c in centres]
+    return sorted((i, int(c), int(d), int(far[number == c].sum()), int(far.sum()), named[c]) for (i, _), c, d in zip(kept, number, far))
+
+
+def codes(rows, parts, entries, rounds):
+    """Rows of (id, code, error, label_error, codebooks_sha256), sorted."""
+    kept = [(i, whole_vector(v).reshape(parts, -1), label) for i, v, label in rows]
+    first = sorted((i, v.ravel().tolist()) for i, v, _ in kept)[:entries]
+    code, error, books = [""] * len(kept), np.zeros(len(kept), dtype=np.int64), []
+    for p in range(parts):
+        start = [np.array(v).reshape(parts, -1)[p] for _, v in first]
+        centres, number, far = refined([v[p] for _, v, _ in kept], start, rounds)
+        books += centres.ravel().tolist()
+        error += far
+        code = [a + f"{b:02x}" for a, b in zip(code, number)]
+    of_label = Counter()
+    for (_, _, label), e in zip(kept, error):
+        of_label[label] += int(e)
+    sha = hashlib.sha256(",".join(map(str, books)).encode()).hexdigest()
+    return sorted((i, c, int(e), of_label[label], sha) for (i, _, label), c, e in zip(kept, code, error))

@@ -15,12 +15,16 @@ the two of them alone gives these two again. So a word is read from left to righ
   replaced by its next shorter prefix. A failed place is never entered again, so a word of
   any length takes steps in proportion to its length.
 
-Compatibility is found by merging the two pieces anew, and remembered (at most `PAIRS`).
-Pieces that their own merges do not give can never occur and take no part.
+Compatibility is found by merging the two pieces anew: each goes through its own merges,
+of which those that change its part at the border are kept with the lowest score on the way
+there; whichever side waits for less goes on, and if at any time the two parts at the border
+score higher than that, they would merge and the pieces don't go together. Answers are
+remembered (at most `PAIRS`). Pieces that their own merges do not give can never occur and
+take no part.
 
 No piece holds a blank after another character, so a text falls into words (a run of blanks
-and what follows it) that are encoded on their own; a task remembers those it has met (at
-most `CACHE`, then it starts anew). Nothing is shuffled or sent to the driver: an encoding is
+and what follows it) that are encoded on their own; a task remembers those it has met last (about
+`CACHE` to twice as many). Nothing is shuffled or sent to the driver: an encoding is
 one pass over the texts, and a task that is lost is simply run again.
 
 Defined cases: a null text is the empty text, which has the end id alone; whole texts are
@@ -32,6 +36,7 @@ drops the blank in front; bytes that form no character become U+FFFD; null ids s
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -45,8 +50,8 @@ from pyspark.sql import functions as F
 from tidewell.llm.common import col
 
 BLANK = "▁"
-#: Words and pairs of pieces that a task remembers, and the longest word it does.
-CACHE, PAIRS, LONGEST = 100_000, 500_000, 40
+#: Words and pairs of pieces that a task remembers, and the longest such word.
+CACHE, PAIRS, LONGEST = 200_000, 500_000, 40
 #: Characters after which a long text is cut at the next word.
 CUT = 1 << 18
 _WORD = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
@@ -57,10 +62,11 @@ _NEXT_WORD = re.compile(f"(?<=[^{BLANK}]){BLANK}")
 class Vocabulary:
     """What a model file says; some megabytes at most, whatever the corpus."""
 
-    scores: dict[str, float]  # of pieces that merges can give
+    scores: dict[str, float]
     ids: dict[str, int]
     bytes: list[int]  # the ids of the 256 byte pieces, or empty
     surface: list[bytes | None] = field(repr=False)  # what an id decodes to; None: a byte piece
+    shorter: dict[str, str | None] = field(repr=False)  # of pieces that occur, the longest such piece that is a proper prefix
     unknown: int = 0
     end: int = 2
 
@@ -86,7 +92,9 @@ def read_vocabulary(path: str) -> Vocabulary:
             scores[piece], ids[piece] = model.get_score(i), i
     if any(_NEXT_WORD.search(p) or any(c not in ids for c in p) for p in scores):
         raise ValueError("a piece spans two words or holds a character that is no piece")
-    return Vocabulary(scores, ids, in_bytes if any(in_bytes) else [], surface, model.unk_id(), model.eos_id())
+    occur = {p for p in ids if len(p) == 1 or merged(p, scores) == [p]}
+    shorter = {p: next((p[:n] for n in range(len(p) - 1, 0, -1) if p[:n] in occur), None) for p in occur}
+    return Vocabulary(scores, ids, in_bytes if any(in_bytes) else [], surface, shorter, model.unk_id(), model.eos_id())
 
 
 def merged(text: str, scores: dict[str, float]) -> list[str]:
@@ -104,79 +112,142 @@ def merged(text: str, scores: dict[str, float]) -> list[str]:
     return parts
 
 
+def border(piece: str, scores: dict[str, float], last: bool) -> tuple[list[str], list[float]]:
+    """The last (else first) part of a piece before and after each of its merges that changes it, and
+    for each of these parts the lowest score among the merges up to the next; minus infinity for the whole."""
+    parts, held, lowest, least = list(piece), [], [], float("inf")
+    end = -1 if last else 0
+    held.append(parts[end])
+    while len(parts) > 1:
+        ranked = [(-scores.get(parts[i] + parts[i + 1], -float("inf")), i) for i in range(len(parts) - 1)]
+        score, i = min(ranked)
+        least = min(least, -score)
+        parts[i:i + 2] = [parts[i] + parts[i + 1]]
+        if parts[end] != held[-1]:
+            held.append(parts[end])
+            lowest.append(least)
+            least = float("inf")
+    return held, [*lowest, -float("inf")]
+
+
 class Encoder:
     """Encodes words; one per task."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.v, self.pairs = vocabulary, {}
+        self.v, self.ends, self.starts = vocabulary, {}, {}
+        self.pairs: dict[str, dict[str, bool]] = defaultdict(dict)
+        self.known = 0
+        self.codes = {p: _codes([i]) for p, i in vocabulary.ids.items()}
         self.automaton = ahocorasick.Automaton()
-        self.pieces = {p for p in vocabulary.ids if len(p) == 1 or merged(p, vocabulary.scores) == [p]}
-        self.shorter: dict[str, str | None] = {}  # the longest piece that is a proper prefix
-        for p in self.pieces:
-            self.automaton.add_word(p, p)
-            self.shorter[p] = next((p[:n] for n in range(len(p) - 1, 0, -1) if p[:n] in self.pieces), None)
-        if self.pieces:
+        for p in vocabulary.ids:
+            if p in vocabulary.shorter:
+                self.automaton.add_word(p, len(p) - 1)
+        if len(self.automaton):
             self.automaton.make_automaton()
+        self.odd = re.compile(f"[^{re.escape(''.join(c for c in vocabulary.ids if len(c) == 1))}]")
 
     def compatible(self, left: str, right: str) -> bool:
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) >= PAIRS:
-                self.pairs.clear()
-            known = self.pairs[left, right] = merged(left + right, self.v.scores) == [left, right]
-        return known
+        """Whether merging the two together gives the two again."""
+        scores = self.v.scores
+        if left not in self.ends:
+            self.ends[left] = border(left, scores, True)
+        if right not in self.starts:
+            self.starts[right] = border(right, scores, False)
+        (lefts, wait_left), (rights, wait_right) = self.ends[left], self.starts[right]
+        i = j = 0
+        while True:
+            score = scores.get(lefts[i] + rights[j])
+            a, b = wait_left[i], wait_right[j]
+            if a >= b:  # of equal scores the merge on the left comes first
+                if score is not None and score > a:
+                    return False
+                if a == -float("inf"):
+                    return True
+                i += 1
+            else:
+                if score is not None and score >= b:
+                    return False
+                j += 1
 
     def segment(self, word: str) -> list[str]:
         """The pieces of a string all of whose characters are pieces."""
-        if word in self.pieces:
+        shorter = self.v.shorter
+        if word in shorter:
             return [word]
-        longest: list[str] = [""] * len(word)
-        for last, piece in self.automaton.iter(word):
-            longest[last + 1 - len(piece)] = piece  # a later end is a longer piece
-        open_ = bytearray(b"\x01") * (len(word) + 1)  # the bitfield: 0 for places from which no way leads to the end
+        size = len(word)
+        ends = [0] * size
+        for last, back in self.automaton.iter(word):
+            ends[last - back] = last + 1  # a later end is a longer piece
+        failed = None  # the bitfield: places from which no way leads to the end, once there are any
         taken: list[str] = []
-        at, piece = 0, longest[0]
-        while at < len(word):
-            before = taken[-1] if taken else None
-            while piece is not None and not (open_[at + len(piece)] and (before is None or self.compatible(before, piece))):
-                piece = self.shorter[piece]
+        at, piece, after = 0, word[:ends[0]], None
+        while at < size:
+            while piece is not None:
+                if failed is None or not failed[at + len(piece)]:
+                    if after is None:
+                        break
+                    fits = after.get(piece)
+                    if fits is None:
+                        fits = after[piece] = self.compatible(taken[-1], piece)
+                        self.known += 1
+                    if fits:
+                        break
+                piece = shorter[piece]
             if piece is not None:
                 taken.append(piece)
+                after = self.pairs[piece]
                 at += len(piece)
-                piece = longest[at] if at < len(word) else None
+                if at < size:
+                    piece = word[at:ends[at]]
             else:
-                open_[at] = 0
-                at -= len(before)
-                piece = self.shorter[taken.pop()]
+                failed = failed or bytearray(size + 1)
+                failed[at] = 1
+                at -= len(taken[-1])
+                piece = shorter[taken.pop()]
+                after = self.pairs[taken[-1]] if taken else None
+        if self.known > PAIRS:
+            self.pairs.clear()
+            self.known = 0
         return taken
 
-    def word(self, word: str) -> list[int]:
-        """Ids of any string; characters that are no pieces part it, as nothing merges with them."""
-        ids, out, begin = self.v.ids, [], 0
-        for i, c in enumerate(word):
-            if c not in ids:
-                if begin < i:
-                    out += map(ids.__getitem__, self.segment(word[begin:i]))
-                out += [self.v.bytes[b] for b in c.encode()] if self.v.bytes else [self.v.unknown]
-                begin = i + 1
+    def word(self, word: str) -> bytes:
+        """Ids of any string, 4 bytes each; characters that are no pieces part it, as nothing merges with them."""
+        if self.odd.search(word) is None:
+            return b"".join(map(self.codes.__getitem__, self.segment(word)))
+        out, begin = [], 0
+        for m in self.odd.finditer(word):
+            i = m.start()
+            if begin < i:
+                out += map(self.codes.__getitem__, self.segment(word[begin:i]))
+            out.append(_codes([self.v.bytes[b] for b in word[i].encode()] if self.v.bytes else [self.v.unknown]))
+            begin = i + 1
         if begin < len(word):
-            out += map(ids.__getitem__, self.segment(word[begin:]))
-        return out
+            out += map(self.codes.__getitem__, self.segment(word[begin:]))
+        return b"".join(out)
+
+
+def _codes(ids: list[int]) -> bytes:
+    return np.array(ids, dtype="<i4").tobytes()
 
 
 class _Words(dict):
-    """Word to its ids, 4 bytes each; made when first asked for."""
+    """Word to its ids, 4 bytes each; made when first asked for. Words asked for since the last
+    `turn` but one are remembered."""
 
     def __init__(self, encoder: Encoder):
         super().__init__()
-        self.encoder = encoder
+        self.encode, self.before = encoder.word, {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.encoder.word(word), dtype="<i4").tobytes()
+        ids = self.before.get(word) or self.encode(word)
         if len(word) <= LONGEST:
             self[word] = ids
         return ids
 
+    def turn(self) -> None:
+        self.before = dict(self)
+        self.clear()
+
 
 def cuts(text: str) -> Iterator[str]:
     """The text with its blanks marked, in stretches that begin with a word."""
@@ -205,7 +276,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, id: str = "doc_id", text: st
                     for stretch in cuts(whole):
                         parts.append(b"".join(map(words.__getitem__, _WORD.findall(stretch))))
                         if len(words) > CACHE:
-                            words.clear()
+                            words.turn()
                     parts.append(last)
                     out += parts
                     lengths.append(sum(map(len, parts)) // 4)
@@ -253,6 +324,7 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, id: str = "doc_id", ids:
     values = {i: b for b, i in enumerate(vocabulary.bytes)}
     surface = vocabulary.surface
     plain = [bytes([values[i]]) if s is None else s for i, s in enumerate(surface)]
+    silent = [i for i, s in enumerate(surface) if s == b""]  # end a run of bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -265,6 +337,8 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, id: str = "doc_id", ids:
                 try:
                     text = b"".join(map(plain.__getitem__, numbers)).decode()
                 except UnicodeDecodeError:
+                    text = None
+                if text is None or any(i in numbers[:-1] for i in silent):
                     text = text_of(numbers, surface, values)
                 out.append(without_front(text, numbers, vocabulary))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=["id", "ids", "decoded"])
