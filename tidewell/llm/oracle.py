@@ -101,7 +101,7 @@ def _secrets_sql() -> str:
     rules, base = secrets.BASE + secrets.MORE, secrets.BASE
     matched, spans = [], []
     for n, r in enumerate(rules):
-        pattern = r.pattern.replace("'", "''")
+        pattern = secrets.without_possessives(r.pattern).replace("'", "''")
         matched.append(f"regexp_extract_all(t, '{pattern}', 0) AS w{n}, regexp_extract_all(t, '{pattern}', {r.group}) AS g{n}, "
                        f"string_split_regex(t, '{pattern}') AS b{n}")
         spans.append(f"list_transform(list_filter(range(1, len(w{n}) + 1), lambda i: length(g{n}[i]) >= {r.least}), lambda i: {{"

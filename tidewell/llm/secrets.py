@@ -22,6 +22,7 @@ rows give repeated results; whole texts count, of any length.
 
 from __future__ import annotations
 
+import re
 import re._constants as parsed
 import re._parser as parser
 from collections.abc import Callable, Sequence
@@ -59,15 +60,23 @@ BASE = (
 )
 
 #: From the header of a key to its END line, if no other run of five dashes comes first; else through
-#: lines of headers and the base64 lines (line breaks may be written as backslash and n) that follow.
+#: lines of headers, the base64 lines (line breaks may be written as backslash and n) that follow, and one
+#: shorter last line: with its padding, or with what ends the line.
 _BREAK = r"(?:\x20|\x09)*+(?:\r?\n|\r|(?:\\r)?\\n)(?:\x20|\x09)*+"
 _PRIVATE_KEY = (
     r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:"
     r"[^-]*+(?:-{1,4}+[^-]++)*+-----END [A-Z ]*PRIVATE KEY-----|"
     rf"(?:{_BREAK}[A-Za-z-]++:\x20[^\r\n\\]*+)*+(?:{_BREAK})?+"
-    rf"(?:(?:{_BREAK}|\x20++)?+(?:[A-Za-z0-9+/]{{40,}}+={{0,2}}+|[A-Za-z0-9+/]++={{0,2}}+(?!\x20*+[^\x20\r\n\\\"'`])))*+)"
+    rf"(?:(?:{_BREAK}|\x20++)?+[A-Za-z0-9+/]{{40,}}+={{0,2}}+)*+"
+    rf"(?:(?:{_BREAK}|\x20++)?+[A-Za-z0-9+/]{{1,39}}+(?:={{1,2}}+|\x20*+(?:\r?\n|\r|(?:\\r)?\\n|[\"'`]|$)))?+)"
 )
 
+
+def without_possessives(pattern: str) -> str:
+    """The same language for engines that have no possessive repeats and do not backtrack: they only save steps here."""
+    return re.sub(r"([*+?}])\+", r"\1", pattern)
+
+
 #: Further kinds of credentials with a recognisable form.
 MORE = (
     Rule("private_key", _PRIVATE_KEY, block=True),
