@@ -51,7 +51,7 @@ class Profiler:
         self.first, self.second, self.third = np.roll(letters, 2, axis=1), np.roll(letters, 1, axis=1), letters
         self.table = np.array([_symbol(c) for c in range(1 << 16)], dtype=np.uint8)
         self.row = np.full(SYMBOLS ** 3, -1, dtype=np.int32)
-        self.vectors = np.empty((1024, dim), dtype=np.float32)
+        self.vectors = np.empty((1024, dim), dtype=np.int8)
         self.n = 0
 
     def symbols(self, text: str) -> np.ndarray:
@@ -83,7 +83,7 @@ class Profiler:
                 continue
             codes, counts = np.unique((s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:], return_counts=True)
             rows = self.rows(codes)  # may grow the table of vectors
-            out[i] = counts.astype(np.float32) @ self.vectors[rows]
+            out[i] = counts.astype(np.float32) @ self.vectors[rows].astype(np.float32)
         return out
 
 
@@ -121,6 +121,15 @@ def learn(docs: DataFrame, usable: Column, id: str = "doc_id", text: str = "text
     return codes, unit(np.array([profiles[c] for c in codes], dtype=np.float64).reshape(len(codes), DIM))
 
 
+def predicted(profiler: Profiler, texts: list[str | None], codes: list[str], profiles: np.ndarray) -> tuple[list[str | None], list[float]]:
+    """The language of largest cosine and that cosine, not below 0; none for a text without a letter."""
+    bundles = profiler.bundles(texts)
+    known, cosines = bundles.any(axis=1), unit(bundles) @ profiles.T
+    best = cosines.argmax(axis=1)
+    scores = np.where(known, np.clip(cosines[np.arange(len(best)), best], 0, 1), 0.0)
+    return [codes[b] if k else None for b, k in zip(best, known)], scores.tolist()
+
+
 def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: id, lang_pred, score (the cosine, not below 0)."""
     codes, profiles = model
@@ -130,12 +139,9 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], id: str = "do
         for batch in batches:
             texts, langs, scores = batch.column(1).to_pylist(), [], []
             for begin, end in text_slices(texts):
-                bundles = profiler.bundles(texts[begin:end])
-                known = bundles.any(axis=1) & bool(codes)
-                cosines = unit(bundles) @ profiles.T if codes else np.zeros((end - begin, 1))
-                best = cosines.argmax(axis=1)
-                langs += [codes[b] if k else UNKNOWN for b, k in zip(best, known)]
-                scores += np.where(known, np.clip(cosines[np.arange(len(best)), best], 0, 1), 0.0).tolist()
+                found = predicted(profiler, texts[begin:end], codes, profiles) if codes else ([None] * (end - begin), [0.0] * (end - begin))
+                langs += [UNKNOWN if x is None else x for x in found[0]]
+                scores += found[1]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                                              names=["id", "lang_pred", "score"])
 
@@ -144,22 +150,28 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], id: str = "do
     return rows.mapInArrow(run, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id)
 
 
-def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text") -> DataFrame:
-    """The rows, all their columns, whose text `identify` gives a language, however little it
-    resembles that; only `und` ones go."""
+def keep_identified(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows, all their columns, whose text `identify` gives a language; only `und` ones go. A null
+    `lang` becomes the language identified, a value that is there stays. Where nothing could be
+    learned, the rows whose text has a letter stay as they are. Only the text is handed to Python.
+    """
     codes, profiles = model
-    place = docs.columns.index(text)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("string")
+    def named(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         profiler = Profiler()
-        for batch in batches:
-            texts, kept = batch.column(place).to_pylist(), []
+        for column in columns:
+            langs: list[str] = []
+            texts = column.to_pylist()
             for begin, end in text_slices(texts):
-                kept.append(profiler.bundles(texts[begin:end]).any(axis=1) & bool(codes))
-            if kept:
-                yield batch.filter(pa.array(np.concatenate(kept)))
-
-    return docs.mapInArrow(run, docs.schema)
+                langs += predicted(profiler, texts[begin:end], codes or [UNKNOWN], profiles if codes else np.ones((1, DIM)))[0]
+            # An empty string tells a text with a letter, where nothing is learned, from one without.
+            yield pa.array([None if x is None else x if codes else "" for x in langs], pa.string())
+
+    once = named.asNondeterministic()  # the filter below doesn't compute it again
+    with_name = docs.select(F.struct("*").alias("row"), once(col(text)).alias("named")).where("named is not null")
+    filled = {lang: F.coalesce(F.col("row").getField(lang), F.nullif("named", F.lit("")))} if lang in docs.columns else {}
+    return with_name.select(*[filled.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def held_out(id: str = "doc_id") -> Column:
