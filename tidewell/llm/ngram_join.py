@@ -9,18 +9,24 @@ under one common order of all tokens share a token. The first order is by freque
 rarest first: counts of all tokens are kept in a table of `2^bits` counters (its size
 is bounded whatever the corpus; tokens that share a counter are ranked by their sum),
 ties by fingerprint. Only prefix tokens are shuffled. Pairs must also pass the length filter and
-the positional filter. The other orders are by seeded hashes: before two sets are
-compared in full, their prefixes under each of these must meet as well.
-
-Hot tokens. A token's sets are never paired off at once. First each set is compared
-with one set of each of its tokens, the least; links give components. Of tokens whose
-sets lie in several components and are more than `FEW`, each set is then compared,
-`ROUNDS` times, with sets chosen by `PIVOTS` hashes, as long as one in twenty links. Only
-what is then left in several components is joined with itself, across components: a pair within one is known
-to be connected. So a large group of near copies costs some comparisons for each row, and
-no link between different components is lost. Components, not all links, are the result.
-
-Texts meet only for candidate pairs, by joins on the id of one text of each class.
+the positional filter. The other orders are by seeded hashes: a set carries, for each of `ORDERS`, its
+prefix as a bitmap of `BITS` bits, and a candidate pair whose bitmaps do not meet under every order
+goes before any text is fetched. A bitmap may let a pair pass, but never drops one that links.
+
+Hot tokens. A token's sets are never paired off at once. In a round, each token names one of
+its sets, of the component of most sets, chosen by a hash that changes with the round; each set
+is compared with the one that most of its tokens name, if that lies in another component. So a
+round has at most one pair for each set that is not yet in its tokens' largest component. Links
+give components, and tokens whose sets lie in one component are done. The first round takes all
+tokens that several sets share; the next, up to `ROUNDS`, those of more than `FEW` sets, as long as
+one pair in twenty links. Only what is then left in several components is joined with
+itself, across components: a pair within one is known to be connected. So a large group of
+near copies costs some comparisons for each row, and no link between different components is
+lost. Components, not all links, are the result.
+
+Texts meet only for candidate pairs, by joins on the id of one text of each class. Tokens are
+counted by aggregations, which tasks begin before the shuffle, and joined back without a hint,
+so Spark can split a hot one.
 
 Defined cases: null, empty and wordless texts have no tokens and link with nothing; a
 null id has a set size, but no component and no links; rows that share an id are one
@@ -35,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import LOWER, UPPER, checkpointed, col, staged
@@ -44,8 +50,10 @@ from tidewell.llm.graph import components
 WIDTH = 5
 #: The threshold as a fraction of whole numbers: 100 * common >= 75 * union.
 SHARE = (75, 100)
-#: Rounds in which sets of a hot token are compared with a few of its sets, and how many in each.
-ROUNDS, PIVOTS, FEW = 3, 6, 4
+#: Rounds in which each set is compared with one set; tokens of at most `FEW` sets take part in the first alone.
+ROUNDS, FEW = 8, 4
+#: Seeded orders beside the first, and the bits in which a set carries its prefix under each.
+ORDERS, BITS = 2, 512
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _MASK = (1 << 64) - 1
 _CHUNK = 1 << 16
@@ -120,15 +128,28 @@ def prefix_length(n: int) -> int:
     return n - (SHARE[0] * n + SHARE[1] - 1) // SHARE[1] + 1
 
 
-def similar(a: np.ndarray, b: np.ndarray, orders: int = 2) -> bool:
-    """Prefix filters under the seeded orders, then the exact comparison."""
+def bitmaps(tokens: np.ndarray) -> np.ndarray:
+    """The prefixes under the seeded orders, `BITS` bits each, as 64-bit words."""
+    n, held = prefix_length(len(tokens)), np.zeros(ORDERS * BITS, dtype=bool)
+    for seed in range(ORDERS):
+        ranked = mixed(tokens, 200 + seed)
+        held[seed * BITS + (np.partition(ranked, n - 1)[:n] % np.uint64(BITS)).astype(np.int64)] = True
+    return np.packbits(held, bitorder="little").view("<i8")
+
+
+def _meet(a: Column, b: Column) -> Column:
+    """Whether two sets' bitmaps share a bit under each of the seeded orders."""
+    words, met = BITS // 64, F.lit(True)
+    for seed in range(ORDERS):
+        own = lambda c: F.slice(c, seed * words + 1, words)  # noqa: B023, E731
+        met = met & F.exists(F.zip_with(own(a), own(b), lambda x, y: x.bitwiseAND(y)), lambda x: x != 0)
+    return met
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """The exact comparison."""
     if SHARE[1] * min(len(a), len(b)) < SHARE[0] * max(len(a), len(b)):
         return False
-    for seed in range(orders):
-        x, y = mixed(a, 200 + seed), mixed(b, 200 + seed)
-        p, q = prefix_length(len(a)), prefix_length(len(b))
-        if not len(np.intersect1d(np.partition(x, p - 1)[:p], np.partition(y, q - 1)[:q], assume_unique=True)):
-            return False
     common = len(np.intersect1d(a, b, assume_unique=True))
     return SHARE[1] * common >= SHARE[0] * (len(a) + len(b) - common)
 
@@ -168,13 +189,14 @@ def frequency_classes(texts: DataFrame, bits: int) -> np.ndarray:
 
 
 def token_sets(docs: DataFrame, classes: np.ndarray, kind: str) -> DataFrame:
-    """(id, n, set, print, prefix) of every row, `print` a hash of the text; the prefix only where the task meets the set first in a row with an id."""
+    """(id, n, set, print, prefix, orders) of every row, `print` a hash of the text; prefix and bitmaps
+    of the other orders only where the task meets the set first in a row with an id."""
     shift = np.uint64(65 - int(len(classes)).bit_length())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, met = Shingler(), set()
         for batch in batches:
-            sizes, prints, prefixes = [], [], []
+            sizes, prints, prefixes, orders = [], [], [], []
             named = batch.column(0).is_valid().to_pylist()
             for known, tokens in zip(named, shingler.sets(batch.column(1).to_pylist())):
                 sizes.append(len(tokens))
@@ -187,11 +209,13 @@ def token_sets(docs: DataFrame, classes: np.ndarray, kind: str) -> DataFrame:
                     rank = (classes[(tokens >> shift).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (mixed(tokens, 9) >> np.uint64(8))
                     first = np.argsort(rank)[: prefix_length(len(tokens))]
                 prefixes.append(tokens[first].tobytes() if new else None)
+                orders.append(bitmaps(tokens) if new else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()), batch.column(2),
-                                              pa.array(prefixes, pa.binary())], names=["id", "n", "set", "print", "prefix"])
+                                              pa.array(prefixes, pa.binary()), pa.array(orders, pa.list_(pa.int64()))],
+                                             names=["id", "n", "set", "print", "prefix", "orders"])
 
     hashed = docs.select("*", F.xxhash64(col(docs.columns[1])).alias("_print"))
-    return hashed.mapInArrow(run, f"id {kind}, n bigint, set bigint, print bigint, prefix binary")
+    return hashed.mapInArrow(run, f"id {kind}, n bigint, set bigint, print bigint, prefix binary, orders array<bigint>")
 
 
 def prefix_tokens(sets: DataFrame) -> DataFrame:
@@ -221,8 +245,10 @@ def _near_in_size(a: Column, b: Column) -> Column:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of sets that are similar. `docs`: id, text; `sets`: id, set, print."""
-    pairs = staged(pairs)
+    """The pairs (a, b) of sets that are similar. `docs`: id, text; `sets`: id, set, print, orders."""
+    marks = sets.where("orders is not null").select("set", "orders").dropDuplicates(["set"])
+    of = lambda side: marks.select(F.col("set").alias(side), F.col("orders").alias(f"of_{side}"))
+    pairs = staged(pairs.join(of("a"), "a").join(of("b"), "b").where(_meet(F.col("of_a"), F.col("of_b"))).select("a", "b"))
     wanted = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
     holders = sets.where("id is not null").groupBy("set").agg(F.min(F.struct("id", "print")).alias("of")).join(wanted, "set").select("set", "of.*")
     # Of the texts that share an id, the one meant.
@@ -257,13 +283,28 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInArrow(compare, "a bigint, b bigint")
 
 
-def _in_several(tokens: DataFrame, links: DataFrame) -> DataFrame:
-    """The rows, with their component `c` and how many sets the token has, of tokens whose sets lie in several."""
-    by_token = Window.partitionBy("token")
-    reached = components(links).withColumnsRenamed({"node": "set", "component": "c"})
-    marked = (tokens.join(reached, "set", "left").withColumn("c", F.coalesce("c", "set"))
-              .withColumns({"least": F.min("c").over(by_token), "most": F.max("c").over(by_token), "held": F.count("*").over(by_token)}))
-    return staged(marked.where("least < most").select("token", "set", "n", "at", "c", "held"))
+def _in_several(tokens: DataFrame, links: DataFrame | None) -> DataFrame:
+    """The rows of tokens whose sets lie in several components, with their component `c`, its size
+    `weight` and how many sets the token has, `held`."""
+    if links is None:
+        marked = tokens.withColumns({"c": F.col("set"), "weight": F.lit(1).cast("long")})
+    else:
+        reached = checkpointed(components(links).withColumnsRenamed({"node": "set", "component": "c"}))
+        sizes = reached.groupBy("c").agg(F.count("*").alias("weight"))
+        marked = (tokens.join(reached.join(sizes, "c"), "set", "left")
+                  .withColumns({"c": F.coalesce("c", "set"), "weight": F.coalesce("weight", F.lit(1))}))
+    several = marked.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("held")).where("low < high")
+    return staged(marked.join(several.select("token", "held"), "token").select("token", "set", "n", "at", "c", "weight", "held"))
+
+
+def _one_each(tokens: DataFrame, turn: int) -> DataFrame:
+    """(a, b): each set with the set that most of its tokens name, if that is in another component."""
+    order = F.struct((-F.col("weight")).alias("w"), (F.xxhash64(F.lit(turn), "set") if turn else F.col("set")).alias("h"), "set", "n", "c")
+    chosen = tokens.groupBy("token").agg(F.min(order).alias("p"))
+    named = (tokens.join(chosen, "token").where((F.col("c") != F.col("p.c")) & _near_in_size(F.col("n"), F.col("p.n")))
+             .groupBy("set", F.col("p.set").alias("other")).agg((-F.count("*")).alias("times")))
+    best = named.groupBy("set").agg(F.min(F.struct("times", "other")).alias("p"))
+    return best.select(F.least("set", "p.other").alias("a"), F.greatest("set", "p.other").alias("b")).distinct()
 
 
 def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -273,40 +314,31 @@ def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     bits = max(16, min(24, (16 * max(1, rows.count())).bit_length()))
     sets = staged(token_sets(rows, frequency_classes(rows.select("text"), bits), kind))
 
-    by_token = Window.partitionBy("token")
-    tokens = prefix_tokens(sets)
-    shared = staged(tokens.withColumns({"low": F.min(F.struct("set", "n")).over(by_token), "high": F.max("set").over(by_token)})
-                    .where("low.set < high").select("token", "set", "n", "at", "low"))
-    # Each set with the least set of each of its tokens.
-    stars = (shared.where((F.col("set") != F.col("low.set")) & _near_in_size(F.col("n"), F.col("low.n")))
-             .select(F.col("low.set").alias("a"), F.col("set").alias("b")).distinct())
-    links = staged(verified(stars, rows, sets))
-    # Tokens whose sets are still in several components, across these.
-    left_over = _in_several(shared.drop("low"), links)
-    few, hot = left_over.where(F.col("held") <= FEW), left_over.where(F.col("held") > FEW)
+    hot, few, links = _in_several(prefix_tokens(sets), None), None, None
     for turn in range(ROUNDS):
-        seed = F.pmod("token", F.lit(PIVOTS)) + turn * PIVOTS
-        chosen = F.min(F.struct(F.xxhash64(seed, "set").alias("h"), "set", "n", "c")).over(by_token)
-        stars = staged(hot.withColumn("p", chosen).where((F.col("c") != F.col("p.c")) & _near_in_size(F.col("n"), F.col("p.n")))
-                 .select(F.least("set", "p.set").alias("a"), F.greatest("set", "p.set").alias("b")).distinct())
-        asked = stars.count()
+        pairs = staged(_one_each(hot, turn))
+        asked = pairs.count()
         if not asked:
             break
-        new = staged(verified(stars, rows, sets))
+        new = staged(verified(pairs, rows, sets))
         found = new.count()
         if found:
-            links = links.union(new)
-            hot = _in_several(hot.drop("c", "held"), links)
+            links = new if links is None else links.union(new)
+            hot = _in_several(hot.drop("c", "weight", "held"), links)
+        if not turn:
+            few, hot = hot.where(F.col("held") <= FEW), hot.where(F.col("held") > FEW)
         if found * 20 < asked:  # most of what is left doesn't link
             break
-    left_over = few.unionByName(hot).drop("held")
-    x, y = left_over.alias("x"), left_over.alias("y")
+    if few is not None:
+        hot = few.unionByName(hot)
+    x, y = hot.alias("x"), hot.alias("y")
     need = F.ceil((F.col("x.n") + F.col("y.n")) * SHARE[0] / (SHARE[0] + SHARE[1]))
     bound = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
     across = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.set") < F.col("y.set")) & (F.col("x.c") != F.col("y.c"))
                      & _near_in_size(F.col("x.n"), F.col("y.n")) & (bound >= need))
               .select(F.col("x.set").alias("a"), F.col("y.set").alias("b")).distinct())
-    every = links.union(staged(verified(across, rows, sets)))
+    every = staged(verified(across, rows, sets))
+    every = every if links is None else links.union(every)
 
     members = sets.where("id is not null and set is not null").select("id", "set")
     of_sets = components(every).withColumnsRenamed({"node": "set", "component": "c"})
@@ -326,8 +358,9 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
     found = staged(near_copies(docs, id, text).select(F.col(id).alias("id"), "component_id").where("id is not null"))
     gone = found.where("component_id <> id").select("id").distinct()
     again = found.where("component_id = id").groupBy("id").count().where("count > 1").select("id")
-    once = docs.join(gone.union(again).withColumnRenamed("id", "_id"), col(id) == F.col("_id"), "left_anti")
-    several = docs.join(again.withColumnRenamed("id", "_id"), col(id) == F.col("_id"), "left_semi")
-    order = Window.partitionBy(col(id)).orderBy(F.xxhash64(*[col(c) for c in docs.columns]))
-    first = several.select(F.struct("*").alias("_row"), F.row_number().over(order).alias("_n")).where("_n = 1")
-    return once.unionByName(first.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns]))
+    rows = docs.select(F.struct("*").alias("row"), col(id).alias("key"))  # the columns of `docs` clash with nothing
+    once = rows.join(gone.union(again).withColumnRenamed("id", "key"), "key", "left_anti")
+    several = rows.join(again.withColumnRenamed("id", "key"), "key", "left_semi")
+    whole = lambda row: F.xxhash64(*[row.getField(c) for c in docs.columns])
+    first = several.groupBy("key").agg(F.min_by("row", whole(F.col("row"))).alias("row"))  # rows of one hash are the same
+    return once.select("row").union(first.select("row")).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
