@@ -20,7 +20,8 @@ MESSY = [
 ]
 
 #: Names that operators use inside; an input may have them all.
-CLASHES = ["id", "set", "n", "key", "size", "row", "text_", "words", "hits", "ids", "score", "rank", "copies", "spans", "u", "v"]
+CLASHES = ["id", "set", "n", "key", "size", "row", "text_", "words", "hits", "ids", "score", "rank", "copies", "spans", "u", "v",
+           "_id", "_row", "_n", "_print", "_period", "_words", "named", "decoded", "row_"]
 
 
 @pytest.fixture(scope="session")

@@ -34,6 +34,8 @@ def rows(df, *names):
 def test_languages_drop_only_texts_without_letters(stages):
     want = Counter({k: n for k, n in rows(stages["documents"], "doc_id", "text").items() if any(c.isalpha() for c in k[1] or "")})
     assert rows(stages["language_id"], "doc_id", "text") == want
+    before = {r.doc_id: r.lang for r in stages["documents"].collect()}
+    assert all(r.lang is not None and before[r.doc_id] in (r.lang, None) for r in stages["language_id"].collect())
 
 
 def test_one_of_each_group_stays(stages):
