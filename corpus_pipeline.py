@@ -14,7 +14,7 @@ ORACLE_SQL = None
 
 
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts that can be given a language learned from this corpus stay; those without a letter go."""
+    """Texts that can be given a language learned from this corpus stay, with it where they had none; those without a letter go."""
     model = language_id.learn(docs, remainder(col("doc_id"), 4) != 2)
     return language_id.keep_identified(docs, model)
 
