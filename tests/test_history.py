@@ -127,8 +127,7 @@ def test_every_valid_version_is_found_whatever_the_size(spark):
     assert sorted((r._k, r.k) for r in got.collect()) == [(1, 10), (1, 11), (2, 11)]
 
 
-@pytest.mark.parametrize("disjoint", [False, True])
-def test_point_in_time_boundaries(spark, disjoint):
+def test_point_in_time_boundaries(spark):
     rows = spark.createDataFrame(
         [(1, "P1", at("2026-01-01T00:00:00")), (2, "P1", at("2026-09-01T00:00:00")), (3, "P1", at("2025-12-31T23:59:59")),
          (4, "P9", at("2026-05-01T00:00:00")), (5, None, at("2026-05-01T00:00:00")), (6, "P1", None),
@@ -137,19 +136,74 @@ def test_point_in_time_boundaries(spark, disjoint):
         [("P1", 10, at("2026-01-01T00:00:00"), at("2026-09-01T00:00:00")),
          ("P1", 11, at("2026-09-01T00:00:00"), at("2026-10-01T00:00:00")),
          ("P1", 12, at("2027-01-01T00:00:00"), at("9999-12-31T00:00:00"))], "id string, k int, s timestamp, e timestamp")
-    got = asof.point_in_time_join(rows, dim, "id", "at", "s", "e", ["k"], disjoint)
+    got = asof.point_in_time_join(rows, dim, "id", "at", "s", "e", ["k"])
     assert {r.n: r.k for r in got.collect()} == {1: 10, 2: 11, 3: None, 4: None, 5: None, 6: None, 7: None, 8: 12}
 
 
-def test_point_in_time_methods_agree_on_a_hot_key(spark):
-    data, df = timeline(spark, 2, 500)
-    walked = ordered.with_next(df, "key", "at", "at", "end")
-    dim = walked.select(F.col("key").alias("id"), F.col("s").alias("version"), F.col("at").alias("s"),
-                        F.coalesce("end", F.lit("9999-12-31").cast("timestamp")).alias("e"))
-    _, rows = timeline(spark, 3, 500)
-    rows = rows.withColumnRenamed("key", "id").drop("v")
-    one, two = (asof.point_in_time_join(rows, dim, "id", "at", "s", "e", ["version"], d, "month") for d in (False, True))
-    assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty() and one.count() == rows.count()
+def plain_join(rows, dim):
+    """By definition: every row with every version of its key that is valid at its time."""
+    return sorted((n, k) for n, key, t in rows for hits in [[k for key_, k, s, e in dim if key == key_ and key is not None and None not in (t, s, e) and s <= t < e]]
+                  for k in hits or [-1])
+
+
+def interval_tables(spark, rows, dim):
+    second = lambda c: F.timestamp_seconds(F.col(c))
+    left = spark.createDataFrame(rows, "n int, id string, at bigint").withColumn("at", second("at"))
+    right = spark.createDataFrame(dim, "id string, v int, s bigint, e bigint").withColumns({"s": second("s"), "e": second("e")})
+    clashes = {c: F.lit(1) for c in ("k", "t", "b", "own", "row", "version", "run", "low", "high", "k_own")}
+    return left.withColumns(clashes), right.withColumns(clashes)
+
+
+def test_point_in_time_join_of_any_intervals(spark):
+    """Overlapping, repeated, empty, negative, open and null intervals, and a key whose versions are far shorter than the others'."""
+    rng, far = random.Random(11), 253402214400
+    dim = [(rng.choice(["a", "b"]), i, s, s + rng.choice([0, -5, 3, 50, 5_000, 400_000])) for i, s in enumerate(rng.randrange(900_000) for _ in range(150))]
+    dim += [("hot", 1000 + i, 300_000 + 7 * i, 300_007 + 7 * i) for i in range(600)] + [("hot", 1999, 304_200, far), ("a", 2000, 5, far), ("a", 2000, 5, far)]
+    dim += [(None, 3000, 1, far), ("a", 3001, None, far), ("a", 3002, 1, None)]
+    rows = [(i, rng.choice(["a", "b", "hot", "hot", "none", None]), rng.choice([None, -10, 2_000_000, far, rng.randrange(299_000, 306_000), rng.randrange(1_400_000)]))
+            for i in range(900)]
+    left, right = interval_tables(spark, rows, dim)
+    got = asof.point_in_time_join(left, right, "id", "at", "s", "e", ["v"])
+    assert got.columns == [*left.columns, "v"]
+    assert sorted((r.n, -1 if r.v is None else r.v) for r in got.collect()) == plain_join(rows, dim)
+    assert asof.point_in_time_join(left, right.where("false"), "id", "at", "s", "e", ["v"]).where("v is null").count() == len(rows)
+    assert asof.point_in_time_join(left.where("false"), right, "id", "at", "s", "e", ["v"]).count() == 0
+
+
+def test_rows_compared_stay_flat_when_versions_grow(spark):
+    """Ten times the versions per key, in the same time: as many comparisons for each row."""
+    rng, span, compared = random.Random(3), 1_000_000, []
+    rows = [(i, f"k{i % 3}", rng.randrange(span)) for i in range(400)]
+    for n in (40, 400, 4000):
+        step = span // n
+        dim = [(f"k{k}", i, i * step, (i + 1) * step) for k in range(3) for i in range(n)]
+        left, right = interval_tables(spark, rows, dim)
+        left, right = asof.candidates(left, right, "id", "at", "s", "e", ["v"])
+        compared.append(left.join(right, ["k", "b"]).count() / len(rows))
+        assert right.count() <= 3 * len(dim)
+    assert max(compared) <= 3 and max(compared) < 1.5 * min(compared)
+
+
+def test_a_key_of_many_short_versions_has_bins_of_its_own(spark):
+    dim = [(f"k{i}", i, 0, 1_000_000) for i in range(50)] + [("hot", i, 10 * i, 10 * i + 10) for i in range(5000)]
+    rows = [(i, "hot", 10 * i + 3) for i in range(0, 5000, 10)]
+    left, right = asof.candidates(*interval_tables(spark, rows, dim), "id", "at", "s", "e", ["v"])
+    assert left.join(right, ["k", "b"]).count() <= 3 * len(rows)
+
+
+def test_a_long_version_among_short_ones_lies_in_many_bins(spark, monkeypatch):
+    monkeypatch.setattr(asof, "RUN", 7)
+    dim = [("a", 1, 0, 100_000)] + [(f"k{i}", i, 10 * i, 10 * i + 1) for i in range(10_000)]
+    rows = [(i, "a", 997 * i) for i in range(100)]
+    left, right = interval_tables(spark, rows, dim)
+    assert asof.point_in_time_join(left, right, "id", "at", "s", "e", ["v"]).where("v = 1").count() == 100
+
+
+def test_point_in_time_join_on_dates_and_numbers(spark):
+    rows = spark.sql("select 'a' as id, date'2024-03-01' as day, 7L as n union all select 'a', date'2024-05-01', 20L")
+    dim = spark.sql("select 'a' as id, date'2024-01-01' as s, date'2024-05-01' as e, 5L as x, 8L as y")
+    assert [r.x for r in asof.point_in_time_join(rows, dim, "id", "day", "s", "e", ["x"]).orderBy("n").collect()] == [5, None]
+    assert [r.x for r in asof.point_in_time_join(rows, dim, "id", "n", "x", "y", ["x"]).orderBy("n").collect()] == [5, None]
 
 
 def test_keys_are_unique_and_stay(spark):

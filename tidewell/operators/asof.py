@@ -1,69 +1,100 @@
-"""Join each row to the version that was valid at its time."""
+"""Join each row to the versions that were valid at its time.
+
+A join on the key alone lets a row meet all versions of its key. Here time is cut into
+bins, a version lies in every bin it reaches into, and rows and versions meet by key and
+bin; the interval is tested on what is left. The width of the bins comes from the data:
+
+* Versions are cut at the latest start of any, as nothing changes after it; open ends then
+  cost nothing, and rows of any later time share the last bin.
+* The common width is the mean length of a version, so all versions together lie in at most
+  three bins each on average.
+* A key whose versions are much shorter than that has a width of its own, the mean of its
+  own versions. These keys are a table of one row each, joined to both sides.
+
+So a row meets about as many versions as are valid at the same time, and some beside them,
+however many versions its key has. A join without a hint is left to Spark, which broadcasts
+by measured size and splits a hot (key, bin) otherwise.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-def point_in_time_join(
-    rows: DataFrame,
-    versions: DataFrame,
-    key: str,
-    at: str,
-    start: str,
-    end: str,
-    columns: list[str],
-    disjoint: bool = False,
-    unit: str = "day",
-) -> DataFrame:
-    """Left join on `key` and `start <= at < end`: a row for every version that is valid.
+#: A key has bins of its own where its versions are so many times shorter than the mean.
+SHORTER = 4
+#: Bins of one version that are made at once; more are made in runs of so many.
+RUN = 4096
 
-    Without a hint, so Spark broadcasts the versions only if it measures them to be
-    small, and splits a hot key otherwise. A row meets all versions of its key. Where
-    a key has very many, and the caller knows that its intervals never overlap,
-    `disjoint` walks rows and versions in time order instead, linear in both. On
-    disjoint intervals both give the same rows.
-    """
-    if disjoint:
-        return _walked(rows, versions, key, at, start, end, columns, unit)
-    side = versions.select(F.col(key).alias("_k"), F.col(start).alias("_s"), F.col(end).alias("_e"),
-                           F.struct(*columns).alias("_version"))
-    valid = (F.col(key) == F.col("_k")) & (F.col(at) >= F.col("_s")) & (F.col(at) < F.col("_e"))
-    joined = rows.select(F.struct("*").alias("_row"), F.col(key), F.col(at)).join(side, valid, "left")
-    return joined.select(*[F.col("_row").getField(c).alias(c) for c in rows.columns],
-                         *[F.col("_version").getField(c).alias(c) for c in columns])
 
+def _number(c: Column, kind: T.DataType) -> Column:
+    """A moment as a whole number."""
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("bigint")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp"))
+    return F.floor(c).cast("bigint")
+
+
+class Bins:
+    """Widths for the versions of `side`, a table (k, s, e, ...): key, start and end as whole numbers."""
+
+    def __init__(self, side: DataFrame):
+        last = side.agg(F.max("s")).scalar()
+        length = F.greatest(F.least("e", last) - F.col("s"), F.lit(0)).cast("double")
+        keys = side.groupBy("k").agg(F.min("s").alias("s"), F.max("s").alias("e"), F.sum(length).alias("total"), F.count("*").alias("n"))
+        mean = F.greatest(F.floor(F.col("total") / F.col("n")), F.lit(1)).cast("bigint")
+        self.begin, self.end, total, n, shortest = keys.agg(F.min("s"), F.max("e"), F.sum("total"), F.sum("n"), F.min(mean)).first()
+        self.width = max(1, int(total / n)) if n else 1
+        some = n and shortest * SHORTER < self.width
+        self.own = keys.select(F.col("k").alias("k_own"), mean.alias("own")).where(F.col("own") * SHORTER < self.width) if some else None
 
-def _walked(rows, versions, key, at, start, end, columns, unit):
-    """Rows and versions share one time-ordered walk per (key, period).
+    def of(self, at: Column, own: Column) -> Column:
+        """The bin of a moment: counted from the first start, the last one without end."""
+        if self.begin is None:
+            return F.lit(0).cast("bigint")
+        cut = F.least(at, F.lit(self.end))
+        return F.floor((cut - self.begin) / F.coalesce(own, F.lit(self.width))).cast("bigint")
+
+    def with_width(self, df: DataFrame) -> DataFrame:
+        """Adds `own` for the key `k`; without a hint, as most tables have few such keys or none."""
+        if self.own is None:
+            return df.withColumn("own", F.lit(None).cast("bigint"))
+        return df.join(self.own, F.col("k") == F.col("k_own"), "left").drop("k_own")
+
+    def spread(self, side: DataFrame) -> DataFrame:
+        """The versions in their bins, `b`: a row for each."""
+        placed = self.with_width(side).withColumns({
+            "low": self.of(F.col("s"), F.col("own")), "high": self.of(F.col("e") - 1, F.col("own"))})
+        runs = placed.withColumn("run", F.explode(F.sequence("low", "high", F.lit(RUN).cast("bigint"))))
+        stop = F.least(F.col("run") + (RUN - 1), F.col("high"))
+        return runs.withColumn("b", F.explode(F.sequence("run", stop))).drop("run", "low", "high", "own")
+
+
+def candidates(rows: DataFrame, versions: DataFrame, key: str, at: str, start: str, end: str, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides with key `k` and bin `b`: rows as (k, t, b, row), versions as (k, s, e, b, version)."""
+    kinds = {name: df.schema[name].dataType for df, name in ((rows, at), (versions, start), (versions, end))}
+    side = versions.select(F.col(key).alias("k"), _number(F.col(start), kinds[start]).alias("s"), _number(F.col(end), kinds[end]).alias("e"),
+                           F.struct(*columns).alias("version")).where("k is not null and s < e")
+    bins = Bins(side)
+    points = rows.select(F.struct("*").alias("row"), F.col(key).alias("k"), _number(F.col(at), kinds[at]).alias("t"))
+    placed = bins.with_width(points).withColumn("b", bins.of(F.col("t"), F.col("own"))).drop("own")
+    return placed, bins.spread(side)
+
+
+def point_in_time_join(
+    rows: DataFrame, versions: DataFrame, key: str, at: str, start: str, end: str, columns: list[str],
+) -> DataFrame:
+    """Left join on `key` and `start <= at < end`: a row for every version that is valid.
 
-    The version still open at a period's begin comes from a table with one row per
-    (key, period), so a key that holds much of the data spreads over its periods.
+    `columns` of the version follow those of the row. Times are timestamps, dates or whole
+    numbers. A row with a null key or time stays without a version; a version with a null
+    key, start or end, or without length, is never valid; repeated rows and versions count
+    as they come; other columns of either side may have any names.
     """
-    version = F.struct(F.col(start).alias("s"), F.col(end).alias("e"), *columns).alias("_version")
-    marks = versions.filter(F.col(key).isNotNull()).select(
-        F.col(key).alias("_k"), F.col(start).alias("_at"), F.lit(0).alias("_kind"), version
-    )
-    # Rows that can match nothing stay in the same walk, spread by a hash of the row.
-    lost = F.col(key).isNull() | F.col(at).isNull()
-    spread = F.when(lost, F.pmod(F.xxhash64(F.struct(*rows.columns)), F.lit(64))).otherwise(F.lit(-1))
-    points = rows.select(F.struct("*").alias("_row"), F.when(~lost, F.col(key)).alias("_k"), F.when(~lost, F.col(at)).alias("_at"),
-                         F.lit(1).alias("_kind"), spread.cast("bigint").alias("_spread"))
-
-    walk = points.unionByName(marks.withColumn("_spread", F.lit(-1).cast("bigint")), allowMissingColumns=True)
-    walk = walk.withColumn("_period", F.date_trunc(unit, "_at"))
-    inner = Window.partitionBy("_k", "_period", "_spread").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    walked = walk.withColumn("_seen", F.last("_version", ignorenulls=True).over(inner)).filter("_kind = 1")
-
-    begins = points.select("_k", F.date_trunc(unit, "_at").alias("_period")).where("_k is not null").distinct()
-    lasts = marks.groupBy("_k", F.date_trunc(unit, "_at").alias("_period")).agg(
-        F.max_by("_version", "_at").alias("_border")
-    )
-    periods = begins.join(lasts, ["_k", "_period"], "full_outer")
-    outer = Window.partitionBy("_k").orderBy("_period").rowsBetween(Window.unboundedPreceding, -1)
-    carried = periods.select("_k", "_period", F.last("_border", ignorenulls=True).over(outer).alias("_carried"))
-
-    found = F.coalesce("_seen", "_carried")
-    matched = walked.join(carried, ["_k", "_period"], "left").select("_row", F.when(F.col("_at") < found["e"], found).alias("_hit"))
-    return matched.select(*[F.col("_row").getField(c).alias(c) for c in rows.columns],
-                          *[F.col("_hit").getField(c).alias(c) for c in columns])
+    left, right = candidates(rows, versions, key, at, start, end, columns)
+    valid = (F.col("l.k") == F.col("r.k")) & (F.col("l.b") == F.col("r.b")) & (F.col("l.t") >= F.col("r.s")) & (F.col("l.t") < F.col("r.e"))
+    joined = left.alias("l").join(right.alias("r"), valid, "left")
+    return joined.select(*[F.col("l.row").getField(c).alias(c) for c in rows.columns],
+                         *[F.col("r.version").getField(c).alias(c) for c in columns])

@@ -13,7 +13,7 @@ KPI_KEYS = ["booking_date_key", "booking_date", "booking_city", "service_categor
 
 
 def build_fact_booking(
-    bookings: DataFrame, customers: DataFrame, services: DataFrame, providers: DataFrame, method: str = "auto"
+    bookings: DataFrame, customers: DataFrame, services: DataFrame, providers: DataFrame
 ) -> DataFrame:
     """One row per latest booking; unresolved dimension keys stay null.
 
@@ -27,7 +27,7 @@ def build_fact_booking(
     )
     resolved = point_in_time_join(
         keyed, providers, "provider_id", "booking_created_at",
-        "effective_start_at", "effective_end_at", ["provider_key"], method,
+        "effective_start_at", "effective_end_at", ["provider_key"],
     )
     return resolved.select(
         "booking_id",

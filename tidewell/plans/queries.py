@@ -329,10 +329,10 @@ def point_in_time_versions(spark, sf_dir):
     """Every snapshot with the version valid when its booking was created."""
     snapshots = star.typed_bookings(spark, sf_dir, reviews=False).select(
         "booking_id", "source_row_number", "provider_id", "booking_created_at")
-    versions = scd2.scd2_history(star.provider_events(spark, sf_dir))
+    versions = stored_star(spark, sf_dir)["providers"]
     matched = asof.point_in_time_join(
         snapshots, versions, "provider_id", "booking_created_at", "effective_start_at", "effective_end_at",
-        ["provider_tier", "operating_zone", "effective_start_at"], disjoint=True)
+        ["provider_tier", "operating_zone", "effective_start_at"])
     return plain(matched)
 
 
@@ -341,7 +341,7 @@ def point_in_time_misses(spark, sf_dir):
     """The same join against versions that each begin half a year late, so many rows find nothing."""
     snapshots = star.typed_bookings(spark, sf_dir, reviews=False).select(
         "booking_id", "source_row_number", "provider_id", "booking_created_at")
-    versions = scd2.scd2_history(star.provider_events(spark, sf_dir)).withColumn(
+    versions = stored_star(spark, sf_dir)["providers"].withColumn(
         "effective_start_at", F.col("effective_start_at") + F.expr("interval 180 days"))
     matched = asof.point_in_time_join(
         snapshots, versions, "provider_id", "booking_created_at", "effective_start_at", "effective_end_at",
@@ -354,7 +354,7 @@ def point_in_time_overlapping(spark, sf_dir):
     """Versions that reach a month into the next one: a row may be valid under several."""
     snapshots = star.typed_bookings(spark, sf_dir, reviews=False).select(
         "booking_id", "source_row_number", "provider_id", "booking_created_at")
-    versions = scd2.scd2_history(star.provider_events(spark, sf_dir)).select(
+    versions = stored_star(spark, sf_dir)["providers"].select(
         "provider_id", "provider_tier", "effective_start_at",
         F.when(F.col("is_current"), F.col("effective_end_at")).otherwise(F.col("effective_end_at") + F.expr("interval 30 days")).alias("until"))
     return plain(asof.point_in_time_join(snapshots, versions, "provider_id", "booking_created_at", "effective_start_at", "until",
