@@ -33,23 +33,26 @@ def _weights(value: int, words: str) -> dict[str, int]:
     return {w: value for w in words.split()}
 
 
+#: General English words of praise and complaint, and words that point to a theme; a starting point to be adapted.
 SERVICE_LEXICON = Lexicon(
     positive={
-        **_weights(1, "polite skilled careful carefully professional clear good great helpful friendly neat clean "
-                      "punctual promptly quickly satisfied happy recommend resolved promised"),
-        **_weights(2, "excellent perfect perfectly outstanding exceeded amazing wonderful completely"),
+        **_weights(1, "good nice fine glad happy pleased pleasant kind friendly helpful honest fair easy smooth quick fast tidy "
+                      "clean neat reliable efficient thorough like liked enjoy enjoyed thanks thank well better safe calm smart"),
+        **_weights(2, "excellent superb brilliant fantastic fabulous awesome amazing wonderful perfect great best love loved "
+                      "outstanding delighted delightful impressive exceptional flawless"),
     },
     negative={
-        **_weights(1, "late delayed incomplete poor difficult expensive higher returned fix problem slow dirty "
-                      "missed waiting unexplained complaint issue another"),
-        **_weights(2, "disappointing terrible awful rude overcharged worst unprofessional broken refund"),
+        **_weights(1, "bad wrong slow late dirty messy sad upset angry annoyed annoying unhappy careless lazy mistake fault faulty "
+                      "fail failed failure damage damaged dull weak worse noisy missing lost problem trouble unfair confusing expensive overpriced"),
+        **_weights(2, "terrible horrible awful dreadful disgusting useless pathetic worst rude hate hated scam fraud cheat cheated "
+                      "unacceptable disappointed disappointing appalling dangerous broken ruined"),
     },
     themes={
-        "Punctuality": "late time punctual delayed arrived early waiting schedule promised minutes".split(),
-        "Service Quality": "quality work incomplete issue problem fix resolved works repair perfectly result".split(),
-        "Professionalism": "professional polite rude skilled careful carefully behaviour unprofessional courteous".split(),
-        "Pricing": "price pricing expensive charges charged overcharged cost cheap amount refund bill".split(),
-        "Communication": "communication update reach call called reply response informed message contact".split(),
+        "Punctuality": "late early delay delays delayed wait waited waiting hour hours minute minutes schedule overdue tardy punctual".split(),
+        "Service Quality": "quality fault faulty defect defects leak leaking broken damage damaged repair repaired fixed finish unfinished".split(),
+        "Professionalism": "rude polite manners attitude behave behaved behaviour careless lazy skilled trained untrained respect".split(),
+        "Pricing": "price prices priced cost costs cheap expensive fee fees bill billed charge charged refund money overpriced".split(),
+        "Communication": "call called calls phone phoned email message messages reply replied answer answered inform informed contact".split(),
     },
 )
 

@@ -17,21 +17,24 @@ def _period(at: str, unit: str) -> Column:
 
 
 def _neighbour(df: DataFrame, key: str, at: str, value: str, out: str, unit: str, forward: bool) -> DataFrame:
-    order = F.col(at).asc() if forward else F.col(at).desc()
-    inner = Window.partitionBy(key, "_period").orderBy(order)
+    # The columns of the rows travel in a struct, so they may have any names.
+    rows = df.select(F.struct("*").alias("row"), F.col(key).alias("k"), F.col(at).alias("at"), F.col(value).alias("value"))
+    order = F.col("at").asc() if forward else F.col("at").desc()
+    inner = Window.partitionBy("k", "period").orderBy(order)
     walked = (
-        df.withColumn("_period", _period(at, unit))
-        .withColumn("_near", F.lag(value).over(inner))
-        .withColumn("_first", F.row_number().over(inner) == 1)
-        .withColumn("_last", F.lead(F.lit(True)).over(inner).isNull())
+        rows.withColumn("period", _period("at", unit))
+        .withColumn("near", F.lag("value").over(inner))
+        .withColumn("first", F.row_number().over(inner) == 1)
+        .withColumn("last", F.lead(F.lit(True)).over(inner).isNull())
     )
-    border = F.col("_first") | F.col("_last")
+    border = F.col("first") | F.col("last")
     # Among border rows, the one before a period's first row ends an earlier period.
-    across = F.lag(value).over(Window.partitionBy(key).orderBy(order))
-    borders = walked.filter(border).withColumn("_far", across)
-    found = F.when(F.col("_first"), F.col("_far")).otherwise(F.col("_near"))
-    inside = walked.filter(~border).select(*df.columns, F.col("_near").alias(out))
-    return inside.unionByName(borders.select(*df.columns, found.alias(out)))
+    across = F.lag("value").over(Window.partitionBy("k").orderBy(order))
+    borders = walked.filter(border).withColumn("far", across)
+    found = F.when(F.col("first"), F.col("far")).otherwise(F.col("near"))
+    inside = walked.filter(~border).select("row", F.col("near").alias("found"))
+    both = inside.unionByName(borders.select("row", found.alias("found")))
+    return both.select(*[F.col("row").getField(c).alias(c) for c in df.columns], F.col("found").alias(out))
 
 
 def with_previous(df: DataFrame, key: str, at: str, value: str, out: str, unit: str = "month") -> DataFrame:

@@ -40,21 +40,20 @@ def lexicon_scorer(lexicon: Lexicon = SERVICE_LEXICON) -> Scorer:
     """Score with word lists, in column expressions only: no shuffle, no Python."""
 
     def score(rows: DataFrame) -> DataFrame:
-        words = rows.withColumn("_words", tokens(F.col(TEXT)))
+        # The columns of the rows travel in a struct, so they may have any names.
+        words = rows.select(F.struct("*").alias("row"), tokens(F.col(TEXT)).alias("words"))
         counted = words.select(
-            *rows.columns,
-            weight(F.col("_words"), lexicon.positive).alias("_pos"),
-            weight(F.col("_words"), lexicon.negative).alias("_neg"),
-            *[occurrences(F.col("_words"), kw).alias(f"_theme_{i}") for i, kw in enumerate(lexicon.themes.values())],
+            "row", weight(F.col("words"), lexicon.positive).alias("positive"), weight(F.col("words"), lexicon.negative).alias("negative"),
+            *[occurrences(F.col("words"), kw).alias(f"theme_{i}") for i, kw in enumerate(lexicon.themes.values())],
         )
-        themes = {name: F.col(f"_theme_{i}") for i, name in enumerate(lexicon.themes)}
-        has_text = F.col(TEXT).isNotNull()
-        labelled = counted.withColumn("_label", F.when(has_text, polarity(F.col("_pos"), F.col("_neg"))))
-        themed = labelled.withColumn("_theme", F.when(has_text, leading_theme(themes, F.col("_label"))))
+        themes = {name: F.col(f"theme_{i}") for i, name in enumerate(lexicon.themes)}
+        has_text = F.col("row").getField(TEXT).isNotNull()
+        labelled = counted.withColumn("label", F.when(has_text, polarity(F.col("positive"), F.col("negative"))))
+        themed = labelled.withColumn("theme", F.when(has_text, leading_theme(themes, F.col("label"))))
         return themed.select(
-            *rows.columns,
-            sentiment_result(F.col("_label")).alias("sentiment_result"),
-            classification_result(F.col("_theme")).alias("classification_result"),
+            *[F.col("row").getField(c).alias(c) for c in rows.columns],
+            sentiment_result(F.col("label")).alias("sentiment_result"),
+            classification_result(F.col("theme")).alias("classification_result"),
         )
 
     return score

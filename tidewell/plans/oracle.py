@@ -6,7 +6,8 @@ numbers, and intervals are found by comparing rows, so agreement means something
 
 from __future__ import annotations
 
-from tidewell.plans.queries import CUT_OFF, SAMPLE_PROVIDERS
+from tidewell.functions.lexicon import SERVICE_LEXICON
+from tidewell.plans.queries import CUT_OFF, SAMPLE_PROVIDERS, STANDS_FOR
 
 INSULTS = "'trash','pathetic','idiot','worthless','disgusting','stupid','clown','scum','loser','moron'"
 
@@ -34,16 +35,23 @@ def _city(col: str) -> str:
 
 
 SNAP = f"""
+review_of AS (
+  SELECT booking, doc_id
+  FROM (SELECT l_orderkey * 10 + l_linenumber AS booking, l_orderkey % 256 AS r,
+          row_number() OVER (PARTITION BY l_orderkey % 256 ORDER BY l_orderkey * 10 + l_linenumber) AS n
+        FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING bool_and(l_returnflag = 'A'))
+  JOIN (SELECT doc_id, doc_id % 256 AS r, row_number() OVER (PARTITION BY doc_id % 256 ORDER BY doc_id) AS n FROM documents) USING (r, n)
+),
 lines AS (
   SELECT l.*, o_custkey, o_orderdate, o_orderpriority, {_city('n_name')} AS city,
     CASE WHEN l_returnflag = 'R' THEN 'CANCELLED' WHEN l_returnflag = 'A' THEN 'COMPLETED'
          WHEN l_linestatus = 'F' THEN 'IN_PROGRESS' ELSE 'BOOKED' END AS status,
     cast(l_extendedprice AS decimal(12,2)) AS gross,
     cast(round(cast(l_extendedprice AS decimal(12,2)) * cast(l_discount AS decimal(4,2)), 2) AS decimal(12,2)) AS disc,
-    CASE WHEN l_returnflag = 'A' AND l_linenumber = 1 THEN nullif(trim(text), '') END AS review
+    nullif(trim(text), '') AS review
   FROM lineitem l JOIN orders ON l_orderkey = o_orderkey
   JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-  LEFT JOIN documents ON doc_id = l_orderkey AND l_linenumber = 1 AND l_returnflag = 'A'
+  LEFT JOIN review_of ON booking = l_orderkey * 10 + l_linenumber LEFT JOIN documents USING (doc_id)
 ),
 priced AS (
   SELECT *, cast(round((gross - disc) * cast(0.18 AS decimal(4,2)), 2) AS decimal(12,2)) AS tax FROM lines
@@ -80,12 +88,11 @@ quarters AS (
 ),
 unhashed AS (
   SELECT cast(l_suppkey AS varchar) AS provider_id, s_name AS provider_name, {_city('n_name')} AS primary_city,
-    (['North', 'South', 'East', 'West', 'Central'])[r % 5 + 1] AS operating_zone,
+    'Zone ' || (r % 5) AS operating_zone,
     CASE WHEN n >= 22 THEN 'PREMIUM' ELSE 'STANDARD' END AS provider_tier,
-    (['JUNIOR', 'EXPERIENCED', 'EXPERT'])[l_suppkey % 3 + 1] AS experience_level,
+    'LEVEL ' || (l_suppkey % 3) AS experience_level,
     CASE WHEN o % 10 = 0 THEN 'INACTIVE' ELSE 'ACTIVE' END AS active_status,
-    (['Home Cleaning', 'Plumbing', 'Electrical', 'Appliance Repair', 'Beauty at Home'])[l_suppkey % 5 + 1]
-      AS primary_service_category,
+    'Category ' || (l_suppkey % 5) AS primary_service_category,
     cast(effective_at AS timestamp) AS effective_at, l_suppkey
   FROM quarters JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
 ),
@@ -188,10 +195,10 @@ VERSION_VIEW = """provider_id, primary_city, operating_zone, provider_tier, expe
 FAULTY_EVENTS = EVENTS + """,
 faulty_events AS (
   SELECT * REPLACE (
-    CASE WHEN month(effective_at) = 4 AND operating_zone = 'North' THEN NULL ELSE provider_id END AS provider_id,
-    CASE WHEN month(effective_at) = 4 AND operating_zone = 'South' THEN NULL ELSE effective_at END AS effective_at,
-    CASE WHEN month(effective_at) = 4 AND operating_zone = 'East' THEN 'GOLD' ELSE provider_tier END AS provider_tier,
-    CASE WHEN month(effective_at) = 4 AND operating_zone = 'West' THEN 'PAUSED' ELSE active_status END AS active_status)
+    CASE WHEN month(effective_at) = 4 AND operating_zone = 'Zone 0' THEN NULL ELSE provider_id END AS provider_id,
+    CASE WHEN month(effective_at) = 4 AND operating_zone = 'Zone 1' THEN NULL ELSE effective_at END AS effective_at,
+    CASE WHEN month(effective_at) = 4 AND operating_zone = 'Zone 2' THEN 'GOLD' ELSE provider_tier END AS provider_tier,
+    CASE WHEN month(effective_at) = 4 AND operating_zone = 'Zone 3' THEN 'PAUSED' ELSE active_status END AS active_status)
   FROM unhashed
 )"""
 
@@ -318,7 +325,7 @@ SELECT object_name, n AS rows, n AS distinct_keys, cast(0 AS bigint) AS invalid_
 
 SQL["provider_seed"] = f"""WITH {EVENTS},
 experts AS (SELECT *, row_number() OVER (PARTITION BY provider_id ORDER BY effective_at) AS rn FROM events_in
-  WHERE experience_level = 'EXPERT' AND year(effective_at) = 1997),
+  WHERE experience_level = 'LEVEL 2' AND year(effective_at) = 1997),
 everybody AS (SELECT *, row_number() OVER (PARTITION BY provider_id ORDER BY effective_at) AS rn FROM events_in),
 seeded AS (
   SELECT * FROM experts WHERE rn = 1 UNION ALL
@@ -338,8 +345,8 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY provider_id ORDER BY effect
   WHERE effective_at >= TIMESTAMP '1998-01-01'),
 batch AS (
   SELECT * REPLACE (
-    CASE WHEN operating_zone = 'South' THEN 'new-' || provider_id ELSE provider_id END AS provider_id,
-    CASE WHEN operating_zone = 'North' THEN effective_at - INTERVAL 6 YEAR ELSE effective_at END AS effective_at)
+    CASE WHEN operating_zone = 'Zone 1' THEN 'new-' || provider_id ELSE provider_id END AS provider_id,
+    CASE WHEN operating_zone = 'Zone 0' THEN effective_at - INTERVAL 6 YEAR ELSE effective_at END AS effective_at)
   FROM ranked WHERE rn = 1),
 closing AS (
   SELECT d.provider_id, b.effective_at AS closed_at FROM dim d JOIN batch b ON d.provider_id = b.provider_id
@@ -449,6 +456,40 @@ def _side(sign: int) -> str:
     return " + ".join(f"{abs(w)} * len(list_filter(toks, lambda t: t = '{word}'))" for word, w in _WEIGHTS.items() if w * sign > 0)
 
 
+def _service_scored(text: str) -> str:
+    """Every word of a text joined to the lexicon's lists as tables; sums by text."""
+    weights = ", ".join(f"('{w}', {side}, {v})" for side, words in ((1, SERVICE_LEXICON.positive), (2, SERVICE_LEXICON.negative)) for w, v in words.items())
+    keywords = ", ".join(f"('{w}', {i}, '{name}')" for i, (name, words) in enumerate(SERVICE_LEXICON.themes.items()) for w in words)
+    return f"""
+weights(word, side, v) AS (VALUES {weights}),
+keywords(word, place, theme) AS (VALUES {keywords}),
+said AS (SELECT doc_id, unnest(string_split_regex(lower({text}), '[^a-z]+')) AS word FROM documents),
+sides AS (SELECT doc_id, coalesce(sum(v) FILTER (side = 1), 0) AS pos, coalesce(sum(v) FILTER (side = 2), 0) AS neg FROM said JOIN weights USING (word) GROUP BY 1),
+mentions AS (SELECT doc_id, theme, place, count(*) AS n FROM said JOIN keywords USING (word) GROUP BY ALL),
+foremost AS (SELECT doc_id, arg_min(theme, -n * 100 + place) AS theme FROM mentions GROUP BY 1),
+service AS (
+  SELECT doc_id, text IS NOT NULL AS given, theme, CASE
+      WHEN coalesce(pos, 0) = 0 AND coalesce(neg, 0) = 0 THEN 'neutral' WHEN neg > 3 * pos THEN 'negative'
+      WHEN pos > 3 * neg THEN 'positive' ELSE 'mixed' END AS label
+  FROM documents LEFT JOIN sides USING (doc_id) LEFT JOIN foremost USING (doc_id)),
+service_scored AS (
+  SELECT doc_id, CASE WHEN given THEN label END AS sentiment_label,
+    CASE WHEN given THEN coalesce(theme, CASE WHEN label IN ('negative', 'mixed') THEN 'Other' ELSE 'No Complaint' END) END AS complaint_category
+  FROM service)"""
+
+
+SQL["service_scored_documents"] = f"WITH {_service_scored('text')} SELECT * FROM service_scored"
+
+
+def _stands_for(text: str) -> str:
+    """DuckDB's expressions look at no neighbours, so words are told apart by splitting."""
+    cases = " ".join(f"WHEN w = '{a}' THEN '{b}'" for a, b in STANDS_FOR.items())
+    return (f"array_to_string(list_transform(string_split_regex(lower({text}), '[^a-z]+'), lambda w: CASE {cases} ELSE w END), ' ')")
+
+
+SQL["theme_word_documents"] = f"""WITH {_service_scored(_stands_for('text'))}
+SELECT sentiment_label, complaint_category, count(*) AS documents, cast(sum(doc_id) AS bigint) AS id_sum FROM service_scored GROUP BY 1, 2"""
+
 SQL["weighed_documents"] = f"""
 WITH words AS (SELECT doc_id, string_split_regex(lower(text), '[^a-z]+') AS toks FROM documents),
 sums AS (SELECT doc_id, {_side(1)} AS p, {_side(-1)} AS n, {hits("'to','die'")} AS punctuality,
@@ -576,10 +617,10 @@ SQL["quality_gates"] = f"""WITH {FACT}, numbered AS (SELECT *, row_number() OVER
 
 SQL["gates_on_broken_tables"] = f"""WITH {FACT},
 moved AS (
-  SELECT * REPLACE (CASE WHEN is_current THEN effective_end_at WHEN operating_zone = 'West' THEN effective_start_at
-    WHEN operating_zone = 'East' THEN effective_end_at + INTERVAL 1 YEAR ELSE effective_end_at END AS effective_end_at),
+  SELECT * REPLACE (CASE WHEN is_current THEN effective_end_at WHEN operating_zone = 'Zone 3' THEN effective_start_at
+    WHEN operating_zone = 'Zone 2' THEN effective_end_at + INTERVAL 1 YEAR ELSE effective_end_at END AS effective_end_at),
     row_number() OVER () AS n
-  FROM versions WHERE NOT (is_current AND operating_zone = 'North')),
+  FROM versions WHERE NOT (is_current AND operating_zone = 'Zone 0')),
 broken AS (SELECT * FROM fact UNION ALL SELECT * FROM fact WHERE booking_city = 'Nation_2')
 {gates("snap", "broken", "moved", "booking_city IN ('Nation_1', 'Nation_3', 'Nation_4', 'Nation_5')",
        "year(booking_date) >= 1998 OR booking_city = 'Nation_5'",
@@ -591,7 +632,7 @@ SELECT booking_id, count(*) AS duplicate_count FROM snap GROUP BY 1 HAVING count
 
 SQL["current_version_exceptions"] = f"""WITH {EVENTS}, {versions('events_in')}
 SELECT provider_id, count(CASE WHEN is_current THEN 1 END) AS current_version_count
-FROM versions WHERE NOT (is_current AND operating_zone = 'North') GROUP BY 1
+FROM versions WHERE NOT (is_current AND operating_zone = 'Zone 0') GROUP BY 1
 HAVING count(CASE WHEN is_current THEN 1 END) <> 1"""
 
 SQL["cancellation_by_city"] = f"""WITH {FACT}

@@ -29,6 +29,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 CUT_OFF = datetime.date(1998, 9, 1)
+#: Words of the documents and the words of the service lexicon put in their place.
+STANDS_FOR = {"la": "late", "de": "rude", "der": "price", "und": "message", "an": "faulty", "is": "excellent", "of": "terrible", "in": "helpful"}
 SAMPLE_PROVIDERS = ["1", "2", "16", "23", "28"]
 
 
@@ -156,11 +158,11 @@ def latest_bookings(spark, sf_dir):
 
 @query
 def refreshed_latest_bookings(spark, sf_dir):
-    snapshots = clean.valid_bookings(star.typed_bookings(spark, sf_dir))
+    snapshots = clean.valid_bookings(star.typed_bookings(spark, sf_dir, reviews=False))
     border = stamp("1998-06-01 00:00:00")
     current = clean.latest_bookings(snapshots.filter(F.col("record_updated_at") < border))
     arrived = snapshots.filter(F.col("record_updated_at") >= border)
-    return _booking_view(refresh.refresh_latest(current, arrived))
+    return _booking_view(star.with_review_texts(spark, sf_dir, refresh.refresh_latest(current, arrived)))
 
 
 _PROVIDER_VIEW = ["provider_id", "provider_name", "primary_city", "operating_zone", "provider_tier",
@@ -274,9 +276,9 @@ _VERSION_VIEW = ["provider_id", "primary_city", "operating_zone", "provider_tier
 
 @query
 def provider_seed(spark, sf_dir):
-    """Seed the experts from their 1997 states, then everybody who is missing."""
+    """Seed the providers of level 2 from their 1997 states, then everybody who is missing."""
     events = star.provider_events(spark, sf_dir)
-    experts = events.filter((F.col("experience_level") == "EXPERT") & (F.year("effective_at") == 1997))
+    experts = events.filter((F.col("experience_level") == "LEVEL 2") & (F.year("effective_at") == 1997))
     return plain(scd2.scd2_seed(events, scd2.scd2_seed(experts)).select(*_VERSION_VIEW))
 
 
@@ -286,12 +288,12 @@ def latest_provider_changes(spark, sf_dir):
 
 
 def _late_batch(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """Events before 1998, and a batch in which North's last events arrive six years late."""
+    """Events before 1998, and a batch in which the last events of zone 0 arrive six years late."""
     events = star.provider_events(spark, sf_dir)
     border = stamp("1998-01-01 00:00:00")
     batch = scd2.latest_changes(events.filter(F.col("effective_at") >= border))
-    late = F.when(F.col("operating_zone") == "North", F.col("effective_at") - F.expr("interval 6 years"))
-    newcomer = F.when(F.col("operating_zone") == "South", F.concat(F.lit("new-"), "provider_id"))
+    late = F.when(F.col("operating_zone") == "Zone 0", F.col("effective_at") - F.expr("interval 6 years"))
+    newcomer = F.when(F.col("operating_zone") == "Zone 1", F.concat(F.lit("new-"), "provider_id"))
     batch = batch.withColumn("effective_at", F.coalesce(late, "effective_at")).withColumn(
         "provider_id", F.coalesce(newcomer, "provider_id"))
     return events.filter(F.col("effective_at") < border), batch
@@ -448,6 +450,26 @@ def scored_documents(spark, sf_dir):
                          scoring.theme_label().alias("complaint_category"))
 
 
+@query
+def service_scored_documents(spark, sf_dir):
+    """The service lexicon itself, with all its themes."""
+    scored = scoring.lexicon_scorer()(_documents(spark, sf_dir))
+    return scored.select("doc_id", scoring.sentiment_label().alias("sentiment_label"),
+                         scoring.theme_label().alias("complaint_category"))
+
+
+@query
+def theme_word_documents(spark, sf_dir):
+    """Words of the service lexicon stand in for the most frequent short words of the documents, so that all themes occur."""
+    spoken = F.lower("text")
+    for word, other in STANDS_FOR.items():
+        spoken = F.regexp_replace(spoken, rf"(?<![a-z]){word}(?![a-z])", other)
+    rows = spread(star.table(spark, sf_dir, "documents").select("doc_id", spoken.alias("review_text")), "doc_id")
+    return scoring.lexicon_scorer()(rows).groupBy(
+        scoring.sentiment_label().alias("sentiment_label"), scoring.theme_label().alias("complaint_category")).agg(
+        F.count("*").alias("documents"), F.sum("doc_id").alias("id_sum"))
+
+
 # Everyday words with weights, so that every label and ties between themes occur.
 _WEIGHED = Lexicon(
     positive={"the": 2, "la": 2, "der": 3, "and": 1, "un": 1}, negative={"of": 1, "de": 2, "in": 2, "le": 3, "that": 1},
@@ -650,11 +672,11 @@ def gates_on_broken_tables(spark, sf_dir):
         "service_duration_minutes": minus("service_duration_minutes", F.col("payment_method") == "2-HIGH")})
     fact = fact.unionByName(fact.filter("booking_city = 'Nation_2'"))
     dates = s["dates"].filter("year < 1998")
-    moved = F.when(F.col("operating_zone") == "East", F.col("effective_end_at") + F.expr("interval 1 year"))
-    emptied = F.when(F.col("operating_zone") == "West", F.col("effective_start_at"))
+    moved = F.when(F.col("operating_zone") == "Zone 2", F.col("effective_end_at") + F.expr("interval 1 year"))
+    emptied = F.when(F.col("operating_zone") == "Zone 3", F.col("effective_start_at"))
     ended = s["providers"].filter("not is_current")
     providers = ended.withColumn("effective_end_at", F.coalesce(emptied, moved, "effective_end_at")).unionByName(
-        s["providers"].filter("is_current and operating_zone <> 'North'"))
+        s["providers"].filter("is_current and operating_zone <> 'Zone 0'"))
     return quality.run_gates(snapshots, fact, dates, providers)
 
 
@@ -666,7 +688,7 @@ def duplicate_bookings(spark, sf_dir):
 @query
 def current_version_exceptions(spark, sf_dir):
     versions = stored_star(spark, sf_dir)["providers"]
-    return quality.current_version_counts(versions.filter("not (is_current and operating_zone = 'North')"))
+    return quality.current_version_counts(versions.filter("not (is_current and operating_zone = 'Zone 0')"))
 
 
 @query

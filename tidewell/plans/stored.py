@@ -45,7 +45,9 @@ def source_mark(spark: SparkSession, sf_dir: str) -> str:
 
 
 def silver_bookings(spark: SparkSession, sf_dir: str, reviews: bool = True) -> DataFrame:
-    return latest_bookings(valid_bookings(star.typed_bookings(spark, sf_dir, reviews)))
+    """Latest valid bookings. They are ranked without their texts, which only the winners fetch afterwards."""
+    latest = latest_bookings(valid_bookings(star.typed_bookings(spark, sf_dir, reviews=False)))
+    return star.with_review_texts(spark, sf_dir, latest) if reviews else latest
 
 
 def build_star(spark: SparkSession, sf_dir: str, root: str) -> None:

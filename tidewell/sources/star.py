@@ -7,7 +7,7 @@ the records grow with them. Source times carry no zone and are read as UTC.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions import values as V
@@ -15,11 +15,6 @@ from tidewell.operators import dims
 from tidewell.operators.clean import hashed_provider
 from tidewell.session import configure, spread
 
-# Names the adapter gives to numbered groups.
-ZONES = ["North", "South", "East", "West", "Central"]
-EXPERIENCE_LEVELS = ["JUNIOR", "EXPERIENCED", "EXPERT"]
-CATEGORIES = ["Home Cleaning", "Plumbing", "Electrical", "Appliance Repair", "Beauty at Home"]
-
 INGESTED_AT = "2002-01-01 00:00:00"
 
 
@@ -27,8 +22,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _pick(names: list[str], number: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in names]), number.cast("int") + 1)
+def _group(name: str, number: Column) -> Column:
+    return F.concat(F.lit(f"{name} "), number.cast("string"))
 
 
 def _id(name: str) -> Column:
@@ -44,16 +39,44 @@ def _cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").select("n_nationkey", V.title_trim(F.col("n_name")).alias("city"))
 
 
+#: Groups within which documents and bookings are paired off in order.
+PAIRED = 256
+
+
+def reviewed_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(review_of, doc_id): every document is the review of a booking all of whose snapshots are completed.
+
+    Ids of equal remainder are paired off in their order, so no task numbers the whole
+    table. Documents beyond the number of such bookings would stay without one.
+    """
+    number = lambda remainder, id: F.row_number().over(Window.partitionBy(remainder).orderBy(id))
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+        F.every(F.col("l_returnflag") == "A").alias("completed")).where("completed")
+    bookings = lines.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("review_of"), (F.col("l_orderkey") % PAIRED).alias("r"))
+    documents = table(spark, sf_dir, "documents").select("doc_id", (F.col("doc_id") % PAIRED).alias("r"))
+    return bookings.withColumn("n", number("r", "review_of")).join(
+        documents.withColumn("n", number("r", "doc_id")), ["r", "n"]).select("review_of", "doc_id")
+
+
+def with_review_texts(spark: SparkSession, sf_dir: str, bookings: DataFrame) -> DataFrame:
+    """Bookings, or snapshots of them, with the text of their document as `review_text`."""
+    reviewed = reviewed_bookings(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    texts = reviewed.select(F.col("review_of").cast("string").alias("review_of"), V.blank_to_null(F.col("text")).alias("text"))
+    joined = bookings.join(texts, F.col("booking_id") == F.col("review_of"), "left")
+    return joined.select(*[F.col("text").alias(n) if n == "review_text" else F.col(n) for n in bookings.columns])
+
+
 def booking_snapshots(spark: SparkSession, sf_dir: str, reviews: bool = True) -> DataFrame:
     """Typed snapshots, several per booking, with the envelope columns.
 
     Without `reviews` the review text is null and the documents are not read.
     """
+    if reviews:
+        return with_review_texts(spark, sf_dir, booking_snapshots(spark, sf_dir, False))
     c = F.col
     nations = _cities(spark, sf_dir)
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
 
     completed = c("l_returnflag") == "A"
@@ -71,10 +94,6 @@ def booking_snapshots(spark: SparkSession, sf_dir: str, reviews: bool = True) ->
     tax = F.round((gross - discount) * F.lit("0.18").cast("decimal(4,2)"), 2).cast("decimal(12,2)")
     final = (gross - discount + tax).cast("decimal(12,2)")
 
-    if reviews:
-        lines = lines.join(documents, (c("l_orderkey") == c("doc_id")) & (c("l_linenumber") == 1) & completed, "left")
-    else:
-        lines = lines.withColumn("text", F.lit(None).cast("string"))
     joined = (
         lines.join(orders, c("l_orderkey") == c("o_orderkey"))
         .join(customers, c("o_custkey") == c("c_custkey"))
@@ -97,7 +116,7 @@ def booking_snapshots(spark: SparkSession, sf_dir: str, reviews: bool = True) ->
         final.alias("final_amount"),
         c("o_orderpriority").alias("payment_method"),
         F.when(completed, F.lit(1) + c("l_quantity").cast("int") % 5).alias("rating"),
-        V.blank_to_null(c("text")).alias("review_text"),
+        F.lit(None).cast("string").alias("review_text"),
         shipped.alias("record_updated_at"),
         F.concat(F.lit("bookings/"), _month(shipped), F.lit(".json.gz")).alias("source_filename"),
         (gross * 100).cast("bigint").alias("source_row_number"),
@@ -178,11 +197,11 @@ def provider_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             _id("l_suppkey").alias("provider_id"),
             c("s_name").alias("provider_name"),
             c("city").alias("primary_city"),
-            _pick(ZONES, c("returned") % 5).alias("operating_zone"),
+            _group("Zone", c("returned") % 5).alias("operating_zone"),
             F.when(c("lines") >= 22, "PREMIUM").otherwise("STANDARD").alias("provider_tier"),
-            _pick(EXPERIENCE_LEVELS, c("l_suppkey") % 3).alias("experience_level"),
+            _group("LEVEL", c("l_suppkey") % 3).alias("experience_level"),
             F.when(c("open") % 10 == 0, "INACTIVE").otherwise("ACTIVE").alias("active_status"),
-            _pick(CATEGORIES, c("l_suppkey") % 5).alias("primary_service_category"),
+            _group("Category", c("l_suppkey") % 5).alias("primary_service_category"),
             "effective_at",
             c("effective_at").alias("record_updated_at"),
             F.concat(F.lit("providers/"), _month(c("effective_at")), F.lit(".json.gz")).alias("source_filename"),
@@ -206,10 +225,10 @@ def faulty_raw_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col
     second = F.month("effective_at") == 4
     planted = {
-        "provider_id": F.when(second & (c("operating_zone") == "North"), F.lit(None).cast("string")).otherwise(c("provider_id")),
-        "effective_at": F.when(second & (c("operating_zone") == "South"), F.lit("soon")).otherwise(_iso("effective_at")),
-        "provider_tier": F.when(second & (c("operating_zone") == "East"), F.lit("GOLD")).otherwise(F.lower("provider_tier")),
-        "active_status": F.when(second & (c("operating_zone") == "West"), F.lit("paused"))
+        "provider_id": F.when(second & (c("operating_zone") == "Zone 0"), F.lit(None).cast("string")).otherwise(c("provider_id")),
+        "effective_at": F.when(second & (c("operating_zone") == "Zone 1"), F.lit("soon")).otherwise(_iso("effective_at")),
+        "provider_tier": F.when(second & (c("operating_zone") == "Zone 2"), F.lit("GOLD")).otherwise(F.lower("provider_tier")),
+        "active_status": F.when(second & (c("operating_zone") == "Zone 3"), F.lit("paused"))
         .otherwise(F.concat(F.lit(" "), c("active_status"))),
     }
     fields = []
