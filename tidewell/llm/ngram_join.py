@@ -10,8 +10,10 @@ rarest first: counts of all tokens are kept in a table of `2^bits` counters (its
 is bounded whatever the corpus; tokens that share a counter are ranked by their sum),
 ties by fingerprint. Only prefix tokens are shuffled. Pairs must also pass the length filter and
 the positional filter. The other orders are by seeded hashes: a set carries, for each of `ORDERS`, its
-prefix as a bitmap of `BITS` bits, and a candidate pair whose bitmaps do not meet under every order
-goes before any text is fetched. A bitmap may let a pair pass, but never drops one that links.
+prefix as a bitmap of `BITS` bits, and beside these one whose bits tell whether an odd number of its
+tokens falls on them. A candidate pair goes before any text is fetched if its bitmaps do not meet
+under every order, or if the last ones differ in more bits than two linked sets have tokens that
+only one holds. A bitmap may let a pair pass, but never drops one that links.
 
 Hot tokens. A token's sets are never paired off at once. In a round, each token names one of
 its sets, of the component of most sets, chosen by a hash that changes with the round; each set
@@ -20,13 +22,15 @@ round has at most one pair for each set that is not yet in its tokens' largest c
 give components, and tokens whose sets lie in one component are done. The first round takes all
 tokens that several sets share; the next, up to `ROUNDS`, those of more than `FEW` sets, as long as
 one pair in twenty links. Only what is then left in several components is joined with
-itself, across components: a pair within one is known to be connected. So a large group of
-near copies costs some comparisons for each row, and no link between different components is
-lost. Components, not all links, are the result.
+itself, across components: a pair within one is known to be connected. Rows of tokens of more than
+`FEW` sets carry the bitmaps into that join, so it gives out only pairs that pass them. So a large
+group of near copies costs some comparisons for each row, and no link between different
+components is lost. Components, not all links, are the result.
 
 Texts meet only for candidate pairs, by joins on the id of one text of each class. Tokens are
 counted by aggregations, which tasks begin before the shuffle, and joined back without a hint,
-so Spark can split a hot one.
+so Spark can split a hot one. Tokens that are known from their counters to have less than 2^12
+places are counted by windows, which cost one shuffle less.
 
 Defined cases: null, empty and wordless texts have no tokens and link with nothing; a
 null id has a set size, but no component and no links; rows that share an id are one
@@ -41,7 +45,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import LOWER, UPPER, checkpointed, col, staged
@@ -54,6 +58,8 @@ SHARE = (75, 100)
 ROUNDS, FEW = 8, 4
 #: Seeded orders beside the first, and the bits in which a set carries its prefix under each.
 ORDERS, BITS = 2, 512
+#: Class of a counter below 2^12.
+LIGHT = 23
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _MASK = (1 << 64) - 1
 _CHUNK = 1 << 16
@@ -129,21 +135,26 @@ def prefix_length(n: int) -> int:
 
 
 def bitmaps(tokens: np.ndarray) -> np.ndarray:
-    """The prefixes under the seeded orders, `BITS` bits each, as 64-bit words."""
-    n, held = prefix_length(len(tokens)), np.zeros(ORDERS * BITS, dtype=bool)
+    """The prefixes under the seeded orders and the parities of the whole set, `BITS` bits each, as 64-bit words."""
+    n, held = prefix_length(len(tokens)), np.zeros((ORDERS + 1, BITS), dtype=bool)
     for seed in range(ORDERS):
         ranked = mixed(tokens, 200 + seed)
-        held[seed * BITS + (np.partition(ranked, n - 1)[:n] % np.uint64(BITS)).astype(np.int64)] = True
-    return np.packbits(held, bitorder="little").view("<i8")
+        held[seed, (np.partition(ranked, n - 1)[:n] % np.uint64(BITS)).astype(np.int64)] = True
+    held[ORDERS] = np.bincount((mixed(tokens, 300) % np.uint64(BITS)).astype(np.int64), minlength=BITS) % 2
+    return np.packbits(held, axis=None, bitorder="little").view("<i8")
 
 
-def _meet(a: Column, b: Column) -> Column:
-    """Whether two sets' bitmaps share a bit under each of the seeded orders."""
+def _may_link(a: Column, b: Column, n_a: Column, n_b: Column) -> Column:
+    """Whether two sets' bitmaps share a bit under each of the seeded orders, and their parities differ
+    in no more places than so many tokens as two linked sets of these sizes may not share."""
     words, met = BITS // 64, F.lit(True)
+    part = lambda c, i: F.slice(c, i * words + 1, words)
     for seed in range(ORDERS):
-        own = lambda c: F.slice(c, seed * words + 1, words)  # noqa: B023, E731
-        met = met & F.exists(F.zip_with(own(a), own(b), lambda x, y: x.bitwiseAND(y)), lambda x: x != 0)
-    return met
+        shared = F.zip_with(part(a, seed), part(b, seed), lambda x, y: x.bitwiseAND(y))
+        met = met & F.exists(shared, lambda x: x != 0)
+    odd = F.zip_with(part(a, ORDERS), part(b, ORDERS), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    least = F.ceil((n_a + n_b) * SHARE[0] / (SHARE[0] + SHARE[1]))  # tokens that linked sets share
+    return met & (F.aggregate(odd, F.lit(0), lambda x, y: x + y) <= n_a + n_b - 2 * least)
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -189,14 +200,14 @@ def frequency_classes(texts: DataFrame, bits: int) -> np.ndarray:
 
 
 def token_sets(docs: DataFrame, classes: np.ndarray, kind: str) -> DataFrame:
-    """(id, n, set, print, prefix, orders) of every row, `print` a hash of the text; prefix and bitmaps
-    of the other orders only where the task meets the set first in a row with an id."""
+    """(id, n, set, print, prefix, light, bits) of every row, `print` a hash of the text; prefix, how many of
+    its tokens are light, and bitmaps only where the task meets the set first in a row with an id."""
     shift = np.uint64(65 - int(len(classes)).bit_length())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, met = Shingler(), set()
         for batch in batches:
-            sizes, prints, prefixes, orders = [], [], [], []
+            sizes, prints, prefixes, light, bits = [], [], [], [], []
             named = batch.column(0).is_valid().to_pylist()
             for known, tokens in zip(named, shingler.sets(batch.column(1).to_pylist())):
                 sizes.append(len(tokens))
@@ -209,17 +220,18 @@ def token_sets(docs: DataFrame, classes: np.ndarray, kind: str) -> DataFrame:
                     rank = (classes[(tokens >> shift).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (mixed(tokens, 9) >> np.uint64(8))
                     first = np.argsort(rank)[: prefix_length(len(tokens))]
                 prefixes.append(tokens[first].tobytes() if new else None)
-                orders.append(bitmaps(tokens) if new else None)
+                light.append(int((rank[first] >> np.uint64(56) <= LIGHT).sum()) if new else None)
+                bits.append(bitmaps(tokens) if new else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()), batch.column(2),
-                                              pa.array(prefixes, pa.binary()), pa.array(orders, pa.list_(pa.int64()))],
-                                             names=["id", "n", "set", "print", "prefix", "orders"])
+                                              pa.array(prefixes, pa.binary()), pa.array(light, pa.int32()), pa.array(bits, pa.list_(pa.int64()))],
+                                             names=["id", "n", "set", "print", "prefix", "light", "bits"])
 
     hashed = docs.select("*", F.xxhash64(col(docs.columns[1])).alias("_print"))
-    return hashed.mapInArrow(run, f"id {kind}, n bigint, set bigint, print bigint, prefix binary, orders array<bigint>")
+    return hashed.mapInArrow(run, f"id {kind}, n bigint, set bigint, print bigint, prefix binary, light int, bits array<bigint>")
 
 
 def prefix_tokens(sets: DataFrame) -> DataFrame:
-    """(token, set, n, at): the prefix tokens and their places."""
+    """(token, set, n, at, light): the prefix tokens, their places, and whether they are light."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -229,26 +241,41 @@ def prefix_tokens(sets: DataFrame) -> DataFrame:
             lengths = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)) // 8
             tokens = np.frombuffer(b"".join(raw), dtype=np.int64)
             at = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            of_row = lambda i: np.repeat(np.asarray(batch.column(i)), lengths)  # noqa: B023, E731
+            columns = [tokens, of_row(0), of_row(1).astype(np.int32), at.astype(np.int32), at < of_row(3)]  # the rarest stand first
             for begin in range(0, len(tokens), 100_000):
-                cut = slice(begin, begin + 100_000)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(tokens[cut]), pa.array(np.repeat(np.asarray(batch.column(0)), lengths)[cut]),
-                     pa.array(np.repeat(np.asarray(batch.column(1)), lengths)[cut].astype(np.int32)), pa.array(at[cut].astype(np.int32))],
-                    names=["token", "set", "n", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(c[begin:begin + 100_000]) for c in columns], names=["token", "set", "n", "at", "light"])
 
-    rows = sets.where("prefix is not null and id is not null").select("set", "n", "prefix")
-    return rows.mapInArrow(run, "token bigint, set bigint, n int, at int")
+    rows = sets.where("prefix is not null and id is not null").select("set", "n", "prefix", "light")
+    return rows.mapInArrow(run, "token bigint, set bigint, n int, at int, light boolean")
+
+
+def shared_tokens(sets: DataFrame) -> DataFrame:
+    """(token, set, n, at, c, weight, held) of the tokens of several sets; each set is its own component yet."""
+    tokens = prefix_tokens(sets)
+    of_token = [F.min("set").alias("low"), F.max("set").alias("high"), F.count("*").alias("held")]
+    by_token = Window.partitionBy("token")
+    light = tokens.where("light").select("*", *[c.over(by_token).alias(n) for c, n in zip((F.min("set"), F.max("set"), F.count("*")), ("low", "high", "held"))])
+    heavy = tokens.where("not light")
+    heavy = heavy.join(heavy.groupBy("token").agg(*of_token), "token").select(*light.columns)
+    return staged(light.union(heavy).where("low < high").select(
+        "token", "set", "n", "at", F.col("set").alias("c"), F.lit(1).cast("long").alias("weight"), "held"))
 
 
 def _near_in_size(a: Column, b: Column) -> Column:
     return F.least(a, b) * SHARE[1] >= F.greatest(a, b) * SHARE[0]
 
 
+def _marks(sets: DataFrame) -> DataFrame:
+    """(set, n, bits), a row for each set."""
+    return sets.where("bits is not null").select("set", "n", "bits").dropDuplicates(["set"])
+
+
 def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of sets that are similar. `docs`: id, text; `sets`: id, set, print, orders."""
-    marks = sets.where("orders is not null").select("set", "orders").dropDuplicates(["set"])
-    of = lambda side: marks.select(F.col("set").alias(side), F.col("orders").alias(f"of_{side}"))
-    pairs = staged(pairs.join(of("a"), "a").join(of("b"), "b").where(_meet(F.col("of_a"), F.col("of_b"))).select("a", "b"))
+    """The pairs (a, b) of sets that are similar. `docs`: id, text; `sets`: id, set, print, n, bits."""
+    of = lambda side: _marks(sets).select(F.col("set").alias(side), F.col("bits").alias(f"of_{side}"), F.col("n").alias(f"n_{side}"))
+    may = _may_link(F.col("of_a"), F.col("of_b"), F.col("n_a"), F.col("n_b"))
+    pairs = staged(pairs.join(of("a"), "a").join(of("b"), "b").where(may).select("a", "b"))
     wanted = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
     holders = sets.where("id is not null").groupBy("set").agg(F.min(F.struct("id", "print")).alias("of")).join(wanted, "set").select("set", "of.*")
     # Of the texts that share an id, the one meant.
@@ -283,16 +310,13 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInArrow(compare, "a bigint, b bigint")
 
 
-def _in_several(tokens: DataFrame, links: DataFrame | None) -> DataFrame:
+def _in_several(tokens: DataFrame, links: DataFrame) -> DataFrame:
     """The rows of tokens whose sets lie in several components, with their component `c`, its size
     `weight` and how many sets the token has, `held`."""
-    if links is None:
-        marked = tokens.withColumns({"c": F.col("set"), "weight": F.lit(1).cast("long")})
-    else:
-        reached = checkpointed(components(links).withColumnsRenamed({"node": "set", "component": "c"}))
-        sizes = reached.groupBy("c").agg(F.count("*").alias("weight"))
-        marked = (tokens.join(reached.join(sizes, "c"), "set", "left")
-                  .withColumns({"c": F.coalesce("c", "set"), "weight": F.coalesce("weight", F.lit(1))}))
+    reached = checkpointed(components(links).withColumnsRenamed({"node": "set", "component": "c"}))
+    sizes = reached.groupBy("c").agg(F.count("*").alias("weight"))
+    marked = (tokens.join(reached.join(sizes, "c"), "set", "left")
+              .withColumns({"c": F.coalesce("c", "set"), "weight": F.coalesce("weight", F.lit(1))}))
     several = marked.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("held")).where("low < high")
     return staged(marked.join(several.select("token", "held"), "token").select("token", "set", "n", "at", "c", "weight", "held"))
 
@@ -307,6 +331,18 @@ def _one_each(tokens: DataFrame, turn: int) -> DataFrame:
     return best.select(F.least("set", "p.other").alias("a"), F.greatest("set", "p.other").alias("b")).distinct()
 
 
+def _across(tokens: DataFrame) -> DataFrame:
+    """(a, b): sets of different components that share a token and pass the filters that the rows allow."""
+    x, y = tokens.alias("x"), tokens.alias("y")
+    need = F.ceil((F.col("x.n") + F.col("y.n")) * SHARE[0] / (SHARE[0] + SHARE[1]))
+    bound = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
+    pair = ((F.col("x.token") == F.col("y.token")) & (F.col("x.set") < F.col("y.set")) & (F.col("x.c") != F.col("y.c"))
+            & _near_in_size(F.col("x.n"), F.col("y.n")) & (bound >= need))
+    if "bits" in tokens.columns:
+        pair = pair & _may_link(F.col("x.bits"), F.col("y.bits"), F.col("x.n"), F.col("y.n"))
+    return x.join(y, pair).select(F.col("x.set").alias("a"), F.col("y.set").alias("b")).distinct()
+
+
 def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: id, n_shingles, component_id."""
     rows = docs.select(col(id).alias("id"), col(text).alias("text"))
@@ -314,7 +350,7 @@ def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     bits = max(16, min(24, (16 * max(1, rows.count())).bit_length()))
     sets = staged(token_sets(rows, frequency_classes(rows.select("text"), bits), kind))
 
-    hot, few, links = _in_several(prefix_tokens(sets), None), None, None
+    hot, few, links = shared_tokens(sets), None, None
     for turn in range(ROUNDS):
         pairs = staged(_one_each(hot, turn))
         asked = pairs.count()
@@ -329,14 +365,9 @@ def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
             few, hot = hot.where(F.col("held") <= FEW), hot.where(F.col("held") > FEW)
         if found * 20 < asked:  # most of what is left doesn't link
             break
+    across = _across(hot.join(_marks(sets).select("set", "bits"), "set"))
     if few is not None:
-        hot = few.unionByName(hot)
-    x, y = hot.alias("x"), hot.alias("y")
-    need = F.ceil((F.col("x.n") + F.col("y.n")) * SHARE[0] / (SHARE[0] + SHARE[1]))
-    bound = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
-    across = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.set") < F.col("y.set")) & (F.col("x.c") != F.col("y.c"))
-                     & _near_in_size(F.col("x.n"), F.col("y.n")) & (bound >= need))
-              .select(F.col("x.set").alias("a"), F.col("y.set").alias("b")).distinct())
+        across = across.union(_across(few)).distinct()
     every = staged(verified(across, rows, sets))
     every = every if links is None else links.union(every)
 
