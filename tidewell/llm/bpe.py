@@ -29,7 +29,7 @@ import base64
 import heapq
 import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +38,9 @@ from pyspark.sql import functions as F
 
 from tidewell.llm.common import col, ragged, staged
 
-CACHE = 100_000
+Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+CACHE = 50_000
 #: Pieces merged beforehand, and the longest of them in bytes.
 COMMON, LONGEST = 20_000, 48
 #: Pieces of so many bytes at most are merged together, without a heap.
@@ -231,10 +233,13 @@ def common_pieces(pieces: DataFrame, ranks: dict[bytes, int], most: int = COMMON
     return {r.piece: np.array(r.ids, dtype="<u4").tobytes() for r in chosen.collect()}  # at most `most` rows
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: id, ids (binary, 4 bytes per token)."""
+def _pieces(docs: DataFrame, pattern: str, id: str, text: str) -> DataFrame:
     whole = F.coalesce(col(text), F.lit(""))
-    rows = docs.select(col(id).alias("id"), F.regexp_extract_all(whole, F.lit(java_pattern(pattern)), F.lit(0)).alias("pieces"))
+    return docs.select(col(id).alias("id"), F.regexp_extract_all(whole, F.lit(java_pattern(pattern)), F.lit(0)).alias("pieces"))
+
+
+def _encoder(rows: DataFrame, ranks: dict[bytes, int]) -> Batches:
+    """From batches of (id, pieces) to batches of (id, ids)."""
     common, merger = common_pieces(rows.select("pieces"), ranks), Merger(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,21 +267,11 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id: str = "do
                     [part.column(0), pa.array([out[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())],
                     names=["id", "ids"])
 
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, ids binary").withColumnRenamed("id", id)
+    return run
 
 
-def piece_slices(lists: pa.ListArray, most: int = 200_000) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of about `most` pieces, one row at least."""
-    offsets, begin, n = np.asarray(lists.offsets, dtype=np.int64), 0, len(lists)
-    while begin < n:
-        end = max(begin + 1, int(np.searchsorted(offsets, offsets[begin] + most, side="right")) - 1)
-        yield begin, min(end, n)
-        begin = end
-
-
-def decode(encoded: DataFrame, ranks: dict[bytes, int], id: str = "doc_id", ids: str = "ids") -> DataFrame:
-    """One row per input row: id, ids, decoded (binary); a null stays null."""
+def _decoder(ranks: dict[bytes, int]) -> Batches:
+    """From batches of (id, ids) to batches of (id, ids, decoded)."""
     pieces = [b""] * (max(ranks.values(), default=-1) + 1)
     for token, rank in ranks.items():
         pieces[rank] = token
@@ -287,9 +282,38 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], id: str = "doc_id", ids:
                    for b in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=["id", "ids", "decoded"])
 
-    rows = encoded.select(col(id).alias("id"), col(ids).alias("ids"))
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, ids binary, decoded binary").withColumnRenamed("id", id)
+    return run
+
+
+def _mapped(rows: DataFrame, run: Batches, columns: str, id: str) -> DataFrame:
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, {columns}").withColumnRenamed("id", id)
+
+
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per input row: id, ids (binary, 4 bytes per token)."""
+    rows = _pieces(docs, pattern, id, text)
+    return _mapped(rows, _encoder(rows, ranks), "ids binary", id)
+
+
+def decode(encoded: DataFrame, ranks: dict[bytes, int], id: str = "doc_id", ids: str = "ids") -> DataFrame:
+    """One row per input row: id, ids, decoded (binary); a null stays null."""
+    return _mapped(encoded.select(col(id).alias("id"), col(ids).alias("ids")), _decoder(ranks), "ids binary, decoded binary", id)
+
+
+def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """What `decode` gives for what `encode` gives; both steps in one Python worker, so a task has one and not two."""
+    rows = _pieces(docs, pattern, id, text)
+    encoded, decoded = _encoder(rows, ranks), _decoder(ranks)
+    return _mapped(rows, lambda batches: decoded(encoded(batches)), "ids binary, decoded binary", id)
+
+
+def piece_slices(lists: pa.ListArray, most: int = 200_000) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about `most` pieces, one row at least."""
+    offsets, begin, n = np.asarray(lists.offsets, dtype=np.int64), 0, len(lists)
+    while begin < n:
+        end = max(begin + 1, int(np.searchsorted(offsets, offsets[begin] + most, side="right")) - 1)
+        yield begin, min(end, n)
+        begin = end
 
 
 def digests(decoded: DataFrame, id: str = "doc_id") -> DataFrame:

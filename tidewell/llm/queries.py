@@ -77,8 +77,7 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
-    encoded = bpe.encode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
-    return bpe.digests(bpe.decode(encoded, ranks))
+    return bpe.digests(bpe.round_trip(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN))
 
 
 @query
