@@ -37,7 +37,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every copy, and what they decode to, as digests."""
     ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
-    return bpe.digests(bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks))
+    return bpe.digests(bpe.round_trip(docs, ranks, public_tokenizers.PATTERN))
 
 
 STAGES = [
