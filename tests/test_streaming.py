@@ -245,10 +245,10 @@ def test_tables_follow_the_files(spark, tmp_path):
     assert {r.check_name: r.violations for r in gates.collect() if r.violations} == {}
     runs = audit.recent_runs(audit.read_runs(spark, layout.audit))
     assert {(r.name, r.state) for r in runs.collect()} >= {("fact_booking", "SUCCEEDED"), ("provider_changes", "SUCCEEDED")}
-    assert audit.last_outcomes(audit.read_runs(spark, layout.audit)).filter("state = 'SUCCEEDED'").count() == 6
+    assert audit.last_outcomes(audit.read_runs(spark, layout.audit)).filter("state = 'SUCCEEDED'").count() == 7
 
     states = {n: publish.read_state(spark, layout.table(n)).number for n in (
-        "bookings_clean", "dim_provider", "fact_review_insight", "dim_customer", "dim_service", "dim_date", "fact_booking", "daily_service_kpi")}
+        "bookings_clean", "dim_provider", "fact_review_insight", "dim_customer", "dim_service", "dim_date", "fact_booking", "daily_service_kpi", "daily_service_sums")}
     files = sorted(str(f) for f in (tmp_path / "lake/tables").rglob("*"))
     for name in ("providers", "bookings"):
         load(spark, layout, landing, name)

@@ -156,10 +156,14 @@ def clean_services(raw: DataFrame) -> DataFrame:
     return _newest_record("service_id", typed).drop("source_filename", "source_row_number", "ingested_at")
 
 
+def marked_missing(df: DataFrame, required: list[str]) -> DataFrame:
+    """Adds `missing_columns`, the required columns that a row lacks."""
+    return df.withColumn("missing_columns", F.array_compact(F.array(*[F.when(F.col(n).isNull(), F.lit(n)) for n in required])))
+
+
 def split_not_null(df: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:
     """Rows with every required column, and the others with the columns they lack."""
-    missing = F.array_compact(F.array(*[F.when(F.col(n).isNull(), F.lit(n)) for n in required]))
-    marked = df.withColumn("missing_columns", missing)
+    marked = marked_missing(df, required)
     return (
         marked.filter(F.size("missing_columns") == 0).drop("missing_columns"),
         marked.filter(F.size("missing_columns") > 0),

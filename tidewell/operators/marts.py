@@ -44,12 +44,8 @@ def build_fact_booking(
     )
 
 
-def daily_service_kpi(fact: DataFrame, dates: DataFrame, services: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Measures per date, city and service category.
-
-    Bookings without a calendar day or service drop out; those without a review
-    stay. Partial aggregation runs before the shuffle, so a busy group is cheap.
-    """
+def _contributions(fact: DataFrame, dates: DataFrame, services: DataFrame, reviews: DataFrame) -> DataFrame:
+    """What each booking adds to its group. Bookings without a calendar day or service drop out."""
     c = F.col
     insight = reviews.select(F.col("booking_id").alias("_review_id"), "sentiment_label")
     joined = (
@@ -60,15 +56,60 @@ def daily_service_kpi(fact: DataFrame, dates: DataFrame, services: DataFrame, re
               "booking_date_key")
         .join(services.select("service_key", "service_category"), "service_key")
     )
-    total = F.count("*")
-    return joined.groupBy(*KPI_KEYS).agg(
-        total.alias("total_bookings"),
-        F.sum("completed_booking_count").alias("completed_bookings"),
-        F.sum("cancelled_booking_count").alias("cancelled_bookings"),
-        V.rate(F.sum("completed_booking_count"), total).alias("completion_rate"),
-        V.rate(F.sum("cancelled_booking_count"), total).alias("cancellation_rate"),
-        F.round(F.sum("final_amount"), 2).alias("total_revenue"),
-        F.round(F.avg("rating"), 2).alias("average_rating"),
-        F.count("_review_id").alias("enriched_review_count"),
-        F.count_if(c("sentiment_label") == "negative").alias("negative_review_count"),
+    counts = {
+        "total_bookings": F.lit(1), "completed_bookings": c("completed_booking_count"), "cancelled_bookings": c("cancelled_booking_count"),
+        "rating_sum": F.coalesce(c("rating"), F.lit(0)), "rating_count": c("rating").isNotNull().cast("int"),
+        "amount_count": c("final_amount").isNotNull().cast("int"), "enriched_review_count": c("_review_id").isNotNull().cast("int"),
+        "negative_review_count": F.coalesce(c("sentiment_label") == "negative", F.lit(False)).cast("int"),
+    }
+    return joined.select(*KPI_KEYS, F.coalesce("final_amount", F.lit(0)).cast("decimal(28,2)").alias("amount_sum"),
+                         *[v.cast("bigint").alias(n) for n, v in counts.items()])
+
+
+#: The measures of a group that add up, in a table and under subtraction.
+KPI_SUMS = ["amount_sum", "total_bookings", "completed_bookings", "cancelled_bookings", "rating_sum", "rating_count", "amount_count",
+            "enriched_review_count", "negative_review_count"]
+
+
+def _summed(rows: DataFrame) -> DataFrame:
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    return rows.groupBy(*KPI_KEYS).agg(*[F.sum(n).cast(kinds[n]).alias(n) for n in KPI_SUMS])
+
+
+def kpi_sums(fact: DataFrame, dates: DataFrame, services: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Sums per date, city and service category. Partial aggregation runs before the shuffle, so a busy group is cheap."""
+    return _summed(_contributions(fact, dates, services, reviews))
+
+
+def apply_deltas(sums: DataFrame, gone: DataFrame, new: DataFrame) -> DataFrame:
+    """The sums after bookings changed: `gone` and `new` are sums of the changed rows as they were and as they are.
+
+    A group that no booking is left in goes. No booking that did not change is read.
+    """
+    minus = gone.select(*KPI_KEYS, *[(-F.col(n)).alias(n) for n in KPI_SUMS])
+    return _summed(sums.select(*KPI_KEYS, *KPI_SUMS).unionByName(minus).unionByName(new)).where("total_bookings <> 0")
+
+
+def kpi_of(sums: DataFrame) -> DataFrame:
+    """The measures out of the sums."""
+    c = F.col
+    return sums.select(
+        *KPI_KEYS, "total_bookings", "completed_bookings", "cancelled_bookings",
+        V.rate(c("completed_bookings"), c("total_bookings")).alias("completion_rate"),
+        V.rate(c("cancelled_bookings"), c("total_bookings")).alias("cancellation_rate"),
+        F.when(c("amount_count") > 0, F.round("amount_sum", 2)).alias("total_revenue"),
+        F.when(c("rating_count") > 0, F.round(c("rating_sum") / c("rating_count"), 2)).alias("average_rating"),
+        "enriched_review_count", "negative_review_count",
     )
+
+
+def daily_service_kpi(fact: DataFrame, dates: DataFrame, services: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Measures per date, city and service category; bookings without a review stay."""
+    return kpi_of(kpi_sums(fact, dates, services, reviews))
+
+
+def row_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Rows that are only in one of two states of a table, `change` -1 for those that went and 1 for those that came."""
+    signed = before.withColumn("change", F.lit(-1)).unionByName(after.withColumn("change", F.lit(1)))
+    net = signed.groupBy(*before.columns).agg(F.sum("change").alias("net")).where("net <> 0")
+    return net.withColumn("change", F.explode(F.array_repeat(F.signum("net").cast("int"), F.abs("net").cast("int")))).drop("net")

@@ -231,6 +231,19 @@ SQL["new_file_rows"] = """
 SELECT 'batch_' || strftime(l_shipdate, '%Y%m') AS source_filename, count(*) AS row_count FROM lineitem
 WHERE strftime(l_shipdate, '%Y%m') NOT IN (SELECT strftime(o_orderdate, '%Y%m') FROM orders) GROUP BY 1"""
 
+SQL["ledger_history"] = SQL["load_history"]
+
+SQL["new_file_rows_by_ledger"] = SQL["new_file_rows"]
+
+SQL["load_runs"] = """
+WITH mixed AS (SELECT props AS payload FROM events UNION ALL SELECT text FROM documents)
+SELECT 'customers' AS name, 'SUCCEEDED' AS state, 2 * count(*) AS input_rows, 0::BIGINT AS rejected, NULL::BOOLEAN AS malformed FROM customer
+UNION ALL SELECT 'services', 'SUCCEEDED', 2 * count(*), 0, NULL FROM part
+UNION ALL SELECT 'providers', 'SUCCEEDED', count(DISTINCT (l_suppkey, date_trunc('quarter', l_shipdate))), 0, NULL
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+UNION ALL SELECT 'mixed', 'SUCCEEDED', count(*), count(CASE WHEN NOT coalesce(json_valid(payload), false) THEN 1 END), NULL FROM mixed
+UNION ALL SELECT 'refused', 'FAILED', NULL, NULL, true"""
+
 SQL["raw_table_counts"] = f"""WITH {SNAP}, {EVENTS}
 SELECT 'RAW_BOOKING_EVENTS' AS object_name, count(*) AS row_count FROM snap
 UNION ALL SELECT 'RAW_PROVIDER_EVENTS', count(*) FROM events_in
@@ -260,6 +273,8 @@ ranked AS (
 SELECT {BOOKING_VIEW} FROM ranked WHERE rn = 1"""
 
 SQL["latest_bookings"] = f"WITH {LATEST} SELECT {BOOKING_VIEW} FROM latest"
+
+SQL["maintained_bookings"] = SQL["latest_bookings"]
 SQL["refreshed_latest_bookings"] = SQL["latest_bookings"]
 
 SQL["provider_changes"] = f"WITH {EVENTS} SELECT {PROVIDER_VIEW} FROM events_in"
@@ -270,6 +285,8 @@ hashed AS (SELECT *, sha256(concat_ws('|', primary_city, operating_zone, provide
 SELECT {PROVIDER_VIEW} FROM hashed WHERE provider_id IS NOT NULL AND effective_at IS NOT NULL
   AND provider_tier <> 'GOLD' AND active_status <> 'PAUSED'"""
 
+SQL["provider_changes_maintained"] = SQL["valid_provider_events"]
+
 SQL["applicable_provider_events"] = f"""WITH {FAULTY_EVENTS}
 SELECT provider_tier, active_status, count(*) AS events FROM faulty_events
 WHERE provider_id IS NOT NULL AND effective_at IS NOT NULL GROUP BY 1, 2"""
@@ -425,6 +442,7 @@ KPI_VIEW = """cast(booking_date_key AS bigint) AS booking_date_key, cast(booking
 SQL["daily_service_kpi"] = f"WITH {FACT}, {KPI} SELECT {KPI_VIEW} FROM kpi"
 SQL["stored_kpi"] = SQL["daily_service_kpi"]
 SQL["refreshed_kpi"] = SQL["daily_service_kpi"]
+SQL["kpi_by_deltas"] = SQL["daily_service_kpi"]
 SQL["newest_kpis"] = f"""WITH {FACT}, {KPI}, newest AS (
   SELECT * FROM kpi ORDER BY booking_date DESC, total_revenue DESC, booking_city, service_category LIMIT 20)
 SELECT {KPI_VIEW} FROM newest"""

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,9 +22,10 @@ from tidewell.plans import questions, reports
 from tidewell.plans.semantic import semantic_query
 from tidewell.plans.model import MARKETPLACE
 from tidewell.plans.stored import DOCUMENT_LEXICON, silver_bookings, stored_star
-from tidewell.session import spread
+from tidewell.session import shared_dir, spread
 from tidewell.sources import star
-from tidewell.sources.json_lines import mark_malformed, unseen_files
+from tidewell.sources.json_lines import RejectedLoad, ledger, load_rows, mark_malformed, unseen_files
+from tidewell.streaming import ingest, publish, upkeep
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,6 +55,11 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder in the shared one, for tables that a query keeps while it runs."""
+    return f"{shared_dir(spark)}/tidewell-{spark.sparkContext.applicationId}/run-{uuid.uuid4().hex[:12]}"
+
+
 def stamp(text: str):
     return F.lit(text).cast("timestamp")
 
@@ -103,6 +110,47 @@ def new_file_rows(spark, sf_dir):
     return unseen_files(offered, loaded).groupBy("source_filename").agg(F.count("*").alias("row_count"))
 
 
+@query
+def ledger_history(spark, sf_dir):
+    """The load history from the ledger that a load of the same lines keeps; no raw row is read for it."""
+    table = f"{scratch(spark)}/raw"
+    load_rows(mixed_raw(spark, sf_dir).unionByName(forged_raw(spark, sf_dir)), table, "first", on_error="continue")
+    return plain(reports.ledger_history(ledger(spark, table)))
+
+
+@query
+def new_file_rows_by_ledger(spark, sf_dir):
+    """Lines of files that no load of the orders has brought, found by the names in the ledger."""
+    table = f"{scratch(spark)}/raw"
+    named = lambda day: F.concat(F.lit("batch_"), F.date_format(day, "yyyyMM")).alias("source_filename")
+    loaded = star.table(spark, sf_dir, "orders").select(
+        F.to_json(F.struct("o_orderkey")).alias("payload"), named("o_orderdate"), F.col("o_orderkey").alias("source_row_number"),
+        stamp("2024-02-01 00:00:00").alias("ingested_at"))
+    for half in (0, 1):
+        load_rows(loaded.where(F.col("source_row_number") % 2 == half), table, f"half-{half}")
+    offered = star.table(spark, sf_dir, "lineitem").select(named("l_shipdate"))
+    return unseen_files(offered, ledger(spark, table)).groupBy("source_filename").agg(F.count("*").alias("row_count"))
+
+
+@query
+def load_runs(spark, sf_dir):
+    """Status of loads made here: what each wrote, counted while it was written, and the one that is refused."""
+    from tidewell.streaming import audit
+
+    root = scratch(spark)
+    raws = {"customers": star.raw_customers(spark, sf_dir), "services": star.raw_services(spark, sf_dir),
+            "providers": star.raw_providers(spark, sf_dir), "mixed": mixed_raw(spark, sf_dir), "refused": mixed_raw(spark, sf_dir)}
+    for name, raw in raws.items():
+        how = "continue" if name == "mixed" else "abort"
+        try:
+            audit.audited(spark, f"{root}/audit", name, lambda: load_rows(raw, f"{root}/{name}", "first", how))  # noqa: B023
+        except RejectedLoad:
+            pass
+    runs = audit.last_outcomes(audit.read_runs(spark, f"{root}/audit"))
+    return runs.select("name", "state", "input_rows", F.get_json_object("detail", "$.rejected").cast("bigint").alias("rejected"),
+                       F.col("error_message").contains("malformed").alias("malformed"))
+
+
 @query
 def raw_table_counts(spark, sf_dir):
     return reports.row_counts({
@@ -156,6 +204,18 @@ def latest_bookings(spark, sf_dir):
     return _booking_view(silver_bookings(spark, sf_dir))
 
 
+@query
+def maintained_bookings(spark, sf_dir):
+    """The latest state as a stream keeps it: raw snapshots arrive in two loads that share bookings and days."""
+    lake = upkeep.Layout(scratch(spark))
+    raw = stored_star(spark, sf_dir)["raw"]
+    half = F.pmod(F.xxhash64("payload"), F.lit(2))
+    for part in (1, 0):
+        load_rows(raw.where(half == part), lake.raw("bookings"), f"part-{part}")
+        ingest.run_available(upkeep.bookings_step(spark, lake))
+    return _booking_view(publish.current(spark, lake.table("bookings_clean")))
+
+
 @query
 def refreshed_latest_bookings(spark, sf_dir):
     snapshots = clean.valid_bookings(star.typed_bookings(spark, sf_dir, reviews=False))
@@ -174,6 +234,19 @@ def provider_changes(spark, sf_dir):
     return plain(clean.clean_providers(star.raw_providers(spark, sf_dir)).select(*_PROVIDER_VIEW))
 
 
+@query
+def provider_changes_maintained(spark, sf_dir):
+    """The events table as its stream keeps it: two loads, and a run without new rows."""
+    lake = upkeep.Layout(scratch(spark))
+    raw = star.faulty_raw_providers(spark, sf_dir)
+    early = F.col("source_filename") < "providers/1996"
+    for name, rows in (("early", raw.where(early)), ("late", raw.where(~early))):
+        load_rows(rows, lake.raw("providers"), name)
+        ingest.run_available(upkeep.provider_events_step(spark, lake))
+    ingest.run_available(upkeep.provider_events_step(spark, lake))
+    return plain(upkeep.provider_events(spark, lake).select(*_PROVIDER_VIEW))
+
+
 @query
 def valid_provider_events(spark, sf_dir):
     return plain(clean.clean_providers(star.faulty_raw_providers(spark, sf_dir)).select(*_PROVIDER_VIEW))
@@ -417,6 +490,19 @@ def refreshed_kpi(spark, sf_dir):
                  .select(*_KPI_VIEW))
 
 
+@query
+def kpi_by_deltas(spark, sf_dir):
+    """KPI of an earlier and partly wrong fact, brought up to date by the rows that differ alone."""
+    s = stored_star(spark, sf_dir)
+    wrong = F.when(F.col("payment_method") == "5-LOW", F.col("final_amount") + 1).otherwise(F.col("final_amount")).cast("decimal(12,2)")
+    before = s["bookings"].where("record_updated_at < timestamp '1998-06-01 00:00:00' or booking_status = 'CANCELLED'").withColumn(
+        "final_amount", wrong).withColumn("booking_city", F.when(F.col("rating") == 1, F.lit("Nowhere")).otherwise(F.col("booking_city")))
+    dimensions = (s["dates"], s["services"], s["reviews"])
+    changes = marts.row_changes(before, s["bookings"])
+    gone, came = (marts.kpi_sums(changes.where(F.col("change") == sign).drop("change"), *dimensions) for sign in (-1, 1))
+    return plain(marts.kpi_of(marts.apply_deltas(marts.kpi_sums(before, *dimensions), gone, came)).select(*_KPI_VIEW))
+
+
 @query
 def newest_kpis(spark, sf_dir):
     return plain(reports.newest_kpis(stored_star(spark, sf_dir)["kpi"]).select(*_KPI_VIEW))
@@ -636,6 +722,7 @@ def last_outcomes(spark, sf_dir):
     events = star.table(spark, sf_dir, "events")
     runs = events.select(
         F.col("event_type").alias("name"), F.col("props").alias("error_message"), F.col("event_id").alias("input_rows"),
+        F.lit(None).cast("string").alias("detail"),
         F.when(F.col("value") > 50, "FAILED").otherwise("SUCCEEDED").alias("state"),
         (F.col("ts").cast("timestamp") + F.expr("make_dt_interval(0, 0, 0, event_id / 1000000.0)")).alias("started_at"),
         F.col("ts").cast("timestamp").alias("completed_at"))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewell.sources.records import RAW_COLUMNS, RAW_SCHEMA, is_malformed
-from tidewell.streaming.publish import path_exists, write_once
+from tidewell.streaming.publish import batch_folders, path_exists, write_once
 
 # Fixed value: the files an automatic load takes.
 FILE_PATTERN = ".*[.]json[.]gz"
@@ -90,35 +90,81 @@ def rejected_rows(spark: SparkSession, table: str) -> DataFrame:
             .withColumn("reason", F.lit("malformed JSON")))
 
 
+# ---- load ledger ---------------------------------------------------------
+
+#: One row per file and load: what it held, and when it came.
+LEDGER_SCHEMA = "source_filename string, load string, row_count bigint, error_count bigint, loaded_at timestamp"
+
+
+def _ledger_folder(table: str) -> str:
+    return f"{table}/_ledger"  # readers of the raw table pass over names with an underscore
+
+
+def counted_files(marked: DataFrame, load: Column) -> DataFrame:
+    """Ledger rows of marked lines: counted by each task before the shuffle, so a file of any size is one row."""
+    return marked.groupBy("source_filename").agg(
+        F.count_if(F.col("load_status") == LOADED).alias("row_count"), F.count_if(F.col("load_status") == REJECTED).alias("error_count"),
+        F.max("ingested_at").alias("loaded_at")).select(
+        "source_filename", load.alias("load"), "row_count", "error_count", "loaded_at")
+
+
+def note_load(spark: SparkSession, table: str, load: str) -> None:
+    """Enter a finished batch of a raw table into its ledger; it reads that batch alone, and of it no payload."""
+    batch = spark.read.schema(f"{RAW_SCHEMA}, load_status string").parquet(f"{table}/batch={load}")
+    write_once(counted_files(batch, F.lit(load)).coalesce(1), _ledger_folder(table), load)
+
+
+def ledger(spark: SparkSession, table: str) -> DataFrame:
+    """Files of a raw table, one row per file and load.
+
+    A batch counts as loaded when it is written. One whose ledger entry is missing, because
+    its run was lost in between, is entered here, so no file is taken for new.
+    """
+    for load in sorted(set(batch_folders(spark, table)) - set(batch_folders(spark, _ledger_folder(table)))):
+        note_load(spark, table, load)
+    if not path_exists(spark, _ledger_folder(table)):
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(f"{_ledger_folder(table)}/batch=*")
+
+
 def ingest_batch(
     spark: SparkSession, prefix: str, table: str, load: str, glob: str = "*.json.gz", on_error: str = "abort"
-) -> None:
-    """Load the prefix's files that are not in the raw table yet, as the load `load`.
+) -> dict[str, int]:
+    """Load the prefix's files that are not in the raw table yet, as the load `load`; how many rows came, and were rejected.
 
     `abort` fails the write, and so loads nothing, when any row is malformed.
     `continue` keeps malformed rows aside as rejected. Files count as loaded by their
-    names, not by the load's: a load name used before takes what is new as `load.2`.
+    names in the ledger, not by the load's: a load name used before takes what is new as `load.2`.
     """
     if on_error not in ("abort", "continue"):
         raise ValueError(f"on_error is abort or continue, not {on_error}")
     raw = read_json_lines(spark, prefix, glob)
     if path_exists(spark, table):
-        raw = unseen_files(raw, raw_files(spark, table))
+        raw = unseen_files(raw, ledger(spark, table))
+    name, times = load, 1
+    while path_exists(spark, f"{table}/batch={name}/_SUCCESS"):
+        times += 1
+        name = f"{load}.{times}"
+    if times > 1 and raw.isEmpty():
+        return {"rows": 0, "rejected": 0}
+    return load_rows(raw, table, name, on_error)
+
+
+def load_rows(raw: DataFrame, table: str, load: str, on_error: str = "abort") -> dict[str, int]:
+    """Write raw rows as one batch and enter it into the ledger; what was written is counted in the same pass."""
     marked = mark_malformed(raw)
     if on_error == "abort":
         refusal = F.raise_error(F.concat(F.lit(_REFUSED), F.col("source_row_number").cast("string"),
                                          F.lit(" of "), F.col("source_filename")))
         marked = marked.withColumn(
             "load_status", F.when(F.col("load_status") == REJECTED, refusal.cast("string")).otherwise(F.col("load_status")))
-    name, times = load, 1
-    while path_exists(spark, f"{table}/batch={name}/_SUCCESS"):
-        times += 1
-        name = f"{load}.{times}"
-    if times > 1 and raw.isEmpty():
-        return
+    seen = Observation()
+    counted = marked.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("load_status") == REJECTED).alias("rejected"))
     try:
-        write_once(marked, table, name, ("load_status",))
+        written = write_once(counted, table, load, ("load_status",))
     except Exception as e:
         if _REFUSED in str(e):
-            raise RejectedLoad(f"{prefix} holds a malformed row; nothing was loaded") from e
+            raise RejectedLoad(f"{load} of {table} holds a malformed row; nothing was loaded") from e
         raise
+    note_load(raw.sparkSession, table, load)
+    return dict(seen.get) if written else {"rows": 0, "rejected": 0}

@@ -18,11 +18,10 @@ def _now() -> datetime.datetime:
     return datetime.datetime.now(datetime.timezone.utc)
 
 
-def record(spark: SparkSession, audit: str, name: str, state: str, started: datetime.datetime,
-           completed: datetime.datetime | None = None, rows: int | None = None, error: str | None = None,
-           detail: str | None = None) -> None:
-    row = [(name, state, started, completed, rows, error, detail)]
-    spark.createDataFrame(row, RUN_SCHEMA).coalesce(1).write.mode("append").parquet(audit)
+def record(spark: SparkSession, audit: str, *runs: tuple) -> None:
+    """Append rows of `RUN_SCHEMA`, as one file."""
+    if runs:
+        spark.createDataFrame(list(runs), RUN_SCHEMA).coalesce(1).write.mode("append").parquet(audit)
 
 
 def read_runs(spark: SparkSession, audit: str) -> DataFrame:
@@ -30,14 +29,19 @@ def read_runs(spark: SparkSession, audit: str) -> DataFrame:
 
 
 def audited(spark: SparkSession, audit: str, name: str, run: Callable[[], object]) -> object:
-    """Run a step and note its outcome; a failure is noted and raised."""
+    """Run a step and note its outcome; a failure is noted and raised.
+
+    A step that gives counts of what it wrote, observed in the pass that wrote it, has
+    `rows` as its input rows and all counts as detail.
+    """
     started = _now()
     try:
         result = run()
     except Exception as e:
-        record(spark, audit, name, "FAILED", started, _now(), error=str(e))
+        record(spark, audit, (name, "FAILED", started, _now(), None, str(e), None))
         raise
-    record(spark, audit, name, "SUCCEEDED", started, _now())
+    counts = result if isinstance(result, dict) else {}
+    record(spark, audit, (name, "SUCCEEDED", started, _now(), counts.get("rows"), None, json.dumps(counts) if counts else None))
     return result
 
 
@@ -50,19 +54,24 @@ def recent_runs(audit: DataFrame, hours: int = 24, as_of: Column | None = None)
 
 def last_outcomes(audit: DataFrame) -> DataFrame:
     """Newest audit row of each name: the status of every load and refresh."""
-    newest = F.max_by(F.struct("state", "started_at", "completed_at", "input_rows", "error_message"), "started_at")
+    newest = F.max_by(F.struct("state", "started_at", "completed_at", "input_rows", "error_message", "detail"), "started_at")
     return audit.groupBy("name").agg(newest.alias("last")).select("name", "last.*")
 
 
 class StreamAudit(StreamingQueryListener):
-    """Writes the progress and the end of each streaming query to the audit table."""
+    """Writes the progress and the end of each streaming query to the audit table.
+
+    Progress is held back and written `together` reports at a time, and when a query ends.
+    """
 
-    def __init__(self, spark: SparkSession, audit: str) -> None:
-        self._spark, self._audit = spark, audit
+    def __init__(self, spark: SparkSession, audit: str, together: int = 100) -> None:
+        self._spark, self._audit, self._together = spark, audit, together
         self._names: dict[str, str] = {}
+        self._held: list[tuple] = []
 
-    def _note(self, name, state, started, rows=None, error=None, detail=None) -> None:
-        record(self._spark, self._audit, name, state, started, _now(), rows, error, detail)
+    def _flush(self) -> None:
+        held, self._held = self._held, []
+        record(self._spark, self._audit, *held)
 
     def onQueryStarted(self, event) -> None:
         self._names[str(event.id)] = event.name or str(event.id)
@@ -71,13 +80,14 @@ class StreamAudit(StreamingQueryListener):
         p = event.progress
         if p.numInputRows:
             detail = json.dumps({"batch": p.batchId, "rows_per_second": p.processedRowsPerSecond})
-            self._note(p.name or str(p.id), "RUNNING", datetime.datetime.fromisoformat(p.timestamp), p.numInputRows,
-                       detail=detail)
+            self._held.append((p.name or str(p.id), "RUNNING", datetime.datetime.fromisoformat(p.timestamp), _now(), p.numInputRows, None, detail))
+            if len(self._held) >= self._together:
+                self._flush()
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
         name = self._names.get(str(event.id), str(event.id))
-        state = "FAILED" if event.exception else "FINISHED"
-        self._note(name, state, _now(), error=event.exception)
+        self._held.append((name, "FAILED" if event.exception else "FINISHED", _now(), _now(), None, event.exception, None))
+        self._flush()

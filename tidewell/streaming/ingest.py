@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tidewell.sources.json_lines import LOADED, mark_malformed, positioned, raw_files, unseen_files, with_position
+from tidewell.sources.json_lines import LOADED, ledger, mark_malformed, note_load, positioned, unseen_files, with_position
 from tidewell.sources.records import RAW_SCHEMA
 from tidewell.streaming.publish import batch_folders, write_once
 
@@ -40,7 +40,7 @@ def ingest_stream(
     The checkpoint remembers file paths. Running it again picks up files that
     came before the stream was set up, and skips all that were loaded. Batches are
     named by the checkpoint's own id, so a rebuilt checkpoint starts anew beside the
-    batches of the lost one; files that those hold are left out by name.
+    batches of the lost one; files that those hold are left out by their names in the ledger.
     """
     reader = (spark.readStream.format("text").option("recursiveFileLookup", "true")
               .option("pathGlobFilter", glob))
@@ -51,9 +51,11 @@ def ingest_stream(
         run = stream_id(spark, checkpoint)
         raw = positioned(lines).withColumn("ingested_at", F.current_timestamp())
         if batch_folders(spark, table, but=run):
-            others = raw_files(spark, table).filter(~F.col("batch").cast("string").startswith(run))
+            others = ledger(spark, table).filter(~F.col("load").startswith(run))
             raw = unseen_files(raw, others)
-        write_once(mark_malformed(raw), table, f"{run}-{batch_id:012d}", ("load_status",))
+        load = f"{run}-{batch_id:012d}"
+        write_once(mark_malformed(raw), table, load, ("load_status",))
+        note_load(spark, table, load)
 
     return batches(with_position(reader.load(prefix)), name, checkpoint, handle)
 

@@ -1,9 +1,16 @@
 """Keeping the tables current, batch by batch.
 
-State lives in tables, not in operator state, so each step is a micro-batch over a
-raw table, or a refresh that finds out what changed by comparing table states.
-Bookings, insights, fact and KPI are cut by booking date and only touched dates are
-written again.
+Each step is a micro-batch over a raw table, or a refresh that finds out what changed by
+comparing table states. Bookings, insights, fact and KPI are cut by booking date and
+only touched dates are written again.
+
+* Latest bookings: a streaming aggregation keeps, per booking, its newest valid snapshot and
+  the dates it has had, so a micro-batch looks up its own bookings in Spark's state store and
+  knows the dates to open; no key of the table is scanned.
+* Valid provider events: a stateless stream appends them through Spark's own file sink.
+* Fact: rows that differ between two states are written beside it as changes.
+* KPI: kept as sums per (day, city, category). A refresh subtracts the changed bookings as they
+  were and adds them as they are; bookings that did not change are not read.
 """
 
 from __future__ import annotations
@@ -17,10 +24,11 @@ from tidewell.functions.values import date_key
 from tidewell.operators import clean, dims, marts, refresh, reviews, scd2
 from tidewell.operators.scoring import Scorer
 from tidewell.sources.json_lines import raw_table
+from tidewell.sources.records import RAW_SCHEMA
 from tidewell.streaming import ingest
 from tidewell.streaming.audit import audited
 from tidewell.streaming.publish import (
-    batch_folders, changed_parts, current, int_values, path_exists, publish, publish_parts, read_parts, read_state,
+    State, batch_folders, changed_parts, current, int_values, path_exists, publish, publish_parts, read_parts, read_state,
     state_kept, write_once,
 )
 
@@ -42,6 +50,12 @@ class Layout:
     def quarantine(self, name: str) -> str:
         return f"{self.root}/quarantine/{name}"
 
+    def staged(self, name: str) -> str:
+        return f"{self.root}/staged/{name}"
+
+    def changes(self, name: str) -> str:
+        return f"{self.root}/changes/{name}"
+
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
 
@@ -63,26 +77,60 @@ def _touched(table: DataFrame, arrived: DataFrame) -> list[int]:
 # ---- latest bookings -----------------------------------------------------
 
 
+def newest_snapshots(valid: DataFrame) -> DataFrame:
+    """(booking_id, newest, dates) of a stream of valid snapshots: the row that `latest_bookings`
+    would keep, and every date key the booking has been under.
+
+    An aggregation, so each task first cuts its snapshots to one per booking; what a stream
+    keeps for a booking is its newest snapshot. Null times never win, as nulls come first.
+    """
+    dated = _dated(valid)
+    order = ["record_updated_at", "ingested_at", "source_row_number", "source_filename"]
+    rest = [c for c in dated.columns if c not in ("booking_id", *order)]
+    return dated.groupBy("booking_id").agg(F.max(F.struct(*order, *rest)).alias("newest"), F.collect_set(DATE).alias("dates"))
+
+
 def bookings_step(spark: SparkSession, layout: Layout) -> ingest.DataStreamWriter:
     """Raw booking changes into the latest-state table."""
     root, name = layout.table("bookings_clean"), "bookings_clean"
 
-    def handle(raw: DataFrame, batch_id: int) -> None:
+    def handle(changed: DataFrame, batch_id: int) -> None:
         writer = ingest.writer_id(spark, layout.checkpoint(name), name)
-        arrived = _dated(clean.clean_bookings(raw)).persist()
+        held = changed.persist()
         try:
+            columns = _dated(clean.parse_bookings(spark.createDataFrame([], RAW_SCHEMA))).columns
+            arrived = held.select("booking_id", "newest.*").select(*columns)
             state = read_state(spark, root)
             if state is None:
                 publish_parts(arrived, root, DATE, None, writer, batch_id, base=0)
             else:
-                touched = _touched(current(spark, root), arrived)
+                touched = int_values(held.select(F.explode("dates").alias(DATE)), DATE)
                 stored = read_parts(spark, root, state, [str(t) for t in touched])
-                publish_parts(refresh.refresh_latest(stored, arrived), root, DATE, touched, writer, batch_id, base=state.number)
+                kept = stored.join(arrived.select("booking_id"), "booking_id", "left_anti").select(*columns)
+                publish_parts(kept.unionByName(arrived), root, DATE, touched, writer, batch_id, base=state.number)
         finally:
-            arrived.unpersist()
+            held.unpersist()
+
+    valid = clean.valid_bookings(clean.parse_bookings(ingest.raw_changes(spark, layout.raw("bookings"))))
+    return ingest.batches(newest_snapshots(valid), name, layout.checkpoint(name), handle).outputMode("update")
+
+
+# ---- provider events -----------------------------------------------------
+
+
+def provider_events_step(spark: SparkSession, layout: Layout) -> ingest.DataStreamWriter:
+    """Valid provider events, typed and hashed, appended to a table by Spark's file sink, each once."""
+    name = "provider_changes_clean"
+    events = clean.clean_providers(ingest.raw_changes(spark, layout.raw("providers")))
+    return (events.writeStream.queryName(name).format("parquet").outputMode("append").option("path", layout.table(name))
+            .option("checkpointLocation", layout.checkpoint(name)))
 
-    source = ingest.raw_changes(spark, layout.raw("bookings"))
-    return ingest.batches(source, name, layout.checkpoint(name), handle)
+
+def provider_events(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The events table; what an unfinished batch of the sink has written is not in it."""
+    empty = clean.clean_providers(spark.createDataFrame([], RAW_SCHEMA))
+    root = layout.table("provider_changes_clean")
+    return spark.read.schema(empty.schema).parquet(root) if path_exists(spark, root) else empty
 
 
 # ---- provider dimension --------------------------------------------------
@@ -93,19 +141,35 @@ def _provider_batches(spark: SparkSession, layout: Layout, handle: ingest.Handle
     return ingest.batches(source, "provider_changes", layout.checkpoint("provider_changes"), handle)
 
 
+def _quarantined(spark: SparkSession, layout: Layout, typed: DataFrame, writer: str, batch_id: int) -> DataFrame:
+    """The rows of a batch that have every required column. The batch is parsed and written once, cut by
+    whether they do; good rows and the quarantine are both read from there."""
+    marked = clean.marked_missing(typed, dims.PROVIDER_REQUIRED)
+    name = f"{writer.partition(':')[2]}-{batch_id:012d}"
+    complete = F.when(F.size("missing_columns") == 0, "yes").otherwise("no")
+    write_once(marked.withColumn("complete", complete), layout.staged("provider_changes"), name, ("complete",))
+    path = f"{layout.staged('provider_changes')}/batch={name}/complete="
+    read = lambda verdict: spark.read.schema(marked.schema).parquet(f"{path}{verdict}") if path_exists(spark, f"{path}{verdict}") else (
+        spark.createDataFrame([], marked.schema))
+    write_once(read("no"), layout.quarantine("provider_changes"), name)
+    return read("yes").drop("missing_columns")
+
+
 def provider_seed_step(spark: SparkSession, layout: Layout) -> ingest.DataStreamWriter:
-    """First run of the provider stream: what waits seeds the dimension.
+    """First run of the provider stream: the events table, and what waits, seed the dimension.
 
     The seed and the later changes share one checkpoint, so no event falls between
-    them and none of the baseline comes again as a change.
+    them and none of the baseline comes again as a change. An event that both hold counts
+    once: a seed takes the earliest state of a provider.
     """
     root = layout.table("dim_provider")
 
     def handle(raw: DataFrame, batch_id: int) -> None:
-        good, bad = clean.split_not_null(clean.clean_providers(raw), dims.PROVIDER_REQUIRED)
+        waiting = clean.clean_providers(raw).unionByName(provider_events(spark, layout)).distinct()
         writer = ingest.writer_id(spark, layout.checkpoint("provider_changes"), "provider_changes")
-        write_once(bad, layout.quarantine("provider_changes"), f"{writer.partition(':')[2]}-{batch_id:012d}")
-        publish(scd2.scd2_seed(good, current(spark, root)), root, writer, batch_id)
+        good = _quarantined(spark, layout, waiting, writer, batch_id)
+        old = read_state(spark, root)
+        publish(scd2.scd2_seed(good, current(spark, root)), root, writer, batch_id, base=old.number if old else 0)
 
     return _provider_batches(spark, layout, handle)
 
@@ -118,10 +182,10 @@ def provider_changes_step(spark: SparkSession, layout: Layout, every_change: boo
 
     def handle(raw: DataFrame, batch_id: int) -> None:
         typed = clean.applicable_changes(clean.parse_providers(raw))
-        good, bad = clean.split_not_null(typed, dims.PROVIDER_REQUIRED)
         writer = ingest.writer_id(spark, layout.checkpoint("provider_changes"), "provider_changes")
-        write_once(bad, layout.quarantine("provider_changes"), f"{writer.partition(':')[2]}-{batch_id:012d}")
-        publish(apply(current(spark, root), good), root, writer, batch_id)
+        good = _quarantined(spark, layout, typed, writer, batch_id)
+        old = read_state(spark, root)
+        publish(apply(current(spark, root), good), root, writer, batch_id, base=old.number if old else 0)
 
     return _provider_batches(spark, layout, handle)
 
@@ -133,18 +197,19 @@ def _store_insights(spark: SparkSession, layout: Layout, dated: DataFrame, score
                     writer: str | None = None, batch_id: int | None = None) -> None:
     """Score what is new in `dated` candidates and upsert it by date."""
     root = layout.table("fact_review_insight")
-    existing = current(spark, root)
+    state = read_state(spark, root)
+    existing = current(spark, root, state.number) if state else None
     changed = reviews.changed_reviews(dated, existing)
     scored = reviews.score_reviews(changed, scorer, model_source).join(dated.select("booking_id", DATE), "booking_id")
     if existing is None:
-        publish_parts(scored, root, DATE, None, writer, batch_id)
+        publish_parts(scored, root, DATE, None, writer, batch_id, base=0)
         return
     fresh = scored.persist()
     try:
         touched = _touched(existing, fresh)
-        stored = read_parts(spark, root, read_state(spark, root), [str(t) for t in touched])
+        stored = read_parts(spark, root, state, [str(t) for t in touched])
         merged = reviews.upsert_reviews(stored, fresh, [*reviews.INSIGHT_COLUMNS, DATE])
-        publish_parts(merged, root, DATE, touched, writer, batch_id)
+        publish_parts(merged, root, DATE, touched, writer, batch_id, base=state.number)
     finally:
         fresh.unpersist()
 
@@ -200,9 +265,10 @@ def refresh_type1(spark: SparkSession, layout: Layout) -> None:
 def refresh_calendar(spark: SparkSession, layout: Layout, start: str = dims.CALENDAR_START,
                      end: str = dims.CALENDAR_END) -> None:
     root = layout.table("dim_date")
-    known = current(spark, root)
+    state = read_state(spark, root)
+    known = current(spark, root, state.number) if state else None
     if known is None or not dims.build_dim_date(spark, start, end).join(known, "date_key", "left_anti").isEmpty():
-        publish(dims.build_dim_date(spark, start, end, known).coalesce(1), root)
+        publish(dims.build_dim_date(spark, start, end, known).coalesce(1), root, base=state.number if state else 0)
 
 
 def refresh_fact(spark: SparkSession, layout: Layout) -> bool:
@@ -234,35 +300,79 @@ def refresh_fact(spark: SparkSession, layout: Layout) -> bool:
         touched = sorted(dates)
         latest = read_parts(spark, layout.table("bookings_clean"), states["bookings_clean"], [str(t) for t in touched])
     fact = marts.build_fact_booking(latest, now["dim_customer"], now["dim_service"], now["dim_provider"])
+    if touched is not None:
+        # Written before the state that they lead to is published; a run that is lost in between writes them anew.
+        before = read_parts(spark, root, old, [str(t) for t in touched])
+        changes = marts.row_changes(before, fact.select(*before.columns))
+        changes.write.mode("overwrite").parquet(f"{layout.changes('fact_booking')}/state={old.number + 1}")
     return publish_parts(fact, root, DATE, touched, built_from=numbers, base=old.number if old else 0)
 
 
+def fact_changes(spark: SparkSession, layout: Layout, since: int, until: int) -> DataFrame | None:
+    """Rows that the fact lost (`change` -1) and gained (1) between two of its states; None if not all are known."""
+    paths = [f"{layout.changes('fact_booking')}/state={n}" for n in range(since + 1, until + 1)]
+    if not all(path_exists(spark, f"{p}/_SUCCESS") for p in paths):
+        return None
+    fact = current(spark, layout.table("fact_booking"))
+    schema = fact.withColumn("change", F.lit(0)).schema
+    changes = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+    # A row that went and came back within these states is no change.
+    net = changes.groupBy(*fact.columns).agg(F.sum("change").alias("net")).where("net <> 0")
+    return net.select(*fact.columns, F.col("net").cast("int").alias("change"))
+
+
 def refresh_daily_kpi(spark: SparkSession, layout: Layout) -> bool:
-    """Rebuild the KPI for dates whose bookings or review insights have changed."""
+    """Bring the KPI up to date by the bookings and review insights that have changed."""
     sources = ("fact_booking", "fact_review_insight", "dim_service", "dim_date")
     states = {n: read_state(spark, layout.table(n)) for n in sources}
     numbers = {n: s.number for n, s in states.items()}
-    root = layout.table("daily_service_kpi")
-    old = read_state(spark, root)
+    root, sums_root = layout.table("daily_service_kpi"), layout.table("daily_service_sums")
+    old, sums = read_state(spark, root), read_state(spark, sums_root)
     if old is not None and old.built_from == numbers:
         return False
 
     now = {n: current(spark, layout.table(n)) for n in sources}
-    fact, touched = now["fact_booking"], None
-    same_dimensions = old is not None and all(old.built_from[n] == numbers[n] for n in ("dim_service", "dim_date")) and all(
-        state_kept(spark, layout.table(n), old.built_from[n]) for n in sources)
-    if same_dimensions:
-        before = {n: read_state(spark, layout.table(n), old.built_from[n]) for n in sources[:2]}
-        dates = {int(v) for v in changed_parts(before["fact_booking"], states["fact_booking"])}
-        # An insight may lie under another date than its booking, so look the bookings up.
-        parts = changed_parts(before["fact_review_insight"], states["fact_review_insight"])
-        rescored = read_parts(spark, layout.table("fact_review_insight"), states["fact_review_insight"], parts)
-        reached = fact.select("booking_id", DATE).join(rescored.select("booking_id"), "booking_id", "left_semi")
-        dates.update(int_values(reached, DATE))
-        touched = sorted(dates)
-        fact = read_parts(spark, layout.table("fact_booking"), states["fact_booking"], [str(t) for t in touched])
-    kpi = marts.daily_service_kpi(fact, now["dim_date"], now["dim_service"], now["fact_review_insight"])
-    return publish_parts(kpi, root, DATE, touched, built_from=numbers, base=old.number if old else 0)
+    dimensions = (now["dim_date"], now["dim_service"])
+    touched, changes = None, None
+    if sums is not None and sums.built_from != numbers and all(sums.built_from[n] == numbers[n] for n in ("dim_service", "dim_date")) and state_kept(
+            spark, layout.table("fact_review_insight"), sums.built_from["fact_review_insight"]):
+        changes = fact_changes(spark, layout, sums.built_from["fact_booking"], numbers["fact_booking"])
+    if sums is not None and sums.built_from == numbers:  # the sums are there, only what is told from them is not
+        new = current(spark, sums_root)
+    elif changes is None:
+        new = marts.kpi_sums(now["fact_booking"], *dimensions, now["fact_review_insight"])
+        publish_parts(new, sums_root, DATE, None, built_from=numbers, base=sums.number if sums else 0)
+        new = current(spark, sums_root)
+    else:
+        insight = now["fact_review_insight"]
+        insight_before = current(spark, layout.table("fact_review_insight"), sums.built_from["fact_review_insight"])
+        rescored = _rescored(spark, layout, sums.built_from["fact_review_insight"], states["fact_review_insight"])
+        changed = changes.persist()
+        try:
+            # Bookings whose insight alone changed, as they are. Their dates are those their insights lie under, or any.
+            same = now["fact_booking"].join(rescored, "booking_id", "left_semi").join(
+                changed.select("booking_id"), "booking_id", "left_anti").select(*now["fact_booking"].columns)
+            sides = {sign: changed.where(F.col("change") * sign > 0).drop("change").unionByName(same) for sign in (-1, 1)}
+            gone = marts.kpi_sums(sides[-1], *dimensions, insight_before)
+            came = marts.kpi_sums(sides[1], *dimensions, insight)
+            touched = int_values(gone.select(DATE).unionByName(came.select(DATE)), DATE)
+            stored = read_parts(spark, sums_root, sums, [str(t) for t in touched])
+            publish_parts(marts.apply_deltas(stored, gone, came), sums_root, DATE, touched, built_from=numbers, base=sums.number)
+        finally:
+            changed.unpersist()
+        new = read_parts(spark, sums_root, read_state(spark, sums_root), [str(t) for t in touched])
+        if old is None or {n: v for n, v in old.built_from.items()} != sums.built_from:
+            new, touched = current(spark, sums_root), None  # a run was lost between both tables
+    return publish_parts(marts.kpi_of(new), root, DATE, touched, built_from=numbers, base=old.number if old else 0)
+
+
+def _rescored(spark: SparkSession, layout: Layout, before: int, after: State) -> DataFrame:
+    """Bookings whose sentiment differs between two states of the insights; only changed partitions are read."""
+    root = layout.table("fact_review_insight")
+    was = read_state(spark, root, before)
+    parts = changed_parts(was, after)
+    rows = lambda state: read_parts(spark, root, state, parts).select("booking_id", "sentiment_label")
+    return marts.row_changes(rows(was), rows(after)).select("booking_id").distinct()
 
 
 def refresh_all(spark: SparkSession, layout: Layout, scorer: Scorer, model_source: str) -> None:
@@ -270,6 +380,7 @@ def refresh_all(spark: SparkSession, layout: Layout, scorer: Scorer, model_sourc
     steps = {
         "bookings_clean": lambda: ingest.run_available(bookings_step(spark, layout)),
         "type1_dimensions": lambda: refresh_type1(spark, layout),
+        "provider_changes_clean": lambda: ingest.run_available(provider_events_step(spark, layout)),
         "provider_changes": lambda: ingest.run_available(provider_changes_step(spark, layout)),
         "new_reviews": lambda: ingest.run_available(new_reviews_step(spark, layout, scorer, model_source)),
         "fact_booking": lambda: refresh_fact(spark, layout),
