@@ -63,17 +63,19 @@ def scd1_merge(
         fresh = assign_keys(incoming, [natural], key_col)
         return fresh.withColumn("created_at", moment).withColumn("updated_at", moment)
 
-    news = incoming.withColumnsRenamed({n: f"_new_{n}" for n in attributes}).withColumn("_hit", F.lit(True))
-    # A null in the source overwrites too, so the match flag decides, not the value.
-    kept = target.join(news, natural, "left").select(
-        key_col, natural,
-        *[F.when(F.col("_hit"), F.col(f"_new_{n}")).otherwise(F.col(n)).alias(n) for n in attributes],
-        "created_at",
-        F.when(F.col("_hit"), moment).otherwise(F.col("updated_at")).alias("updated_at"),
+    # One join for both. A null in the source overwrites too, so the side that is there decides, not the value.
+    old = target.select(F.col(natural).alias("old_id"), F.struct(*target.columns).alias("old"))
+    new = incoming.select(F.col(natural).alias("new_id"), F.struct(*incoming.columns).alias("new"))
+    joined = old.join(new, F.col("old_id") == F.col("new_id"), "full_outer").withColumn("id", F.coalesce("old_id", "new_id"))
+    # Keys are set aside for all rows of the batch; those of known rows are not used and leave gaps.
+    keyed = assign_keys(joined, ["id"], "fresh_key", existing=target.select(F.col(key_col).alias("fresh_key")))
+    known, hit = F.col("old").isNotNull(), F.col("new").isNotNull()
+    return keyed.select(
+        F.when(known, F.col("old").getField(key_col)).otherwise(F.col("fresh_key")).alias(key_col), F.col("id").alias(natural),
+        *[F.when(hit, F.col("new").getField(n)).otherwise(F.col("old").getField(n)).alias(n) for n in attributes],
+        F.when(known, F.col("old.created_at")).otherwise(moment).alias("created_at"),
+        F.when(hit, moment).otherwise(F.col("old.updated_at")).alias("updated_at"),
     )
-    unknown = incoming.join(target.select(natural), natural, "left_anti")
-    fresh = assign_keys(unknown, [natural], key_col, existing=target)
-    return kept.unionByName(fresh.withColumn("created_at", moment).withColumn("updated_at", moment))
 
 
 def merge_customers(target: DataFrame | None, source: DataFrame, now: Column | None = None) -> DataFrame:

@@ -13,10 +13,13 @@ KPI_KEYS = ["booking_date_key", "booking_date", "booking_city", "service_categor
 
 
 def build_fact_booking(
-    bookings: DataFrame, customers: DataFrame, services: DataFrame, providers: DataFrame
+    bookings: DataFrame, customers: DataFrame, services: DataFrame, providers: DataFrame, natural: bool = False
 ) -> DataFrame:
     """One row per latest booking; unresolved dimension keys stay null.
 
+    With `natural`, what the keys stand for comes along: customer_id, service_id, provider_id
+    and version_start_at, null where the key is.
+
     The joins to the Type 1 dimensions carry no hint: Spark broadcasts a dimension
     whose measured size is below its threshold and splits skewed keys otherwise.
     """
@@ -27,8 +30,9 @@ def build_fact_booking(
     )
     resolved = point_in_time_join(
         keyed, providers, "provider_id", "booking_created_at",
-        "effective_start_at", "effective_end_at", ["provider_key"],
+        "effective_start_at", "effective_end_at", ["provider_key", *(["effective_start_at"] if natural else [])],
     )
+    found = {"customer_id": "customer_key", "service_id": "service_key", "provider_id": "provider_key"} if natural else {}
     return resolved.select(
         "booking_id",
         V.date_key(c("booking_created_at")).alias("booking_date_key"),
@@ -41,6 +45,8 @@ def build_fact_booking(
         V.flag(c("booking_status") == "COMPLETED").alias("completed_booking_count"),
         V.flag(c("booking_status") == "CANCELLED").alias("cancelled_booking_count"),
         "record_updated_at", "source_filename",
+        *[F.when(F.col(key).isNotNull(), F.col(name)).alias(name) for name, key in found.items()],
+        *([F.col("effective_start_at").alias("version_start_at")] if natural else []),
     )
 
 

@@ -274,7 +274,7 @@ SELECT {BOOKING_VIEW} FROM ranked WHERE rn = 1"""
 
 SQL["latest_bookings"] = f"WITH {LATEST} SELECT {BOOKING_VIEW} FROM latest"
 
-SQL["maintained_bookings"] = SQL["latest_bookings"]
+SQL["newest_by_aggregation"] = SQL["latest_bookings"]
 SQL["refreshed_latest_bookings"] = SQL["latest_bookings"]
 
 SQL["provider_changes"] = f"WITH {EVENTS} SELECT {PROVIDER_VIEW} FROM events_in"

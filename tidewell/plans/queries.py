@@ -25,7 +25,7 @@ from tidewell.plans.stored import DOCUMENT_LEXICON, silver_bookings, stored_star
 from tidewell.session import shared_dir, spread
 from tidewell.sources import star
 from tidewell.sources.json_lines import RejectedLoad, ledger, load_rows, mark_malformed, unseen_files
-from tidewell.streaming import ingest, publish, upkeep
+from tidewell.streaming import ingest, upkeep
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,6 +60,13 @@ def scratch(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/tidewell-{spark.sparkContext.applicationId}/run-{uuid.uuid4().hex[:12]}"
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """Written and read again, as a maintained table is that several steps use."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stamp(text: str):
     return F.lit(text).cast("timestamp")
 
@@ -205,15 +212,14 @@ def latest_bookings(spark, sf_dir):
 
 
 @query
-def maintained_bookings(spark, sf_dir):
-    """The latest state as a stream keeps it: raw snapshots arrive in two loads that share bookings and days."""
-    lake = upkeep.Layout(scratch(spark))
-    raw = stored_star(spark, sf_dir)["raw"]
-    half = F.pmod(F.xxhash64("payload"), F.lit(2))
-    for part in (1, 0):
-        load_rows(raw.where(half == part), lake.raw("bookings"), f"part-{part}")
-        ingest.run_available(upkeep.bookings_step(spark, lake))
-    return _booking_view(publish.current(spark, lake.table("bookings_clean")))
+def newest_by_aggregation(spark, sf_dir):
+    """The latest state by the aggregation that the bookings stream keeps, in two steps: what one half of the
+    snapshots leaves meets the other half."""
+    snapshots = clean.valid_bookings(star.typed_bookings(spark, sf_dir, reviews=False))
+    half = F.pmod(F.xxhash64("source_row_number"), F.lit(2))
+    newest = lambda rows: upkeep.newest_snapshots(rows).select("booking_id", "newest.*").select(*snapshots.columns)
+    first = newest(snapshots.where(half == 0))
+    return _booking_view(star.with_review_texts(spark, sf_dir, newest(first.unionByName(snapshots.where(half == 1)))))
 
 
 @query
@@ -376,7 +382,7 @@ def _late_batch(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 def provider_batch_applied(spark, sf_dir):
     """Close and insert steps on an existing history, with late and new providers."""
     before, batch = _late_batch(spark, sf_dir)
-    return plain(scd2.scd2_apply(scd2.scd2_history(before), batch).select(*_VERSION_VIEW))
+    return plain(scd2.scd2_apply(kept(scd2.scd2_history(before)), batch).select(*_VERSION_VIEW))
 
 
 @query
@@ -441,15 +447,9 @@ def fact_booking(spark, sf_dir):
     """The fact from source tables, its keys shown as what they refer to."""
     customers = dims.merge_customers(None, clean.clean_customers(star.raw_customers(spark, sf_dir)))
     services = dims.merge_services(None, clean.clean_services(star.raw_services(spark, sf_dir)))
-    stored = stored_star(spark, sf_dir)
-    fact = marts.build_fact_booking(silver_bookings(spark, sf_dir), customers, services, stored["providers"])
-    versions = stored["providers"].select("provider_key", "provider_id", F.col("effective_start_at").alias("version_start_at"))
-    resolved = (
-        fact.join(customers.select("customer_key", "customer_id"), "customer_key", "left")
-        .join(services.select("service_key", "service_id"), "service_key", "left")
-        .join(versions, "provider_key", "left")
-    )
-    return plain(resolved.drop("customer_key", "service_key", "provider_key"))
+    versions = stored_star(spark, sf_dir)["providers"]
+    fact = marts.build_fact_booking(silver_bookings(spark, sf_dir, reviews=False), customers, services, versions, natural=True)
+    return plain(fact.drop("customer_key", "service_key", "provider_key"))
 
 
 _KPI_VIEW = [*marts.KPI_KEYS, "total_bookings", "completed_bookings", "cancelled_bookings", "completion_rate",
