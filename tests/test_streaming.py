@@ -263,16 +263,16 @@ def test_batch_that_fails_is_applied_once_when_run_again(spark, tmp_path, monkey
     write_lines(landing / "providers/changes.json.gz", [
         provider(provider_tier="PREMIUM", effective_at="2026-02-01T00:00:00Z", record_updated_at="2026-02-01T00:00:00Z")])
     load(spark, layout, landing, "providers")
-    real = upkeep.publish
+    real = upkeep.publish_parts
 
     def crash_after_publish(*args, **kwargs):
         real(*args, **kwargs)
         raise RuntimeError("lost after the write")
 
-    monkeypatch.setattr(upkeep, "publish", crash_after_publish)
+    monkeypatch.setattr(upkeep, "publish_parts", crash_after_publish)
     with pytest.raises(Exception, match="lost after the write"):
         ingest.run_available(upkeep.provider_changes_step(spark, layout))
-    monkeypatch.setattr(upkeep, "publish", real)
+    monkeypatch.setattr(upkeep, "publish_parts", real)
     number = publish.read_state(spark, layout.table("dim_provider")).number
     ingest.run_available(upkeep.provider_changes_step(spark, layout))
     assert publish.read_state(spark, layout.table("dim_provider")).number == number

@@ -140,6 +140,27 @@ def test_provider_events_are_appended_once(spark, tmp_path):
     assert sorted(r.provider_id for r in table(spark, layout, "dim_provider").collect()) == ["P1", "P3", "P4", "P5"]
 
 
+def test_a_provider_batch_writes_the_parts_of_its_providers(spark, tmp_path):
+    layout, landing = Layout(str(tmp_path / "lake")), tmp_path / "landing"
+    write_lines(landing / "providers/a.json.gz", [provider(provider_id=f"P{i}") for i in range(40)])
+    load(spark, layout, landing, "providers")
+    ingest.run_available(upkeep.provider_seed_step(spark, layout))
+    root, states = layout.table("dim_provider"), []
+    states.append(publish.read_state(spark, root))
+    for turn, (who, tier) in enumerate([("P7", "PREMIUM"), ("P7", "STANDARD"), ("P8", "PREMIUM"), ("new", "PREMIUM")]):
+        write_lines(landing / f"providers/{turn}.json.gz", [provider(provider_id=who, provider_tier=tier, effective_at=f"2026-0{turn + 2}-01T00:00:00Z",
+                                                                     record_updated_at=f"2026-0{turn + 2}-01T00:00:00Z")])
+        load(spark, layout, landing, "providers")
+        ingest.run_available(upkeep.provider_changes_step(spark, layout, every_change=turn == 2))
+        states.append(publish.read_state(spark, root))
+        changed = publish.changed_parts(states[-2], states[-1])
+        assert sum(p.startswith("current-") for p in changed) == 1 and len(changed) == (1 if who == "new" else 2)
+    rows = table(spark, layout, "dim_provider")
+    assert rows.select("provider_key").distinct().count() == rows.count() == 44
+    assert sorted((r.provider_id, r.provider_tier, r.is_current) for r in rows.where("provider_id in ('P7', 'P8', 'new')").collect()) == [
+        ("P7", "PREMIUM", False), ("P7", "STANDARD", False), ("P7", "STANDARD", True), ("P8", "PREMIUM", True), ("P8", "STANDARD", False), ("new", "PREMIUM", True)]
+
+
 def test_the_ledger_knows_what_is_loaded(spark, tmp_path):
     landing, root = tmp_path / "in", str(tmp_path / "raw")
     write_lines(landing / "a.json.gz", [booking(), "{bad"])

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 1024
+def bucket_count(df: DataFrame) -> int:
+    """As many buckets as the session deals its shuffles into, a thousand at least."""
+    return max(1024, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def highest_key(existing: DataFrame | None, key_col: str) -> Column:
@@ -15,7 +17,7 @@ def highest_key(existing: DataFrame | None, key_col: str) -> Column:
 
 
 def assign_keys(
-    new_rows: DataFrame, ids: list[str], key_col: str, existing: DataFrame | None = None, buckets: int = BUCKETS
+    new_rows: DataFrame, ids: list[str], key_col: str, existing: DataFrame | None = None, buckets: int | None = None
 ) -> DataFrame:
     """Number rows (unique in `ids`) onwards from the highest existing key.
 
@@ -24,6 +26,7 @@ def assign_keys(
     sorts the whole table, and the keys depend only on the data, so a task that is
     run again gives the same ones. Keys have gaps.
     """
+    buckets = buckets or bucket_count(new_rows)
     tagged = new_rows.withColumn("_bucket", F.pmod(F.xxhash64(*ids), F.lit(buckets)))
     within = F.row_number().over(Window.partitionBy("_bucket").orderBy(*ids))
     offset = (within - 1).cast("bigint") * buckets + F.col("_bucket") + 1

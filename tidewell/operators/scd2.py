@@ -54,17 +54,18 @@ def scd2_seed(changes: DataFrame, target: DataFrame | None = None, now: Column |
     return seeded if target is None else target.unionByName(seeded)
 
 
-def scd2_apply(dim: DataFrame, changes: DataFrame, now: Column | None = None) -> DataFrame:
+def scd2_apply(dim: DataFrame, changes: DataFrame, now: Column | None = None, existing: DataFrame | None = None) -> DataFrame:
     """Close changed versions and open their successors, in one pass.
 
     A changed hash with a later time closes the current version and opens a new
     one; an unknown provider opens its first. Same hash, or a time at or before
     the current start, changes nothing. Closed history takes no part in the join.
-    Keys are set aside for the whole batch, so unused ones leave gaps.
+    Keys are set aside for the whole batch, so unused ones leave gaps. `dim` may be a part of a
+    dimension that holds the changed providers; `existing` is then the whole, whose keys are taken.
     """
     moment = F.current_timestamp() if now is None else now
     delta = latest_changes(changes).select(NATURAL, *PROVIDER_ATTRIBUTES, "effective_at", "attribute_hash")
-    keyed = assign_keys(delta, [NATURAL], "provider_key", existing=dim)
+    keyed = assign_keys(delta, [NATURAL], "provider_key", existing=dim if existing is None else existing)
     incoming = _as_version(keyed, moment, open_end(), F.lit(True)).select(*VERSION_COLUMNS)
 
     current = dim.filter("is_current").select(*VERSION_COLUMNS)
@@ -87,7 +88,8 @@ def scd2_apply(dim: DataFrame, changes: DataFrame, now: Column | None = None) ->
     return dim.filter(~F.col("is_current")).select(*VERSION_COLUMNS).unionByName(touched)
 
 
-def scd2_apply_all(dim: DataFrame, changes: DataFrame, now: Column | None = None, unit: str = "month") -> DataFrame:
+def scd2_apply_all(dim: DataFrame, changes: DataFrame, now: Column | None = None, unit: str = "month",
+                   existing: DataFrame | None = None) -> DataFrame:
     """Like `scd2_apply`, for any number of changes per provider in one batch.
 
     The current version takes part as the event that opened it; events at or
@@ -108,7 +110,7 @@ def scd2_apply_all(dim: DataFrame, changes: DataFrame, now: Column | None = None
     kept = walked.filter(F.col("_previous").isNull() | (F.col("_previous") != F.col("attribute_hash"))).drop("_previous")
     ended = with_next(kept, NATURAL, "effective_at", "effective_at", "_next", unit)
     fresh = assign_keys(ended.filter(F.col("provider_key").isNull()).drop("provider_key"),
-                        [NATURAL, "effective_at"], "provider_key", existing=dim)
+                        [NATURAL, "effective_at"], "provider_key", existing=dim if existing is None else existing)
     end, is_open = F.coalesce("_next", open_end()), F.col("_next").isNull()
     added = _as_version(fresh, moment, end, is_open).select(*VERSION_COLUMNS)
     known = ended.filter(F.col("provider_key").isNotNull()).select(

@@ -235,6 +235,10 @@ SQL["ledger_history"] = SQL["load_history"]
 
 SQL["new_file_rows_by_ledger"] = SQL["new_file_rows"]
 
+SQL["manifest_check"] = """
+SELECT 'documents/' || source || '.json.gz' AS path, count(*) + 1 AS physical_records, count(*) AS row_count FROM documents WHERE source IS NOT NULL GROUP BY source
+UNION ALL SELECT 'never/came.json.gz', count(*), NULL FROM region"""
+
 SQL["load_runs"] = """
 WITH mixed AS (SELECT props AS payload FROM events UNION ALL SELECT text FROM documents)
 SELECT 'customers' AS name, 'SUCCEEDED' AS state, 2 * count(*) AS input_rows, 0::BIGINT AS rejected, NULL::BOOLEAN AS malformed FROM customer

@@ -24,7 +24,7 @@ from tidewell.plans.model import MARKETPLACE
 from tidewell.plans.stored import DOCUMENT_LEXICON, silver_bookings, stored_star
 from tidewell.session import shared_dir, spread
 from tidewell.sources import star
-from tidewell.sources.json_lines import RejectedLoad, ledger, load_rows, mark_malformed, unseen_files
+from tidewell.sources.json_lines import RejectedLoad, ledger, load_rows, mark_malformed, read_manifest, unseen_files
 from tidewell.streaming import ingest, upkeep
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,6 +139,22 @@ def new_file_rows_by_ledger(spark, sf_dir):
     return unseen_files(offered, ledger(spark, table)).groupBy("source_filename").agg(F.count("*").alias("row_count"))
 
 
+@query
+def manifest_check(spark, sf_dir):
+    """A load against a manifest file that states a line too much for each file of documents, and names one that never came."""
+    root = scratch(spark)
+    lines = mixed_raw(spark, sf_dir)
+    load_rows(lines, f"{root}/raw", "first", on_error="continue")
+    stated = F.count("*") + F.startswith("source_filename", F.lit("documents/")).cast("int")
+    files = lines.where("source_filename is not null").groupBy("source_filename").agg(stated.alias("physical_records")).select(
+        F.struct(F.col("source_filename").alias("path"), "physical_records").alias("f"))
+    never = star.table(spark, sf_dir, "region").agg(F.struct(F.lit("never/came.json.gz").alias("path"), F.count("*").alias("physical_records")).alias("f"))
+    manifest = files.unionByName(never).agg(F.sort_array(F.collect_list("f")).alias("files"))
+    manifest.select(F.to_json(F.struct("files"), {"pretty": "true"})).coalesce(1).write.text(f"{root}/manifest")
+    loads = ledger(spark, f"{root}/raw").select("source_filename", (F.col("row_count") + F.col("error_count")).alias("row_count"))
+    return quality.manifest_gaps(read_manifest(spark, f"{root}/manifest"), loads)
+
+
 @query
 def load_runs(spark, sf_dir):
     """Status of loads made here: what each wrote, counted while it was written, and the one that is refused."""

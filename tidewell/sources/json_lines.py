@@ -57,6 +57,12 @@ def read_json_lines(spark: SparkSession, prefix: str, glob: str = "*.json.gz", n
     return positioned(with_position(text)).withColumn("ingested_at", moment)
 
 
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """A manifest file: one JSON document over many lines, with `files`, an array of (path, physical_records)."""
+    schema = "files array<struct<path:string,physical_records:bigint>>"
+    return spark.read.schema(schema).option("multiLine", "true").option("mode", "FAILFAST").json(path)
+
+
 def as_variant(raw: DataFrame) -> DataFrame:
     """Raw rows with a VARIANT payload; malformed lines become null."""
     return raw.withColumn("payload", F.try_parse_json("payload"))

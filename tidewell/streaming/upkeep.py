@@ -136,6 +136,20 @@ def provider_events(spark: SparkSession, layout: Layout) -> DataFrame:
 # ---- provider dimension --------------------------------------------------
 
 
+#: Current versions lie in so many parts, by a hash of the provider.
+CURRENT_PARTS = 64
+
+
+def _parted(versions: DataFrame, number: int) -> DataFrame:
+    """Adds `part`: current versions by provider, closed ones by the state that closed them, which no later state writes again."""
+    bucket = F.pmod(F.xxhash64("provider_id"), F.lit(CURRENT_PARTS)).cast("string")
+    return versions.withColumn("part", F.when(F.col("is_current"), F.concat(F.lit("current-"), bucket)).otherwise(_closed_part(number)))
+
+
+def _closed_part(number: int) -> str:
+    return f"closed-{number:012d}"
+
+
 def _provider_batches(spark: SparkSession, layout: Layout, handle: ingest.Handler) -> ingest.DataStreamWriter:
     source = ingest.raw_changes(spark, layout.raw("providers"))
     return ingest.batches(source, "provider_changes", layout.checkpoint("provider_changes"), handle)
@@ -168,15 +182,21 @@ def provider_seed_step(spark: SparkSession, layout: Layout) -> ingest.DataStream
         waiting = clean.clean_providers(raw).unionByName(provider_events(spark, layout)).distinct()
         writer = ingest.writer_id(spark, layout.checkpoint("provider_changes"), "provider_changes")
         good = _quarantined(spark, layout, waiting, writer, batch_id)
-        old = read_state(spark, root)
-        publish(scd2.scd2_seed(good, current(spark, root)), root, writer, batch_id, base=old.number if old else 0)
+        old, known = read_state(spark, root), current(spark, root)
+        seeded = scd2.scd2_seed(good, known.select(*scd2.VERSION_COLUMNS) if known is not None else None)
+        number = old.number if old else 0
+        publish_parts(_parted(seeded, number + 1), root, "part", None, writer, batch_id, base=number)
 
     return _provider_batches(spark, layout, handle)
 
 
 def provider_changes_step(spark: SparkSession, layout: Layout, every_change: bool = False) -> ingest.DataStreamWriter:
     """Later runs: close and open versions. `every_change` applies all changes of a
-    provider in a batch in order, not just the newest."""
+    provider in a batch in order, not just the newest.
+
+    Of the dimension only the parts with current versions of the batch's providers are read and
+    written; versions that the batch closes are added as a part of their own.
+    """
     root = layout.table("dim_provider")
     apply = scd2.scd2_apply_all if every_change else scd2.scd2_apply
 
@@ -184,8 +204,12 @@ def provider_changes_step(spark: SparkSession, layout: Layout, every_change: boo
         typed = clean.applicable_changes(clean.parse_providers(raw))
         writer = ingest.writer_id(spark, layout.checkpoint("provider_changes"), "provider_changes")
         good = _quarantined(spark, layout, typed, writer, batch_id)
-        old = read_state(spark, root)
-        publish(apply(current(spark, root), good), root, writer, batch_id, base=old.number if old else 0)
+        old, known = read_state(spark, root), current(spark, root).select(*scd2.VERSION_COLUMNS)
+        reached = _parted(good.withColumn("is_current", F.lit(True)), 0).select("part").distinct()
+        touched = sorted(r.part for r in reached.collect())  # CURRENT_PARTS names at most
+        stored = read_parts(spark, root, old, touched).select(*scd2.VERSION_COLUMNS)
+        publish_parts(_parted(apply(stored, good, existing=known), old.number + 1), root, "part", [*touched, _closed_part(old.number + 1)],
+                      writer, batch_id, base=old.number)
 
     return _provider_batches(spark, layout, handle)
 
