@@ -96,7 +96,32 @@ def test_only_the_text_of_a_set_is_compared_and_remembered(spark):
     a, b, c, d = (ngram_join.set_print(s) for s in ngram_join.Shingler().sets([*texts, texts[0] + " more", texts[1] + " more"]))
     pairs = spark.createDataFrame([(a, c), (b, d)], "a bigint, b bigint")
     sets = ngram_join.token_sets(rows, np.zeros(1 << 16, dtype=np.uint8), "bigint")
-    assert sorted(tuple(r) for r in ngram_join.verified(pairs, rows, sets).collect()) == sorted([(a, c), (b, d)])
+    for small in (False, True):
+        texts_of = lambda wanted, _: ngram_join.texts_of(wanted, rows, sets, small)  # noqa: B023, E731
+        assert sorted(tuple(r) for r in ngram_join.verified(pairs, ngram_join.marks_of(sets), texts_of).collect()) == sorted([(a, c), (b, d)])
+
+
+def test_no_filter_drops_a_pair_that_links(spark, monkeypatch):
+    """Bitmaps and parities of pairs on both sides of the threshold, of short and long sets; by broadcast and by shuffle."""
+    rng = random.Random(17)
+    word = lambda: f"w{rng.randrange(10 ** 6)}"
+    rows = []
+    for i, n in enumerate([6, 7, 9, 20, 60, 300, 2500] * 6):
+        own = [word() for _ in range(n)]
+        near = list(own)
+        for at in rng.sample(range(n), max(0, min(n, round(n * rng.choice([0, 0.01, 0.025, 0.03, 0.04]))))):
+            near[at] = word()
+        rows += [(10 * i, " ".join(own)), (10 * i + 1, " ".join(near)), (10 * i + 2, " ".join(own + [word() for _ in range(n // rng.choice([3, 4, 5, 8]))]))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = brute.near_copies(rows)
+    for small in (10 ** 6, 0):
+        monkeypatch.setattr(ngram_join, "SMALL", small)
+        assert {r.doc_id: r.component_id for r in ngram_join.near_copies(df).collect()} == want
+    sets = list(ngram_join.Shingler().sets([t for _, t in rows]))
+    for a in sets[:40]:
+        for b in sets[:40]:
+            x, y = (np.unpackbits(ngram_join.bitmaps(s).view(np.uint8), bitorder="little")[-ngram_join.BITS:] for s in (a, b))
+            assert (x != y).sum() <= len(np.setxor1d(a, b))
 
 
 def test_frequency_order_does_not_change_links(spark, texts, small):

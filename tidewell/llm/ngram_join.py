@@ -16,18 +16,20 @@ under every order, or if the last ones differ in more bits than two linked sets
 only one holds. A bitmap may let a pair pass, but never drops one that links.
 
 Hot tokens. A token's sets are never paired off at once. In a round, each token names one of
-its sets, of the component of most sets, chosen by a hash that changes with the round; each set
-is compared with the one that most of its tokens name, if that lies in another component. So a
-round has at most one pair for each set that is not yet in its tokens' largest component. Links
+its sets, in turn any or one of the component of most sets, chosen by a hash that changes with the
+round; each set is compared with one that its tokens name, where a token counts the more the fewer
+sets it has, if that lies in another component. So a round has at most one pair for each set. Links
 give components, and tokens whose sets lie in one component are done. The first round takes all
-tokens that several sets share; the next, up to `ROUNDS`, those of more than `FEW` sets, as long as
-one pair in twenty links. Only what is then left in several components is joined with
-itself, across components: a pair within one is known to be connected. Rows of tokens of more than
-`FEW` sets carry the bitmaps into that join, so it gives out only pairs that pass them. So a large
-group of near copies costs some comparisons for each row, and no link between different
-components is lost. Components, not all links, are the result.
-
-Texts meet only for candidate pairs, by joins on the id of one text of each class. Tokens are
+tokens that several sets share; the next, up to `ROUNDS`, those of more than `FEW` sets, until two
+rounds in turn link less than one set in fifty. Only what is then left in several components is joined with
+itself, across components: a pair within one is known to be connected. Rows carry the parities
+into that join, so it gives out only pairs that pass them. So a large group of near copies costs
+some comparisons for each row, and no link between different components is lost. Components, not
+all links, are the result.
+
+Texts meet only for candidate pairs, by joins on the id of one text of each class: all texts are dealt
+for the first round, for the sets that later rounds can ask for, which are kept, and for the last
+join, and not even these times where at most `SMALL` pairs ask, which are counted and broadcast. Tokens are
 counted by aggregations, which tasks begin before the shuffle, and joined back without a hint,
 so Spark can split a hot one. Tokens that are known from their counters to have less than 2^12
 places are counted by windows, which cost one shuffle less.
@@ -41,7 +43,7 @@ from __future__ import annotations
 
 import zlib
 from collections import OrderedDict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +62,8 @@ ROUNDS, FEW = 8, 4
 ORDERS, BITS = 2, 512
 #: Class of a counter below 2^12.
 LIGHT = 23
+#: So many pairs, and what is known of their sets (some 300 bytes each), are handed to all tasks.
+SMALL = 50_000
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _MASK = (1 << 64) - 1
 _CHUNK = 1 << 16
@@ -144,17 +148,24 @@ def bitmaps(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(held, axis=None, bitorder="little").view("<i8")
 
 
+def _part(bits: Column, i: int) -> Column:
+    return F.slice(bits, i * (BITS // 64) + 1, BITS // 64)
+
+
+def _few_differ(a: Column, b: Column, n_a: Column, n_b: Column) -> Column:
+    """Whether parities differ in no more places than so many tokens as two linked sets of these sizes may not share."""
+    odd = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    least = F.ceil((n_a + n_b) * SHARE[0] / (SHARE[0] + SHARE[1]))  # tokens that linked sets share
+    return F.aggregate(odd, F.lit(0), lambda x, y: x + y) <= n_a + n_b - 2 * least
+
+
 def _may_link(a: Column, b: Column, n_a: Column, n_b: Column) -> Column:
-    """Whether two sets' bitmaps share a bit under each of the seeded orders, and their parities differ
-    in no more places than so many tokens as two linked sets of these sizes may not share."""
-    words, met = BITS // 64, F.lit(True)
-    part = lambda c, i: F.slice(c, i * words + 1, words)
+    """Whether two sets' bitmaps share a bit under each of the seeded orders, and their parities allow a link."""
+    met = _few_differ(_part(a, ORDERS), _part(b, ORDERS), n_a, n_b)
     for seed in range(ORDERS):
-        shared = F.zip_with(part(a, seed), part(b, seed), lambda x, y: x.bitwiseAND(y))
+        shared = F.zip_with(_part(a, seed), _part(b, seed), lambda x, y: x.bitwiseAND(y))
         met = met & F.exists(shared, lambda x: x != 0)
-    odd = F.zip_with(part(a, ORDERS), part(b, ORDERS), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    least = F.ceil((n_a + n_b) * SHARE[0] / (SHARE[0] + SHARE[1]))  # tokens that linked sets share
-    return met & (F.aggregate(odd, F.lit(0), lambda x, y: x + y) <= n_a + n_b - 2 * least)
+    return met
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -266,20 +277,28 @@ def _near_in_size(a: Column, b: Column) -> Column:
     return F.least(a, b) * SHARE[1] >= F.greatest(a, b) * SHARE[0]
 
 
-def _marks(sets: DataFrame) -> DataFrame:
-    """(set, n, bits), a row for each set."""
-    return sets.where("bits is not null").select("set", "n", "bits").dropDuplicates(["set"])
+def marks_of(sets: DataFrame) -> DataFrame:
+    """(set, n, bits), a row for each set that takes part."""
+    return staged(sets.where("bits is not null").select("set", "n", "bits").dropDuplicates(["set"]))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of sets that are similar. `docs`: id, text; `sets`: id, set, print, n, bits."""
-    of = lambda side: _marks(sets).select(F.col("set").alias(side), F.col("bits").alias(f"of_{side}"), F.col("n").alias(f"n_{side}"))
-    may = _may_link(F.col("of_a"), F.col("of_b"), F.col("n_a"), F.col("n_b"))
-    pairs = staged(pairs.join(of("a"), "a").join(of("b"), "b").where(may).select("a", "b"))
-    wanted = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
-    holders = sets.where("id is not null").groupBy("set").agg(F.min(F.struct("id", "print")).alias("of")).join(wanted, "set").select("set", "of.*")
+def texts_of(wanted: DataFrame, docs: DataFrame, sets: DataFrame, small: bool = False) -> DataFrame:
+    """(set, text) of the sets in `wanted`, one text for each. `docs`: id, text; `sets`: id, set, print."""
+    few = F.broadcast if small else lambda df: df
+    holders = sets.where("id is not null").join(few(wanted), "set", "left_semi").groupBy("set").agg(F.min(F.struct("id", "print")).alias("of"))
     # Of the texts that share an id, the one meant.
-    texts = docs.withColumn("print", F.xxhash64("text")).join(holders, ["id", "print"]).select("set", "text")
+    return docs.withColumn("print", F.xxhash64("text")).join(few(holders.select("set", "of.*")), ["id", "print"]).select("set", "text")
+
+
+def verified(pairs: DataFrame, marks: DataFrame, texts: Callable[[DataFrame, bool], DataFrame]) -> DataFrame:
+    """The pairs (a, b) of sets that are similar; `pairs` is written, `texts` gives the texts of wanted sets."""
+    small = pairs.count() <= SMALL
+    few = F.broadcast if small else lambda df: df
+    of = lambda side: marks.select(F.col("set").alias(side), F.col("bits").alias(f"of_{side}"), F.col("n").alias(f"n_{side}"))
+    known = of("b").join(few(of("a").join(few(pairs), "a")), "b")
+    pairs = staged(known.where(_may_link(F.col("of_a"), F.col("of_b"), F.col("n_a"), F.col("n_b"))).select("a", "b"))
+    wanted = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
+    texts = texts(wanted, small)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, known = Shingler(), OrderedDict()
@@ -318,16 +337,24 @@ def _in_several(tokens: DataFrame, links: DataFrame) -> DataFrame:
     marked = (tokens.join(reached.join(sizes, "c"), "set", "left")
               .withColumns({"c": F.coalesce("c", "set"), "weight": F.coalesce("weight", F.lit(1))}))
     several = marked.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("held")).where("low < high")
-    return staged(marked.join(several.select("token", "held"), "token").select("token", "set", "n", "at", "c", "weight", "held"))
+    return staged(marked.join(several.select("token", "held"), "token").select(*tokens.columns, "c", "weight", "held"))
 
 
 def _one_each(tokens: DataFrame, turn: int) -> DataFrame:
-    """(a, b): each set with the set that most of its tokens name, if that is in another component."""
-    order = F.struct((-F.col("weight")).alias("w"), (F.xxhash64(F.lit(turn), "set") if turn else F.col("set")).alias("h"), "set", "n", "c")
+    """(a, b): each set with one that its tokens name, those of few sets above all, if it is in another component.
+
+    Where the rows carry parities, only sets that these allow to link are named.
+    """
+    first = F.lit(0).cast("long") if turn % 2 else -F.col("weight")
+    known = [c for c in ("parity",) if c in tokens.columns]
+    order = F.struct(first.alias("w"), (F.xxhash64(F.lit(turn), "set") if turn else F.col("set")).alias("h"), "set", "n", "c", *known)
     chosen = tokens.groupBy("token").agg(F.min(order).alias("p"))
-    named = (tokens.join(chosen, "token").where((F.col("c") != F.col("p.c")) & _near_in_size(F.col("n"), F.col("p.n")))
-             .groupBy("set", F.col("p.set").alias("other")).agg((-F.count("*")).alias("times")))
-    best = named.groupBy("set").agg(F.min(F.struct("times", "other")).alias("p"))
+    may = (F.col("c") != F.col("p.c")) & _near_in_size(F.col("n"), F.col("p.n"))
+    if known:
+        may = may & _few_differ(F.col("parity"), F.col("p.parity"), F.col("n"), F.col("p.n"))
+    named = (tokens.join(chosen, "token").where(may)
+             .groupBy("set", F.col("p.set").alias("other")).agg((-F.sum(F.floor(F.lit(1 << 20) / F.col("held")))).alias("votes")))
+    best = named.groupBy("set").agg(F.min(F.struct("votes", "other")).alias("p"))
     return best.select(F.least("set", "p.other").alias("a"), F.greatest("set", "p.other").alias("b")).distinct()
 
 
@@ -338,8 +365,7 @@ def _across(tokens: DataFrame) -> DataFrame:
     bound = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
     pair = ((F.col("x.token") == F.col("y.token")) & (F.col("x.set") < F.col("y.set")) & (F.col("x.c") != F.col("y.c"))
             & _near_in_size(F.col("x.n"), F.col("y.n")) & (bound >= need))
-    if "bits" in tokens.columns:
-        pair = pair & _may_link(F.col("x.bits"), F.col("y.bits"), F.col("x.n"), F.col("y.n"))
+    pair = pair & _few_differ(F.col("x.parity"), F.col("y.parity"), F.col("x.n"), F.col("y.n"))
     return x.join(y, pair).select(F.col("x.set").alias("a"), F.col("y.set").alias("b")).distinct()
 
 
@@ -350,25 +376,30 @@ def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     bits = max(16, min(24, (16 * max(1, rows.count())).bit_length()))
     sets = staged(token_sets(rows, frequency_classes(rows.select("text"), bits), kind))
 
-    hot, few, links = shared_tokens(sets), None, None
+    marks = marks_of(sets)
+    every_text = lambda wanted, small: texts_of(wanted, rows, sets, small)
+    texts = every_text
+
+    parities = marks.select("set", _part(F.col("bits"), ORDERS).alias("parity"))
+
+    hot, few, links, idle = shared_tokens(sets), None, None, 0
     for turn in range(ROUNDS):
-        pairs = staged(_one_each(hot, turn))
-        asked = pairs.count()
-        if not asked:
-            break
-        new = staged(verified(pairs, rows, sets))
+        new = staged(verified(staged(_one_each(hot, turn)), marks, texts))
         found = new.count()
         if found:
             links = new if links is None else links.union(new)
             hot = _in_several(hot.drop("c", "weight", "held"), links)
         if not turn:
-            few, hot = hot.where(F.col("held") <= FEW), hot.where(F.col("held") > FEW)
-        if found * 20 < asked:  # most of what is left doesn't link
+            few, hot = hot.where(F.col("held") <= FEW), staged(hot.where(F.col("held") > FEW).join(parities, "set"))
+            left = hot.select("set").distinct()
+            alive, bodies = left.count(), staged(texts_of(left, rows, sets))
+            texts = lambda wanted, small: bodies.join(F.broadcast(wanted) if small else wanted, "set", "left_semi")  # noqa: B023, E731
+        idle = 0 if found * 50 >= alive else idle + 1
+        if idle == 2 or not alive:
             break
-    across = _across(hot.join(_marks(sets).select("set", "bits"), "set"))
-    if few is not None:
-        across = across.union(_across(few)).distinct()
-    every = staged(verified(across, rows, sets))
+    left_over = few.select("token", "set", "n", "at", "c").join(parities, "set").unionByName(hot.select("token", "set", "n", "at", "c", "parity"))
+    across = staged(_across(left_over))
+    every = staged(verified(across, marks, every_text))
     every = every if links is None else links.union(every)
 
     members = sets.where("id is not null and set is not null").select("id", "set")
