@@ -119,23 +119,24 @@ def _starts(t: Template, rank: dict[str, int]) -> Column:
     return F.filter(fits, lambda s: F.slice("words", s + 1, F.lit(size)) == whole)
 
 
-def _containment(t: Template, rank: dict[str, int]) -> Column:
-    """The largest share of an unordered template's words in a block, if it reaches the threshold, else null."""
+def _blocks(t: Template, rank: dict[str, int]) -> Column:
+    """Every block that reaches an unordered template's threshold: its first word and the share of the template's words in it."""
     stride, m = len(t.words), len(t.distinct)
     near = F.filter("hits", lambda h: h["w"].isin(_prefix(t, rank)))
     own = F.transform(near, lambda h: F.floor(h["i"] / stride).cast("int"))
     blocks = F.array_distinct(F.concat(own, F.filter(F.transform(own, lambda b: b - 1), lambda b: b >= 0)))
     long_enough = F.filter(blocks, lambda b: F.size("words") - b * stride >= t.need)
     whole = F.array(*map(F.lit, t.distinct))
-    shared = F.transform(long_enough, lambda b: F.size(F.array_intersect(whole, F.slice("words", b * stride + 1, F.lit(2 * stride)))))
-    most = F.array_max(shared)
-    return F.when(most >= t.need, most / F.lit(float(m)))
+    shared = F.transform(long_enough, lambda b: F.struct(
+        (b * stride).cast("long").alias("at"), F.size(F.array_intersect(whole, F.slice("words", b * stride + 1, F.lit(2 * stride)))).alias("n")))
+    enough = F.array_sort(F.filter(shared, lambda s: s["n"] >= t.need))
+    return F.transform(enough, lambda s: F.struct(F.lit(t.label).alias("label"), s["at"].alias("at"), (s["n"] / F.lit(float(m))).alias("share")))
 
 
 def scan(docs: DataFrame, phrases: Sequence[Template] = PHRASES, templates: Sequence[Template] = TEMPLATES,
          id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: id, n_words, places (label and first word of each phrase), found (label and
-    containment of each template that reaches its threshold)."""
+    """One row per input row: id, n_words, places (label and first word of each phrase), found (label, first word
+    and containment of every block that reaches a template's threshold, by template, then place)."""
     every = [*phrases, *templates]
     rank = ranked(docs, every, text)
     wanted = sorted({w for t in every for w in _prefix(t, rank)})
@@ -143,12 +144,11 @@ def scan(docs: DataFrame, phrases: Sequence[Template] = PHRASES, templates: Sequ
     marked = F.transform("words", lambda w, i: F.when(w.isin(wanted), F.struct(i.alias("i"), w.alias("w"))))
     rows = rows.select("id", "words", F.filter(marked, lambda h: h.isNotNull()).alias("hits"))
     places = F.concat(*[F.transform(_starts(t, rank), _labelled(t.label)) for t in phrases])
-    found = F.array(*[F.struct(F.lit(t.label).alias("label"), _containment(t, rank).alias("share")) for t in templates])
+    found = F.concat(*[_blocks(t, rank) for t in templates])
     any_hit = F.size("hits") > 0
     out = rows.select("id", F.size("words").cast("long").alias("n_words"),
                       F.coalesce(F.when(any_hit, places), F.array().cast("array<struct<label:string,at:bigint>>")).alias("places"),
-                      F.coalesce(F.when(any_hit, F.filter(found, lambda f: f["share"].isNotNull())),
-                                 F.array().cast("array<struct<label:string,share:double>>")).alias("found"))
+                      F.coalesce(F.when(any_hit, found), F.array().cast("array<struct<label:string,at:bigint,share:double>>")).alias("found"))
     return out.withColumnRenamed("id", id)
 
 
