@@ -17,7 +17,7 @@ r"""Toxicity: maximum-scoring segment search over token log-odds.
    separates the labelled texts best.
 
 Learning uses at most about `per_class` labelled texts of each class, chosen by a hash
-of the id, so the model (at most `MAX_WORDS` weights, a few constants) is bounded;
+of the id, so the model (weights of words that these texts hold, a few constants) is bounded;
 scoring covers whole texts of all rows, one pass, no shuffle.
 
 Defined cases: null, empty and wordless texts score 0; a text is toxic if any of its
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from tidewell.llm.common import col, hash_share, remainder, sample_share, staged
 
-PRIOR, FLOOR, MIN_Z, DRIFT, MAX_E, MAX_WORDS, STEM = 1000.0, 0.5, 3.5, -0.5, 0.1, 50_000, 6
+PRIOR, FLOOR, MIN_Z, DRIFT, MAX_E, STEM = 1000.0, 0.5, 3.5, -0.5, 0.1, 6
 WORD = re.compile(r"\w+")
 
 
@@ -163,7 +163,7 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column, id: str = "doc_id"
     log_odds = F.log(odds("toxic") / odds("clean"))
     error = F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
     ranked = (counts.withColumns({"w": log_odds, "z": log_odds / error}).where(F.abs("z") >= MIN_Z)
-              .orderBy(F.abs("z").desc(), "word").limit(MAX_WORDS).collect())
+              .orderBy("word").collect())  # words of the sample
     weights = {r.word: r.w for r in ranked}
 
     marked = sum(r.clean for r in ranked)
