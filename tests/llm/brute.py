@@ -120,3 +120,66 @@ def codes(rows, parts, entries, rounds):
         of_label[label] += int(e)
     sha = hashlib.sha256(",".join(map(str, books)).encode()).hexdigest()
     return sorted((i, c, int(e), of_label[label], sha) for (i, _, label), c, e in zip(kept, code, error))
+
+
+def bundled(text, letters, symbol):
+    """The sum over all trigrams of letters and single blanks between runs of the product of their shifted letter vectors."""
+    symbols = [0]
+    for c in text.lower():
+        x = symbol(ord(c))
+        if x or symbols[-1]:
+            symbols.append(x)
+    symbols += [0] if symbols[-1] else []
+    out = np.zeros(letters.shape[1])
+    for a, b, c in zip(symbols, symbols[1:], symbols[2:]):
+        out += np.roll(letters[a], 2) * np.roll(letters[b], 1) * letters[c]
+    return out
+
+
+def language_profiles(labelled, letters, symbol):
+    sums = defaultdict(lambda: np.zeros(letters.shape[1]))
+    for text, lang in labelled:
+        v = bundled(text, letters, symbol)
+        if v.any():
+            sums[lang] += v / np.linalg.norm(v)
+    return {lang: v / np.linalg.norm(v) for lang, v in sums.items()}
+
+
+def toxicity_model(labelled, k):
+    """Log-odds with a Dirichlet prior, the law of chance segments and the cut, from (text, label) by loops; `k` holds the constants."""
+    words = lambda t: re.findall(r"\w+", (t or "").lower())
+    seen = {0: Counter(), 1: Counter()}
+    for text, label in labelled:
+        own = set(words(text))
+        for w in own | {w[:k.STEM] + "*" for w in own if len(w) > k.STEM}:
+            seen[label][w] += 1
+    every, n = set(seen[0]) | set(seen[1]), {x: sum(seen[x].values()) for x in (0, 1)}
+    weights, clean = {}, {}
+    for w in every:
+        prior = (seen[0][w] + seen[1][w]) / (n[0] + n[1]) * k.PRIOR + k.FLOOR
+        y = {x: seen[x][w] + prior for x in (0, 1)}
+        rest = {x: n[x] + k.PRIOR + k.FLOOR * len(every) - y[x] for x in (0, 1)}
+        odds = np.log(y[1] / rest[1]) - np.log(y[0] / rest[0])
+        if abs(odds) / np.sqrt(1 / y[1] + 1 / y[0]) >= k.MIN_Z:
+            weights[w], clean[w] = odds, seen[0][w]
+    total = n[0] + 0.5 * len(weights)
+    null = [(x, (clean[w] + 0.5) / total) for w, x in weights.items()] + [(k.DRIFT, (n[0] - sum(clean.values())) / total)]
+    low, high = 1e-6, 1e3
+    while high - low > 1e-12 * high:
+        middle = (low + high) / 2
+        low, high = (middle, high) if sum(p * np.exp(min(700.0, middle * s)) for s, p in null) < 1 else (low, middle)
+    score = lambda w: weights.get(w, weights.get(w[:k.STEM] + "*", k.DRIFT) if len(w) > k.STEM else k.DRIFT)
+    chance = sum(len(best_segments([score(w) for w in words(t)])) for t, label in labelled if not label)
+    scale = (chance + 1) / n[0]
+
+    def evidence(text):
+        own, out = words(text), 0.0
+        for _, _, s in best_segments([score(w) for w in own]):
+            e = scale * max(1, len(own)) * np.exp(-low * s)
+            out += -np.log(max(e, 1e-300)) if e <= k.MAX_E else 0.0
+        return out
+
+    told = sorted((evidence(t), label) for t, label in labelled)
+    cuts = [(a[0] + b[0]) / 2 for a, b in zip([(0.0, 0), *told], told) if b[0] > a[0]] + [told[-1][0] + 1.0]
+    cut = max(cuts, key=lambda c: (sum((e >= c) == bool(label) for e, label in told), -c))
+    return {"weights": weights, "rate": low, "scale": scale, "cut": cut, "evidence": evidence}

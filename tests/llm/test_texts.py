@@ -212,6 +212,23 @@ def test_license_blocks_and_phrases(spark):
     assert got[4].n_base == 0 and got[4].first_word is None
 
 
+def test_every_block_of_a_template_is_found(spark):
+    """Blocks by definition: each range [k L, k L + 2 L) that holds enough of the template's words."""
+    t, filler = license_scan.TEMPLATES[2], ["filler"] * 100
+    texts = [[*t.words, *filler, *t.words], [*filler[:7], *t.words, *t.words, *t.words, *filler, *license_scan.TEMPLATES[6].words], filler, t.words[1:], []]
+    got = {r.doc_id: [tuple(f) for f in r.found] for r in license_scan.scan(
+        spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id bigint, text string")).collect()}
+    for i, words in enumerate(texts):
+        want = []
+        for u in license_scan.TEMPLATES:
+            size = len(u.words)
+            for at in range(0, len(words), size):
+                n = len(set(u.distinct) & set(words[at:at + 2 * size]))
+                want += [(u.label, at, n / len(u.distinct))] if n >= u.need else []
+        assert got[i] == want
+    assert [at for label, at, _ in got[0] if label == "mit"][-1] > 100 and len(got[0]) >= 2
+
+
 def test_licenses_of_messy_rows(messy, empty):
     got = [r for r in license_scan.digests(license_scan.scan(messy)).collect()]
     assert len(got) == len(MESSY)
@@ -241,6 +258,23 @@ def test_toxicity_on_held_out_rows(spark):
     assert n[0, 0] / (n[0, 0] + n.get((0, 1), 0)) > 0.98
 
 
+def test_toxicity_by_definition(spark):
+    """Weights, law of chance segments, cut and scores by plain loops over a small labelled corpus."""
+    rng = random.Random(2)
+    mild, foul = [f"w{i}" for i in range(40)], ["scum", "trashy", "trashing", "idiot"]
+    rows = [(i, " ".join(rng.choice(foul) if i % 2 and rng.random() < 0.35 else rng.choice(mild) for _ in range(rng.randrange(5, 40)))) for i in range(160)]
+    labels = [(i, i % 2) for i in range(160)]
+    docs = spark.createDataFrame([*rows, (900, None), (901, "Scum! of w1")], "doc_id bigint, text string")
+    model = toxicity.learn(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int"), F.lit(True))
+    want = brute.toxicity_model([(t, x) for (_, t), (_, x) in zip(rows, labels)], toxicity)
+    assert set(model.weights) == set(want["weights"]) and len(model.weights) >= 3
+    assert all(abs(model.weights[w] - x) < 1e-9 for w, x in want["weights"].items())
+    assert all(abs(a - b) < 1e-6 for a, b in ((model.rate, want["rate"]), (model.scale, want["scale"]), (model.cut, want["cut"])))
+    for r in toxicity.score_toxicity(docs, model).collect():
+        e = want["evidence"](dict(rows).get(r.doc_id, {901: "Scum! of w1"}.get(r.doc_id)))
+        assert abs(r.score - e / (e + want["cut"])) < 1e-6 and r.predicted == int(r.score >= 0.5)
+
+
 def test_toxicity_of_messy_rows(spark, messy, empty):
     model = toxicity.Model({"farm": 4.0, "einzel*": 3.0}, 1.0, 1e-4, 2.0)
     got = toxicity.score_toxicity(messy, model).collect()
@@ -336,6 +370,25 @@ def test_languages_of_held_out_rows(spark, small):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_languages_by_definition(spark):
+    """Letter vectors bound, bundled and compared by plain loops."""
+    texts = [("the quick brown fox", "en"), ("over the lazy dog", "en"), ("der schnelle braune Fuchs", "de"), ("über den faulen Hund", "de"),
+             ("x1y the Hund", None), ("", None), ("a", None), ("日本 quick", None), (None, None)]
+    df = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(texts)], "doc_id bigint, text string, lang string")
+    codes, profiles = language_id.learn(df, F.lit(True))
+    letters = language_id.Profiler().third
+    want = brute.language_profiles([(t, lang) for t, lang in texts if lang], letters, language_id._symbol)
+    assert codes == sorted(want) and all(np.abs(profiles[i] - want[c]).max() < 1e-5 for i, c in enumerate(codes))
+    for r in language_id.identify(df, (codes, profiles)).collect():
+        bundle = brute.bundled(texts[r.doc_id][0] or "", letters, language_id._symbol)
+        if not bundle.any():
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        cosines = {c: float(bundle @ v / np.linalg.norm(bundle)) for c, v in want.items()}
+        best = max(cosines, key=lambda c: (cosines[c], c))
+        assert r.lang_pred == best and abs(r.score - max(0.0, cosines[best])) < 1e-5
+
+
 def test_languages_of_messy_rows(messy, empty):
     model = language_id.learn(messy, remainder(col("doc_id"), 4) != 2)
     got = language_id.identify(messy, model).collect()
