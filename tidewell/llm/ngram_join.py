@@ -20,8 +20,8 @@ its sets, in turn any or one of the component of most sets, chosen by a hash tha
 round; each set is compared with one that its tokens name, where a token counts the more the fewer
 sets it has, if that lies in another component. So a round has at most one pair for each set. Links
 give components, and tokens whose sets lie in one component are done. The first round takes all
-tokens that several sets share; the next, up to `ROUNDS`, those of more than `FEW` sets, until two
-rounds in turn link less than one set in fifty. Only what is then left in several components is joined with
+tokens that several sets share; the next, up to `ROUNDS`, those of more than `FEW` sets, until one
+links less than one set in fifty. Only what is then left in several components is joined with
 itself, across components: a pair within one is known to be connected. Rows carry the parities
 into that join, so it gives out only pairs that pass them. So a large group of near copies costs
 some comparisons for each row, and no link between different components is lost. Components, not
@@ -44,6 +44,7 @@ from __future__ import annotations
 import zlib
 from collections import OrderedDict
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -138,6 +139,11 @@ def prefix_length(n: int) -> int:
     return n - (SHARE[0] * n + SHARE[1] - 1) // SHARE[1] + 1
 
 
+#: Columns that carry a set's bitmaps, 64 bits each: first those of the orders, then the parities.
+WORDS = [f"b{i}" for i in range((ORDERS + 1) * BITS // 64)]
+PARITIES = WORDS[ORDERS * BITS // 64:]
+
+
 def bitmaps(tokens: np.ndarray) -> np.ndarray:
     """The prefixes under the seeded orders and the parities of the whole set, `BITS` bits each, as 64-bit words."""
     n, held = prefix_length(len(tokens)), np.zeros((ORDERS + 1, BITS), dtype=bool)
@@ -148,23 +154,20 @@ def bitmaps(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(held, axis=None, bitorder="little").view("<i8")
 
 
-def _part(bits: Column, i: int) -> Column:
-    return F.slice(bits, i * (BITS // 64) + 1, BITS // 64)
-
-
-def _few_differ(a: Column, b: Column, n_a: Column, n_b: Column) -> Column:
-    """Whether parities differ in no more places than so many tokens as two linked sets of these sizes may not share."""
-    odd = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    least = F.ceil((n_a + n_b) * SHARE[0] / (SHARE[0] + SHARE[1]))  # tokens that linked sets share
-    return F.aggregate(odd, F.lit(0), lambda x, y: x + y) <= n_a + n_b - 2 * least
+def _few_differ(x: str, y: str, n_x: Column, n_y: Column) -> Column:
+    """Whether parities differ in no more places than so many tokens as two linked sets of these sizes may
+    not share; `x` and `y` stand before the columns' names."""
+    odd = reduce(Column.__add__, [F.bit_count(F.col(x + w).bitwiseXOR(F.col(y + w))) for w in PARITIES])
+    least = F.ceil((n_x + n_y) * SHARE[0] / (SHARE[0] + SHARE[1]))  # tokens that linked sets share
+    return odd <= n_x + n_y - 2 * least
 
 
-def _may_link(a: Column, b: Column, n_a: Column, n_b: Column) -> Column:
+def _may_link(x: str, y: str) -> Column:
     """Whether two sets' bitmaps share a bit under each of the seeded orders, and their parities allow a link."""
-    met = _few_differ(_part(a, ORDERS), _part(b, ORDERS), n_a, n_b)
+    met = _few_differ(x, y, F.col(x + "n"), F.col(y + "n"))
     for seed in range(ORDERS):
-        shared = F.zip_with(_part(a, seed), _part(b, seed), lambda x, y: x.bitwiseAND(y))
-        met = met & F.exists(shared, lambda x: x != 0)
+        own = WORDS[seed * BITS // 64:(seed + 1) * BITS // 64]
+        met = met & (reduce(Column.bitwiseOR, [F.col(x + w).bitwiseAND(F.col(y + w)) for w in own]) != 0)
     return met
 
 
@@ -211,7 +214,7 @@ def frequency_classes(texts: DataFrame, bits: int) -> np.ndarray:
 
 
 def token_sets(docs: DataFrame, classes: np.ndarray, kind: str) -> DataFrame:
-    """(id, n, set, print, prefix, light, bits) of every row, `print` a hash of the text; prefix, how many of
+    """(id, n, set, print, prefix, light, bitmaps) of every row, `print` a hash of the text; prefix, how many of
     its tokens are light, and bitmaps only where the task meets the set first in a row with an id."""
     shift = np.uint64(65 - int(len(classes)).bit_length())
 
@@ -219,6 +222,7 @@ def token_sets(docs: DataFrame, classes: np.ndarray, kind: str) -> DataFrame:
         shingler, met = Shingler(), set()
         for batch in batches:
             sizes, prints, prefixes, light, bits = [], [], [], [], []
+            nothing = np.zeros(len(WORDS), dtype=np.int64)
             named = batch.column(0).is_valid().to_pylist()
             for known, tokens in zip(named, shingler.sets(batch.column(1).to_pylist())):
                 sizes.append(len(tokens))
@@ -232,13 +236,14 @@ def token_sets(docs: DataFrame, classes: np.ndarray, kind: str) -> DataFrame:
                     first = np.argsort(rank)[: prefix_length(len(tokens))]
                 prefixes.append(tokens[first].tobytes() if new else None)
                 light.append(int((rank[first] >> np.uint64(56) <= LIGHT).sum()) if new else None)
-                bits.append(bitmaps(tokens) if new else None)
+                bits.append(bitmaps(tokens) if new else nothing)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()), batch.column(2),
-                                              pa.array(prefixes, pa.binary()), pa.array(light, pa.int32()), pa.array(bits, pa.list_(pa.int64()))],
-                                             names=["id", "n", "set", "print", "prefix", "light", "bits"])
+                                              pa.array(prefixes, pa.binary()), pa.array(light, pa.int32()),
+                                              *map(pa.array, np.array(bits, dtype=np.int64).reshape(-1, len(WORDS)).T)],
+                                             names=["id", "n", "set", "print", "prefix", "light", *WORDS])
 
     hashed = docs.select("*", F.xxhash64(col(docs.columns[1])).alias("_print"))
-    return hashed.mapInArrow(run, f"id {kind}, n bigint, set bigint, print bigint, prefix binary, light int, bits array<bigint>")
+    return hashed.mapInArrow(run, f"id {kind}, n bigint, set bigint, print bigint, prefix binary, light int, " + ", ".join(f"{w} bigint" for w in WORDS))
 
 
 def prefix_tokens(sets: DataFrame) -> DataFrame:
@@ -278,8 +283,8 @@ def _near_in_size(a: Column, b: Column) -> Column:
 
 
 def marks_of(sets: DataFrame) -> DataFrame:
-    """(set, n, bits), a row for each set that takes part."""
-    return staged(sets.where("bits is not null").select("set", "n", "bits").dropDuplicates(["set"]))
+    """(set, n, bitmaps), a row for each set that takes part."""
+    return staged(sets.where("prefix is not null").select("set", "n", *WORDS).dropDuplicates(["set"]))
 
 
 def texts_of(wanted: DataFrame, docs: DataFrame, sets: DataFrame, small: bool = False) -> DataFrame:
@@ -294,9 +299,9 @@ def verified(pairs: DataFrame, marks: DataFrame, texts: Callable[[DataFrame, boo
     """The pairs (a, b) of sets that are similar; `pairs` is written, `texts` gives the texts of wanted sets."""
     small = pairs.count() <= SMALL
     few = F.broadcast if small else lambda df: df
-    of = lambda side: marks.select(F.col("set").alias(side), F.col("bits").alias(f"of_{side}"), F.col("n").alias(f"n_{side}"))
+    of = lambda side: marks.select(F.col("set").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in ("n", *WORDS)])
     known = of("b").join(few(of("a").join(few(pairs), "a")), "b")
-    pairs = staged(known.where(_may_link(F.col("of_a"), F.col("of_b"), F.col("n_a"), F.col("n_b"))).select("a", "b"))
+    pairs = staged(known.where(_may_link("a_", "b_")).select("a", "b"))
     wanted = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
     texts = texts(wanted, small)
 
@@ -346,12 +351,12 @@ def _one_each(tokens: DataFrame, turn: int) -> DataFrame:
     Where the rows carry parities, only sets that these allow to link are named.
     """
     first = F.lit(0).cast("long") if turn % 2 else -F.col("weight")
-    known = [c for c in ("parity",) if c in tokens.columns]
+    known = [c for c in PARITIES if c in tokens.columns]
     order = F.struct(first.alias("w"), (F.xxhash64(F.lit(turn), "set") if turn else F.col("set")).alias("h"), "set", "n", "c", *known)
     chosen = tokens.groupBy("token").agg(F.min(order).alias("p"))
     may = (F.col("c") != F.col("p.c")) & _near_in_size(F.col("n"), F.col("p.n"))
     if known:
-        may = may & _few_differ(F.col("parity"), F.col("p.parity"), F.col("n"), F.col("p.n"))
+        may = may & _few_differ("", "p.", F.col("n"), F.col("p.n"))
     named = (tokens.join(chosen, "token").where(may)
              .groupBy("set", F.col("p.set").alias("other")).agg((-F.sum(F.floor(F.lit(1 << 20) / F.col("held")))).alias("votes")))
     best = named.groupBy("set").agg(F.min(F.struct("votes", "other")).alias("p"))
@@ -365,7 +370,7 @@ def _across(tokens: DataFrame) -> DataFrame:
     bound = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
     pair = ((F.col("x.token") == F.col("y.token")) & (F.col("x.set") < F.col("y.set")) & (F.col("x.c") != F.col("y.c"))
             & _near_in_size(F.col("x.n"), F.col("y.n")) & (bound >= need))
-    pair = pair & _few_differ(F.col("x.parity"), F.col("y.parity"), F.col("x.n"), F.col("y.n"))
+    pair = pair & _few_differ("x.", "y.", F.col("x.n"), F.col("y.n"))
     return x.join(y, pair).select(F.col("x.set").alias("a"), F.col("y.set").alias("b")).distinct()
 
 
@@ -380,9 +385,9 @@ def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     every_text = lambda wanted, small: texts_of(wanted, rows, sets, small)
     texts = every_text
 
-    parities = marks.select("set", _part(F.col("bits"), ORDERS).alias("parity"))
+    parities = marks.select("set", *PARITIES)
 
-    hot, few, links, idle = shared_tokens(sets), None, None, 0
+    hot, few, links = shared_tokens(sets), None, None
     for turn in range(ROUNDS):
         new = staged(verified(staged(_one_each(hot, turn)), marks, texts))
         found = new.count()
@@ -394,10 +399,9 @@ def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
             left = hot.select("set").distinct()
             alive, bodies = left.count(), staged(texts_of(left, rows, sets))
             texts = lambda wanted, small: bodies.join(F.broadcast(wanted) if small else wanted, "set", "left_semi")  # noqa: B023, E731
-        idle = 0 if found * 50 >= alive else idle + 1
-        if idle == 2 or not alive:
+        if turn and found * 50 < alive or not alive:
             break
-    left_over = few.select("token", "set", "n", "at", "c").join(parities, "set").unionByName(hot.select("token", "set", "n", "at", "c", "parity"))
+    left_over = few.select("token", "set", "n", "at", "c").join(parities, "set").unionByName(hot.select("token", "set", "n", "at", "c", *PARITIES))
     across = staged(_across(left_over))
     every = staged(verified(across, marks, every_text))
     every = every if links is None else links.union(every)
