@@ -14,7 +14,7 @@ import corpus_pipeline
 from tests.llm import brute
 from tests.llm.conftest import MESSY
 from tidewell.llm import bpe, mixing, secrets
-from tidewell.llm.common import staged, table
+from tidewell.llm.common import _folder, staged, table
 from tidewell.llm.queries import RANKS
 
 
@@ -69,6 +69,21 @@ def test_tokens_of_each_copy(spark, small, stages):
     assert rows(corpus_pipeline.run(spark, small), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == want
 
 
+def test_stages_leave_nothing_but_the_last_rows_behind(spark, small):
+    before = set(folders(spark))
+    out = corpus_pipeline.run(spark, small)
+    made = set(folders(spark)) - before
+    assert out.count() > 0
+    held = {f.rsplit("/", 1)[0].rsplit("/", 1)[-1] for f in out.inputFiles()}
+    assert held <= made and len(made) <= 4  # the last stage's documents, and what that stage has staged for itself
+
+
+def folders(spark):
+    root = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark))
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+
+
 def test_stages_take_messy_and_empty_tables(spark, small, messy, empty):
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, messy, small)

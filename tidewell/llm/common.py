@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -38,14 +40,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame) -> DataFrame:
+_WORKSPACE: ContextVar[str | None] = ContextVar("workspace", default=None)
+
+
+def _folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/llm-{spark.sparkContext.applicationId}"
+
+
+def staged(df: DataFrame, beyond_workspace: bool = False) -> DataFrame:
     """Written once to the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/llm-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = f"{(not beyond_workspace and _WORKSPACE.get()) or _folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[None]:
+    """Tables staged within go to a folder that is deleted at the end; what is made of them must be written by then."""
+    path = f"{_folder(spark)}/{uuid.uuid4().hex}"
+    before = _WORKSPACE.set(path)
+    try:
+        yield
+    finally:
+        _WORKSPACE.reset(before)
+        drop(spark, path)
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage, if it is there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """For small iteration state: a checkpoint in the shared folder, removed by Spark when unused."""
     folder, context = shared_dir(df.sparkSession), df.sparkSession.sparkContext
