@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.llm import bpe, language_id, mixing, ngram_join, secrets
-from tidewell.llm.common import col, ready, remainder, staged, table
+from tidewell.llm.common import col, drop, ready, remainder, staged, table, workspace
 from tidewell.llm.queries import RANKS
 
 #: SQL cannot express the stages; tests/llm compares them with brute force.
@@ -50,9 +50,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`, each written and read again by the next."""
-    docs = table(ready(spark), sf_dir, "documents")
-    for place, (_, stage) in enumerate(STAGES, 1):
-        docs = stage(spark, docs, sf_dir)
-        docs = staged(docs) if place < len(STAGES) else docs
-    return docs
+    """All stages over `documents`, each written and read again by the next. What a stage has staged
+    for itself is deleted when its rows are written, and these when those of the next are."""
+    docs, read = table(ready(spark), sf_dir, "documents"), []
+    for _, stage in STAGES[:-1]:
+        with workspace(spark):
+            docs = staged(stage(spark, docs, sf_dir), beyond_workspace=True)
+        for folder in read:
+            drop(spark, folder)
+        read = [docs.inputFiles()[0].rsplit("/", 1)[0]] if docs.inputFiles() else []
+    return STAGES[-1][1](spark, docs, sf_dir)
