@@ -37,7 +37,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import ahocorasick
@@ -49,6 +49,8 @@ from pyspark.sql import functions as F
 
 from tidewell.llm.common import col
 
+Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
 BLANK = "▁"
 #: Words and pairs of pieces that a task remembers, and the longest such word.
 CACHE, PAIRS, LONGEST = 200_000, 500_000, 40
@@ -259,8 +261,8 @@ def cuts(text: str) -> Iterator[str]:
     yield text[begin:]
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, id: str = "doc_id", text: str = "text", end: bool = True) -> DataFrame:
-    """One row per input row: id, ids (array of int); `end` adds the end id."""
+def _encoder(vocabulary: Vocabulary, end: bool) -> Batches:
+    """From batches of (id, text) to batches of (id, ids)."""
     last = np.array([vocabulary.end] if end else [], dtype="<i4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,9 +290,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, id: str = "doc_id", text: st
                                                  names=["id", "ids"])
                 begin = stop
 
-    rows = docs.select(col(id).alias("id"), col(text).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id)
+    return run
 
 
 def text_of(ids: list[int], surface: list[bytes | None], values: dict[int, int]) -> str:
@@ -319,8 +319,8 @@ def text_of(ids: list[int], surface: list[bytes | None], values: dict[int, int])
     return "".join(out)
 
 
-def decode(encoded: DataFrame, vocabulary: Vocabulary, id: str = "doc_id", ids: str = "ids") -> DataFrame:
-    """One row per input row: id, ids, decoded (string)."""
+def _decoder(vocabulary: Vocabulary) -> Batches:
+    """From batches of (id, ids) to batches of (id, ids, decoded)."""
     values = {i: b for b, i in enumerate(vocabulary.bytes)}
     surface = vocabulary.surface
     plain = [bytes([values[i]]) if s is None else s for i, s in enumerate(surface)]
@@ -338,14 +338,13 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, id: str = "doc_id", ids:
                     text = b"".join(map(plain.__getitem__, numbers)).decode()
                 except UnicodeDecodeError:
                     text = None
-                if text is None or any(i in numbers[:-1] for i in silent):
+                inside = numbers[:-1]
+                if text is None or any(i in inside for i in silent):
                     text = text_of(numbers, surface, values)
                 out.append(without_front(text, numbers, vocabulary))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=["id", "ids", "decoded"])
 
-    rows = encoded.select(col(id).alias("id"), col(ids).alias("ids"))
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, ids array<int>, decoded string").withColumnRenamed("id", id)
+    return run
 
 
 def without_front(text: str, numbers: list[int], vocabulary: Vocabulary) -> str:
@@ -355,6 +354,27 @@ def without_front(text: str, numbers: list[int], vocabulary: Vocabulary) -> str:
     return text[1:] if front and front.startswith(b" ") else text
 
 
+def _mapped(rows: DataFrame, run: Batches, columns: str, id: str) -> DataFrame:
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, {columns}").withColumnRenamed("id", id)
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary, id: str = "doc_id", text: str = "text", end: bool = True) -> DataFrame:
+    """One row per input row: id, ids (array of int); `end` adds the end id."""
+    return _mapped(docs.select(col(id).alias("id"), col(text).alias("text")), _encoder(vocabulary, end), "ids array<int>", id)
+
+
+def decode(encoded: DataFrame, vocabulary: Vocabulary, id: str = "doc_id", ids: str = "ids") -> DataFrame:
+    """One row per input row: id, ids, decoded (string)."""
+    return _mapped(encoded.select(col(id).alias("id"), col(ids).alias("ids")), _decoder(vocabulary), "ids array<int>, decoded string", id)
+
+
+def round_trip(docs: DataFrame, vocabulary: Vocabulary, id: str = "doc_id", text: str = "text", end: bool = True) -> DataFrame:
+    """What `decode` gives for what `encode` gives; both steps in one Python worker, so a task has one and not two."""
+    encoded, decoded = _encoder(vocabulary, end), _decoder(vocabulary)
+    return _mapped(docs.select(col(id).alias("id"), col(text).alias("text")), lambda batches: decoded(encoded(batches)),
+                   "ids array<int>, decoded string", id)
+
+
 def digests(decoded: DataFrame, id: str = "doc_id") -> DataFrame:
     return decoded.select(col(id), F.size("ids").cast("long").alias("n_tokens"),
                           F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

@@ -90,8 +90,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = piece_bpe.read_vocabulary(public_tokenizers.path(PIECES))
-    encoded = piece_bpe.encode(documents(spark, sf_dir), vocabulary)
-    return piece_bpe.digests(piece_bpe.decode(encoded, vocabulary))
+    return piece_bpe.digests(piece_bpe.round_trip(documents(spark, sf_dir), vocabulary))
 
 
 @query
