@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tests.helpers import booking, customer, provider, raw, service
 from tidewell.functions import values as V
 from tidewell.operators import clean
+from tidewell.plans.stored import silver_bookings
 from tidewell.sources import star
 from tidewell.sources.records import is_malformed
 
@@ -61,9 +62,13 @@ def test_latest_snapshot_does_not_depend_on_order(spark, small):
 
 
 def test_rows_are_cut_per_key_before_the_shuffle(spark, small):
-    plan = clean.latest_bookings(star.typed_bookings(spark, small))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") == 2
-    before_shuffle = plan[plan.index("hashpartitioning(booking_id"):]
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    ranked = plan(clean.latest_bookings(clean.valid_bookings(star.typed_bookings(spark, small, reviews=False))))
+    whole = plan(silver_bookings(spark, small))
+    assert ranked.count("WindowGroupLimit") == whole.count("WindowGroupLimit") == 2
+    # Texts are fetched for the winners alone: the ranking reads none, and each table is read once for it.
+    assert "documents" not in ranked and whole.count("documents.parquet") == 2 and ranked.count("lineitem.parquet") == 1
+    before_shuffle = ranked[ranked.index("hashpartitioning(booking_id"):]
     assert "WindowGroupLimit" in before_shuffle
 
 
