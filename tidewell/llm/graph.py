@@ -8,25 +8,34 @@ from pyspark.sql import functions as F
 from tidewell.llm.common import checkpointed
 
 
+#: Graphs of so many edges at most are worked on in one task, which needs no shuffle.
+SMALL = 50_000
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): for every node of an edge the smallest node it can reach.
 
     Nodes are numbers or texts. A round takes the smallest neighbour of each node by one
     aggregation and joins it back, so no node's neighbours ever meet in one task; rounds
-    grow with the logarithm of the longest path.
+    grow with the logarithm of the longest path. A graph that is counted to be small is
+    kept in one partition, where the same steps need no shuffle.
     """
-    e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
-    e, mark = checkpointed(e), None
+    e, mark, small = checkpointed(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()), None, None
+    ways = F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("w")
     while True:
         seen = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+        small = seen[0] <= SMALL if small is None else small
+        near = (lambda df: df.coalesce(1)) if small else (lambda df: df)
+        e = near(e)
         if tuple(seen) == mark or not seen[0]:
-            return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-                e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+            ends = F.explode(F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("component")),
+                                     F.struct(F.col("v").alias("node"), F.col("v").alias("component")))).alias("w")
+            return e.select(ends).select("w.*").distinct()
         mark = tuple(seen)
-        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = e.select(ways).select("w.*")
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.greatest("v", "m").alias("x"), F.least("v", "m").alias("m"))
-        e = checkpointed(small.select(F.col("x").alias("u"), F.col("m").alias("v")).union(
-            least.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+        small_star = large.join(least, "u").select(F.greatest("v", "m").alias("x"), F.least("v", "m").alias("m"))
+        e = checkpointed(near(small_star.select(F.col("x").alias("u"), F.col("m").alias("v")).union(
+            least.select("u", F.col("m").alias("v"))).where("u <> v")).distinct())

@@ -21,7 +21,7 @@ round; each set is compared with one that its tokens name, where a token counts
 sets it has, if that lies in another component. So a round has at most one pair for each set. Links
 give components, and tokens whose sets lie in one component are done. The first round takes all
 tokens that several sets share; the next, up to `ROUNDS`, those of more than `FEW` sets, until one
-links less than one set in fifty. Only what is then left in several components is joined with
+links less than one set in twenty. Only what is then left in several components is joined with
 itself, across components: a pair within one is known to be connected. Rows carry the parities
 into that join, so it gives out only pairs that pass them. So a large group of near copies costs
 some comparisons for each row, and no link between different components is lost. Components, not
@@ -64,7 +64,7 @@ ORDERS, BITS = 2, 512
 #: Class of a counter below 2^12.
 LIGHT = 23
 #: So many pairs, and what is known of their sets (some 300 bytes each), are handed to all tasks.
-SMALL = 50_000
+SMALL = 20_000
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _MASK = (1 << 64) - 1
 _CHUNK = 1 << 16
@@ -399,7 +399,7 @@ def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
             left = hot.select("set").distinct()
             alive, bodies = left.count(), staged(texts_of(left, rows, sets))
             texts = lambda wanted, small: bodies.join(F.broadcast(wanted) if small else wanted, "set", "left_semi")  # noqa: B023, E731
-        if turn and found * 50 < alive or not alive:
+        if turn and found * 20 < alive or not alive:
             break
     left_over = few.select("token", "set", "n", "at", "c").join(parities, "set").unionByName(hot.select("token", "set", "n", "at", "c", *PARITIES))
     across = staged(_across(left_over))
