@@ -32,7 +32,7 @@ def lower_ascii(c: Column) -> Column:
 def ready(spark: SparkSession) -> SparkSession:
     """Session settings of the text operators: Arrow batches of few rows and few bytes, as texts may be long."""
     configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2 << 20))
     return spark
 
 
