@@ -29,6 +29,7 @@ import base64
 import heapq
 import json
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -88,14 +89,15 @@ class Merger:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks, self.size = ranks, max(ranks.values(), default=0) + 1
-        pairs = {}
+        keys, values = array("q"), array("q")  # a pair makes one token, so no key comes twice
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
                 left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if left is not None and right is not None:
-                    pairs[left * self.size + right] = rank
-        self.keys = np.array(sorted(pairs), dtype=np.int64)
-        self.values = np.array([pairs[k] for k in self.keys.tolist()], dtype=np.int64)
+                    keys.append(left * self.size + right)
+                    values.append(rank)
+        order = np.argsort(np.array(keys, dtype=np.int64))
+        self.keys, self.values = np.array(keys, dtype=np.int64)[order], np.array(values, dtype=np.int64)[order]
         self.single = np.array([ranks.get(bytes([i]), 0) for i in range(256)], dtype=np.int64)
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:

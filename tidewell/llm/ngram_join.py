@@ -64,7 +64,7 @@ ORDERS, BITS = 2, 512
 #: Class of a counter below 2^12.
 LIGHT = 23
 #: So many pairs, and what is known of their sets (some 300 bytes each), are handed to all tasks.
-SMALL = 20_000
+SMALL = 50_000
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _MASK = (1 << 64) - 1
 _CHUNK = 1 << 16

@@ -40,10 +40,8 @@ from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
-import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,6 +73,8 @@ class Vocabulary:
 
 def read_vocabulary(path: str) -> Vocabulary:
     """The library reads the file; only models that leave texts as they are, apart from blanks, are taken."""
+    import sentencepiece
+
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     probe = "\tA  é ﬁ　x ​"
     if model.Normalize(probe) != BLANK + probe.replace(" ", BLANK):
@@ -136,6 +136,8 @@ class Encoder:
     """Encodes words; one per task."""
 
     def __init__(self, vocabulary: Vocabulary):
+        import ahocorasick
+
         self.v, self.ends, self.starts = vocabulary, {}, {}
         self.pairs: dict[str, dict[str, bool]] = defaultdict(dict)
         self.known = 0
