@@ -59,6 +59,16 @@ def test_trained_scorer(spark):
         ("negative", "Punctuality"), ("positive", "Professionalism"), (None, None)]
 
 
+def test_trained_scorer_in_an_observed_session(spark):
+    from pyspark.sql import Observation
+
+    seen = Observation("seen")
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("rows")).collect()
+    assert seen.get == {"rows": 3}
+    labelled = spark.createDataFrame([("late late", "negative"), ("polite polite", "positive")] * 10, "review_text string, s string")
+    assert label(spark, "so late", None, scorer=scoring.train_scorer(labelled, "s")) == [("negative", None), (None, None)]
+
+
 def test_reviews_are_scored_once(spark):
     calls = spark.sparkContext.accumulator(0)
 
