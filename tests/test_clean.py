@@ -72,6 +72,26 @@ def test_rows_are_cut_per_key_before_the_shuffle(spark, small):
     assert "WindowGroupLimit" in before_shuffle
 
 
+def test_lines_are_dealt_out_once(spark, small):
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        typed, reviewed = plan(star.typed_bookings(spark, small, reviews=False)), plan(star.typed_bookings(spark, small))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    # The line items meet orders that have met their customers; texts come to them, however Spark judges their size.
+    assert typed.index("hashpartitioning(l_orderkey") < typed.index("hashpartitioning(o_custkey")
+    assert "BroadcastHashJoin" not in typed and "BroadcastHashJoin" in reviewed
+
+
+def test_large_texts_are_joined_without_a_hint(spark, small, monkeypatch):
+    handed = star.typed_bookings(spark, small).select("booking_id", "source_row_number", "review_text")
+    monkeypatch.setattr(star, "HANDED_OUT", 0)
+    joined = star.typed_bookings(spark, small).select("booking_id", "source_row_number", "review_text")
+    assert handed.exceptAll(joined).isEmpty() and joined.exceptAll(handed).isEmpty()
+
+
 def test_parsed_records_equal_typed_ones(spark, small):
     typed = star.typed_bookings(spark, small)
     parsed = clean.parse_bookings(star.raw_bookings(spark, small)).select(*typed.columns)
