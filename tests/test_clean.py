@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tests.helpers import booking, customer, provider, raw, service
 from tidewell.functions import values as V
 from tidewell.operators import clean
-from tidewell.plans.stored import silver_bookings
+from tidewell.plans.stored import Star, silver_bookings
 from tidewell.sources import star
 from tidewell.sources.records import is_malformed
 
@@ -92,6 +92,15 @@ def test_large_texts_are_joined_without_a_hint(spark, small, monkeypatch):
     assert handed.exceptAll(joined).isEmpty() and joined.exceptAll(handed).isEmpty()
 
 
+def test_stored_tables_are_made_when_asked_for(spark, small, tmp_path):
+    tables = Star(spark, small, str(tmp_path))
+    made = lambda: {p.name for p in tmp_path.iterdir()}
+    assert not made()
+    assert tables["providers"].count() and made() == {"providers"}
+    assert tables["bookings"].count() and made() == {"providers", "customers", "services", "latest", "bookings"}
+    assert set(tables) == {"raw", "latest", "customers", "services", "providers", "dates", "bookings", "reviews", "kpi"}
+
+
 def test_parsed_records_equal_typed_ones(spark, small):
     typed = star.typed_bookings(spark, small)
     parsed = clean.parse_bookings(star.raw_bookings(spark, small)).select(*typed.columns)
