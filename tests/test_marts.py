@@ -11,6 +11,7 @@ from tidewell.operators import clean, marts, quality, reviews, scoring
 from tidewell.plans import questions
 from tidewell.plans.model import MARKETPLACE
 from tidewell.plans.semantic import semantic_query
+from tidewell.plans.stored import Star
 
 
 def time_of(text):
@@ -59,6 +60,13 @@ def test_trained_scorer(spark):
         ("negative", "Punctuality"), ("positive", "Professionalism"), (None, None)]
 
 
+def test_fact_joins_carry_no_review_texts(spark, small, tmp_path):
+    tables = Star(spark, small, str(tmp_path))
+    fact = marts.build_fact_booking(*[tables[n] for n in ("latest", "customers", "services", "providers")])
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    assert "service_started_at" in plan and "review_text" not in plan and "source_row_number" not in plan
+
+
 def test_trained_scorer_in_an_observed_session(spark):
     from pyspark.sql import Observation
 
