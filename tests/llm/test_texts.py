@@ -124,6 +124,26 @@ def test_no_filter_drops_a_pair_that_links(spark, monkeypatch):
             assert (x != y).sum() <= len(np.setxor1d(a, b))
 
 
+def test_tokens_of_the_same_sets_become_one(spark):
+    """Near copies of a long text share hundreds of rare tokens; one row for each list of sets names every pair."""
+    rng = random.Random(23)
+    long = [f"w{i}" for i in range(2000)]
+    rows = [(i, " ".join([*long, f"end{i}"])) for i in range(2)]
+    for group in range(20):
+        base = [f"g{group}x{i}" for i in range(200)]
+        rows += [(100 * group + i, " ".join([f"s{rng.randrange(10 ** 6)}" if rng.random() < 0.02 else w for w in base])) for i in range(2, 8)]
+    df = spark.createDataFrame([*rows, *rows[:4]], "doc_id bigint, text string").repartition(3)
+    sets = ngram_join.token_sets(df, np.zeros(1 << 16, dtype=np.uint8), "bigint").cache()
+    plain, shared = ngram_join.prefix_tokens(sets), ngram_join.shared_tokens(sets)
+    x, y = F.col("x.set"), F.col("y.set")
+    pairs = lambda t: {tuple(r) for r in t.alias("x").join(t.alias("y"), "token").where(x < y).select(x, y).distinct().collect()}
+    assert pairs(shared) == pairs(plain)
+    a, b = (ngram_join.set_print(s) for s in ngram_join.Shingler().sets([t for _, t in rows[:2]]))
+    assert [shared.where(F.col("set") == s).count() for s in (a, b)] == [1, 1] and plain.where(F.col("set") == a).count() > 400
+    first = {r.set: r.at for r in shared.groupBy("set").agg(F.min("at").alias("at")).collect()}
+    assert all(0 <= at < 5 for s, at in first.items() if s in (a, b))
+
+
 def test_frequency_order_does_not_change_links(spark, texts, small):
     docs = table(spark, small, "documents").select("doc_id", "text")
     classes = np.zeros(1 << 16, dtype=np.uint8)

@@ -10,12 +10,13 @@ rarest first: counts of all tokens are kept in a table of `2^bits` counters (its
 is bounded whatever the corpus; tokens that share a counter are ranked by their sum),
 ties by fingerprint. Only prefix tokens are shuffled. Pairs must also pass the length filter and
 the positional filter. The other orders are by seeded hashes: a set carries, for each of `ORDERS`, its
-prefix as a bitmap of `BITS` bits, and beside these one whose bits tell whether an odd number of its
-tokens falls on them. A candidate pair goes before any text is fetched if its bitmaps do not meet
+prefix as a bitmap of `BITS` bits, and beside these one of `ODD` bits that tell whether an odd number of
+its tokens falls on them. A candidate pair goes before any text is fetched if its bitmaps do not meet
 under every order, or if the last ones differ in more bits than two linked sets have tokens that
 only one holds. A bitmap may let a pair pass, but never drops one that links.
 
-Hot tokens. A token's sets are never paired off at once. In a round, each token names one of
+Hot tokens. Tokens that the very same sets hold name the same pairs, so they become one that stands
+for them all: near copies of a long text share hundreds of such. A token's sets are never paired off at once. In a round, each token names one of
 its sets, in turn any or one of the component of most sets, chosen by a hash that changes with the
 round; each set is compared with one that its tokens name, where a token counts the more the fewer
 sets it has, if that lies in another component. So a round has at most one pair for each set. Links
@@ -59,8 +60,8 @@ WIDTH = 5
 SHARE = (75, 100)
 #: Rounds in which each set is compared with one set; tokens of at most `FEW` sets take part in the first alone.
 ROUNDS, FEW = 8, 4
-#: Seeded orders beside the first, and the bits in which a set carries its prefix under each.
-ORDERS, BITS = 2, 512
+#: Seeded orders beside the first, the bits in which a set carries its prefix under each, and those of its parities.
+ORDERS, BITS, ODD = 2, 512, 1024
 #: Class of a counter below 2^12.
 LIGHT = 23
 #: So many pairs, and what is known of their sets (some 300 bytes each), are handed to all tasks.
@@ -140,18 +141,18 @@ def prefix_length(n: int) -> int:
 
 
 #: Columns that carry a set's bitmaps, 64 bits each: first those of the orders, then the parities.
-WORDS = [f"b{i}" for i in range((ORDERS + 1) * BITS // 64)]
+WORDS = [f"b{i}" for i in range((ORDERS * BITS + ODD) // 64)]
 PARITIES = WORDS[ORDERS * BITS // 64:]
 
 
 def bitmaps(tokens: np.ndarray) -> np.ndarray:
-    """The prefixes under the seeded orders and the parities of the whole set, `BITS` bits each, as 64-bit words."""
-    n, held = prefix_length(len(tokens)), np.zeros((ORDERS + 1, BITS), dtype=bool)
+    """The prefixes under the seeded orders, `BITS` bits each, and the `ODD` parities of the whole set, as 64-bit words."""
+    n, held = prefix_length(len(tokens)), np.zeros((ORDERS, BITS), dtype=bool)
     for seed in range(ORDERS):
         ranked = mixed(tokens, 200 + seed)
         held[seed, (np.partition(ranked, n - 1)[:n] % np.uint64(BITS)).astype(np.int64)] = True
-    held[ORDERS] = np.bincount((mixed(tokens, 300) % np.uint64(BITS)).astype(np.int64), minlength=BITS) % 2
-    return np.packbits(held, axis=None, bitorder="little").view("<i8")
+    odd = np.bincount((mixed(tokens, 300) % np.uint64(ODD)).astype(np.int64), minlength=ODD) % 2 == 1
+    return np.packbits(np.concatenate([held.ravel(), odd]), bitorder="little").view("<i8")
 
 
 def _few_differ(x: str, y: str, n_x: Column, n_y: Column) -> Column:
@@ -267,15 +268,21 @@ def prefix_tokens(sets: DataFrame) -> DataFrame:
 
 
 def shared_tokens(sets: DataFrame) -> DataFrame:
-    """(token, set, n, at, c, weight, held) of the tokens of several sets; each set is its own component yet."""
-    tokens = prefix_tokens(sets)
-    of_token = [F.min("set").alias("low"), F.max("set").alias("high"), F.count("*").alias("held")]
+    """(token, set, n, at, many, c, weight, held) of the tokens of several sets; each set is its own component yet.
+
+    `token` names the sets that hold it, so tokens of the same sets become one, which stands first among them in
+    each set; `many` of the set's rows went into it. Should two lists of sets ever get one name, they are taken together.
+    """
+    tokens, hashed = prefix_tokens(sets), F.xxhash64("set")
+    of_token = {"low": F.min("set"), "high": F.max("set"), "held": F.count("*"),
+                "upper": F.sum(F.shiftright(hashed, 32)), "lower": F.sum(hashed.bitwiseAND(F.lit(0xFFFFFFFF)))}
     by_token = Window.partitionBy("token")
-    light = tokens.where("light").select("*", *[c.over(by_token).alias(n) for c, n in zip((F.min("set"), F.max("set"), F.count("*")), ("low", "high", "held"))])
+    light = tokens.where("light").select("*", *[c.over(by_token).alias(name) for name, c in of_token.items()])
     heavy = tokens.where("not light")
-    heavy = heavy.join(heavy.groupBy("token").agg(*of_token), "token").select(*light.columns)
-    return staged(light.union(heavy).where("low < high").select(
-        "token", "set", "n", "at", F.col("set").alias("c"), F.lit(1).cast("long").alias("weight"), "held"))
+    heavy = heavy.join(heavy.groupBy("token").agg(*[c.alias(name) for name, c in of_token.items()]), "token").select(*light.columns)
+    shared = light.union(heavy).where("low < high").withColumn("token", F.xxhash64(*of_token))
+    one = shared.groupBy("token", "set").agg(F.min("n").alias("n"), F.min("at").alias("at"), F.count("*").alias("many"), F.max("held").alias("held"))
+    return staged(one.select("token", "set", "n", "at", "many", F.col("set").alias("c"), F.lit(1).cast("long").alias("weight"), "held"))
 
 
 def _near_in_size(a: Column, b: Column) -> Column:
@@ -358,7 +365,7 @@ def _one_each(tokens: DataFrame, turn: int) -> DataFrame:
     if known:
         may = may & _few_differ("", "p.", F.col("n"), F.col("p.n"))
     named = (tokens.join(chosen, "token").where(may)
-             .groupBy("set", F.col("p.set").alias("other")).agg((-F.sum(F.floor(F.lit(1 << 20) / F.col("held")))).alias("votes")))
+             .groupBy("set", F.col("p.set").alias("other")).agg((-F.sum(F.col("many") * F.floor(F.lit(1 << 20) / F.col("held")))).alias("votes")))
     best = named.groupBy("set").agg(F.min(F.struct("votes", "other")).alias("p"))
     return best.select(F.least("set", "p.other").alias("a"), F.greatest("set", "p.other").alias("b")).distinct()
 
