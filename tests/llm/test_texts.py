@@ -497,3 +497,19 @@ def test_texts_unlike_all_learned_languages_stay(spark):
     model = (["xx"], profile)
     kept = {r.doc_id for r in language_id.keep_identified(df, model).collect()}
     assert kept == {r.doc_id for r in language_id.identify(df, model).collect() if r.lang_pred != language_id.UNKNOWN} == set(range(60))
+
+
+def test_newton_iterations_cost_one_job_however_many(spark):
+    """Sources of very different sizes need several iterations; the words they are given meet their targets."""
+    rows = [(f"s{k}", 1 + (i * (k + 3)) % (7 + 90 * k), 1 + i % 3) for k in range(4) for i in range(40)]
+    cells = spark.createDataFrame(rows, "key string, size bigint, n bigint").groupBy("key", "size").agg(F.sum("n").alias("n")).cache()
+    words = cells.groupBy("key").agg(F.sum(F.col("size") * F.col("n")).alias("words"))
+    sources = words.withColumn("target", F.col("words") * F.element_at(F.array(*map(F.lit, (0.3, 0.9, 1.7, 2.9))), F.substring("key", 2, 1).cast("int") + 1)).cache()
+    cells.count(), sources.count()
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    before = jobs()
+    solved = mixing.tilt(cells, sources)
+    assert jobs() - before <= 8  # joins and one checkpoint; a job or more for each iteration before
+    rate = F.least(F.lit(3.0), F.exp(F.col("tilt") * F.col("size") / F.col("mean")))
+    got = cells.join(solved, "key").groupBy("key").agg(F.sum(F.col("n") * F.col("size") * rate).alias("got")).join(sources, "key").collect()
+    assert len(got) == 4 and all(abs(r.got - r.target) <= 1e-6 * r.target for r in got)

@@ -24,7 +24,7 @@ copies; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -90,32 +90,45 @@ def targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MO
 
 
 def tilt(cells: DataFrame, sources: DataFrame, most: int = MOST, accuracy: float = 1e-9, rounds: int = 60) -> DataFrame:
-    """(key, tilt, mean) for sources with words: the Newton iterations. `cells` has key, size, n, size above 0."""
-    shape = cells.groupBy("key").agg(F.min("size").alias("least"), (F.sum(F.col("size") * F.col("n")) / F.sum("n")).alias("mean"))
+    """(key, tilt, mean) for sources with words: the Newton iterations. `cells` has key, size, n, size above 0.
+
+    They run within one row per source, over the counts of its distinct sizes (fewer than the square root of twice
+    its words), so they cost one job however many there are.
+    """
+    shape = cells.groupBy("key").agg(F.min("size").alias("least"), (F.sum(F.col("size") * F.col("n")) / F.sum("n")).alias("mean"),
+                                     F.collect_list(F.struct("size", "n")).alias("sizes"))
     share = F.least(F.lit(float(most)), F.col("target") / F.col("words"))
     bound = F.log(share) * F.col("mean") / F.col("least")  # all documents at least / at most at this share
-    state = checkpointed(sources.join(shape, "key").select(
-        "key", "mean", "target", F.lit(0.0).alias("tilt"), F.least(F.lit(0.0), bound).alias("low"), F.greatest(F.lit(0.0), bound).alias("high"),
-        (F.col("target") >= F.col("words") * most).alias("done")))
-    exact = lambda c: F.sum(c.cast("decimal(38,6)")).cast("double")
-    for _ in range(rounds):
-        x = F.col("size") / F.col("mean")
-        raw = F.exp(F.least(F.lit(50.0), F.col("tilt") * x))
-        words = F.col("n") * F.col("size")
-        sums = (cells.join(state.where("not done"), "key").groupBy("key")
-                .agg(exact(words * F.least(F.lit(float(most)), raw)).alias("value"),
-                     exact(F.when(raw < most, words * raw * x).otherwise(F.lit(0.0))).alias("slope")))
-        over = F.col("value") - F.col("target")
-        step = F.col("tilt") - over / F.col("slope")
-        low, high = F.when(over < 0, F.col("tilt")).otherwise(F.col("low")), F.when(over > 0, F.col("tilt")).otherwise(F.col("high"))
-        moved = F.when((F.col("slope") > 0) & (step > low) & (step < high), step).otherwise((low + high) / 2)
+    begun = F.struct(F.lit(0.0).alias("tilt"), F.least(F.lit(0.0), bound).alias("low"), F.greatest(F.lit(0.0), bound).alias("high"),
+                     (F.col("target") >= F.col("words") * most).alias("done"))
+    exact = "decimal(38,6)"  # sums of decimals do not depend on the order
+    nothing = F.struct(F.lit(0).cast(exact).alias("value"), F.lit(0).cast(exact).alias("slope"))
+
+    def added(tilt: Column) -> Callable[[Column, Column], Column]:
+        def add(acc: Column, cell: Column) -> Column:
+            x = cell["size"] / F.col("mean")
+            raw, words = F.exp(F.least(F.lit(50.0), tilt * x)), cell["n"] * cell["size"]
+            value, slope = words * F.least(F.lit(float(most)), raw), F.when(raw < most, words * raw * x).otherwise(F.lit(0.0))
+            return F.struct((acc["value"] + value.cast(exact)).cast(exact).alias("value"), (acc["slope"] + slope.cast(exact)).cast(exact).alias("slope"))
+
+        return add
+
+    def moved(state: Column, sums: Column) -> Column:
+        value, slope = sums["value"].cast("double"), sums["slope"].cast("double")
+        over = value - F.col("target")
+        low, high = F.when(over < 0, state["tilt"]).otherwise(state["low"]), F.when(over > 0, state["tilt"]).otherwise(state["high"])
+        step = state["tilt"] - over / F.when(slope > 0, slope)
+        next = F.when((slope > 0) & (step > low) & (step < high), step).otherwise((low + high) / 2)
         met = F.abs(over) <= F.col("target") * accuracy
-        state = checkpointed(state.join(sums, "key", "left").select(
-            "key", "mean", "target", F.when(F.col("done") | met, F.col("tilt")).otherwise(moved).alias("tilt"),
-            F.coalesce(low, F.col("low")).alias("low"), F.coalesce(high, F.col("high")).alias("high"), (F.col("done") | met).alias("done")))
-        if state.where("not done").isEmpty():
-            break
-    return state.select("key", "tilt", "mean")
+        return F.struct(F.when(met, state["tilt"]).otherwise(next).alias("tilt"), low.alias("low"), high.alias("high"), met.alias("done"))
+
+    def one_round(state: Column, _: Column) -> Column:
+        # Bound to a lambda variable, the sums are made once for all places that use them.
+        sums = F.array(F.aggregate("sizes", nothing, added(state["tilt"])))
+        return F.when(state["done"], state).otherwise(F.element_at(F.transform(sums, lambda s: moved(state, s)), 1))
+
+    solved = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), begun, one_round)
+    return checkpointed(sources.join(shape, "key").select("key", solved["tilt"].alias("tilt"), "mean"))
 
 
 def copies(cells: DataFrame, sources: DataFrame, most: int = MOST) -> DataFrame:
