@@ -144,6 +144,19 @@ def test_tokens_of_the_same_sets_become_one(spark):
     assert all(0 <= at < 5 for s, at in first.items() if s in (a, b))
 
 
+def test_pairs_are_given_out_at_the_first_token_they_share(spark):
+    """Sets that share many tokens meet at each of them, but are one pair; tokens of one set alone stand between."""
+    rng, rows = random.Random(29), []
+    shared = rng.sample(range(1000), 10)
+    for s in range(6):
+        own = [t for x in shared for t in (x, *(2000 + 100 * s + x % 7 + i for i in range(rng.randrange(3))))]
+        rows += [(t, s, 600, at, s) for at, t in enumerate(dict.fromkeys(own))]
+    words = ", ".join(f"{w} bigint" for w in ngram_join.PARITIES)
+    tokens = spark.createDataFrame([r + (0,) * len(ngram_join.PARITIES) for r in rows], "token bigint, set bigint, n int, at int, c bigint, " + words)
+    given = [tuple(r) for r in ngram_join._across(ngram_join._with_earlier(tokens)).collect()]
+    assert sorted(given) == [(a, b) for a in range(6) for b in range(a + 1, 6)]
+
+
 def test_frequency_order_does_not_change_links(spark, texts, small):
     docs = table(spark, small, "documents").select("doc_id", "text")
     classes = np.zeros(1 << 16, dtype=np.uint8)

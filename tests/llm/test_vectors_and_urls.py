@@ -91,6 +91,21 @@ def test_empty_and_unusable_vectors(spark):
     assert nn_descent.build(df.where("false")) is None and nn_descent.build(df.where("vec_id in (900, 901, 902)")) is None
 
 
+def test_components_of_small_graphs_take_few_jobs(spark):
+    """A long path, whose rounds were many, and texts."""
+    edges = [(i, i + 1) for i in range(300)] + [(1000, 1001), (1001, 1000), (7, 7), (None, 5), (-3, 1001)]
+    text = lambda x: None if x is None else f"\u00e9{x}\U0001f600"
+    context = spark.sparkContext
+    for kind, made in (("bigint", lambda x: x), ("string", text)):
+        context.setJobGroup(f"few-{kind}", "")
+        got = graph.components(spark.createDataFrame([tuple(map(made, e)) for e in edges], f"a {kind}, b {kind}")).collect()
+        context.setLocalProperty("spark.jobGroup.id", None)
+        assert len(context.statusTracker().getJobIdsForGroup(f"few-{kind}")) <= 8
+        assert sorted(tuple(r) for r in got) == sorted([(made(i), made(0)) for i in range(301)] + [(made(i), made(-3)) for i in (-3, 1000, 1001)])
+    nothing = graph.components(spark.createDataFrame([(1, 1)], "a int, b int"))
+    assert nothing.collect() == [] and nothing.dtypes == [("node", "int"), ("component", "int")]
+
+
 def test_components(spark):
     rng = np.random.default_rng(0)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 400, size=(250, 2))] + [(i, i + 1) for i in range(1000, 1060)]

@@ -21,12 +21,13 @@ its sets, in turn any or one of the component of most sets, chosen by a hash tha
 round; each set is compared with one that its tokens name, where a token counts the more the fewer
 sets it has, if that lies in another component. So a round has at most one pair for each set. Links
 give components, and tokens whose sets lie in one component are done. The first round takes all
-tokens that several sets share; the next, up to `ROUNDS`, those of more than `FEW` sets, until one
-links less than one set in twenty. Only what is then left in several components is joined with
-itself, across components: a pair within one is known to be connected. Rows carry the parities
-into that join, so it gives out only pairs that pass them. So a large group of near copies costs
-some comparisons for each row, and no link between different components is lost. Components, not
-all links, are the result.
+tokens that several sets share; the next, up to `ROUNDS`, those of more than `FEW` sets, in each
+round four times as many as in the one before, of which the last has linked one set in twenty.
+Only what is then left in several components is joined with itself, across components: a pair
+within one is known to be connected. Rows carry the parities into that join, and the `EARLIER`
+tokens of their set that stand before theirs, so it gives out only pairs that pass them, at the
+first token they share. So a large group of near copies costs some comparisons for each row, and
+no link between different components is lost. Components, not all links, are the result.
 
 Texts meet only for candidate pairs, by joins on the id of one text of each class: all texts are dealt
 for the first round, for the sets that later rounds can ask for, which are kept, and for the last
@@ -60,6 +61,8 @@ WIDTH = 5
 SHARE = (75, 100)
 #: Rounds in which each set is compared with one set; tokens of at most `FEW` sets take part in the first alone.
 ROUNDS, FEW = 8, 4
+#: Tokens before its own that a row carries into the last join; a pair that shares one of them is given out there.
+EARLIER = 16
 #: Seeded orders beside the first, the bits in which a set carries its prefix under each, and those of its parities.
 ORDERS, BITS, ODD = 2, 512, 1024
 #: Class of a counter below 2^12.
@@ -341,15 +344,23 @@ def verified(pairs: DataFrame, marks: DataFrame, texts: Callable[[DataFrame, boo
     return both.select("a", "b", "left", "right").mapInArrow(compare, "a bigint, b bigint")
 
 
-def _in_several(tokens: DataFrame, links: DataFrame) -> DataFrame:
-    """The rows of tokens whose sets lie in several components, with their component `c`, its size
-    `weight` and how many sets the token has, `held`."""
-    reached = checkpointed(components(links).withColumnsRenamed({"node": "set", "component": "c"}))
-    sizes = reached.groupBy("c").agg(F.count("*").alias("weight"))
-    marked = (tokens.join(reached.join(sizes, "c"), "set", "left")
-              .withColumns({"c": F.coalesce("c", "set"), "weight": F.coalesce("weight", F.lit(1))}))
-    several = marked.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("held")).where("low < high")
-    return staged(marked.join(several.select("token", "held"), "token").select(*tokens.columns, "c", "weight", "held"))
+def _reached(links: DataFrame) -> DataFrame:
+    """(set, c, weight): the component of each linked set, and its size."""
+    found = checkpointed(components(links).withColumnsRenamed({"node": "set", "component": "c"}))
+    return found.join(found.groupBy("c").agg(F.count("*").alias("weight")), "c")
+
+
+def _in_several(tokens: DataFrame, reached: DataFrame, new: DataFrame | None = None) -> DataFrame:
+    """The rows of tokens whose sets lie in several components, with their component `c`, its size `weight`,
+    how many sets the token has, `held`, and how many of them the links in `new` have met, `moved`."""
+    marked = (tokens.join(reached, "set", "left")
+              .withColumns({"c": F.coalesce("c", "set"), "weight": F.coalesce("weight", F.lit(1)), "met": F.lit(None).cast("boolean")}))
+    if new is not None:
+        met = new.select(F.explode(F.array("a", "b")).alias("set")).distinct()
+        marked = marked.drop("met").join(met.withColumn("met", F.lit(True)), "set", "left")
+    several = marked.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"),
+                                          F.count("*").alias("held"), F.count("met").alias("moved")).where("low < high")
+    return staged(marked.join(several.select("token", "held", "moved"), "token").select(*tokens.columns, "c", "weight", "held", "moved"))
 
 
 def _one_each(tokens: DataFrame, turn: int) -> DataFrame:
@@ -370,15 +381,24 @@ def _one_each(tokens: DataFrame, turn: int) -> DataFrame:
     return best.select(F.least("set", "p.other").alias("a"), F.greatest("set", "p.other").alias("b")).distinct()
 
 
+def _with_earlier(tokens: DataFrame) -> DataFrame:
+    """Adds `earlier`: the last `EARLIER` tokens of the row's set that stand before its own."""
+    return tokens.withColumn("earlier", F.collect_list("token").over(Window.partitionBy("set").orderBy("at", "token").rowsBetween(-EARLIER, -1)))
+
+
 def _across(tokens: DataFrame) -> DataFrame:
-    """(a, b): sets of different components that share a token and pass the filters that the rows allow."""
+    """(a, b): sets of different components that share a token and pass the filters that the rows allow.
+
+    Sets that share many tokens meet at each of them, but are given out only where neither's earlier tokens
+    hold one they share: the first that they share, in the order of either, is always such a place.
+    """
     x, y = tokens.alias("x"), tokens.alias("y")
     need = F.ceil((F.col("x.n") + F.col("y.n")) * SHARE[0] / (SHARE[0] + SHARE[1]))
     bound = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
     pair = ((F.col("x.token") == F.col("y.token")) & (F.col("x.set") < F.col("y.set")) & (F.col("x.c") != F.col("y.c"))
             & _near_in_size(F.col("x.n"), F.col("y.n")) & (bound >= need))
-    pair = pair & _few_differ("x.", "y.", F.col("x.n"), F.col("y.n"))
-    return x.join(y, pair).select(F.col("x.set").alias("a"), F.col("y.set").alias("b")).distinct()
+    pair = pair & _few_differ("x.", "y.", F.col("x.n"), F.col("y.n")) & ~F.arrays_overlap("x.earlier", "y.earlier")
+    return x.join(y, pair).select(F.col("x.set").alias("a"), F.col("y.set").alias("b"))
 
 
 def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -394,22 +414,29 @@ def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
 
     parities = marks.select("set", *PARITIES)
 
-    hot, few, links = shared_tokens(sets), None, None
+    hot, aside, links, reached = shared_tokens(sets), [], None, None
     for turn in range(ROUNDS):
         new = staged(verified(staged(_one_each(hot, turn)), marks, texts))
         found = new.count()
         if found:
             links = new if links is None else links.union(new)
-            hot = _in_several(hot.drop("c", "weight", "held"), links)
+            reached = _reached(links)
+            hot = _in_several(hot.drop("c", "weight", "held", "moved"), reached, new)
+        again = F.col("held") > FEW << 2 * turn
+        if turn:
+            again = again & (F.col("moved") * 20 >= F.col("held") if found else F.lit(False))
+        aside.append(hot.where(~again).select("token", "set", "n", "at"))
+        hot = hot.where(again)
         if not turn:
-            few, hot = hot.where(F.col("held") <= FEW), staged(hot.where(F.col("held") > FEW).join(parities, "set"))
-            left = hot.select("set").distinct()
-            alive, bodies = left.count(), staged(texts_of(left, rows, sets))
+            hot = staged(hot.join(parities, "set"))
+            bodies = staged(texts_of(hot.select("set").distinct(), rows, sets))
             texts = lambda wanted, small: bodies.join(F.broadcast(wanted) if small else wanted, "set", "left_semi")  # noqa: B023, E731
-        if turn and found * 20 < alive or not alive:
+        if hot.isEmpty():
             break
-    left_over = few.select("token", "set", "n", "at", "c").join(parities, "set").unionByName(hot.select("token", "set", "n", "at", "c", *PARITIES))
-    across = staged(_across(left_over))
+    left_over = reduce(DataFrame.unionByName, [*aside, hot.select("token", "set", "n", "at")])
+    left_over = left_over.withColumn("c", F.col("set")) if reached is None else _in_several(left_over, reached)
+    left_over = _with_earlier(left_over.select("token", "set", "n", "at", "c")).join(parities, "set")
+    across = staged(_across(left_over).distinct())
     every = staged(verified(across, marks, every_text))
     every = every if links is None else links.union(every)
 
