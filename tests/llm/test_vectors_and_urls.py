@@ -84,6 +84,33 @@ def test_blocks_of_a_hot_cell(spark, monkeypatch):
     assert [got[i] for i in range(len(x))] == linked.sum(axis=1).tolist()
 
 
+def test_single_precision_only_rules_out(monkeypatch):
+    """Cosines so near the threshold that single precision misjudges them; few pairs are compared in double precision."""
+    monkeypatch.setattr(embedding_dedup, "TILE", 7)
+    rng = np.random.default_rng(8)
+    base, u = rng.normal(size=(2, 300, 64))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    u -= (u * base).sum(axis=1)[:, None] * base
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    at = 0.9 + rng.choice([-1e-4, -1e-9, 1e-9, 1e-4], size=300)[:, None]
+    other = at * base + np.sqrt(1 - at ** 2) * u
+    got = {(x, y) for a, b in embedding_dedup.close(base, other, 0.9) for x, y in zip(a.tolist(), b.tolist())}
+    assert got == set(zip(*(m.tolist() for m in np.nonzero(base @ other.T >= 0.9))))
+    assert {x for x, y in got if x == y} == set(np.flatnonzero(at[:, 0] > 0.9).tolist())
+    a, b = np.arange(1, 900, dtype=np.int32), np.arange(899, dtype=np.int32)
+    keep = b != 500
+    assert embedding_dedup._least_reached(901, a[keep], b[keep]).tolist() == [0] * 501 + [501] * 399 + [900]
+
+
+def test_rows_travel_once_for_each_of_their_cells_and_blocks(spark, monkeypatch):
+    """No row is dealt to have the cells counted, and none carries the list of its cells along."""
+    exploded, explode = [], embedding_dedup.F.explode
+    monkeypatch.setattr(embedding_dedup.F, "explode", lambda c: exploded.append(c) or explode(c))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(planted(200))], "vec_id bigint, embedding array<double>")
+    found = embedding_dedup.near_copies(df, cell=40)
+    assert sum(isinstance(c, str) and c == "cells" for c in exploded) == 1 and found.count() == 200
+
+
 def test_empty_and_unusable_vectors(spark):
     df = spark.createDataFrame(BAD, "vec_id bigint, embedding array<double>")
     assert embedding_dedup.near_copies(df.where("vec_id in (900, 901)")).where("kept and n_links = 0").count() == 2

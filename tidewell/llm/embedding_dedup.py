@@ -13,9 +13,11 @@ r"""Near copies among embeddings: spherical k-means cells, blocked cosines withi
    distance h of the border, u normal with deviation 1 / sqrt(dim - 1)).
 3. Members and guests of a cell are cut into blocks of about `BLOCK` and `GUESTS` rows by
    a hash of the id; each pair of blocks (member-member, member-guest) is one task, so a
-   cell that holds a third of all rows is spread over many. A task adds up links per
-   vector and reduces them to one edge per vector; pairs are never emitted. As `n_links`
-   is exact, a cell's comparisons grow with the square of its members, in blocks.
+   cell that holds a third of all rows is spread over many. Cosines in single precision,
+   whose error is bounded, rule out most pairs of a tile; what they leave is decided in double
+   precision. A task adds up links per vector and reduces them to one edge per vector; pairs
+   are never emitted. As `n_links` is exact, a cell's comparisons grow with the square of its
+   members, in blocks. Rows travel without the list of their cells; members carry it as bits.
 4. Components of the edges; the smallest id of each is kept.
 
 Cosines are in double precision. Defined cases: a vector that is null, zero, of another
@@ -38,7 +40,7 @@ from tidewell.llm.common import col, staged
 from tidewell.llm.graph import components
 from tidewell.llm.vectors import dimension, packed, parse, unit, unpacked
 
-MOST_CELLS, BLOCK, GUESTS = 2048, 1000, 4000
+MOST_CELLS, BLOCK, GUESTS, TILE = 2048, 2000, 4000, 256
 _SCALE = float(1 << 24)
 
 
@@ -92,12 +94,25 @@ def cells_of(rows: np.ndarray, c: np.ndarray, near: float) -> tuple[np.ndarray,
     return home, sims[np.arange(len(rows)), home][:, None] - sims <= near * gap + 1e-12
 
 
-def _local_components(linked: np.ndarray) -> np.ndarray:
-    """Smallest index each row reaches in a symmetric matrix of links."""
-    label = np.arange(len(linked))
-    n = len(label)
+def close(left: np.ndarray, right: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of rows of unit length whose cosine is at least `threshold`, a tile of the left ones at a time."""
+    low, slack = right.astype(np.float32), 1e-5 + left.shape[1] * 2.0 ** -22  # above the error of single precision
+    for begin in range(0, len(left), TILE):
+        tile = left[begin:begin + TILE]
+        near = tile.astype(np.float32) @ low.T >= np.float32(threshold - slack)
+        if near.any():
+            x, y = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+            a, b = np.nonzero(tile[x] @ right[y].T >= threshold)
+            yield (begin + x[a]).astype(np.int32), y[b].astype(np.int32)
+
+
+def _least_reached(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest of the numbers below n that each one reaches by the links (a, b)."""
+    label = np.arange(n, dtype=np.int32)
     while True:
-        least = np.minimum(label, np.where(linked, label[None, :], n).min(axis=1, initial=n))
+        low, least = np.minimum(label[a], label[b]), label.copy()
+        np.minimum.at(least, a, low)
+        np.minimum.at(least, b, low)
         least = least[least]
         if (least == label).all():
             return label
@@ -118,6 +133,18 @@ def near_copies(embeddings: DataFrame, threshold: float = 0.9, id: str = "vec_id
     # Vectors travel as they are stored and become doubles of unit length where they are compared.
     width = "<f4" if vectors.schema["vector"].dataType.elementType.simpleString() == "float" else "<f8"
 
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        members, all_rows = np.zeros((2, len(c)), dtype=np.int64)
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 4096):
+                rows, ok = parse(batch.slice(begin, 4096).column(1), dim)
+                home, belongs = cells_of(unit(rows[ok]), c, near)
+                members += np.bincount(home, minlength=len(c))
+                all_rows += belongs.sum(axis=0)
+        met = np.flatnonzero(all_rows)
+        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), pa.array(members[met]), pa.array((all_rows - members)[met])],
+                                         names=["cell", "members", "guests"])
+
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin in range(0, batch.num_rows, 4096):
@@ -127,19 +154,21 @@ def near_copies(embeddings: DataFrame, threshold: float = 0.9, id: str = "vec_id
                 if not len(rows):
                     continue
                 home, belongs = cells_of(unit(rows), c, near)
-                lists = pa.array([np.flatnonzero(b).tolist() for b in belongs], pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([part.column(0).filter(pa.array(ok)), packed(rows, width), pa.array(home, pa.int32()), lists],
-                                                 names=["id", "x", "home", "cells"])
+                ends = np.concatenate([[0], np.cumsum(belongs.sum(axis=1))])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.nonzero(belongs)[1], pa.int32()))
+                bits = packed(np.packbits(belongs, axis=1, bitorder="little"), "u1")
+                yield pa.RecordBatch.from_arrays([part.column(0).filter(pa.array(ok)), packed(rows, width), pa.array(home, pa.int32()), lists, bits],
+                                                 names=["id", "x", "home", "cells", "bits"])
 
-    placed = known.mapInArrow(place, f"id {kind}, x binary, home int, cells array<int>")
     # How many members and guests each cell has: as many rows as there are cells.
-    counts = placed.select("home", F.explode("cells").alias("cell")).groupBy("cell").agg(
-        F.count_if(F.col("home") == F.col("cell")).alias("members"), F.count_if(F.col("home") != F.col("cell")).alias("guests")).collect()
+    counts = known.mapInArrow(tally, "cell int, members bigint, guests bigint").groupBy("cell").agg(
+        F.sum("members").alias("members"), F.sum("guests").alias("guests")).collect()
+    placed = known.mapInArrow(place, f"id {kind}, x binary, home int, cells array<int>, bits binary")
     blocks = {r.cell: (max(1, -(-r.members // BLOCK)), -(-r.guests // GUESTS)) for r in counts}
     per_cell = F.array(*[F.struct(F.lit(m).alias("members"), F.lit(g).alias("guests"))
                          for m, g in (blocks.get(i, (1, 0)) for i in range(len(c)))])
 
-    rows = placed.select("id", "x", "home", "cells", F.xxhash64("id").alias("h"), F.explode("cells").alias("cell"))
+    rows = placed.select("id", "x", "home", "bits", F.xxhash64("id").alias("h"), F.explode("cells").alias("cell"))
     rows = rows.withColumn("cut", F.element_at(per_cell, F.col("cell") + 1)).withColumn("member", F.col("home") == F.col("cell"))
     own = F.pmod("h", F.when(F.col("member"), F.col("cut.members")).otherwise(F.greatest(F.lit(1), F.col("cut.guests")))).cast("int")
     members, guests = F.sequence(F.lit(0), F.col("cut.members") - 1), F.col("cut.guests")
@@ -148,31 +177,30 @@ def near_copies(embeddings: DataFrame, threshold: float = 0.9, id: str = "vec_id
     with_guests = F.when(guests > 0, F.transform(F.sequence(F.lit(0), guests - 1), lambda j: F.struct(F.col("own").alias("i"), (-1 - j).alias("j"))))
     as_guest = F.transform(members, lambda i: F.struct(i.alias("i"), (-1 - F.col("own")).alias("j")))
     pairs = F.when(F.col("member"), F.concat(with_members, F.coalesce(with_guests, F.array().cast("array<struct<i:int,j:int>>")))).otherwise(as_guest)
-    dealt = rows.withColumn("own", own).select("id", "x", "home", "cells", "cell", "member", "own", F.explode(pairs).alias("p"))
-    dealt = dealt.select("id", "x", "home", "cells", "cell", "member", "own", "p.i", "p.j")
+    rows = rows.withColumn("own", own).withColumn("bits", F.when(F.col("member"), F.col("bits")))
+    dealt = rows.select("id", "x", "home", "bits", "cell", "member", "own", F.explode(pairs).alias("p"))
+    dealt = dealt.select("id", "x", "home", "bits", "cell", "member", "own", "p.i", "p.j")
 
     def compare(group: pa.Table) -> pa.Table:
         i, j, cell = group.column("i")[0].as_py(), group.column("j")[0].as_py(), group.column("cell")[0].as_py()
         member, own = np.asarray(group.column("member")), np.asarray(group.column("own"))
         left = np.flatnonzero(member & (own == i))
         right = left if i == j else np.flatnonzero((member & (own == j)) if j >= 0 else ~member)
-        rows, ids = unit(unpacked(group.column("x"), width).astype(np.float64)), group.column("id").to_pylist()
-        linked = rows[left] @ rows[right].T >= threshold
-        if i == j:
-            np.fill_diagonal(linked, False)
-        a, b = np.nonzero(linked)
-        a, b = left[a], right[b]
-        keep = np.fromiter((ids[x] != ids[y] for x, y in zip(a, b)), dtype=bool, count=len(a))
-        if j < 0 and len(a):  # a pair that each other's cell would see counts in the cell of smaller number
-            home, cells = np.asarray(group.column("home")), group.column("cells").to_pylist()
-            keep &= np.fromiter((not (home[y] < cell and home[y] in cells[x]) for x, y in zip(a, b)), dtype=bool, count=len(a))
-        a, b = a[keep], b[keep]
+        rows = unit(unpacked(group.column("x"), width).astype(np.float64))
+        ids = np.asarray(group.column("id").combine_chunks().dictionary_encode().indices)
+        home = np.asarray(group.column("home"))
+        bits = unpacked(group.column("bits").take(pa.array(left)), "u1") if j < 0 else None
+        found = [np.zeros((2, 0), dtype=np.int32)]
+        for x, y in close(rows[left], rows[right], threshold):
+            a, b = left[x], right[y]
+            keep = ids[a] != ids[b]
+            if j < 0:  # a pair that each other's cell would see counts in the cell of smaller number
+                keep &= ~((home[b] < cell) & (bits[x, home[b] >> 3] >> (home[b] & 7) & 1).astype(bool))
+            found.append(np.array([a[keep], b[keep]], dtype=np.int32))
+        a, b = np.concatenate(found, axis=1)
         links = np.bincount(a, minlength=len(ids)) + (0 if i == j else np.bincount(b, minlength=len(ids)))
         met = np.flatnonzero(links)
-        small, where = np.zeros((len(met), len(met)), dtype=bool), np.searchsorted(met, np.concatenate([a, b]))
-        x, y = where[: len(a)], where[len(a):]
-        small[x, y] = small[y, x] = True
-        root = met[_local_components(small)] if len(met) else met
+        root = _least_reached(len(ids), a, b)[met]
         names = group.column("id")
         return pa.table({"id": names.take(pa.array(met)), "links": pa.array(links[met], pa.int64()), "root": names.take(pa.array(root))})
 
