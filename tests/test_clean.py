@@ -7,6 +7,7 @@ from tests.helpers import booking, customer, provider, raw, service
 from tidewell.functions import values as V
 from tidewell.operators import clean
 from tidewell.plans.stored import Star, silver_bookings
+from tidewell.session import TASK_INPUT, configure
 from tidewell.sources import star
 from tidewell.sources.records import is_malformed
 
@@ -164,3 +165,26 @@ def test_not_null_split_names_the_columns(spark):
     typed = clean.parse_providers(raw(spark, [provider(), provider(provider_name=None, experience_level=None)]))
     good, bad = clean.split_not_null(typed, ["provider_name", "experience_level", "effective_at"])
     assert good.count() == 1 and bad.first().missing_columns == ["provider_name", "experience_level"]
+
+
+def test_booking_faults_are_not_interpreted(spark):
+    """All broken rules, in their order; a lambda over them would run outside generated code."""
+    typed = spark.createDataFrame([("1", "c", "p", "s", "2025-01-01", "BOOKED", 1), (None, None, "p", "s", None, "PAUSED", -1), ("2", "c", "p", None, "x", None, None)],
+                                  "booking_id string, customer_id string, provider_id string, service_id string, booking_created_at string, booking_status string, final_amount int")
+    found = typed.select(clean.booking_faults().alias("faults"))
+    assert [r.faults for r in found.collect()] == [
+        [],
+        ["booking_id missing", "customer_id missing", "booking_created_at unreadable", "booking_status unknown", "final_amount unreadable or negative"],
+        ["service_id missing", "booking_status unknown", "final_amount unreadable or negative"]]
+    assert "lambda" not in found._jdf.queryExecution().toString()
+
+
+def test_tasks_are_small_unless_the_cluster_says_otherwise(spark):
+    before = spark.conf.get(TASK_INPUT, None)
+    try:
+        spark.conf.unset(TASK_INPUT)
+        assert configure(spark).conf.get(TASK_INPUT) == "16m"
+        spark.conf.set(TASK_INPUT, "8m")
+        assert configure(spark).conf.get(TASK_INPUT) == "8m"
+    finally:
+        spark.conf.set(TASK_INPUT, before) if before else spark.conf.unset(TASK_INPUT)
