@@ -93,6 +93,21 @@ def test_large_texts_are_joined_without_a_hint(spark, small, monkeypatch):
     assert handed.exceptAll(joined).isEmpty() and joined.exceptAll(handed).isEmpty()
 
 
+def test_snapshots_without_a_review_stay_where_they_are(spark, small, monkeypatch):
+    """Texts too large for all tasks go to the few snapshots that have one; the others are dealt out to their orders alone."""
+    handed = star.typed_bookings(spark, small)
+    monkeypatch.setattr(star, "HANDED_OUT", 20_000)  # more than the ids of 200 documents take, less than their texts
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = star.typed_bookings(spark, small)
+        without, within = joined._jdf.queryExecution().executedPlan().toString().split("Union", 1)[1].split("hashpartitioning(booking_id", 1)
+        assert "LeftAnti" in without and "LeftSemi" not in without and "LeftSemi" in within
+        assert handed.exceptAll(joined).isEmpty() and joined.exceptAll(handed).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_stored_tables_are_made_when_asked_for(spark, small, tmp_path):
     tables = Star(spark, small, str(tmp_path))
     made = lambda: {p.name for p in tmp_path.iterdir()}
