@@ -67,6 +67,30 @@ def test_fact_joins_carry_no_review_texts(spark, small, tmp_path):
     assert "service_started_at" in plan and "review_text" not in plan and "source_row_number" not in plan
 
 
+def test_keys_are_looked_up_without_the_whole_rows(spark, small, tmp_path):
+    """The fact of a stored table deals out booking ids beside what a key depends on; the rows stay in their buckets."""
+    tables = Star(spark, small, str(tmp_path))
+    latest, providers = tables["latest"], tables["providers"]
+    customers, services = tables["customers"].where("customer_key % 3 > 0"), tables["services"].where("service_key % 3 > 0")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for natural in (False, True):
+            whole = marts.build_fact_booking(latest, customers, services, providers, natural)
+            narrow = marts.build_fact_booking(latest, customers, services, providers, natural, stored=True)
+            assert whole.columns == narrow.columns and whole.where("customer_key is null").count() > 0
+            assert whole.exceptAll(narrow).isEmpty() and narrow.exceptAll(whole).isEmpty()
+            dealt = [x for x in narrow._jdf.queryExecution().executedPlan().toString().splitlines() if "Scan parquet" in x and "booking_id" in x]
+            assert len(dealt) == 4 and sum("service_started_at" in x for x in dealt) == 1
+        lines = narrow._jdf.queryExecution().executedPlan().toString().splitlines()
+        at = next(i for i, x in enumerate(lines) if "Scan parquet" in x and "service_started_at" in x)
+        depth = len(lines[at]) - len(lines[at].lstrip(" :+-"))
+        above = [x for x in lines[:at] if len(x) - len(x.lstrip(" :+-")) < depth]
+        assert not any("Exchange" in x for x in above)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_trained_scorer_in_an_observed_session(spark):
     from pyspark.sql import Observation
 
