@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from tests.helpers import booking, customer, provider, raw, service
 from tidewell.functions import values as V
 from tidewell.operators import clean
+from tidewell.operators import refresh
+from tidewell.plans import queries
 from tidewell.plans.stored import Star, silver_bookings
 from tidewell.session import TASK_INPUT, configure
 from tidewell.sources import star
@@ -108,6 +110,18 @@ def test_snapshots_without_a_review_stay_where_they_are(spark, small, monkeypatc
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_arrived_snapshots_are_dealt_out_once(spark, small):
+    snapshots = clean.valid_bookings(star.typed_bookings(spark, small, reviews=False))
+    early = F.col("record_updated_at") < "1996-01-01"
+    latest = refresh.refresh_latest(clean.latest_bookings(snapshots.where(early)), snapshots.where(~early))
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[:plan.index("Union")] and plan.count("hashpartitioning(booking_id") == 2
+    whole = clean.latest_bookings(snapshots)
+    assert latest.exceptAll(whole).isEmpty() and whole.exceptAll(latest).isEmpty()
+    halves = queries.QUERIES["newest_by_aggregation"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in halves[:halves.index("Union")]
+
+
 def test_stored_tables_are_made_when_asked_for(spark, small, tmp_path):
     tables = Star(spark, small, str(tmp_path))
     made = lambda: {p.name for p in tmp_path.iterdir()}
