@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from tests.helpers import at, booking, raw
 from tidewell.functions.lexicon import Lexicon
-from tidewell.operators import clean, marts, quality, reviews, scoring
+from tidewell.operators import clean, marts, quality, refresh, reviews, scoring
 from tidewell.plans import questions
 from tidewell.plans.model import MARKETPLACE
 from tidewell.plans.semantic import semantic_query
-from tidewell.plans.stored import Star
+from tidewell.plans.stored import Star, read, write
 
 
 def time_of(text):
@@ -91,6 +91,35 @@ def test_keys_are_looked_up_without_the_whole_rows(spark, small, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_changes_between_bucketed_states_are_found_in_place(spark, tmp_path):
+    old = spark.createDataFrame([("a", 1, None), ("b", 2, "x"), ("b", 2, "x"), ("c", 3, "y"), (None, 4, "z"), ("d", 5, None)], "id string, n int, t string")
+    new = spark.createDataFrame([("a", 1, None), ("b", 2, "x"), ("c", 3, "z"), (None, 4, "z"), (None, 4, "z"), ("d", 5, None)], "id string, n int, t string")
+    for name, df in (("old", old), ("new", new)):
+        write(df, str(tmp_path / name), "id")
+    before, after = (read(spark, str(tmp_path / name), "id") for name in ("old", "new"))
+    changes = marts.row_changes(before.where("n < 9").withColumn("n", F.col("n") + 0), after)
+    assert "Exchange" not in changes._jdf.queryExecution().executedPlan().toString()
+    assert changes.columns == ["id", "n", "t", "change"]
+    assert sorted(map(str, changes.collect())) == sorted(map(str, marts.row_changes(old, new).collect()))
+    assert sorted((str(r.id), r.n, r.t, r.change) for r in changes.collect()) == [
+        ("None", 4, "z", 1), ("b", 2, "x", -1), ("c", 3, "y", -1), ("c", 3, "z", 1)]
+
+
+def test_touched_dates_are_handed_to_the_fact(spark, small, tmp_path):
+    """A refresh of the KPI deals out no booking to find those of the touched dates."""
+    tables = Star(spark, small, str(tmp_path))
+    fact, dimensions = tables["bookings"], [tables[n] for n in ("dates", "services", "reviews")]
+    touched = fact.where("booking_date_key < 19940000").select("booking_date_key").distinct()
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = refresh.refresh_kpi(marts.daily_service_kpi(fact.where("rating = 1"), *dimensions), touched, fact, *dimensions)
+        plan = fresh._jdf.queryExecution().executedPlan().toString()
+        assert "LeftSemi, BuildRight" in plan and "LeftAnti, BuildRight" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_trained_scorer_in_an_observed_session(spark):
     from pyspark.sql import Observation
 
