@@ -91,6 +91,21 @@ def test_keys_are_looked_up_without_the_whole_rows(spark, small, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_repeated_bookings_keep_their_rows(spark, small, tmp_path):
+    """Bookings that come more than once, with the same or another customer, and without an id: as many rows by both ways."""
+    tables = Star(spark, small, str(tmp_path))
+    dimensions = [tables[n] for n in ("customers", "services", "providers")]
+    latest = tables["latest"].where("booking_city < 'Nation_15'")
+    several = latest.unionByName(latest.where("rating = 1")).unionByName(latest.where("rating = 2").withColumns({
+        "customer_id": F.lit("1"), "booking_created_at": F.col("booking_created_at") - F.expr("interval 1 year")}))
+    several = several.unionByName(latest.where("rating = 3").withColumn("booking_id", F.lit(None).cast("string")))
+    for natural in (False, True):
+        whole = marts.build_fact_booking(several, *dimensions, natural)
+        narrow = marts.build_fact_booking(several, *dimensions, natural, stored=True)
+        assert whole.columns == narrow.columns and whole.count() == narrow.count() == several.count()
+        assert whole.exceptAll(narrow).isEmpty() and narrow.exceptAll(whole).isEmpty()
+
+
 def test_changes_between_bucketed_states_are_found_in_place(spark, tmp_path):
     old = spark.createDataFrame([("a", 1, None), ("b", 2, "x"), ("b", 2, "x"), ("c", 3, "y"), (None, 4, "z"), ("d", 5, None)], "id string, n int, t string")
     new = spark.createDataFrame([("a", 1, None), ("b", 2, "x"), ("c", 3, "z"), (None, 4, "z"), (None, 4, "z"), ("d", 5, None)], "id string, n int, t string")
